@@ -2,7 +2,7 @@
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from barsmith import fixed, schemas
 from barsmith.functions import columns as fn
@@ -25,9 +25,13 @@ def _arrays_type(arrays: Sequence[str]) -> str:
     return "STRUCT<" + ", ".join(f"{a}: ARRAY<STRING>" for a in arrays) + ">"
 
 
-def _candle_body() -> Column:
-    flat = ", ".join(f"{a} ARRAY<STRING>" for a in CANDLE_ARRAYS)
-    return F.from_json("body", f"status STRING, remarks STRING, {flat}, data {_arrays_type(CANDLE_ARRAYS)}")
+def _parsed(responses: DataFrame, schema: str) -> DataFrame:
+    """Add the parsed body as `j`.
+
+    The optimizer would parse the body anew for each field taken from `from_json`; behind a
+    generator it is parsed once.
+    """
+    return responses.select("*", F.explode(F.array(F.from_json("body", schema))).alias("j"))
 
 
 def with_data(responses: DataFrame) -> DataFrame:
@@ -36,8 +40,9 @@ def with_data(responses: DataFrame) -> DataFrame:
     Arrays of unequal length would pair values of different candles, so that response fails.
     """
     flat = F.struct(*[F.col(f"j.{a}").alias(a) for a in CANDLE_ARRAYS])
-    parsed = responses.withColumn("j", _candle_body()) \
-        .withColumn("data", F.coalesce("j.data", flat))
+    named = ", ".join(f"{a} ARRAY<STRING>" for a in CANDLE_ARRAYS)
+    parsed = _parsed(responses, f"status STRING, remarks STRING, {named}, data {_arrays_type(CANDLE_ARRAYS)}") \
+        .withColumn("data", F.coalesce("j.data", flat)).withColumn("body_status", F.col("j.status"))
     return _sized(parsed, CANDLE_ARRAYS).drop("j")
 
 
@@ -74,8 +79,8 @@ def _exploded(parsed: DataFrame, arrays: Sequence[str], tags: Sequence) -> DataF
             .select("*", "v.*").drop("v"))
 
 
-def _candles(responses: DataFrame, tags: Sequence) -> DataFrame:
-    rows = _exploded(with_data(responses), CANDLE_ARRAYS, tags)
+def _candles(parsed: DataFrame, tags: Sequence) -> DataFrame:
+    rows = _exploded(parsed, CANDLE_ARRAYS, tags)
     return rows.withColumns({"timestamp": fn.strict_long("timestamp", "timestamp"),
                              **{c: fn.coerce_double(c) for c in CANDLE_ARRAYS[1:]}})
 
@@ -85,7 +90,7 @@ def daily_candles(responses: DataFrame) -> DataFrame:
 
     The id is made of the text security id, before it becomes a number.
     """
-    rows = _candles(responses, ["seq", "scrip", F.col("exc_seg").alias("exchange"), "security_id"])
+    rows = _candles(with_data(responses), ["seq", "scrip", F.col("exc_seg").alias("exchange"), "security_id"])
     return rows.withColumn("trade_date", fn.ist_date("timestamp")).select(
         "scrip", "exchange", "security_id", *fixed.PRICES, "volume", fn.row_id().alias("row_id"),
         "trade_date", "seq", "pos")
@@ -117,7 +122,7 @@ def hourly_candles(responses: DataFrame, opens: str = fixed.MARKET_OPEN,
 
     Windows may overlap, so equal candles count once.
     """
-    good = responses.where(F.get_json_object("body", "$.status") == "success")
+    good = with_data(responses).where("body_status = 'success'")
     rows = _candles(good, ["seq", "scrip", F.lit(fixed.TEMP_EXCHANGE).alias("exchange"),
                            fn.strict_long("security_id", "security_id").alias("security_id"), "interval_m"])
     open_hours = rollup.market_hours(rows, opens=opens, closes=closes)
@@ -133,7 +138,7 @@ def option_candles(responses: DataFrame, lookup: DataFrame | None = None,
     the requested date, not the candle's.
     """
     side = _arrays_type(OPTION_ARRAYS)
-    parsed = responses.withColumn("j", F.from_json("body", f"remarks STRING, data STRUCT<ce: {side}, pe: {side}>")) \
+    parsed = _parsed(responses, f"remarks STRING, data STRUCT<ce: {side}, pe: {side}>") \
         .withColumn("data", F.when(F.col("option_type") == "CE", F.col("j.data.ce")).otherwise(F.col("j.data.pe")))
     full = _sized(parsed, OPTION_ARRAYS).where("rows > 0").drop("j")
     wanted = with_expiry(full.withColumnRenamed("expiry_flag", "flag_used"), lookup) \

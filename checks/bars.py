@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from barsmith import fixed
 from barsmith.functions import columns as fn
 from barsmith.operators import coverage, joins, mutate, rollup, splits
+from barsmith.session import stage
 from barsmith.sources.stored import daily_rows
 from checks import views as v
 from checks.registry import query
@@ -70,6 +71,11 @@ def flagged_scrips(spark, sf_dir):
     return splits.flagged_scrips(flags(spark, sf_dir))
 
 
+def flagged_list(spark, sf_dir):
+    """The flagged scrips, computed once and written, as jobs do."""
+    return stage(flagged_scrips(spark, sf_dir), "flagged")
+
+
 @query("c3_range_check_date", f"""WITH {v.TICKS}, {v.BARS}
 SELECT min(trade_date) AS check_date FROM bars WHERE trade_date BETWEEN DATE '2024-01-10' AND DATE '2024-01-20'""")
 def range_check_date(spark, sf_dir):
@@ -111,7 +117,7 @@ def upload_skip_flagged(spark, sf_dir):
     fetched = v.bars(spark, sf_dir)
     last = splits.last_two_dates(fetched).select(F.col("last_date").alias("trade_date"))
     upload = fetched.join(F.broadcast(last), "trade_date", "left_semi")
-    kept = joins.without(upload, splits.flagged_scrips(flags(spark, sf_dir)))
+    kept = joins.without(upload, flagged_list(spark, sf_dir))
     return kept.select("trade_date", "scrip", "security_id", *fixed.PRICES, "volume")
 
 
@@ -119,7 +125,7 @@ def upload_skip_flagged(spark, sf_dir):
 SELECT CASE WHEN scrip IN (SELECT scrip FROM flagged) THEN 'flagged' ELSE 'clean' END AS side,
        trade_date, scrip, "close" FROM bars""")
 def clean_vs_flagged(spark, sf_dir):
-    fetched, listed = v.bars(spark, sf_dir), splits.flagged_scrips(flags(spark, sf_dir))
+    fetched, listed = v.bars(spark, sf_dir), flagged_list(spark, sf_dir)
     clean = joins.without(fetched, listed).withColumn("side", F.lit("clean"))
     flagged = joins.only(fetched, listed).withColumn("side", F.lit("flagged"))
     return clean.unionByName(flagged).select("side", "trade_date", "scrip", "close")

@@ -50,13 +50,19 @@ def strike_round(spark, sf_dir):
     return v.table(spark, sf_dir, "part").select("p_partkey", fn.strike_price(F.col("p_retailprice") / 3).alias("strike"))
 
 
-@query("x7_tick_round", """SELECT o_orderkey, round_even(o_totalprice, 1) AS tenth, round_even(o_totalprice, 0) AS whole FROM orders
-WHERE round(o_totalprice * 100) % 10 <> 5""")
+_NET = "(l_extendedprice * (1 - l_discount))"
+_PRODUCT = f"({_NET} * 100)"
+_HIGH = f"({_NET} * 134217729 - ({_NET} * 134217729 - {_NET}))"
+_ERROR = f"(({_HIGH} * 100 - {_PRODUCT}) + ({_NET} - {_HIGH}) * 100)"
+
+
+@query("x7_tick_round", f"""SELECT l_orderkey, l_partkey, l_linenumber, CASE
+  WHEN {_PRODUCT} - floor({_PRODUCT}) = 0.5 AND {_ERROR} > 0 THEN floor({_PRODUCT}) + 1
+  WHEN {_PRODUCT} - floor({_PRODUCT}) = 0.5 AND {_ERROR} < 0 THEN floor({_PRODUCT})
+  ELSE round_even({_PRODUCT}, 0) END / 100 AS net FROM lineitem""")
 def tick_round(spark, sf_dir):
-    """Exact decimal ties round on the binary value; SQL cannot say that, so they are left to a test."""
-    orders = v.table(spark, sf_dir, "orders").where(F.round(F.col("o_totalprice") * 100) % 10 != 5)
-    return orders.select("o_orderkey", fn.tick_round("o_totalprice", 1).alias("tenth"),
-                         fn.tick_round("o_totalprice", 0).alias("whole"))
+    net = F.col("l_extendedprice") * (F.lit(1) - F.col("l_discount"))
+    return v.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber", fn.tick_round(net).alias("net"))
 
 
 @query("x6_offset_label", """SELECT p_partkey, CASE WHEN p_size = 25 THEN 'ATM' WHEN p_size > 25 THEN 'ATM+' || (p_size - 25)

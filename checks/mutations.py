@@ -5,8 +5,9 @@ from pyspark.sql import functions as F
 from barsmith import fixed
 from barsmith.functions import columns as fn
 from barsmith.operators import coverage, dedup, joins, mutate, rollup, splits
+from barsmith.session import stage
 from checks import views as v
-from checks.bars import OHLCV, flagged_scrips
+from checks.bars import OHLCV, flagged_list
 from checks.registry import query
 
 RANGE = ("2024-01-10", "2024-01-20")
@@ -61,7 +62,7 @@ def delete_range(spark, sf_dir):
 @query("snk11_delete_scrips", f"""WITH {v.SPLIT}, {v.MIXED}
 SELECT * FROM mixed WHERE scrip NOT IN (SELECT scrip FROM flagged)""")
 def delete_scrips(spark, sf_dir):
-    return mutate.delete_scrips(v.mixed_rows(spark, sf_dir), flagged_scrips(spark, sf_dir))
+    return mutate.delete_scrips(v.mixed_rows(spark, sf_dir), flagged_list(spark, sf_dir))
 
 
 @query("snk13_delete_temp", f"WITH {v.TICKS}, {v.MIXED} SELECT * FROM mixed WHERE NOT coalesce(exchange = 'TEMP', false)")
@@ -78,7 +79,7 @@ def delete_old_temp(spark, sf_dir):
 @query("snk15_delete_interval", f"""WITH {v.SPLIT}, {v.MIXED}
 SELECT * FROM mixed WHERE NOT (interval_m = 15 AND scrip IN (SELECT scrip FROM flagged))""")
 def delete_interval(spark, sf_dir):
-    return mutate.delete_scrips(v.mixed_rows(spark, sf_dir), flagged_scrips(spark, sf_dir), F.col("interval_m") == 15)
+    return mutate.delete_scrips(v.mixed_rows(spark, sf_dir), flagged_list(spark, sf_dir), F.col("interval_m") == 15)
 
 
 @query("j1_append_new_prices", """WITH rows AS (
@@ -160,7 +161,7 @@ def _reload(spark, sf_dir):
     temp = rollup.daily_bars(v.ticks(spark, sf_dir).where("event_type = 'error'")
                              .withColumn("exchange", F.lit(fixed.TEMP_EXCHANGE)), order=v.order())
     check = splits.oldest_date_in(fetched, *_dates())
-    flagged = splits.flagged_scrips(splits.split_flags(fetched, real, check))
+    flagged = stage(splits.flagged_scrips(splits.split_flags(fetched, real, check)), "flagged")
     clean = joins.without(fetched.where(mutate.in_range(*_dates())), flagged)
     return real.unionByName(temp), clean, joins.only(fetched, flagged), flagged
 
@@ -223,7 +224,7 @@ SELECT scrip, "timestamp", {OHLCV} FROM old WHERE scrip NOT IN (SELECT scrip FRO
 UNION ALL SELECT scrip, "timestamp", {OHLCV} FROM candles WHERE scrip IN (SELECT scrip FROM eligible)""")
 def flagged_intraday_reload(spark, sf_dir):
     old = v.candles(spark, sf_dir, "event_type <> 'error'")
-    eligible = coverage.scrip_bounds(old, flagged_scrips(spark, sf_dir), 15).select("scrip")
+    eligible = stage(coverage.scrip_bounds(old, flagged_list(spark, sf_dir), 15).select("scrip"), "eligible")
     kept = mutate.delete_scrips(old, eligible, F.col("interval_m") == 15)
     state = kept.unionByName(joins.only(v.candles(spark, sf_dir), eligible).select(*kept.columns))
     return state.select("scrip", "timestamp", *fixed.PRICES, "volume")
