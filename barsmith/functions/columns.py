@@ -8,8 +8,8 @@ from barsmith import fixed
 
 # Everything str.strip() removes, not just the space that trim() removes.
 WHITESPACE = "".join(chr(i) for i in range(0x3001) if chr(i).isspace())
-# Numbers as pandas reads them: no type suffix, no hex, no digit grouping.
-NUMBER = r"(?i)^[+-]?(\d+\.?\d*|\.\d+)(e[+-]?\d+)?$|^[+-]?inf(inity)?$"
+# Numbers as pandas reads them: no type suffix, no hex, no digit grouping, no 'nan'.
+NUMBER = r"^\s*[+-]?(?:(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?|(?i:inf|infinity))\s*$"
 
 
 def strip(c) -> Column:
@@ -23,13 +23,13 @@ def _col(c) -> Column:
 
 def coerce_double(c) -> Column:
     """Text to DOUBLE; anything that is no number, and NaN, becomes NULL."""
-    text = strip(_col(c).cast("string"))
+    text = _col(c).cast("string")
     return F.when(text.rlike(NUMBER), text.try_cast("double"))
 
 
 def coerce_long(c) -> Column:
     """Text to BIGINT by way of DOUBLE ('12.0' is 12), exact for plain integers."""
-    return F.coalesce(strip(_col(c).cast("string")).try_cast("bigint"),
+    return F.coalesce(_col(c).cast("string").try_cast("bigint"),
                       scrub(coerce_double(c)).try_cast("bigint"))
 
 
@@ -61,9 +61,9 @@ def lenient_date(c, *formats: str) -> Column:
 
 
 def scrub(c) -> Column:
-    """NaN and infinities to NULL."""
+    """NaN and infinities to NULL (Spark orders NaN above infinity)."""
     c = _col(c)
-    return F.when(~F.isnan(c) & (F.abs(c) != float("inf")), c)
+    return F.when(F.abs(c) < float("inf"), c)
 
 
 def nan_to_null(c) -> Column:
@@ -103,7 +103,7 @@ def row_id(scrip="scrip", exchange="exchange", security_id="security_id", trade_
     A NULL part makes the id NULL.
     """
     parts = [_col(scrip), _col(exchange), _col(security_id).cast("string"),
-             F.date_format(_col(trade_date), "yyyy-MM-dd")]
+             _col(trade_date).cast("date").cast("string")]
     joined = [parts[0]]
     for p in parts[1:]:
         joined += [F.lit(separator), p] if separator else [p]

@@ -39,23 +39,23 @@ def with_data(responses: DataFrame) -> DataFrame:
 
     Arrays of unequal length would pair values of different candles, so that response fails.
     """
-    flat = F.struct(*[F.col(f"j.{a}").alias(a) for a in CANDLE_ARRAYS])
+    data = F.struct(*[F.coalesce(f"j.data.{a}", f"j.{a}").alias(a) for a in CANDLE_ARRAYS])
     named = ", ".join(f"{a} ARRAY<STRING>" for a in CANDLE_ARRAYS)
     parsed = _parsed(responses, f"status STRING, remarks STRING, {named}, data {_arrays_type(CANDLE_ARRAYS)}") \
-        .withColumn("data", F.coalesce("j.data", flat)).withColumn("body_status", F.col("j.status"))
+        .withColumn("data", data).withColumn("body_status", F.col("j.status"))
     return _sized(parsed, CANDLE_ARRAYS).drop("j")
 
 
 def _sized(parsed: DataFrame, arrays: Sequence[str]) -> DataFrame:
-    sizes = [F.coalesce(F.size(f"data.{a}"), F.lit(0)) for a in arrays]
-    missing = F.col("data").isNull() | (sizes[0] == 0)
-    for a in arrays:
-        missing = missing | F.col(f"data.{a}").isNull()
+    """Add `error` and `rows`: a missing array or an empty first one means no rows."""
+    sizes = [F.coalesce(F.size(f"data.{a}"), F.lit(-1)) for a in arrays]
+    counted = parsed.withColumns({"_first": sizes[0], "_least": F.least(*sizes), "_most": F.greatest(*sizes)})
     error = (F.when(F.col("status") != 200, F.concat(F.lit("HTTP "), F.col("status").cast("string")))
-             .when(missing, F.coalesce("j.remarks", F.lit(NO_ROWS)))
-             .when(F.least(*sizes) != F.greatest(*sizes), F.lit(UNEVEN)))
-    return (parsed.withColumn("error", error)
-            .withColumn("rows", F.when(F.col("error").isNull(), sizes[0]).otherwise(0)))
+             .when((F.col("_least") < 0) | (F.col("_first") == 0), F.coalesce("j.remarks", F.lit(NO_ROWS)))
+             .when(F.col("_least") != F.col("_most"), F.lit(UNEVEN)))
+    return (counted.withColumn("error", error)
+            .withColumn("rows", F.when(F.col("error").isNull(), F.col("_first")).otherwise(0))
+            .drop("_first", "_least", "_most"))
 
 
 def outcomes(responses: DataFrame) -> DataFrame:
@@ -73,9 +73,9 @@ def failed_scrips(responses: DataFrame) -> DataFrame:
 
 
 def _exploded(parsed: DataFrame, arrays: Sequence[str], tags: Sequence) -> DataFrame:
-    """One row per array position, with the position."""
+    """One row per array position, with the position; none for a response without rows."""
     zipped = F.arrays_zip(*[F.col(f"data.{a}").alias(a) for a in arrays])
-    return (parsed.where("rows > 0").select(*tags, F.posexplode(zipped).alias("pos", "v"))
+    return (parsed.select(*tags, F.posexplode(F.when(F.col("rows") > 0, zipped)).alias("pos", "v"))
             .select("*", "v.*").drop("v"))
 
 
@@ -140,12 +140,12 @@ def option_candles(responses: DataFrame, lookup: DataFrame | None = None,
     side = _arrays_type(OPTION_ARRAYS)
     parsed = _parsed(responses, f"remarks STRING, data STRUCT<ce: {side}, pe: {side}>") \
         .withColumn("data", F.when(F.col("option_type") == "CE", F.col("j.data.ce")).otherwise(F.col("j.data.pe")))
-    full = _sized(parsed, OPTION_ARRAYS).where("rows > 0").drop("j")
+    full = _sized(parsed, OPTION_ARRAYS).drop("j", "body")
     wanted = with_expiry(full.withColumnRenamed("expiry_flag", "flag_used"), lookup) \
         .withColumnRenamed("expiry_flag", preferred)
     chosen = keep_first(
         wanted, ["trade_date", "expiry_code", "strike_offset", "option_type", "security_id", "interval"],
-        [F.when(F.col("flag_used") == F.col(preferred), 0).otherwise(1), "seq"])
+        [F.col("rows") == 0, F.col("flag_used") != F.col(preferred), "seq"])
     return prepare_options(_exploded(chosen, OPTION_ARRAYS, [
         "trade_date", "expiry_date", F.col("flag_used").alias("expiry_flag"), "expiry_code",
         "security_ticker", "security_id", "interval", "option_type",
@@ -154,9 +154,12 @@ def option_candles(responses: DataFrame, lookup: DataFrame | None = None,
 
 def prepare_options(rows: DataFrame) -> DataFrame:
     """Coerce, round the strike, turn NaN and infinities to NULL and order the columns."""
-    number = {c: fn.scrub(fn.coerce_double(c)) for c in ("spot", "open", "high", "low", "close", "iv")}
-    return rows.withColumns({
+    numbers = ("strike", "spot", "open", "high", "low", "close", "iv")
+    # Two steps, so that each text is parsed once.
+    parsed = rows.withColumns({
         "timestamp": fn.strict_long("timestamp", "timestamp"),
-        "strike_price": fn.strike_price(fn.coerce_double("strike")),
-        "volume": fn.coerce_long("volume"), "oi": fn.coerce_long("oi"), **number,
+        "volume": fn.coerce_long("volume"), "oi": fn.coerce_long("oi"),
+        **{c: fn.coerce_double(c) for c in numbers}})
+    return parsed.withColumns({
+        "strike_price": fn.strike_price("strike"), **{c: fn.scrub(c) for c in numbers[1:]},
     }).select(*schemas.OPTION_COLUMNS)
