@@ -1,5 +1,6 @@
 """Cleaning, coercion, time and key functions. All are native column expressions."""
 
+import re
 from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -55,9 +56,24 @@ def strict_date(c, fmt: str) -> Column:
     return F.to_date(strip(c), fmt)
 
 
+def _shape(fmt: str) -> str:
+    """A pattern for texts of a date format: one or two digits for a single letter."""
+    def part(match):
+        letters = match.group()
+        if letters.startswith("MMM"):
+            return "[A-Za-z]{3}"
+        return r"\d{1,2}" if len(letters) == 1 else rf"\d{{{len(letters)}}}"
+
+    return f"^{re.sub('y+|M+|d+|H+|m+|s+', part, fmt)}$"
+
+
 def lenient_date(c, *formats: str) -> Column:
-    """Trimmed text to DATE by the first format that fits, else NULL."""
-    return F.coalesce(*[F.try_to_date(strip(c), f) for f in formats])
+    """Trimmed text to DATE by the first format that fits, else NULL.
+
+    A format is tried on texts of its shape only: a failed parse costs an exception.
+    """
+    text = strip(c)
+    return F.coalesce(*[F.when(text.rlike(_shape(f)), F.try_to_date(text, f)) for f in formats])
 
 
 def scrub(c) -> Column:

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from barsmith import fixed
 from barsmith.functions import columns as fn
 from barsmith.operators.joins import guarded_broadcast
+from barsmith.operators.mutate import value_range
 
 
 def days(spark: SparkSession, start, end) -> DataFrame:
@@ -125,7 +126,7 @@ def with_expiry(pairs: DataFrame, lookup: DataFrame | None) -> DataFrame:
     if lookup is None:
         return (pairs.withColumn("expiry_date", F.lit(None).cast("date"))
                 .withColumn("expiry_flag", F.lit(fixed.DEFAULT_EXPIRY_FLAG)))
-    return (pairs.join(guarded_broadcast(lookup), ["trade_date", "expiry_code"], "left")
+    return (pairs.join(lookup, ["trade_date", "expiry_code"], "left")
             .withColumn("expiry_flag", F.coalesce("expiry_flag", F.lit(fixed.DEFAULT_EXPIRY_FLAG))))
 
 
@@ -136,9 +137,14 @@ def expiry_pairs(trade_days: DataFrame, codes: Sequence[int], column: str = "day
 
 
 def pending(pairs: DataFrame, done: DataFrame) -> DataFrame:
-    """Pairs that `done` lacks; a pair with any stored row counts as done."""
+    """Pairs that `done` lacks; a pair with any stored row counts as done.
+
+    The pairs' date range goes to the stored scan as literals, so it prunes partitions.
+    """
     keys = ["trade_date", "expiry_code"]
-    return pairs.join(guarded_broadcast(done.select(*keys).distinct()), keys, "left_anti")
+    low, high = value_range(pairs, "trade_date")
+    inside = done.where(F.col("trade_date").between(F.lit(low), F.lit(high)))
+    return pairs.join(inside.select(*keys).distinct(), keys, "left_anti")
 
 
 def tranches(pairs: DataFrame, size: int, column: str = "trade_date") -> DataFrame:

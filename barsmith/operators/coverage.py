@@ -4,7 +4,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from barsmith.functions import columns as fn
 from barsmith.operators.joins import only
-from barsmith.operators.mutate import delete_where, in_range, is_temp
+from barsmith.operators.mutate import in_range, is_temp
 
 
 def latest_date(options: DataFrame, ticker: str | None = None) -> DataFrame:
@@ -71,21 +71,30 @@ def range_reload_plan(stored: DataFrame, clean: DataFrame, flagged: DataFrame, s
                       clear_temp: bool = True) -> DataFrame:
     """What a range reload would delete and load; the flagged scrips' history is not fetched.
 
-    `lost` lists stored rows in the range whose scrip is neither reloaded nor flagged.
+    `lost` lists stored rows in the range whose scrip is neither reloaded nor flagged. The
+    stored table is counted per scrip in one pass; only one row per scrip is joined.
     """
-    in_window = stored.where(in_range(start, end))
-    real = delete_where(in_window, is_temp()) if clear_temp else in_window
-    known = clean.select("scrip").unionByName(flagged.select("scrip")).distinct()
-    lines = [
-        plan_line(real, "delete", "range"),
-        plan_line(only(stored, flagged), "delete", "flagged lifetime"),
-        plan_line(clean, "upsert", "clean range"),
-        plan_line(flagged, "refetch", "flagged lifetime"),
-        plan_line(real.join(known, "scrip", "left_anti"), "lost", "range"),
-    ]
+    temp = F.coalesce(is_temp(), F.lit(False)) & F.lit(clear_temp)
+    inside = F.coalesce(in_range(start, end), F.lit(False)) & ~temp
+    per_scrip = stored.groupBy("scrip").agg(F.count_if(temp).alias("temp"), F.count_if(inside).alias("range"),
+                                            F.count(F.lit(1)).alias("history"))
+    reloaded = clean.groupBy("scrip").agg(F.count(F.lit(1)).alias("clean"))
+    listed = flagged.groupBy("scrip").agg(F.lit(1).alias("flagged"))
+    every = (per_scrip.join(reloaded, "scrip", "full").join(listed, "scrip", "full")
+             .fillna(0, ["temp", "range", "history", "clean", "flagged"]))
+    is_flagged = F.col("flagged") > 0
+    lines = {
+        ("delete", "range"): F.col("range"),
+        ("delete", "flagged lifetime"): F.when(is_flagged, F.col("history")).otherwise(0),
+        ("upsert", "clean range"): F.col("clean"),
+        ("refetch", "flagged lifetime"): F.col("flagged").cast("bigint"),
+        ("lost", "range"): F.when(~is_flagged & (F.col("clean") == 0), F.col("range")).otherwise(0),
+    }
     if clear_temp:
-        lines.insert(0, plan_line(stored.where(is_temp()), "delete", "temp"))
-    plan = lines[0]
-    for line in lines[1:]:
-        plan = plan.unionByName(line)
-    return plan
+        lines = {("delete", "temp"): F.col("temp")} | lines
+    sums, arms = [], []
+    for i, ((action, scope), n) in enumerate(lines.items()):
+        sums += [F.coalesce(F.sum(n), F.lit(0)).alias(f"rows{i}"),
+                 F.count_if((n > 0) & F.col("scrip").isNotNull()).alias(f"scrips{i}")]
+        arms += [F.lit(action), F.lit(scope), F.col(f"rows{i}"), F.col(f"scrips{i}")]
+    return every.agg(*sums).select(F.stack(F.lit(len(lines)), *arms).alias("action", "scope", "rows", "scrips"))

@@ -12,7 +12,6 @@ from barsmith.sources import landed_files
 
 def _append_files(spark: SparkSession, name: str, rows: DataFrame, schema: str, date_column: str) -> dict:
     tables.ensure_table(spark, name, schema, partition=date_column)
-    rows = stage(rows, "files")
     report = {"fetched_days": tables.partition_values(rows, date_column), "loaded": 0, "table": name}
     fresh = stage(mutate.append_new(rows, spark.table(name), [date_column, "symbol", "series"], date_column), "fresh")
     report["loaded"] = fresh.count()

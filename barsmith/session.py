@@ -5,7 +5,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-# AQE splits hot keys, coalesces small partitions and turns small sides into broadcasts at
+# Streaming state lives in RocksDB, as it outgrows memory. AQE splits hot keys, coalesces small partitions and turns small sides into broadcasts at
 # run time; a skewed join is worth an extra shuffle.
 RUNTIME_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -13,6 +13,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from barsmith import fixed, schemas
 from barsmith.functions import columns as fn
 from barsmith.operators.joins import guarded_broadcast, without
+from barsmith.session import stage
 
 ARCHIVE_CHUNK_ROWS = 50_000
 
@@ -51,23 +52,31 @@ def drop_stale_files(rows: DataFrame, row_date: str, file: str = "file",
     return rows.join(guarded_broadcast(stale), file, "left_anti")
 
 
-def price_files(spark: SparkSession, path: str, start, end) -> DataFrame:
-    """Daily price files requested for [start, end]; stale files are dropped whole."""
+def price_rows(spark: SparkSession, path: str, start, end) -> DataFrame:
+    """Typed rows of the daily price files requested for [start, end], with file and date asked for."""
     # Filters on the file's name are applied to the file listing, before any file is opened.
     requested = file_date(fixed.PRICE_FILE_DATE)
     raw = read_text_csv(spark, path).where(
         requested.between(F.lit(fn.to_date_arg(start)), F.lit(fn.to_date_arg(end))))
     named = rename_known(raw, fixed.PRICE_COLUMNS, [F.col("_metadata.file_path").alias("file"),
                                                     requested.alias("requested_date")])
-    return clean_price_rows(named)
-
-
-def clean_price_rows(named: DataFrame) -> DataFrame:
-    typed = named.select(
+    return named.select(
         fn.strip("symbol").alias("symbol"), fn.strip("series").alias("series"),
         *[fn.coerce_double(c).alias(c) for c in schemas.PRICE_NUMBERS],
         fn.strict_date("date", fixed.PRICE_ROW_DATE).alias("date"), "file", "requested_date")
-    return drop_stale_files(typed, "date").drop("file", "requested_date")
+
+
+def genuine(rows: DataFrame, row_date: str) -> DataFrame:
+    """Rows of the files that hold the date they were requested for.
+
+    The rows are written once before: the check reads two columns of them, not the files again.
+    """
+    return drop_stale_files(stage(rows, "files"), row_date).drop("file", "requested_date")
+
+
+def price_files(spark: SparkSession, path: str, start, end) -> DataFrame:
+    """Daily price rows requested for [start, end]; stale files are dropped whole."""
+    return genuine(price_rows(spark, path, start, end), "date")
 
 
 def _archive_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -93,20 +102,24 @@ def _archive_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                     yield chunk.where(chunk != "", None).assign(file=path)
 
 
-def market_cap_files(spark: SparkSession, path: str, start, end) -> DataFrame:
-    """Market-cap archives requested for [start, end], one archive per task row."""
+def market_cap_rows(spark: SparkSession, path: str, start, end) -> DataFrame:
+    """Typed rows of the market-cap archives requested for [start, end], one archive per task row."""
     requested = file_date(fixed.MCAP_FILE_DATE)
     schema = ", ".join(f"{c} STRING" for c in [*fixed.MCAP_COLUMNS.values(), "file"])
     rows = (spark.read.format("binaryFile").load(path)
             .where(requested.between(F.lit(fn.to_date_arg(start)), F.lit(fn.to_date_arg(end))))
             .select("path", "content").mapInPandas(_archive_rows, schema))
-    typed = rows.select(
+    return rows.select(
         *[fn.strip(c).alias(c) for c in ("symbol", "series", "security_name", "category")],
         fn.lenient_date("last_trade_date", fixed.MCAP_ROW_DATE).alias("last_trade_date"),
         *[fn.coerce_double(c).alias(c) for c in schemas.MCAP_NUMBERS],
         fn.strict_date("trade_date", fixed.MCAP_ROW_DATE).alias("trade_date"), "file",
         file_date(fixed.MCAP_FILE_DATE, F.element_at(F.split("file", "/"), -1)).alias("requested_date"))
-    return drop_stale_files(typed, "trade_date").drop("file", "requested_date")
+
+
+def market_cap_files(spark: SparkSession, path: str, start, end) -> DataFrame:
+    """Market-cap rows requested for [start, end]; stale archives are dropped whole."""
+    return genuine(market_cap_rows(spark, path, start, end), "trade_date")
 
 
 def instrument_master(spark: SparkSession, path: str) -> DataFrame:

@@ -7,7 +7,7 @@ from barsmith import fixed, schemas, tables
 from barsmith.functions import columns as fn
 from barsmith.operators import mutate, rollup, splits
 from barsmith.operators.joins import only
-from barsmith.session import scratch
+from barsmith.session import configure, scratch
 
 CANDLE_KEY = ["security_id", "timestamp", "interval_m"]
 # An IST day starts at 18:30 UTC of the day before.
@@ -15,6 +15,7 @@ IST_DAY = ("1 day", "1 day", "18 hours 30 minutes")
 
 
 def _start(stream: DataFrame, each_batch, checkpoint: str | None, mode: str) -> StreamingQuery:
+    configure(stream.sparkSession)
     return (stream.writeStream.foreachBatch(each_batch).outputMode(mode)
             .option("checkpointLocation", checkpoint or scratch(stream.sparkSession, "stream"))
             .trigger(availableNow=True).start())
