@@ -1,6 +1,7 @@
 """Daily ingest with split check, rollup of hourly candles, and daily reloads."""
 
 from collections.abc import Callable
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -19,6 +20,12 @@ def _scrip_list(df: DataFrame) -> list[str]:
     return sorted(r[0] for r in df.select("scrip").distinct().collect())
 
 
+def _fetched(responses: DataFrame, label: str) -> tuple[DataFrame, int]:
+    """Staged daily candles, and how many were rejected for an unreadable timestamp."""
+    good, bad = fn.split_rejects(stage(landed.daily_candles(responses), label), "trade_date")
+    return good, bad.count()
+
+
 def _source(rows: DataFrame, order=("seq", "pos")) -> DataFrame:
     """Staged upsert source: integer ids (others fail the job), first row of each row id."""
     typed = rows.withColumn("security_id", fn.strict_long("security_id", "security_id"))
@@ -43,6 +50,12 @@ def _record_flags(spark: SparkSession, settings: Settings, flags: DataFrame, fla
     return flags.count()
 
 
+def recent_window(days: int = 4, as_of=None) -> tuple[date, date]:
+    """(from, to): the last `days` calendar days up to `as_of` or today."""
+    last = fn.to_date_arg(as_of) or date.today()
+    return last - timedelta(days=days), last
+
+
 def run_daily(spark: SparkSession, settings: Settings, responses: DataFrame,
               mapping: DataFrame | None = None, flags_csv: str | None = None) -> dict:
     """Check the second-last date against the stored bars, then upsert the last date."""
@@ -51,12 +64,12 @@ def run_daily(spark: SparkSession, settings: Settings, responses: DataFrame,
     tables.ensure_table(spark, settings.daily_table, schemas.DAILY)
     if mapping is not None:
         responses = only(responses, mapping)
-    fetched = stage(landed.daily_candles(responses), "fetched")
+    fetched, rejected = _fetched(responses, "fetched")
     failed = _scrip_list(landed.failed_scrips(responses))
     summary = coverage.fetch_summary(fetched).first()
     last, check = splits.last_two_dates(fetched).first()
     report = {"rows": summary["rows"], "scrips": summary["scrips"], "last_date": last,
-              "check_date": check, "failed": failed, "fetched": fetched}
+              "check_date": check, "failed": failed, "rejected": rejected, "fetched": fetched}
     if last is None:
         return {**report, "flags": splits.empty_flags(spark), "flagged": [], "flags_written": 0, "uploaded": 0}
 
@@ -112,7 +125,7 @@ def run_lifetime_reload(spark: SparkSession, settings: Settings, responses: Data
         if clear_temp:
             plan = coverage.plan_line(stored.where(mutate.is_temp()), "delete", "temp").unionByName(plan)
         return {**report, "plan": plan, "existing_rows": stored.count(), "fetched": 0, "uploaded": 0, "failed": []}
-    fetched = stage(landed.daily_candles(responses), "lifetime")
+    fetched, rejected = _fetched(responses, "lifetime")
     source = _source(fetched)
     uploaded = source.count()
     if uploaded:
@@ -120,7 +133,7 @@ def run_lifetime_reload(spark: SparkSession, settings: Settings, responses: Data
             .write.insertInto(name, overwrite=True)
     elif clear_temp:
         tables.delete(spark, name, mutate.is_temp())
-    return {**report, "fetched": fetched.count(), "uploaded": uploaded,
+    return {**report, "fetched": fetched.count(), "uploaded": uploaded, "rejected": rejected,
             "failed": _scrip_list(landed.failed_scrips(responses))}
 
 
@@ -140,10 +153,10 @@ def run_range_reload(spark: SparkSession, settings: Settings, responses: DataFra
     name, start, end = settings.daily_table, fn.to_date_arg(from_date), fn.to_date_arg(to_date)
     tables.ensure_table(spark, name, schemas.DAILY)
     stored = spark.table(name)
-    fetched = stage(landed.daily_candles(responses), "fetched")
+    fetched, rejected = _fetched(responses, "fetched")
     failed = _scrip_list(landed.failed_scrips(responses))
     report = {"mode": "range", "table": name, "dry_run": dry_run, "fetched": fetched.count(),
-              "failed": failed, "flagged": [], "need_lifetime": [], "uploaded_range": 0,
+              "rejected": rejected, "failed": failed, "flagged": [], "need_lifetime": [], "uploaded_range": 0,
               "uploaded_lifetime": 0, "uploaded": 0, "check_date": None}
     if not report["fetched"]:
         if clear_temp and not dry_run:
@@ -162,7 +175,9 @@ def run_range_reload(spark: SparkSession, settings: Settings, responses: DataFra
     history = lifetime(flagged) if callable(lifetime) else lifetime
     if history is None:
         history = responses.where(F.lit(False))
-    again = _source(landed.daily_candles(only(history, flagged)))
+    refetched, unread = _fetched(only(history, flagged), "lifetime")
+    report["rejected"] = rejected + unread
+    again = _source(refetched)
     report["need_lifetime"] = _scrip_list(without(flagged, again))
     if report["need_lifetime"] and not drop_unfetched:
         return report

@@ -3,6 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from barsmith import schemas, tables
+from barsmith.functions import columns as fn
 from barsmith.operators import calendars, coverage, mutate
 from barsmith.operators.joins import only, without
 from barsmith.session import configure, stage
@@ -20,6 +21,12 @@ def window_requests(mapping: DataFrame, *, start, n: int = 9, window_days: int =
                                           step_days=step_days).withColumn("interval_m", F.lit(interval))
 
 
+def _clean(responses: DataFrame) -> tuple[DataFrame, int]:
+    """Staged clean candles, and how many were rejected for an unreadable key."""
+    good, bad = fn.split_rejects(stage(landed.intraday_rows(responses), "rows"), "timestamp", "interval_m")
+    return stage(landed.first_candles(good), "candles"), bad.count()
+
+
 def _counts(responses: DataFrame) -> tuple[int, int]:
     """(responses with rows, responses without)."""
     full = F.col("outcome") == "ok"
@@ -35,7 +42,7 @@ def run_intraday(spark: SparkSession, settings: Settings, responses: DataFrame)
     tables.ensure_table(spark, name, schemas.INTRADAY)
     ok, failed = _counts(responses)
     report = {"responses": ok, "failed": failed, "loaded": 0, "table": name}
-    candles = stage(landed.intraday_candles(responses), "candles")
+    candles, report["rejected"] = _clean(responses)
     fresh = stage(mutate.append_new(candles, spark.table(name), CANDLE_KEY, "trade_date"), "fresh")
     report["loaded"] = fresh.count()
     if report["loaded"]:
@@ -80,7 +87,7 @@ def run_intraday_reload_for_flagged(spark: SparkSession, settings: Settings, fla
 
     responses = only(land(eligible, windows), eligible)
     report["failed"] = _counts(responses)[1]
-    fresh = stage(landed.intraday_candles(responses), "candles")
+    fresh, report["rejected"] = _clean(responses)
     report["loaded"] = fresh.count()
     if not report["loaded"]:
         return report

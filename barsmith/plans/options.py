@@ -5,7 +5,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from barsmith import fixed, schemas, tables
+from barsmith.functions import columns as fn
 from barsmith.operators import calendars
+from barsmith.operators.joins import guarded_broadcast
 from barsmith.session import configure, stage
 from barsmith.settings import Settings
 from barsmith.sources import responses as landed
@@ -36,12 +38,14 @@ def run_options(spark: SparkSession, settings: Settings, responses: DataFrame, s
     pairs = stage(pending_pairs(spark, settings, start, end, codes, holidays), "pairs")
     calls, hours = calendars.request_cost(calendars.option_requests(pairs, offsets)).first()
     chunks = calendars.tranches(pairs, tranche_days).agg(F.max("tranche")).first()[0]
-    wanted = (responses.join(F.broadcast(pairs), PAIR, "left_semi")
+    wanted = (responses.join(guarded_broadcast(pairs), PAIR, "left_semi")
               .where(F.col("strike_offset").isin(list(offsets))))
-    lookup = calendars.expiry_lookup(expiries, codes) if expiries is not None else None
-    rows = stage(landed.option_candles(wanted, lookup), "options")
+    lookup = None
+    if expiries is not None:
+        lookup = guarded_broadcast(stage(calendars.expiry_lookup(expiries, codes), "expiries"))
+    rows, rejects = fn.split_rejects(stage(landed.option_candles(wanted, lookup), "options"), "timestamp")
     loaded = rows.count()
     if loaded:
         tables.append(rows, name, cluster=["option_type", "expiry_code", "strike_price"])
     return {"pending_pairs": pairs.count(), "calls": calls, "hours": hours,
-            "tranches": 0 if chunks is None else chunks + 1, "loaded": loaded, "table": name}
+            "tranches": 0 if chunks is None else chunks + 1, "loaded": loaded, "rejected": rejects.count(), "table": name}

@@ -80,15 +80,17 @@ def _exploded(parsed: DataFrame, arrays: Sequence[str], tags: Sequence) -> DataF
 
 
 def _candles(parsed: DataFrame, tags: Sequence) -> DataFrame:
+    """Coerced candle rows; a timestamp that is no integer is NULL, for the caller to reject."""
     rows = _exploded(parsed, CANDLE_ARRAYS, tags)
-    return rows.withColumns({"timestamp": fn.strict_long("timestamp", "timestamp"),
+    return rows.withColumns({"timestamp": fn.coerce_long("timestamp"),
                              **{c: fn.coerce_double(c) for c in CANDLE_ARRAYS[1:]}})
 
 
 def daily_candles(responses: DataFrame) -> DataFrame:
     """Daily candles with IST trade date and row id; (seq, pos) is the landing order.
 
-    The id is made of the text security id, before it becomes a number.
+    The id is made of the text security id, before it becomes a number. A candle without a
+    readable timestamp has neither date nor id.
     """
     rows = _candles(with_data(responses), ["seq", "scrip", F.col("exc_seg").alias("exchange"), "security_id"])
     return rows.withColumn("trade_date", fn.ist_date("timestamp")).select(
@@ -96,35 +98,35 @@ def daily_candles(responses: DataFrame) -> DataFrame:
         "trade_date", "seq", "pos")
 
 
-def intraday_candles(responses: DataFrame) -> DataFrame:
-    """Cleaned intraday candles, the first of each (security_id, timestamp, interval_m)."""
-    return clean_intraday(_exploded(with_data(responses), CANDLE_ARRAYS, [
-        "seq", "scrip", F.col("exc_seg").alias("exchange"), "security_id", "interval_m"]))
-
+def intraday_rows(responses: DataFrame) -> DataFrame:
+    """Trimmed and coerced intraday candles, unreadable timestamps NULL, duplicates included."""
+    rows = _candles(with_data(responses), ["seq", "scrip", F.col("exc_seg").alias("exchange"),
+                                           "security_id", "interval_m"])
+    return rows.withColumns({c: fn.strip(c) for c in ("scrip", "exchange", "security_id")})
 
-def clean_intraday(rows: DataFrame, order: Sequence[str] = ("seq", "pos")) -> DataFrame:
-    """Trim, coerce, keep the first of equal candles and add the IST trade date.
 
-    A timestamp or interval that is no integer fails the job.
-    """
-    cleaned = rows.withColumns({
-        **{c: fn.strip(c) for c in ("scrip", "exchange", "security_id")},
-        "timestamp": fn.strict_long("timestamp", "timestamp"),
-        "interval_m": fn.strict_long("interval_m", "interval_m").cast("int"),
-        **{c: fn.coerce_double(c) for c in CANDLE_ARRAYS[1:]}})
-    first = keep_first(cleaned, ["security_id", "timestamp", "interval_m"], order)
+def first_candles(rows: DataFrame, order: Sequence[str] = ("seq", "pos")) -> DataFrame:
+    """The first of each (security_id, timestamp, interval_m), with its IST trade date."""
+    first = keep_first(rows, ["security_id", "timestamp", "interval_m"], order)
     return first.withColumn("trade_date", fn.ist_date("timestamp")).select(*schemas.INTRADAY_COLUMNS)
 
 
+def intraday_candles(responses: DataFrame) -> DataFrame:
+    """Clean intraday candles; fails the job on an unreadable timestamp."""
+    rows = intraday_rows(responses)
+    return first_candles(rows.withColumn("timestamp", fn.strict_long("timestamp", "timestamp")))
+
+
 def hourly_candles(responses: DataFrame, opens: str = fixed.MARKET_OPEN,
                    closes: str = fixed.MARKET_CLOSE) -> DataFrame:
     """Market-hour candles of successful responses, tagged as temporary, by field name.
 
-    Windows may overlap, so equal candles count once.
+    Windows may overlap, so equal candles count once. A response whose security id is no
+    integer gives no candles; its scrip counts as failed.
     """
-    good = with_data(responses).where("body_status = 'success'")
-    rows = _candles(good, ["seq", "scrip", F.lit(fixed.TEMP_EXCHANGE).alias("exchange"),
-                           fn.strict_long("security_id", "security_id").alias("security_id"), "interval_m"])
+    good = with_data(responses.withColumn("security_id", fn.coerce_long("security_id"))) \
+        .where("body_status = 'success' AND security_id IS NOT NULL")
+    rows = _candles(good, ["seq", "scrip", F.lit(fixed.TEMP_EXCHANGE).alias("exchange"), "security_id", "interval_m"])
     open_hours = rollup.market_hours(rows, opens=opens, closes=closes)
     return keep_first(open_hours, ["security_id", "timestamp", "interval_m"], ["seq", "pos"]) \
         .drop("seq", "pos")
@@ -153,11 +155,14 @@ def option_candles(responses: DataFrame, lookup: DataFrame | None = None,
 
 
 def prepare_options(rows: DataFrame) -> DataFrame:
-    """Coerce, round the strike, turn NaN and infinities to NULL and order the columns."""
+    """Coerce, round the strike, turn NaN and infinities to NULL and order the columns.
+
+    A timestamp that is no integer is NULL, for the caller to reject.
+    """
     numbers = ("strike", "spot", "open", "high", "low", "close", "iv")
     # Two steps, so that each text is parsed once.
     parsed = rows.withColumns({
-        "timestamp": fn.strict_long("timestamp", "timestamp"),
+        "timestamp": fn.coerce_long("timestamp"),
         "volume": fn.coerce_long("volume"), "oi": fn.coerce_long("oi"),
         **{c: fn.coerce_double(c) for c in numbers}})
     return parsed.withColumns({

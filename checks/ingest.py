@@ -14,12 +14,13 @@ from checks.registry import query
 @query("p3_numeric_coercion", """SELECT o_orderkey, CAST(o_totalprice AS DOUBLE) AS price, CAST(NULL AS DOUBLE) AS priority,
        CAST(trunc(o_totalprice) AS BIGINT) AS whole, CAST(NULL AS DOUBLE) AS suffixed FROM orders""")
 def numeric_coercion(spark, sf_dir):
-    orders = v.table(spark, sf_dir, "orders")
-    padded = F.concat(F.lit(" \t"), F.col("o_totalprice").cast("string"), F.lit(" "))
-    return orders.select("o_orderkey", fn.coerce_double(padded).alias("price"),
-                         fn.coerce_double("o_orderpriority").alias("priority"),
-                         fn.coerce_long(padded).alias("whole"),
-                         fn.coerce_double(F.concat(F.col("o_totalprice").cast("string"), F.lit("d"))).alias("suffixed"))
+    price = F.col("o_totalprice").cast("string")
+    texts = v.table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_orderpriority", F.concat(F.lit(" \t"), price, F.lit(" ")).alias("padded"),
+        F.concat(price, F.lit("d")).alias("suffixed"))
+    return texts.select("o_orderkey", fn.coerce_double("padded").alias("price"),
+                        fn.coerce_double("o_orderpriority").alias("priority"),
+                        fn.coerce_long("padded").alias("whole"), fn.coerce_double("suffixed").alias("suffixed"))
 
 
 @query("p2_strip_text", """SELECT doc_id, regexp_replace(regexp_replace(text, '^\\s+', ''), '\\s+$', '') AS text FROM documents""")

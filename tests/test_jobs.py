@@ -137,6 +137,20 @@ def test_run_daily_with_one_date_or_none(spark, tmp_path, names):
     assert (report["last_date"], report["uploaded"], report["failed"]) == (None, 0, [])
 
 
+def test_unreadable_timestamps_are_rejected_and_counted(spark, tmp_path, names):
+    def spoil(body):
+        return body | {"timestamp": ["later", *body["timestamp"][1:]]} if body["timestamp"] else body
+
+    report = barsmith.run_daily(spark, names, fetch(spark, tmp_path, {"S": {D[1]: 50, D[2]: 51}}, wrap=spoil))
+    assert (report["rejected"], report["rows"], report["uploaded"]) == (1, 1, 1)
+    report = barsmith.run_intraday(spark, names, fetch(spark, tmp_path, {"S": {D[1]: 50, D[2]: 51}}, "b.json", interval=15, wrap=spoil))
+    assert (report["rejected"], report["loaded"]) == (1, 1)
+
+
+def test_recent_window():
+    assert barsmith.recent_window(as_of="2026-08-07") == (D[0], D[4])
+
+
 def test_run_daily_fails_on_text_id(spark, tmp_path, names):
     with pytest.raises(Exception, match="security_id is not an integer"):
         barsmith.run_daily(spark, names, fetch(spark, tmp_path, {"S": {D[1]: 50}}, ids={"S": "abc"}))
