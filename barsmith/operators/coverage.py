@@ -54,11 +54,14 @@ def value_counts(df: DataFrame, column: str, kept: Column) -> DataFrame:
 
 
 def fetch_summary(df: DataFrame) -> DataFrame:
-    """One row: rows, distinct scrips, first and last date and the sorted distinct dates."""
-    per_date = F.sort_array(F.collect_set("trade_date"))
+    """One row: rows, distinct scrips, first and last date."""
     return df.agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("scrip").alias("scrips"),
-                  F.min("trade_date").alias("first_date"), F.max("trade_date").alias("last_date"),
-                  per_date.alias("dates"))
+                  F.min("trade_date").alias("first_date"), F.max("trade_date").alias("last_date"))
+
+
+def distinct_sorted(df: DataFrame, column: str) -> DataFrame:
+    """The sorted distinct values of a column, as rows."""
+    return df.select(column).where(F.col(column).isNotNull()).distinct().orderBy(column)
 
 
 def plan_line(df: DataFrame, action: str, scope: str) -> DataFrame:

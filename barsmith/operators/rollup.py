@@ -27,7 +27,8 @@ def ohlcv(order: Column) -> list[Column]:
 def _grouped(df: DataFrame, keys: Sequence[str], order: Column) -> DataFrame:
     for k in keys:
         df = df.where(F.col(k).isNotNull())
-    return df.groupBy(*keys).agg(*ohlcv(order))
+    # A column of its own, so that first and last share one evaluation.
+    return df.withColumn("_order", order).groupBy(*keys).agg(*ohlcv(F.col("_order")))
 
 
 def market_hours(candles: DataFrame, epoch: str = "timestamp", **clock) -> DataFrame:

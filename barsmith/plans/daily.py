@@ -183,10 +183,11 @@ def run_range_reload(spark: SparkSession, settings: Settings, responses: DataFra
         return report
 
     clean = _source(clean)
-    gone = mutate.in_range(start, end) | (mutate.is_temp() if clear_temp else F.lit(False))
-    touched = sorted(set(tables.partition_values(stored.where(gone)))
-                     | set(tables.partition_values(only(stored, flagged)))
-                     | set(tables.partition_values(clean)) | set(tables.partition_values(again)))
+    temp = stored.where(mutate.is_temp() if clear_temp else F.lit(False))
+    touched = set(tables.dates_between(spark, name, start, end))
+    for rows in (temp, only(stored, flagged), clean, again):
+        touched.update(tables.partition_values(rows))
+    touched = sorted(touched)
     state = mutate.range_reload(tables.at(stored, touched), clean, again, flagged, start, end, clear_temp)
     tables.overwrite_partitions(spark, name, state, touched, tables.partition_values(state))
     report.update(uploaded_range=clean.count(), uploaded_lifetime=again.count())

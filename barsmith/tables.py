@@ -6,13 +6,16 @@ it touches and overwrites those partitions in one job; partitions left empty are
 
 from collections.abc import Sequence
 from contextlib import contextmanager
+from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from barsmith.functions import columns as fn
 from barsmith.operators import mutate
 from barsmith.operators.joins import only
 
 PARTITION = "trade_date"
+NO_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
 
 
@@ -56,6 +59,17 @@ def partition_values(df: DataFrame, partition: str = PARTITION) -> list:
     return sorted(r[0] for r in df.select(partition).where(F.col(partition).isNotNull()).distinct().collect())
 
 
+def partition_dates(spark: SparkSession, name: str) -> list[date]:
+    """The partition dates of a table, from the catalog alone."""
+    listed = (r[0].split("=", 1)[1] for r in spark.sql(f"SHOW PARTITIONS {name}").collect())
+    return sorted(date.fromisoformat(v) for v in listed if v != NO_PARTITION)
+
+
+def dates_between(spark: SparkSession, name: str, start, end) -> list[date]:
+    start, end = fn.to_date_arg(start), fn.to_date_arg(end)
+    return [d for d in partition_dates(spark, name) if start <= d <= end]
+
+
 def at(df: DataFrame, values: Sequence, partition: str = PARTITION) -> DataFrame:
     """Rows of these partitions, as literals the scan prunes by."""
     return df.where(F.col(partition).isin(list(values))) if values else df.where(F.lit(False))
@@ -103,9 +117,8 @@ def delete(spark: SparkSession, name: str, condition: Column, partition: str = P
 
 
 def delete_range(spark: SparkSession, name: str, start, end, partition: str = PARTITION) -> None:
-    """Delete whole partitions in [start, end]; nothing is rewritten."""
-    inside = spark.table(name).where(mutate.in_range(start, end, partition))
-    drop_partitions(spark, name, partition_values(inside, partition), partition)
+    """Delete the dates in [start, end]: whole partitions, so nothing is read or rewritten."""
+    drop_partitions(spark, name, dates_between(spark, name, start, end), partition)
 
 
 def delete_scrips(spark: SparkSession, name: str, scrips: DataFrame, condition: Column | None = None,

@@ -175,15 +175,15 @@ def count_where(spark, sf_dir):
 
 @query("a8_fetch_summary", f"""WITH {v.TICKS}, {v.BARS}
 SELECT count(*) AS rows, count(DISTINCT scrip) AS scrips, min(trade_date) AS first_date,
-       max(trade_date) AS last_date, count(DISTINCT trade_date) AS days FROM bars""")
+       max(trade_date) AS last_date FROM bars""")
 def fetch_summary(spark, sf_dir):
-    return coverage.fetch_summary(v.bars(spark, sf_dir)).withColumn("days", F.size("dates")).drop("dates")
+    return coverage.fetch_summary(v.bars(spark, sf_dir))
 
 
 @query("a9_sorted_dates", f"""WITH {v.TICKS} SELECT DISTINCT trade_date FROM ticks""")
 def sorted_dates(spark, sf_dir):
     dated = v.ticks(spark, sf_dir).select("scrip", fn.ist_date("timestamp").alias("trade_date"))
-    return coverage.fetch_summary(dated).select(F.explode("dates").alias("trade_date"))
+    return coverage.distinct_sorted(dated, "trade_date")
 
 
 @query("src12_read_daily", f"""WITH {v.TICKS}, {v.BARS}

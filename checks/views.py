@@ -35,7 +35,7 @@ def as_ticks(events: DataFrame) -> DataFrame:
         F.concat(F.lit("U"), F.col("user_id").cast("string")).alias("scrip"),
         F.lit("NSE_EQ").alias("exchange"), F.col("user_id").alias("security_id"),
         F.floor(us / 1_000_000).alias("timestamp"), us.alias("us"), "event_id", "event_type", *price,
-        F.get_json_object("props", "$.k").cast("double").alias("volume"))
+        F.regexp_extract("props", r"\d+", 0).cast("double").alias("volume"))
 
 
 def order():

@@ -95,7 +95,7 @@ def test_delete_keeps_null_exchange(spark, names):
 def test_delete_range_and_scrips(spark, names):
     name = names.daily_table
     store(spark, name, {"A": {D[0]: 1, D[1]: 2, D[2]: 3}, "B": {D[2]: 4}})
-    tables.delete_range(spark, name, F.lit(D[0]), F.lit(D[1]))
+    tables.delete_range(spark, name, D[0], D[1])
     assert partitions(spark, name) == [str(D[2])]
     tables.delete_scrips(spark, name, joins.names(spark, []))
     assert spark.table(name).count() == 2
