@@ -85,8 +85,9 @@ UNKNOWN_EXPIRY = "UNKNOWN"
 SECONDS_PER_CALL = 0.35
 
 # ---- Fixed values: file-name and file-body date formats ----
-PRICE_FILE_DATE = ("(\\d{8})", "ddMMyyyy")
-MCAP_FILE_DATE = ("(\\d{6})", "ddMMyy")
+# The name may be a file's or, with "=", a folder's.
+PRICE_FILE_DATE = ("sec_bhavdata_full[_=](\\d{8})", "ddMMyyyy")
+MCAP_FILE_DATE = ("PR=?(\\d{6})", "ddMMyy")
 PRICE_ROW_DATE = "d-MMM-yyyy"
 MCAP_ROW_DATE = "d MMM yyyy"
 EXPIRY_DATES = ("d/M/yyyy", "yyyy-MM-dd", "d-MMM-yyyy", "d-M-yyyy")

@@ -5,7 +5,7 @@ import zipfile
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from barsmith import fixed, schemas
 from barsmith.functions import columns as fn
@@ -35,10 +35,10 @@ def rename_known(df: DataFrame, names: dict[str, str], extra=()) -> DataFrame:
     return df.select(*[F.col(f"`{present[raw]}`").alias(name) for raw, name in names.items()], *extra)
 
 
-def file_date(rule: tuple[str, str], name="_metadata.file_name"):
-    """The date in a file's name."""
+def file_date(rule: tuple[str, str], path: str = "_metadata.file_path") -> Column:
+    """The date a file was requested for, from its name or its folder's."""
     pattern, fmt = rule
-    return F.try_to_date(F.regexp_extract(F.col(name) if isinstance(name, str) else name, pattern, 1), fmt)
+    return F.try_to_date(F.regexp_extract(F.col(path), pattern, 1), fmt)
 
 
 def drop_stale_files(rows: DataFrame, row_date: str, file: str = "file",
@@ -114,7 +114,7 @@ def market_cap_rows(spark: SparkSession, path: str, start, end) -> DataFrame:
         fn.lenient_date("last_trade_date", fixed.MCAP_ROW_DATE).alias("last_trade_date"),
         *[fn.coerce_double(c).alias(c) for c in schemas.MCAP_NUMBERS],
         fn.strict_date("trade_date", fixed.MCAP_ROW_DATE).alias("trade_date"), "file",
-        file_date(fixed.MCAP_FILE_DATE, F.element_at(F.split("file", "/"), -1)).alias("requested_date"))
+        file_date(fixed.MCAP_FILE_DATE, "file").alias("requested_date"))
 
 
 def market_cap_files(spark: SparkSession, path: str, start, end) -> DataFrame:

@@ -249,3 +249,22 @@ def instrument_master(spark, sf_dir):
                        F.lit("x").alias("UNUSED"))
     return landed_files.instrument_master(spark, _csv(full, "instruments")).select(
         "EXCH_ID", "SEGMENT", "SECURITY_ID", "INSTRUMENT", "INSTRUMENT_TYPE", "ASM_GSM_CATEGORY", "STRIKE_PRICE", "SM_EXPIRY_DATE")
+
+
+@query("src1_price_files", f"""WITH {v.TICKS},
+rows AS (SELECT *, trade_date + CASE WHEN event_type = 'purchase' AND price > 300 THEN 1 ELSE 0 END AS file_day FROM ticks),
+good AS (SELECT file_day FROM rows GROUP BY file_day HAVING bool_and(trade_date = file_day))
+SELECT scrip AS symbol, event_type AS series, trade_date AS date, price AS close_price, CAST(NULL AS DOUBLE) AS deliv_qty
+FROM rows WHERE file_day IN (SELECT file_day FROM good) AND file_day BETWEEN DATE '2024-01-02' AND DATE '2024-01-30'""")
+def price_files(spark, sf_dir):
+    """One price file per day; a late row makes the next day's file a stale one."""
+    tick = v.ticks(spark, sf_dir).withColumn("day", fn.ist_date("timestamp"))
+    late = F.expr("CASE WHEN event_type = 'purchase' AND close > 300 THEN 1 ELSE 0 END")
+    texts = {"SYMBOL": F.concat(F.lit(" "), "scrip"), "SERIES": F.col("event_type"), "DATE1": F.date_format("day", "dd-MMM-yyyy"),
+             "DELIV_QTY": F.lit(" -"), "DELIV_PER": F.lit(" -")}
+    lines = tick.select(*[texts.get(c, F.col("close")).alias(c) for c in fixed.PRICE_COLUMNS],
+                        F.date_format(F.date_add("day", late), "ddMMyyyy").alias("sec_bhavdata_full"))
+    path = scratch(spark, "prices")
+    lines.hint("rebalance", "sec_bhavdata_full").write.partitionBy("sec_bhavdata_full").option("header", True).csv(path)
+    return landed_files.price_files(spark, path, "2024-01-02", "2024-01-30") \
+        .select("symbol", "series", "date", "close_price", "deliv_qty")
