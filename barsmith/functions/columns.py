@@ -10,7 +10,8 @@ from barsmith import fixed
 # Everything str.strip() removes, not just the space that trim() removes.
 WHITESPACE = "".join(chr(i) for i in range(0x3001) if chr(i).isspace())
 # Numbers as pandas reads them: no type suffix, no hex, no digit grouping, no 'nan'.
-NUMBER = r"^\s*[+-]?(?:(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?|(?i:inf|infinity))\s*$"
+NUMBER = r"^\s*+[+-]?+(?:(?:\d++\.?+\d*+|\.\d++)(?:[eE][+-]?+\d++)?+|(?i:inf|infinity))\s*+$"
+INTEGER = r"^\s*+[+-]?+\d++\s*+$"
 
 
 def strip(c) -> Column:
@@ -29,9 +30,13 @@ def coerce_double(c) -> Column:
 
 
 def coerce_long(c) -> Column:
-    """Text to BIGINT by way of DOUBLE ('12.0' is 12), exact for plain integers."""
-    return F.coalesce(_col(c).cast("string").try_cast("bigint"),
-                      scrub(coerce_double(c)).try_cast("bigint"))
+    """Text to BIGINT by way of DOUBLE ('12.0' is 12), exact for plain integers.
+
+    Only integer texts are cast directly: a failed cast costs an exception.
+    """
+    text = _col(c).cast("string")
+    return F.when(text.rlike(INTEGER), text.try_cast("bigint")) \
+        .otherwise(scrub(coerce_double(c)).try_cast("bigint"))
 
 
 def strict_long(c, name: str) -> Column:
@@ -83,8 +88,7 @@ def scrub(c) -> Column:
 
 
 def nan_to_null(c) -> Column:
-    c = _col(c)
-    return F.when(~F.isnan(c), c)
+    return F.nanvl(_col(c), F.lit(None).cast("double"))
 
 
 def tick_round(c, decimals: int = 2) -> Column:

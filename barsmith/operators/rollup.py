@@ -9,26 +9,28 @@ from barsmith.functions import columns as fn
 INSTRUMENT = ("scrip", "exchange", "security_id")
 
 
-def ohlcv(order: Column) -> list[Column]:
-    """First open, highest high, lowest low, last close, summed volume.
+def ohlcv(order: str) -> list[Column]:
+    """First open, highest high, lowest low, last close, summed volume, by the `order` column.
 
     NULLs are skipped, so the first open is the first known one; volume without any value is 0.
     Every buffer has a fixed width: Spark plans a partial and a final hash aggregate.
     """
     return [
-        F.min_by("open", F.when(F.col("open").isNotNull(), order)).alias("open"),
+        F.expr(f"min_by(open, CASE WHEN open IS NOT NULL THEN {order} END) AS open"),
         F.max("high").alias("high"),
         F.min("low").alias("low"),
-        F.max_by("close", F.when(F.col("close").isNotNull(), order)).alias("close"),
-        F.coalesce(F.sum("volume"), F.lit(0.0)).alias("volume"),
+        F.expr(f"max_by(close, CASE WHEN close IS NOT NULL THEN {order} END) AS close"),
+        F.expr("coalesce(sum(volume), 0D) AS volume"),
     ]
 
 
+def all_known(keys: Sequence[str]) -> str:
+    return " AND ".join(f"{k} IS NOT NULL" for k in keys)
+
+
 def _grouped(df: DataFrame, keys: Sequence[str], order: Column) -> DataFrame:
-    for k in keys:
-        df = df.where(F.col(k).isNotNull())
-    # A column of its own, so that first and last share one evaluation.
-    return df.withColumn("_order", order).groupBy(*keys).agg(*ohlcv(F.col("_order")))
+    # The order is a column of its own, so that first and last share one evaluation.
+    return df.where(all_known(keys)).withColumn("_order", order).groupBy(*keys).agg(*ohlcv("_order"))
 
 
 def market_hours(candles: DataFrame, epoch: str = "timestamp", **clock) -> DataFrame:

@@ -52,9 +52,9 @@ def daily_bars(candles: DataFrame, table: str, delay: str = "7 days", order=None
     tables.ensure_table(spark, table, schemas.DAILY)
     order = F.col("timestamp") if order is None else order
     bars = (_event_time(candles, delay)
-            .where(F.col("scrip").isNotNull() & F.col("exchange").isNotNull() & F.col("security_id").isNotNull())
+            .where(rollup.all_known(rollup.INSTRUMENT)).withColumn("_order", order)
             .groupBy(F.window("ts", *IST_DAY).alias("day"), *rollup.INSTRUMENT)
-            .agg(*rollup.ohlcv(order))
+            .agg(*rollup.ohlcv("_order"))
             .withColumn("trade_date", fn.ist_date(F.unix_seconds("day.start"))).drop("day"))
 
     def write(batch: DataFrame, _: int) -> None:

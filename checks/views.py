@@ -9,6 +9,7 @@ candles  15-minute candles of all ticks
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
+from barsmith import fixed
 from barsmith.functions import columns as fn
 from barsmith.operators import rollup
 
@@ -29,13 +30,12 @@ def ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def as_ticks(events: DataFrame) -> DataFrame:
-    us = F.unix_micros(F.col("ts").cast("timestamp"))
-    price = [F.col("value").alias(c) for c in ("open", "high", "low", "close")]
-    return events.select(
-        F.concat(F.lit("U"), F.col("user_id").cast("string")).alias("scrip"),
-        F.lit("NSE_EQ").alias("exchange"), F.col("user_id").alias("security_id"),
-        F.floor(us / 1_000_000).alias("timestamp"), us.alias("us"), "event_id", "event_type", *price,
-        F.regexp_extract("props", r"\d+", 0).cast("double").alias("volume"))
+    stamped = events.withColumn("us", F.expr("unix_micros(CAST(ts AS TIMESTAMP))"))
+    return stamped.selectExpr(
+        "concat('U', CAST(user_id AS STRING)) AS scrip", "'NSE_EQ' AS exchange", "user_id AS security_id",
+        "us DIV 1000000 AS timestamp", "us", "event_id", "event_type",
+        *[f"value AS {c}" for c in fixed.PRICES],
+        r"CAST(regexp_extract(props, '[0-9]+', 0) AS DOUBLE) AS volume")
 
 
 def order():
