@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from barsmith.llm import bpe, chat, topk, url_rules
+from barsmith.llm import bpe, chat, kneser_ney, topk, url_rules
 from barsmith.session import configure
 
 QUERIES, ORACLES = {}, {}
@@ -70,6 +70,11 @@ def op1(spark, table):
     return url_rules.filter_urls(table("pages"))
 
 
+@query("op4_kneser_ney")
+def op4(spark, table):
+    return kneser_ney.score_documents(table("documents"))
+
+
 @query("op6_byte_bpe")
 def op6(spark, table):
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
