@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from barsmith.llm import bpe, chat, kneser_ney, topk, url_rules
+from barsmith.llm import bpe, chat, kneser_ney, ngram_join, topk, url_rules
 from barsmith.session import configure
 
 QUERIES, ORACLES = {}, {}
@@ -102,6 +102,11 @@ def op7(spark, table):
     return chat.format_chats(table("conversations"))
 
 
+@query("op8_ngram_join")
+def op8(spark, table):
+    return ngram_join.join_documents(table("documents"))
+
+
 TOPK_SQL = """
 WITH v AS (
   SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
