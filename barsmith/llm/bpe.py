@@ -1,10 +1,10 @@
 """Byte-level BPE as a lazily determinised transducer, and streaming decoding.
 
-The merges compile into a transducer over bytes. A state holds, for every token start that the bytes read so far still
-allow, the trie node reached and the tokens chosen since the last emission. Greedy merging has a left-to-right
-form: after each byte exactly one token can end there, the one that is whole under the merges and that stays apart from the
-token before it. What all live starts agree on is emitted, so output lags by a bounded lookahead (the longest
-token). States and arcs are made on first use, kept in tables, and dropped together when there are too many.
+The merges compile into a transducer over bytes: a trie of the vocabulary's tokens, started anew at every byte. Its
+states are determinised on first use, as the set of live trie nodes, and kept; there are no more of them than trie nodes. Greedy
+merging has a left-to-right form: after each byte exactly one token can end there, the one that is whole under the merges and
+that they keep apart from the token chosen at its start. Choices wait in a queue until all live starts agree on
+them, so output lags by a bounded lookahead: no start lives longer than the longest token.
 
 Decoding is incremental: ids become bytes, and a small state machine over UTF-8 lead and tail bytes holds back
 an unfinished character until its bytes arrive.
@@ -24,7 +24,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MAX_STATES, MAX_PIECES, LONG_PIECE = 150_000, 600_000, 64
+MAX_PAIRS, MAX_PIECES, LONG_PIECE, QUEUE = 1_000_000, 600_000, 64, 4096
 ENCODED = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, ids binary, n_replaced long"
 
 
@@ -34,10 +34,11 @@ class Merges:
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
         self.bytes_of = {i: t for t, i in ranks.items()}
-        self._apart: dict[tuple[int, int], bool] = {}
+        self.known: dict[int, bool] = {}
         self._right: dict[int, list[tuple[bytes, int, int]]] = {}
         self._left: dict[int, list[tuple[bytes, int, int]]] = {}
         self.trie: list[dict[int, int]] = [{}]
+        self.depth = [0]
         self.ends: list[int | None] = [None]
         for token, i in ranks.items():
             if self.merge(token) == [i]:
@@ -51,6 +52,7 @@ class Merges:
                 nxt = self.trie[node][b] = len(self.trie)
                 self.trie.append({})
                 self.ends.append(None)
+                self.depth.append(self.depth[node] + 1)
             node = nxt
         self.ends[node] = i
 
@@ -82,10 +84,10 @@ class Merges:
     def apart(self, a: int, b: int) -> bool:
         """Whether the merges leave the boundary between tokens a and b: no two edge parts that exist at the same time
         have a merge of their own. Of equal ranks the left merge comes first."""
-        known = self._apart.get((a, b))
+        known = self.known.get(a << 32 | b)
         if known is None:
-            if len(self._apart) >= 1_000_000:
-                self._apart.clear()
+            if len(self.known) >= MAX_PAIRS:
+                self.known.clear()
             lefts = self._right.get(a) or self._right.setdefault(a, self.edge(a, 1))
             rights = self._left.get(b) or self._left.setdefault(b, self.edge(b, 0))
             known, rank_of = True, self.ranks.get
@@ -94,61 +96,77 @@ class Merges:
                     rank = rank_of(x + y)
                     if rank is not None and x_gone > max(rank, x_born, y_born) <= y_gone:
                         known = False
-            self._apart[a, b] = known
+            self.known[a << 32 | b] = known
         return known
 
 
 class Transducer:
-    """bytes -> ids. State: (last emitted token, ((trie node, tokens chosen since), ...)), oldest start first."""
+    """bytes -> ids. A state is the set of trie nodes live after the bytes read, by subset construction on first use; it
+    names the tokens that end here. Which of them was chosen at each byte waits in a queue until all live starts agree."""
 
     def __init__(self, merges: Merges):
         self.m = merges
-        self._reset()
-
-    def _reset(self) -> None:
-        self.number = {(None, ((0, ()),)): 0}
-        self.states = [(None, ((0, ()),))]
-        self.arcs: list[dict[int, tuple[int, tuple[int, ...]]]] = [{}]
-
-    def _arc(self, at: int, byte: int) -> tuple[int, tuple[int, ...]]:
-        last, starts = self.states[at]
-        trie, ends, alive, closed = self.m.trie, self.m.ends, [], None
-        for node, chosen in starts:
-            node = trie[node].get(byte)
-            if node is None:
-                continue
-            token = ends[node]
-            if token is not None and closed is None:
-                before = chosen[-1] if chosen else last
-                if before is None or self.m.apart(before, token):
-                    closed = (*chosen, token)
-            if trie[node]:
-                alive.append((node, chosen))
-        if closed is None:
-            raise ValueError(f"the vocabulary has no token for byte {byte} here")
-        alive.append((0, closed))
-        agreed, first = 0, alive[0][1]
-        while agreed < len(first) and all(len(c) > agreed and c[agreed] == first[agreed] for _, c in alive):
-            agreed += 1
-        state = (first[agreed - 1] if agreed else last, tuple((n, c[agreed:]) for n, c in alive))
-        to = self.number.get(state)
+        self.states: list[tuple[int, ...]] = [(0,)]
+        self.number = {(0,): 0}
+        self.arcs: list[dict[int, int]] = [{}]
+        self.closing: list[tuple[tuple[int, int], ...]] = [()]  # (token, length), the longest first
+
+    def _arc(self, at: int, byte: int) -> int:
+        trie, ends = self.m.trie, self.m.ends
+        nodes = [n for n in (trie[x].get(byte) for x in self.states[at]) if n is not None]
+        live = (*[n for n in nodes if trie[n]], 0)
+        closing = tuple((ends[n], len(self.m.bytes_of[ends[n]])) for n in nodes if ends[n] is not None)
+        key = (live, closing)
+        to = self.number.get(key)
         if to is None:
-            to = self.number[state] = len(self.states)
-            self.states.append(state)
+            to = self.number[key] = len(self.states)
+            self.states.append(live)
             self.arcs.append({})
-        arc = self.arcs[at][byte] = (to, first[:agreed])
-        return arc
+            self.closing.append(closing)
+        self.arcs[at][byte] = to
+        return to
 
     def encode(self, piece: bytes) -> list[int]:
-        if len(self.states) > MAX_STATES:
-            self._reset()
-        out, at, arcs = [], 0, self.arcs
+        arcs, closing, apart, known = self.arcs, self.closing, self.m.apart, self.m.known
+        out, before, at = [], -1, 0  # `before`: the last token emitted
+        tokens, sizes = [before], [0]  # the queue: for each byte since then, the token that ends there
         for byte in piece:
-            arc = arcs[at].get(byte) or self._arc(at, byte)
-            at = arc[0]
-            if arc[1]:
-                out += arc[1]
-        return out + list(self.states[at][1][-1][1])
+            to = arcs[at].get(byte)
+            at = self._arc(at, byte) if to is None else to
+            here = len(tokens)
+            for token, size in closing[at]:
+                if size <= here:
+                    prev = tokens[here - size]
+                    free = prev < 0 or known.get(prev << 32 | token)
+                    if free or free is None and apart(prev, token):
+                        tokens.append(token)
+                        sizes.append(size)
+                        break
+            else:
+                raise ValueError(f"the vocabulary has no token for byte {byte} here")
+            if here >= QUEUE:
+                done = self._agreed(sizes, at)
+                if done:
+                    out += self._path(tokens, sizes, done)
+                    tokens, sizes = tokens[done:], [0, *sizes[done + 1:]]
+        return out + self._path(tokens, sizes, len(tokens) - 1)
+
+    def _agreed(self, sizes: list[int], at: int) -> int:
+        """The last boundary that the tokens chosen up to every live start pass."""
+        end = len(sizes) - 1
+        places = {end - self.m.depth[n] for n in self.states[at]}
+        while len(places) > 1:
+            last = max(places)
+            places = places - {last} | {last - sizes[last]}
+        return places.pop()
+
+    @staticmethod
+    def _path(tokens: list[int], sizes: list[int], end: int) -> list[int]:
+        out = []
+        while end > 0:
+            out.append(tokens[end])
+            end -= sizes[end]
+        return out[::-1]
 
 
 class Codec:
