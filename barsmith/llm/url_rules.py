@@ -105,9 +105,10 @@ def apply_rules(judged: DataFrame, rules: DataFrame, default=DEFAULT) -> DataFra
     fired = (sets.select("tokens", F.explode("tokens").alias("token"))
              .join(F.broadcast(rules.withColumnRenamed("verdict", "mined")), F.col("token") == F.col("posted"))
              .filter("size(array_except(antecedent, tokens)) = 0"))
-    best = fired.groupBy("tokens").agg(F.min(F.struct(
+    # Written, so that the join below exchanges both sides and a token set of very many pages can be split.
+    best = stage(fired.groupBy("tokens").agg(F.min(F.struct(
         (-F.col("confidence")).alias("c"), (-F.col("support")).alias("s"), F.size("antecedent").alias("n"),
-        F.array_join("antecedent", " ").alias("because"), "mined")).alias("best"))
+        F.array_join("antecedent", " ").alias("because"), "mined")).alias("best")), "url-verdicts")
     return judged.join(best, "tokens", "left").select(
         "page_id", "host", "path", "rule", F.coalesce("verdict", "best.mined", F.lit(default)).alias("verdict"),
         F.when(F.col("rule").isNull(), F.col("best.because")).alias("because"))
