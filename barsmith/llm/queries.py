@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from barsmith.llm import bpe, chat, kneser_ney, ngram_join, topk, url_rules
+from barsmith.llm import bpe, chat, decontaminate, kneser_ney, ngram_join, topk, url_rules
 from barsmith.session import configure
 
 QUERIES, ORACLES = {}, {}
@@ -70,6 +70,11 @@ def op1(spark, table):
     return url_rules.filter_urls(table("pages"))
 
 
+@query("op3_decontaminate")
+def op3(spark, table):
+    return decontaminate.contaminated(table("documents"), table("benchmark"))
+
+
 @query("op4_kneser_ney")
 def op4(spark, table):
     return kneser_ney.score_documents(table("documents"))
