@@ -10,7 +10,9 @@ A projection that is empty, or holds only very common shingles, would match unre
 long as at most m of a set's are: then some strong one still agrees. A set with more weak ones also takes part in a further
 instance with another hash seed, which every other such set joins too, and after SEEDS of them it sends all.
 
-Equal sets join as one class. Signatures go to shards in packed blocks. Per shard, those of two or more sets remain. Each class
+Equal sets join as one class. Signatures go to shards in packed blocks. Per shard, those of two or more sets remain. A linked
+pair agrees in all the subsets that its differing shingles leave, so of each instance a set must share as many signatures as it
+sent less those; sets that share fewer go. Each class
 is first compared with the leader it shares most signatures with; then every pair that shares a signature and
 is not yet in one component is compared exactly. So large groups of near copies cost one comparison a member, and no link
 between different components is missed.
@@ -102,7 +104,7 @@ class Instance:
     """Partitions and subsets for sets of band `b` and the next one."""
 
     def __init__(self, b: int, ends: list[int]):
-        r = ends[b + 1] - 1
+        self.r = r = ends[b + 1] - 1
         self.b, self.k = b, (r + r * DEN // NUM) // (NUM + DEN)
         if self.k <= 3:
             self.parts, self.spare = self.k + 3, 0
@@ -112,8 +114,19 @@ class Instance:
             self.parts = self.k + 1 + self.spare
             self.subsets = None
 
+    def need(self, n: np.ndarray, sent: np.ndarray) -> np.ndarray:
+        """How many of the signatures it sent a set of n shingles at least shares with any set linked to it."""
+        r = self.r
+        differ = np.where(n <= r, n + n * DEN // NUM, n + r) // (NUM + DEN)
+        if self.subsets is not None:
+            free = np.maximum(self.parts - differ, 0)
+            differ = len(self.subsets) - free * (free - 1) * (free - 2) // 6
+        return np.maximum(sent - differ, 1)
+
     def signatures(self, h: np.ndarray, begin: np.ndarray, strong: np.ndarray):
-        """(set number, signature) arrays for the sets h[begin[i]:begin[i+1]]; strong marks shingles that are not common."""
+        """For the sets h[begin[i]:begin[i+1]], per seed: (set number, signature) arrays; and the slot, the numbers of the sets
+        that took part and how many signatures each sent. strong marks shingles that are not common. The low bits
+        of a signature are its slot: the seed and whether the band is odd."""
         sizes = np.diff(begin)
         sets, own = np.arange(len(sizes)), np.repeat(np.arange(len(sizes)), sizes)
         for seed in range(SEEDS):
@@ -133,7 +146,8 @@ class Instance:
             if seed == SEEDS - 1:
                 live[again] = True
             i, j = np.nonzero(live)
-            yield sets[i], signs[i, j]
+            slot = (self.b & 1) << 3 | seed
+            yield sets[i], signs[i, j] & ~_U(15) | _U(slot), slot, sets, live.sum(axis=1)
             if not again.any():
                 return
             keep = again[own]
@@ -143,7 +157,16 @@ class Instance:
 
 
 def signature_blocks(docs: DataFrame, ends: list[int], often: np.ndarray, bits: int) -> DataFrame:
-    """shard, block: sorted signatures and the doc_ids they come from; a run's equal sets send theirs once."""
+    """shard, block: sorted signatures and the doc_ids they come from; a run's equal sets send theirs once. Shards from
+    2**bits on hold what each document needs (Instance.need) by slot."""
+    def needs(held):
+        slot, doc, need = (np.concatenate(x).astype(np.uint64) for x in zip(*held))
+        shard = (mix(doc) & _U(15)).astype(np.int64)
+        for s in np.unique(shard):
+            at = shard == s
+            yield pa.RecordBatch.from_arrays([pa.array([int(s) + (1 << bits)], pa.int32()), pa.array(
+                [planes(slot[at]) + planes(doc[at]) + planes(need[at])], pa.binary())], names=["shard", "block"])
+
     def blocks(held):
         sign, doc = (np.concatenate(x) for x in zip(*held))
         order = np.argsort(sign)
@@ -156,7 +179,7 @@ def signature_blocks(docs: DataFrame, ends: list[int], often: np.ndarray, bits:
 
     def run(batches):
         instances = [Instance(b, ends) for b in range(len(ends) - 1)]
-        held, size = [], 0
+        held, size, owed = [], 0, []
         for b in batches:
             for lo, hi, data, offsets in text_slices(b.column(1), SLICE):
                 h, begin = shingles(data, offsets)
@@ -172,21 +195,30 @@ def signature_blocks(docs: DataFrame, ends: list[int], often: np.ndarray, bits:
                     at = np.concatenate([np.arange(begin[i], begin[i + 1]) for i in own])
                     starts = np.append(0, np.cumsum(sizes[own]))
                     for inst in instances[max(k - 1, 0):k + 1]:
-                        for i, sign in inst.signatures(h[at], starts, ~common[at]):
+                        for i, sign, slot, took, sent in inst.signatures(h[at], starts, ~common[at]):
                             held.append((sign, ids[own[i]]))
+                            owed.append((np.full(len(took), slot), ids[own[took]], inst.need(sizes[own[took]], sent)))
                             size += len(sign)
                 if size >= FLUSH:
                     yield from blocks(held)
-                    held, size = [], 0
+                    yield from needs(owed)
+                    held, size, owed = [], 0, []
         if size:
             yield from blocks(held)
+            yield from needs(owed)
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).filter("doc_id IS NOT NULL").mapInArrow(
         run, "shard int, block binary")
 
 
-def shared_signatures(blocks: DataFrame) -> DataFrame:
-    """sign, doc_id: the signatures that two or more documents share."""
+def shared_signatures(blocks: DataFrame, bits: int) -> DataFrame:
+    """sign, doc_id: the signatures that two or more documents share. Where need is not null, sign is a slot of which the
+    document shares that many with any linked one."""
     def merge(key, table):
+        if key[0].as_py() >= 1 << bits:
+            blocks_ = [b.as_py() for b in table.column("block")]
+            slot, doc, need = (np.concatenate([from_planes(x[i * len(x) // 3:(i + 1) * len(x) // 3]) for x in blocks_]).view(
+                np.int64) for i in range(3))
+            return pa.table({"sign": slot, "doc_id": doc, "need": need})
         signs, docs = [], []
         for block in table.column("block"):
             raw = block.as_py()
@@ -198,8 +230,9 @@ def shared_signatures(blocks: DataFrame) -> DataFrame:
         new = np.ones(len(sign) + 1, bool)
         new[1:-1] = sign[1:] != sign[:-1]
         several = ~(new[1:] & new[:-1])
-        return pa.table({"sign": sign[several].view(np.int64), "doc_id": doc[several].view(np.int64)})
-    return blocks.groupBy("shard").applyInArrow(merge, "sign long, doc_id long")
+        return pa.table({"sign": sign[several].view(np.int64), "doc_id": doc[several].view(np.int64),
+                         "need": pa.nulls(int(several.sum()), pa.int64())})
+    return blocks.groupBy("shard").applyInArrow(merge, "sign long, doc_id long, need long")
 
 
 def shingle_arrays(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -238,12 +271,20 @@ def join_documents(docs: DataFrame) -> DataFrame:
     often = np.sort(np.array([r[0] for r in often], np.int64).view(np.uint64))
     bits = min(MAX_SHARDS, max(2, total * 16 // SHARD_BYTES)).bit_length()
     ends = bands(largest)
-    shared = stage(shared_signatures(signature_blocks(docs, ends, often, bits)), "signatures")
+    shared = stage(shared_signatures(signature_blocks(docs, ends, often, bits), bits), "signatures")
 
     key = ["n", "h1", "h2"]
     classes = sets.filter("n > 0").groupBy(*key).agg(F.min("doc_id").alias("class"))
     members = sets.filter("n > 0 AND doc_id IS NOT NULL").join(classes, key).select("doc_id", "class", "n")
-    held = stage(shared.join(members, "doc_id").select("sign", "class", "n").distinct(), "held")
+    known = shared.join(members, "doc_id").select("sign", "class", "n", "need")
+    held = stage(known.distinct(), "held")
+    owed = held.filter("need IS NOT NULL").groupBy("class", F.col("sign").alias("slot")).agg(F.max("need").alias("need"))
+    held = held.filter("need IS NULL").select("sign", "class", "n", F.col("sign").bitwiseAND(15).alias("slot"))
+    for label in ("held", "held"):  # sets that go leave others fewer to share
+        several = held.groupBy("sign").agg(F.min("class").alias("lead"), F.max("class").alias("last")).filter("lead < last")
+        shares = held.join(several, "sign", "left_semi")
+        enough = shares.groupBy("class", "slot").agg(F.count("*").alias("has")).join(owed, ["class", "slot"]).filter("has >= need")
+        held = stage(shares.join(enough, ["class", "slot"], "left_semi").select("sign", "class", "n", "slot"), label)
     several = held.groupBy("sign").agg(F.min("class").alias("lead"), F.max("class").alias("last")).filter("lead < last")
     votes = held.join(several, "sign").filter("class > lead").groupBy("class", "lead").agg(F.count("*").alias("votes"))
     leads = votes.groupBy("class").agg(F.max_by("lead", F.struct("votes", -F.col("lead"))).alias("lead"))

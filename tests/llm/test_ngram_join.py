@@ -1,5 +1,6 @@
 import random
 import re
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -80,10 +81,13 @@ def test_similar_sets_share_a_strong_signature():
                 band = np.searchsorted(ends, len(s), "right") - 1
                 signs = set()
                 for inst in (ngram_join.Instance(k, ends) for k in range(max(band - 1, 0), band + 1)):
-                    for _, x in inst.signatures(s, np.array([0, len(s)]), ~c):
-                        signs |= {(inst.b, int(v)) for v in x}
+                    for _, x, slot, _, sent in inst.signatures(s, np.array([0, len(s)]), ~c):
+                        signs |= {(inst.b, slot, int(inst.need(np.array([len(s)]), sent)[0]), int(v)) for v in x}
                 found.append(signs)
-            assert found[0] & found[1], (n, m)
+            shared = [Counter((b, slot) for b, slot, _, v in own if v in {x[3] for x in other})
+                      for own, other in (found, found[::-1])]
+            needs = [{(b, slot): need for b, slot, need, _ in own} for own in found]
+            assert any(shared[0][k] >= needs[0][k] and shared[1][k] >= needs[1][k] for k in needs[0].keys() & needs[1].keys()), (n, m)
 
 
 def test_odd_rows(spark):
