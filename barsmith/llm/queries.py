@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from barsmith.llm import bpe, chat, decontaminate, kneser_ney, ngram_join, topk, url_rules
+from barsmith.llm import bpe, chat, decontaminate, kneser_ney, ngram_join, suffix_dedup, topk, url_rules
 from barsmith.session import configure
 
 QUERIES, ORACLES = {}, {}
@@ -80,6 +80,11 @@ def op4(spark, table):
     return kneser_ney.score_documents(table("documents"))
 
 
+@query("op5_suffix_dedup")
+def op5(spark, table):
+    return suffix_dedup.dedup(table("documents"), keep_text=False).drop("kept")
+
+
 @query("op6_byte_bpe")
 def op6(spark, table):
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
