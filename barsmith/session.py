@@ -1,7 +1,9 @@
 """Session settings and the shared scratch folder."""
 
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,6 +27,18 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def ship(spark: SparkSession) -> SparkSession:
+    """Send this package to the Python workers, once per context, so that executors need no installation of it."""
+    context = spark.sparkContext
+    root = Path(__file__).resolve().parent
+    if not getattr(context, "_barsmith_shipped", False) and root.is_dir():
+        folder = tempfile.mkdtemp(prefix="barsmith-ship-")  # the driver's own; Spark copies the archive from there
+        shutil.copytree(root, f"{folder}/tree/barsmith", ignore=shutil.ignore_patterns("__pycache__"))
+        context.addPyFile(shutil.make_archive(f"{folder}/barsmith", "zip", f"{folder}/tree"))
+        context._barsmith_shipped = True
+    return spark
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder named by spark.checkpoint.dir, which every executor can reach.
 
