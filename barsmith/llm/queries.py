@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from barsmith.llm import bpe, chat, decontaminate, kneser_ney, ngram_join, suffix_dedup, topk, url_rules
-from barsmith.session import configure
+from barsmith.session import configure, ship
 
 QUERIES, ORACLES = {}, {}
 
@@ -12,7 +12,7 @@ QUERIES, ORACLES = {}, {}
 def query(name: str, sql: str | None = None):
     def register(build):
         def run(spark, sf_dir):
-            return build(configure(spark), lambda table: spark.read.parquet(f"{sf_dir}/{table}.parquet"))
+            return build(ship(configure(spark)), lambda table: spark.read.parquet(f"{sf_dir}/{table}.parquet"))
 
         QUERIES[name] = run
         if sql:
