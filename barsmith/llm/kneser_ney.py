@@ -32,7 +32,7 @@ from barsmith.session import scratch
 
 ORDER = 2
 START, END, ID_BITS = 0, 1, 40
-FLUSH_TOKENS = 2_000_000
+FLUSH_TOKENS = 1_000_000
 SHARD_BYTES, MAX_SHARDS = 16 << 20, 4096
 BLOCKS = "level int, shard int, block binary"
 SCORED = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
@@ -293,7 +293,7 @@ def score_batches(batches, meta: dict):
     norm = raw["total"] + 0.1 * (raw["distinct"] + 1)
     try:
         for b in batches:
-            for lo, hi, data, offsets in text_slices(b.column(2), 4 << 20):
+            for lo, hi, data, offsets in text_slices(b.column(2), 2 << 20):
                 seq, begin = sequences(data, offsets, meta["order"])
                 columns, n = grams(seq, begin, meta["order"])
                 c = model.word_counts(RAW, columns[-1])
