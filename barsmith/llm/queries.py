@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from barsmith.llm import bpe, chat, decontaminate, kneser_ney, ngram_join, suffix_dedup, topk, url_rules
+from barsmith.llm import bpe, chat, decontaminate, kneser_ney, ngram_join, suffix_dedup, topk, toxicity, url_rules
 from barsmith.session import configure, ship
 
 QUERIES, ORACLES = {}, {}
@@ -70,6 +70,11 @@ def op1(spark, table):
     return url_rules.filter_urls(table("pages"))
 
 
+@query("op2_toxicity")
+def op2(spark, table):
+    return toxicity.score_documents(table("documents"), table("labels"))
+
+
 @query("op3_decontaminate")
 def op3(spark, table):
     return decontaminate.contaminated(table("documents"), table("benchmark"))

@@ -28,7 +28,7 @@ from barsmith.llm.arrays import delta_planes, from_delta_planes, from_planes, mi
 from barsmith.session import stage
 
 LENGTH, GRAM = 200, 32
-SLICE, FLUSH, SHARD_BYTES, INDEX_BYTES, MAX_SHARDS = 2 << 20, 1_000_000, 16 << 20, 3 << 20, 4096
+SLICE, FLUSH, SHARD_BYTES, INDEX_BYTES, MAX_SHARDS = 1 << 20, 300_000, 16 << 20, 3 << 20, 4096
 HOT_SEGMENTS, HOT_ANCHORS = 2000, 5000  # an anchor is hot above this many segments and this share of all
 BROADCAST_ROWS = 1_000_000  # of document keys: 12 MB
 DONE = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
@@ -95,7 +95,7 @@ def _occurrence_blocks(docs: DataFrame, bits: int) -> DataFrame:
     it go to a shard from 2**bits on, which has nothing to judge."""
     def blocks(held):
         cols = [np.concatenate(x) for x in zip(*held)]
-        order = np.lexsort((cols[1], cols[0]))
+        order = np.lexsort((cols[2], cols[1], cols[0]))
         anchor, seg, k1, k2, start, size, again = (c[order] for c in cols)
         new = np.ones(len(anchor), bool)
         new[1:] = (anchor[1:] != anchor[:-1]) | (seg[1:] != seg[:-1])
@@ -133,7 +133,8 @@ def _occurrence_blocks(docs: DataFrame, bits: int) -> DataFrame:
 
 
 def repeated_occurrences(docs: DataFrame, bits: int) -> DataFrame:
-    """OCCURRENCES of the segments whose anchor occurs in two or more places; copies is set at one place of each segment."""
+    """OCCURRENCES of the segments whose anchor occurs in two or more places; copies is set at one place of each segment (the least
+    k1): 1, or 2 for more, plus ALONE if no other segment has its anchor."""
     def merge(key, table):
         parts = []
         for block in table.column("block"):
@@ -142,16 +143,18 @@ def repeated_occurrences(docs: DataFrame, bits: int) -> DataFrame:
             parts.append([from_delta_planes(raw[:n]), *(from_planes(raw[i * n:(i + 1) * n]) for i in range(1, len(_FIELDS)))])
         cols = [np.concatenate(x) for x in zip(*parts)]
         if key[0].as_py() < 1 << bits:
-            order = np.lexsort((cols[1], cols[0]))
+            order = np.lexsort((cols[2], cols[1], cols[0]))
             cols = [c[order] for c in cols]
             anchor, seg, copies = cols[0], cols[1], cols[6]
             heads = np.flatnonzero(np.append(True, anchor[1:] != anchor[:-1]))
+            spread = np.diff(np.append(heads, len(anchor)))
             places = (copies & _U(3)) + (copies >> _U(2))
-            keep = np.repeat(np.add.reduceat(places, heads) >= 2, np.diff(np.append(heads, len(anchor))))
+            keep = np.repeat(np.add.reduceat(places, heads) >= 2, spread)
             first = np.append(True, (anchor[1:] != anchor[:-1]) | (seg[1:] != seg[:-1]))
             total = np.add.reduceat(copies & _U(3), np.flatnonzero(first))
+            alone = np.repeat(np.add.reduceat(first.astype(np.int64), heads) == 1, spread)
             cols[6] = np.zeros(len(anchor), np.uint64)
-            cols[6][first] = np.minimum(total, 2)
+            cols[6][first] = np.minimum(total, 2) | alone[first].astype(np.uint64) << _U(2)
             cols = [c[keep] for c in cols]
         cols = [c.view(np.int64) for c in cols]
         return pa.table({n: pa.array(c, t, mask=c == 0 if n == "copies" else None) for n, c, t in zip(_FIELDS, cols, (
@@ -165,67 +168,87 @@ def _with_keys(docs: DataFrame, keys: DataFrame, how: str) -> DataFrame:
     return docs.join(F.broadcast(keys) if few else keys, ["k1", "k2"], how)
 
 
-TEXTS = "anchor long, seg long, copies int, text binary"
+ALONE = 4
+PARTS = "array<struct<anchor: long, seg: long, at: long, size: long>>"
+TEXTS = "anchor long, seg long, copies int, text binary, parts " + PARTS
+_PARTS = pa.list_(pa.struct([(n, pa.int64()) for n in ("anchor", "seg", "at", "size")]))
+
+
+def _stretches(rows: list[dict]):
+    """(first row, end, copies, parts) of a text's segments. Neighbours that are alone with their anchors meet no other segment in
+    any shard; with equal copies they go as one stretch instead of as segments that overlap by nearly LENGTH."""
+    out = []
+    for r in sorted(rows, key=lambda r: r["start"]):
+        copies, end = r["copies"] & 3, r["start"] + r["size"]
+        part = {"anchor": r["anchor"], "seg": r["seg"], "at": 0, "size": r["size"]}
+        if out and r["copies"] & ALONE and out[-1][3] and out[-1][2] == copies and out[-1][1] == r["start"] + LENGTH - 1:
+            part["at"] = r["start"] - out[-1][0]["start"]
+            out[-1][1] = end
+            out[-1][3].append(part)
+        else:
+            out.append([r, end, copies, [part] if r["copies"] & ALONE else None])
+    return out
 
 
 def segment_texts(docs: DataFrame, occurrences: DataFrame) -> DataFrame:
-    """TEXTS: one row per distinct segment."""
+    """TEXTS: one row per distinct segment, or per stretch of segments (parts) alone with their anchors."""
     def cut(batches):
         def packed(out):
-            anchor, seg, copies, text = zip(*out)
-            return pa.RecordBatch.from_arrays([pa.array(anchor, pa.int64()), pa.array(seg, pa.int64()), pa.array(
-                copies, pa.int32()), pa.array(text, pa.binary())], names=["anchor", "seg", "copies", "text"])
+            anchor, seg, copies, text, parts = zip(*out)
+            return pa.RecordBatch.from_arrays([pa.array(anchor, pa.int64()), pa.array(seg, pa.int64()), pa.array(copies, pa.int32()),
+                                               pa.array(text, pa.binary()), pa.array(parts, _PARTS)],
+                                              names=["anchor", "seg", "copies", "text", "parts"])
         for b in batches:
             out = []
             for raw, rows in zip(b.column(0).cast(pa.large_binary()), b.column(1)):
                 raw = raw.as_py()
-                out += [(r["anchor"], r["seg"], r["copies"], raw[r["start"]:r["start"] + r["size"]]) for r in rows.as_py()]
+                out += [(r["anchor"], r["seg"], copies, raw[r["start"]:end], parts) for r, end, copies, parts in _stretches(rows.as_py())]
                 if len(out) >= 20_000:
                     yield packed(out)
                     out = []
             if out:
                 yield packed(out)
-    wanted = occurrences.filter("copies IS NOT NULL").groupBy("k1", "k2").agg(
-        F.collect_list(F.struct("anchor", "seg", "start", "size", "copies")).alias("rows"))
-    held = _with_keys(docs.select("k1", "k2", "text"),
-                      occurrences.filter("copies IS NOT NULL").select("k1", "k2").distinct(), "left_semi")
-    return held.join(wanted, ["k1", "k2"]).select("text", "rows").mapInArrow(cut, TEXTS).dropDuplicates(["anchor", "seg"])
+    held = occurrences.filter("copies IS NOT NULL")
+    wanted = held.groupBy("k1", "k2").agg(F.collect_list(F.struct("anchor", "seg", "start", "size", "copies")).alias("rows"))
+    texts = _with_keys(docs.select("k1", "k2", "text"), held.select("k1", "k2").distinct(), "left_semi")
+    return texts.join(wanted, ["k1", "k2"]).select("text", "rows").mapInArrow(cut, TEXTS).dropDuplicates(["anchor", "seg"])
 
 
-PACKED = 7  # symbols of nine bits in one sort key
+PACKED, START = 7, 28  # symbols of nine bits in one sort key; the depth from which intervals are extended
 
 
 def sorted_suffixes(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Places of a text of symbols below 512, its last the only 0, sorted by at least LENGTH symbols; and the boundaries by the
-    first PACKED ones alone."""
+    first START ones alone."""
     n = len(text)
     padded = np.append(text, np.zeros(PACKED, np.uint16)).astype(np.uint64)
     key = np.zeros(n, np.uint64)
     for i in range(PACKED):
         key = key << _U(9) | padded[i:i + n]
-    sa = np.argsort(key, kind="stable")
+    sa = np.argsort(key)
     new = np.append(True, key[sa][1:] != key[sa][:-1])
-    first, width = new.copy(), PACKED
+    first, width = None, PACKED
     rank = np.zeros(n + 1, np.int64)  # the place after the end ranks 0, all others more
     while width < LENGTH:
+        if width == START:
+            first = new.copy()
         rank[sa] = np.flatnonzero(new)[np.cumsum(new) - 1] + 1
         loose = np.flatnonzero(~(new & np.append(new[1:], True)))  # not yet alone
         if not len(loose):
             break
-        group, next_ = rank[sa[loose]], rank[np.minimum(sa[loose] + width, n)]
-        order = np.lexsort((next_, group))
-        sa[loose] = sa[loose][order]
-        group, next_ = group[order], next_[order]
-        new[loose] = np.append(True, (group[1:] != group[:-1]) | (next_[1:] != next_[:-1]))
+        key = rank[sa[loose]] * (n + 1) + rank[np.minimum(sa[loose] + width, n)]
+        order = np.argsort(key)
+        sa[loose], key = sa[loose][order], key[order]
+        new[loose] = np.append(True, key[1:] != key[:-1])
         width *= 2
-    return sa, first
+    return sa, new if first is None else first
 
 
-def bounded_boundaries(text: np.ndarray, sa: np.ndarray, boundary: np.ndarray, depth: int = PACKED, length: int = LENGTH) -> np.ndarray:
+def bounded_boundaries(text: np.ndarray, sa: np.ndarray, boundary: np.ndarray, depth: int = START, length: int = LENGTH) -> np.ndarray:
     """Where neighbours in suffix order share fewer than `length` symbols: extends the boundaries known at `depth`."""
     n = len(text)
     bwt = text[sa - 1].astype(np.int64)  # the symbol before; the whole text has the closing 0 before it
-    by_symbol = np.argsort(bwt, kind="stable")
+    by_symbol = np.argsort(bwt * n + np.arange(n))
     ranks = bwt[by_symbol] * (n + 1) + by_symbol  # sorted: rank of (symbol, place)
     step = np.empty(n, np.int64)
     step[by_symbol] = np.arange(n)
@@ -288,10 +311,14 @@ def expand(texts: DataFrame) -> DataFrame:
 
     def index(key, table):
         found = repeated_places(table.column("text").to_pylist(), table.column("copies").to_numpy().astype(np.int64))
-        spans = [[{"lo": lo, "hi": hi} for lo, hi in covered(p)] for p in found]
-        out = pa.table({"anchor": table.column("anchor"), "seg": table.column("seg"), "spans": pa.array(
-            spans, pa.list_(pa.struct([("lo", pa.int64()), ("hi", pa.int64())])))})
-        return out.filter(pa.array([bool(s) for s in spans]))
+        rows = []
+        for anchor, seg, parts, places in zip(*(table.column(n).to_pylist() for n in ("anchor", "seg", "parts")), found):
+            for p in parts or [{"anchor": anchor, "seg": seg, "at": 0, "size": 1 << 62}] if len(places) else []:
+                lo, hi = np.searchsorted(places, [p["at"], p["at"] + p["size"] - LENGTH + 1])
+                if lo < hi:
+                    rows.append((p["anchor"], p["seg"], [{"lo": x, "hi": y} for x, y in covered(places[lo:hi] - p["at"])]))
+        return pa.table({n: pa.array([r[i] for r in rows], t) for i, (n, t) in enumerate((
+            ("anchor", pa.int64()), ("seg", pa.int64()), ("spans", pa.list_(pa.struct([("lo", pa.int64()), ("hi", pa.int64())])))))})
     shard = F.pmod(F.xxhash64("anchor"), F.lit(shards))
     return texts.withColumn("shard", shard).groupBy("shard").applyInArrow(index, SPANS)
 
@@ -321,9 +348,9 @@ def deal_hot(texts: DataFrame) -> tuple[DataFrame, DataFrame | None]:
                 b.column(0).take(take), b.column(1).take(take), pa.array(first - offsets[row], pa.int64())],
                 names=["anchor", "seg", "copies", "text", "of_anchor", "of_seg", "at"])
     parts = stage(texts.join(hot, "anchor", "left_semi").mapInArrow(
-        deal, TEXTS + ", of_anchor long, of_seg long, at long"), "segments")
+        deal, "anchor long, seg long, copies int, text binary, of_anchor long, of_seg long, at long"), "segments")
     distinct = parts.groupBy("anchor", "seg").agg(F.least(F.sum("copies"), F.lit(2)).cast("int").alias("copies"),
-                                                  F.first("text").alias("text"))
+                                                  F.first("text").alias("text"), F.lit(None).cast(PARTS).alias("parts"))
     return texts.join(hot, "anchor", "left_anti").unionByName(distinct), parts.drop("text", "copies")
 
 
