@@ -87,7 +87,7 @@ def op4(spark, table):
 
 @query("op5_suffix_dedup")
 def op5(spark, table):
-    return suffix_dedup.dedup(table("documents"), keep_text=False).drop("kept")
+    return suffix_dedup.dedup(table("documents"), keep_text=False).drop("kept", "kept_text")
 
 
 @query("op6_byte_bpe")

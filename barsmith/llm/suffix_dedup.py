@@ -31,7 +31,7 @@ LENGTH, GRAM = 200, 32
 SLICE, FLUSH, SHARD_BYTES, INDEX_BYTES, MAX_SHARDS = 1 << 20, 300_000, 16 << 20, 3 << 20, 4096
 HOT_SEGMENTS, HOT_ANCHORS = 2000, 5000  # an anchor is hot above this many segments and this share of all
 BROADCAST_ROWS = 1_000_000  # of document keys: 12 MB
-DONE = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
+DONE = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary, kept_text string"
 _U = np.uint64
 _TABLE = mix(np.arange(1, 257, dtype=np.uint64))
 
@@ -78,11 +78,11 @@ def segments(data: np.ndarray, offsets: np.ndarray, common: np.ndarray | None =
     return anchor, row, first, last - first + LENGTH, again
 
 
-def keyed(docs: DataFrame) -> DataFrame:
+def keyed(docs: DataFrame, carry=()) -> DataFrame:
     """k1, k2: what names a row's text in the joins; rows with equal keys have equal texts for all that matters here."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(-1 << 63)).alias("k1"), F.hash(text).alias("k2"),
-                       F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
+                       F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), *(F.col(c).alias(f"_{c}") for c in carry))
 
 
 _FIELDS = ("anchor", "seg", "k1", "k2", "start", "size", "copies")
@@ -354,9 +354,11 @@ def deal_hot(texts: DataFrame) -> tuple[DataFrame, DataFrame | None]:
     return texts.join(hot, "anchor", "left_anti").unionByName(distinct), parts.drop("text", "copies")
 
 
-def dedup(docs: DataFrame, keep_text: bool = True) -> DataFrame:
-    """DONE per document; kept: the bytes that stay, or null without keep_text."""
-    rows = keyed(docs)
+def dedup(docs: DataFrame, keep_text: bool = True, carry=()) -> DataFrame:
+    """DONE per document; kept: the bytes that stay, kept_text: them without characters cut in two (both null without keep_text); then
+    the columns `carry` of docs, renamed _name."""
+    carried = [f"_{c}" for c in carry]
+    full, rows = keyed(docs, carry), keyed(docs)
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     bits = min(MAX_SHARDS, max(2, size // 2 // SHARD_BYTES)).bit_length()
     seen = stage(repeated_occurrences(rows, bits), "occurrences")
@@ -373,7 +375,7 @@ def dedup(docs: DataFrame, keep_text: bool = True) -> DataFrame:
 
     def remove(batches):
         for b in batches:
-            out = {n: [] for n in ("n_bytes", "n_removed", "n_spans", "kept_sha256", "kept")}
+            out = {n: [] for n in ("n_bytes", "n_removed", "n_spans", "kept_sha256", "kept", "kept_text")}
             for text, cut in zip(b.column(1).cast(pa.large_binary()), b.column(2)):
                 raw, kept, end, removed, n = text.as_py(), [], 0, 0, 0
                 for lo, hi in sorted((c["start"] + s["lo"], c["start"] + s["hi"]) for c in cut.as_py() or () for s in c["spans"]):
@@ -382,13 +384,18 @@ def dedup(docs: DataFrame, keep_text: bool = True) -> DataFrame:
                         n += 1
                     removed += max(hi - max(lo, end), 0)
                     end = max(end, hi)
-                rest = b"".join([*kept, raw[end:]])
-                for name, value in zip(out, (len(raw), removed, n, hashlib.sha256(rest).hexdigest(), rest if keep_text else None)):
+                kept.append(raw[end:])
+                rest = b"".join(kept)
+                text = "".join(p.decode("utf-8", "ignore") for p in kept) if keep_text else None
+                for name, value in zip(out, (len(raw), removed, n, hashlib.sha256(rest).hexdigest(), rest if keep_text else None, text)):
                     out[name].append(value)
             yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(v, t) for v, t in zip(
-                out.values(), (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary())))], names=["doc_id", *out])
+                out.values(), (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary(), pa.string()))), *b.columns[3:]],
+                names=["doc_id", *out, *carried])
 
     keys = stage(found.select("k1", "k2").distinct(), "keys")
-    touched = _with_keys(rows, keys, "left_semi").join(cuts, ["k1", "k2"]).select("doc_id", "text", "cuts")
-    clean = _with_keys(rows, keys, "left_anti").select("doc_id", "text", F.lit(None).cast(cuts.schema["cuts"].dataType).alias("cuts"))
-    return touched.unionAll(clean).mapInArrow(remove, DONE)
+    touched = _with_keys(full, keys, "left_semi").join(cuts, ["k1", "k2"]).select("doc_id", "text", "cuts", *carried)
+    clean = _with_keys(full, keys, "left_anti").select(
+        "doc_id", "text", F.lit(None).cast(cuts.schema["cuts"].dataType).alias("cuts"), *carried)
+    schema = ", ".join([DONE, *(f"`{c}` {full.schema[c].dataType.simpleString()}" for c in carried)])
+    return touched.unionAll(clean).mapInArrow(remove, schema)

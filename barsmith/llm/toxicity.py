@@ -63,8 +63,10 @@ def subsequences(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray
 
 
 def windows(word: bytes) -> list[bytes]:
-    """The word without outer punctuation; a long one as overlapping windows."""
-    word = word.strip(_TRIM)
+    """The word without outer punctuation, and without any; a long one as overlapping windows."""
+    word, bare = word.strip(_TRIM), word.translate(None, _TRIM)
+    if bare != word and bare:
+        return windows(bare) + ([word] if len(word) <= WORD else [])
     return [word] if len(word) <= WORD else [word[i:i + WORD] for i in range(0, len(word) - WORD // 2, WORD // 2)]
 
 
@@ -269,22 +271,28 @@ def train(docs: DataFrame, labels: DataFrame, fold: int = 5, rows: int = TRAIN_R
     return machine, logistic(x, facts.column("toxic").to_numpy().astype(float))
 
 
-def score_documents(docs: DataFrame, labels: DataFrame, fold: int = 5) -> DataFrame:
-    """doc_id, held_out, score, predicted and the facts a score rests on, per document."""
-    spark = docs.sparkSession
+def with_scores(docs: DataFrame, labels: DataFrame, fold: int = 5) -> DataFrame:
+    """The rows of docs as they are, plus score and FACTS."""
     trained = train(docs, labels, fold)
-    rows = docs.select(F.col("doc_id").cast("long"), (fold_of(fold) == 0).alias("held_out"), F.col("text").cast("string"))
-    columns = "doc_id long, held_out boolean, " + FACTS
+    lead = len(docs.columns)
+    names = [f"c{i}" for i in range(lead)]
+    rows = docs.toDF(*names).withColumn("text_", F.col(names[docs.columns.index("text")]).cast("string"))
     if trained is None:
-        score = rows.select("doc_id", "held_out", F.lit(0.0).alias("score"))
-        return score.withColumn("predicted", F.lit(0))
-    sent = spark.sparkContext.broadcast(trained[0])
-    beta = trained[1].tolist()
-    facts = rows.mapInArrow(lambda it: text_facts(it, sent.value, 2), columns)
+        return docs.select("*", F.lit(0.0).alias("score"), F.lit(-1.0).alias("best"),
+                           *(F.lit(0).cast("long").alias(n) for n in ("toxic_words", "toxic_sentences", "n_words")))
+    sent = docs.sparkSession.sparkContext.broadcast(trained[0])
+    schema = ", ".join(f"c{i} {f.dataType.simpleString()}" for i, f in enumerate(docs.schema)) + ", " + FACTS
+    facts = rows.mapInArrow(lambda it: text_facts(it, sent.value, lead), schema)
     share = 300 * F.col("toxic_words") / F.greatest("n_words", F.lit(1))
     parts = (F.lit(1.0), F.least(F.greatest("best", F.lit(-1.0)), F.lit(1.5)), F.log1p("toxic_words"), F.log1p("toxic_sentences"),
              F.log1p(share))
-    total = sum((F.lit(b) * p for b, p in zip(beta, parts)), F.lit(0.0))
-    scored = facts.withColumn("score", 1 / (1 + F.exp(-total)))
-    return scored.select("doc_id", "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    total = sum((F.lit(b) * p for b, p in zip(trained[1].tolist(), parts)), F.lit(0.0))
+    found = ("best", "toxic_words", "toxic_sentences", "n_words")
+    return facts.withColumn("score_", 1 / (1 + F.exp(-total))).select(*names, "score_", *found).toDF(*docs.columns, "score", *found)
+
+
+def score_documents(docs: DataFrame, labels: DataFrame, fold: int = 5) -> DataFrame:
+    """doc_id, held_out, score, predicted and the facts a score rests on, per document."""
+    scored = with_scores(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), labels, fold)
+    return scored.select("doc_id", (fold_of(fold) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"),
                          "toxic_words", "toxic_sentences", "n_words")
