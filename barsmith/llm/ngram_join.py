@@ -12,10 +12,11 @@ instance with another hash seed, which every other such set joins too, and after
 
 Equal sets join as one class. Signatures go to shards in packed blocks. Per shard, those of two or more sets remain. A linked
 pair agrees in all the subsets that its differing shingles leave, so of each instance a set must share as many signatures as it
-sent less those; sets that share fewer go. Each class
-is first compared with the leader it shares most signatures with; then every pair that shares a signature and
-is not yet in one component is compared exactly. So large groups of near copies cost one comparison a member, and no link
-between different components is missed.
+sent less those; sets that share fewer go. Every class joins the family of the leader it shares most signatures with (a signature's
+leader is the class that meets most others). A family is compared within, in blocks of bounded size, by products of
+incidence matrices that emit only links enough to connect it; then all pairs of different families that share a
+signature and are not yet in one component are compared one by one. So large groups of near copies, and of texts not quite near
+enough, emit no pairs, and no link between components is missed.
 
 Defined cases: null and empty texts have no shingles and link with nothing; fewer than five words are one shingle; repeated
 rows are equal sets; a null doc_id takes part but never names a component; an empty table gives an empty result; extra
@@ -35,6 +36,7 @@ from barsmith.session import stage
 
 WIDTH, NUM, DEN = 5, 3, 4  # five words; similarity 3/4
 SEEDS, COMMON = 6, 0.002
+BLOCK_SETS = 512
 SLICE, FLUSH, SHARD_BYTES, MAX_SHARDS = 4 << 20, 2_000_000, 32 << 20, 4096
 BROADCAST_ROWS = 1_000_000  # of doc_ids: 8 MB
 SETS = "doc_id long, n long, h1 long, h2 long, common long"
@@ -258,8 +260,77 @@ def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
         both * DEN >= NUM * (F.size("sa") + F.size("sb") - both)).select("a", "b")
 
 
+def overlaps(sets: list[np.ndarray]) -> np.ndarray:
+    """Sizes of all intersections: shingles that many sets hold by a matrix product, the others place by place."""
+    g = len(sets)
+    own = np.repeat(np.arange(g), [len(x) for x in sets])
+    _, column, df = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    often = df > max(1, g // 100)
+    name = np.cumsum(often) - 1
+    dense = np.zeros((g, int(often.sum())), np.float32)
+    at = often[column]
+    dense[own[at], name[column[at]]] = 1
+    out = (dense @ dense.T).astype(np.int32)
+    rest = np.flatnonzero(~at & (df[column] > 1))
+    rest = rest[np.argsort(column[rest], kind="stable")]
+    size = df[column[rest]]
+    first = np.flatnonzero(np.append(True, np.diff(column[rest]) != 0)) if len(rest) else rest
+    head = np.repeat(first, size[first])
+    i = np.repeat(np.arange(len(rest)), size)
+    j = np.repeat(head, size) + np.arange(len(i)) - np.repeat(np.cumsum(size) - size, size)
+    np.add.at(out, (own[rest[i]], own[rest[j]]), 1)
+    np.fill_diagonal(out, [len(x) for x in sets])
+    return out
+
+
+def _connect(key, table):
+    """a, b: links that connect what links connect among the sets of a table (class, shingles)."""
+    classes = table.column("class").to_numpy()
+    sets = [x.values.to_numpy() for x in table.column("shingles")]
+    size = np.array([len(x) for x in sets])
+    both = overlaps(sets)
+    link = both * DEN >= NUM * (size[:, None] + size[None, :] - both)
+    left, edges = np.ones(len(sets), bool), []
+    for start in range(len(sets)):
+        reach = [start] if left[start] else []
+        left[start] = False
+        while reach:
+            x = reach.pop()
+            new = np.flatnonzero(link[x] & left)
+            left[new] = False
+            reach += new.tolist()
+            edges += [(classes[x], classes[y]) for y in new]
+    return pa.table({"a": pa.array([e[0] for e in edges], pa.int64()), "b": pa.array([e[1] for e in edges], pa.int64())})
+
+
+def link_classes(busy: DataFrame, arrays: DataFrame) -> DataFrame:
+    """a, b: links enough to connect all classes of `busy` (sign, class, n) that links connect."""
+    meets = busy.join(busy.groupBy("sign").agg(F.count("*").alias("size")), "sign").groupBy("class").agg(F.sum("size").alias("meets"))
+    leads = busy.join(meets, "class").groupBy("sign").agg(F.max_by("class", F.struct("meets", -F.col("class"))).alias("lead"))
+    votes = busy.join(leads, "sign").groupBy("class", "lead").agg(F.count("*").alias("votes"))
+    homes = stage(votes.groupBy("class").agg(F.max_by("lead", F.struct("votes", -F.col("lead"))).alias("home")), "homes")
+    members = homes.unionAll(homes.select(F.col("home").alias("class"), "home")).distinct()
+    spread = members.groupBy("home").agg(F.count("*").alias("g")).filter("g > 1").select("home", F.ceil(F.col("g") / BLOCK_SETS).alias("blocks"))
+    # Each pair of blocks is one task's: a set goes to as many as there are blocks.
+    own = F.pmod(F.xxhash64("class"), F.col("blocks"))
+    pairs = F.transform(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1), lambda i: F.struct(
+        F.least(i, F.col("own")).alias("i"), F.greatest(i, F.col("own")).alias("j")))
+    dealt = members.join(spread, "home").withColumn("own", own).select("class", "home", F.explode(pairs).alias("part"))
+    held = dealt.join(arrays.withColumnRenamed("doc_id", "class"), "class")
+    links = stage(held.groupBy("home", "part").applyInArrow(_connect, "a long, b long"), "links")
+    label = busy.join(homes, "class").join(components(links).withColumnRenamed("node", "class"), "class", "left").select(
+        "sign", "class", "n", "home", F.coalesce("component", "class").alias("component"))
+    mixed = label.groupBy("sign").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.min("home").alias("h1"),
+                                      F.max("home").alias("h2")).filter("lo < hi AND h1 < h2")
+    open_ = stage(label.join(mixed, "sign", "left_semi"), "open")
+    apart = open_.alias("x").join(open_.alias("y"), F.expr(
+        f"x.sign = y.sign AND x.home < y.home AND x.component != y.component AND x.n * {DEN} >= y.n * {NUM} "
+        f"AND y.n * {DEN} >= x.n * {NUM}")).select(F.col("x.class").alias("a"), F.col("y.class").alias("b")).distinct()
+    return links.unionAll(stage(linked(apart, arrays), "links"))
+
+
 def join_documents(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id, n_links (links found to differing sets; 0 where none was needed) per document."""
+    """doc_id, n_shingles, component_id per document."""
     spark = docs.sparkSession
     described = stage(describe_sets(docs), "sets")
     sets = described.filter("common IS NULL")
@@ -280,31 +351,14 @@ def join_documents(docs: DataFrame) -> DataFrame:
     held = stage(known.distinct(), "held")
     owed = held.filter("need IS NOT NULL").groupBy("class", F.col("sign").alias("slot")).agg(F.max("need").alias("need"))
     held = held.filter("need IS NULL").select("sign", "class", "n", F.col("sign").bitwiseAND(15).alias("slot"))
-    for label in ("held", "held"):  # sets that go leave others fewer to share
-        several = held.groupBy("sign").agg(F.min("class").alias("lead"), F.max("class").alias("last")).filter("lead < last")
-        shares = held.join(several, "sign", "left_semi")
-        enough = shares.groupBy("class", "slot").agg(F.count("*").alias("has")).join(owed, ["class", "slot"]).filter("has >= need")
-        held = stage(shares.join(enough, ["class", "slot"], "left_semi").select("sign", "class", "n", "slot"), label)
     several = held.groupBy("sign").agg(F.min("class").alias("lead"), F.max("class").alias("last")).filter("lead < last")
-    votes = held.join(several, "sign").filter("class > lead").groupBy("class", "lead").agg(F.count("*").alias("votes"))
-    leads = votes.groupBy("class").agg(F.max_by("lead", F.struct("votes", -F.col("lead"))).alias("lead"))
-    busy = stage(held.join(several, "sign", "left_semi"), "busy")
+    shares = held.join(several, "sign", "left_semi")
+    enough = shares.groupBy("class", "slot").agg(F.count("*").alias("has")).join(owed, ["class", "slot"]).filter("has >= need")
+    busy = stage(shares.join(enough, ["class", "slot"], "left_semi").select("sign", "class", "n"), "busy")
     arrays = stage(shingle_arrays(docs, busy.select(F.col("class").alias("doc_id")).distinct()), "shingles")
-    first = stage(linked(leads.select(F.col("lead").alias("a"), F.col("class").alias("b")), arrays), "links")
-    found = components(first)
-    label = busy.join(found.withColumnRenamed("node", "class"), "class", "left").select(
-        "sign", "class", "n", F.coalesce("component", "class").alias("component"))
-    mixed = label.groupBy("sign").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi")
-    open_ = stage(label.join(mixed, "sign", "left_semi"), "open")
-    pairs = open_.alias("x").join(open_.alias("y"), F.expr(
-        f"x.sign = y.sign AND x.component < y.component AND x.n * {DEN} >= y.n * {NUM} AND y.n * {DEN} >= x.n * {NUM}")).select(
-        F.col("x.class").alias("a"), F.col("y.class").alias("b")).distinct()
-    second = stage(linked(pairs, arrays), "links")
-    links = first.unionAll(second)
+    links = link_classes(busy, arrays)
     found = components(links)
-    degree = links.select(F.explode(F.array("a", "b")).alias("class")).groupBy("class").agg(F.count("*").alias("n_links"))
-    named = classes.join(found.withColumnRenamed("node", "class"), "class", "left").join(degree, "class", "left").select(
-        *key, F.coalesce("component", "class").alias("component_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    named = classes.join(found.withColumnRenamed("node", "class"), "class", "left").select(
+        *key, F.coalesce("component", "class").alias("component_id"))
     return sets.join(named, key, "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"),
-        F.coalesce("n_links", F.lit(0)).alias("n_links"))
+        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
