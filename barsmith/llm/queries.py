@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from barsmith.llm import bpe, chat, decontaminate, kneser_ney, ngram_join, suffix_dedup, topk, toxicity, url_rules
+from barsmith.llm import bpe, chat, decontaminate, html_text, kneser_ney, ngram_join, suffix_dedup, topk, toxicity, url_rules
 from barsmith.session import configure, ship
 
 QUERIES, ORACLES = {}, {}
@@ -137,3 +137,8 @@ SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
 def op9(spark, table):
     vectors = table("embeddings").select("vec_id", topk.quantised(F.col("embedding")).alias("v"))
     return topk.top_k(vectors, F.col("vec_id") % 20 == 0)
+
+
+@query("op10_html_text")
+def op10(spark, table):
+    return html_text.extract(table("pages"))
