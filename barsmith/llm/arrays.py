@@ -89,3 +89,10 @@ def delta_planes(x: np.ndarray, width: int = 8) -> bytes:
 
 def from_delta_planes(data: bytes, width: int = 8) -> np.ndarray:
     return np.cumsum(from_planes(data, width), dtype=np.uint64)
+
+
+def tuned(spark):
+    """Arrow batches of at most 1000 rows: texts are long, and a task holds several copies of a batch."""
+    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > 1000:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    return spark

@@ -13,7 +13,7 @@ instance with another hash seed, which every other such set joins too, and after
 Equal sets join as one class. Signatures go to shards in packed blocks. Per shard, those of two or more sets remain. A linked
 pair agrees in all the subsets that its differing shingles leave, so of each instance a set must share as many signatures as it
 sent less those; sets that share fewer go. Every class joins the family of the leader it shares most signatures with (a signature's
-leader is the class that meets most others). A family is compared within, in blocks of bounded size, by products of
+leader is the class that meets most others), then moves to the family with most members at most of its signatures. A family is compared within, in blocks of bounded size, by products of
 incidence matrices that emit only links enough to connect it; then all pairs of different families that share a
 signature and are not yet in one component are compared one by one. So large groups of near copies, and of texts not quite near
 enough, emit no pairs, and no link between components is missed.
@@ -36,7 +36,7 @@ from barsmith.session import stage
 
 WIDTH, NUM, DEN = 5, 3, 4  # five words; similarity 3/4
 SEEDS, COMMON = 6, 0.002
-BLOCK_SETS = 512
+BLOCK_SETS, MOVES, DENSE = 512, 1, 500
 SLICE, FLUSH, SHARD_BYTES, MAX_SHARDS = 4 << 20, 2_000_000, 32 << 20, 4096
 BROADCAST_ROWS = 1_000_000  # of doc_ids: 8 MB
 SETS = "doc_id long, n long, h1 long, h2 long, common long"
@@ -309,24 +309,51 @@ def link_classes(busy: DataFrame, arrays: DataFrame) -> DataFrame:
     leads = busy.join(meets, "class").groupBy("sign").agg(F.max_by("class", F.struct("meets", -F.col("class"))).alias("lead"))
     votes = busy.join(leads, "sign").groupBy("class", "lead").agg(F.count("*").alias("votes"))
     homes = stage(votes.groupBy("class").agg(F.max_by("lead", F.struct("votes", -F.col("lead"))).alias("home")), "homes")
+    for _ in range(MOVES):  # then moves to the family that leads most of its signatures
+        held = busy.select("sign", "class").join(homes, "class")
+        ruling = held.groupBy("sign", "home").agg(F.count("*").alias("k")).groupBy("sign").agg(
+            F.max_by("home", F.struct("k", -F.col("home"))).alias("ruler"), F.max("k").alias("k"))
+        counted = held.join(ruling, "sign").groupBy("class", "ruler").agg(F.count("*").alias("votes"), F.max("k").alias("k"))
+        homes = stage(counted.groupBy("class").agg(F.max_by("ruler", F.struct("votes", "k", -F.col("ruler"))).alias("home")), "homes")
+    links = _products(homes, arrays)
+
+    def still_apart(links, homes):
+        """Rows of the signatures that classes of different components and families share."""
+        label = busy.join(homes, "class").join(components(links).withColumnRenamed("node", "class"), "class", "left").select(
+            "sign", "class", "n", "home", F.coalesce("component", "class").alias("component"))
+        mixed = label.groupBy("sign").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.min("home").alias("h1"),
+                                          F.max("home").alias("h2")).filter("lo < hi AND h1 < h2")
+        return stage(label.join(mixed, "sign", "left_semi"), "open")
+
+    # Families that share very many signatures are compared as one.
+    open_ = still_apart(links, homes)
+    at = open_.groupBy("sign", "home").agg(F.count("*").alias("k"))
+    dense = at.alias("x").join(at.alias("y"), F.expr("x.sign = y.sign AND x.home < y.home")).groupBy(
+        F.col("x.home").alias("a"), F.col("y.home").alias("b")).agg(F.sum(F.expr("x.k * y.k")).alias("rows")).filter(F.col("rows") >= DENSE)
+    groups = components(dense.select("a", "b"))
+    merged = open_.select("class", "home").distinct().join(
+        groups.select(F.col("node").alias("home"), F.col("component").alias("group")), "home").select("class", F.col("group").alias("home"))
+    links = links.unionAll(_products(merged, arrays))
+    homes = stage(homes.join(groups.select(F.col("node").alias("home"), F.col("component").alias("group")), "home", "left").select(
+        "class", F.coalesce("group", "home").alias("home")), "homes")
+    open_ = still_apart(links, homes)
+    apart = open_.alias("x").join(open_.alias("y"), F.expr(
+        f"x.sign = y.sign AND x.home < y.home AND x.component != y.component AND x.n * {DEN} >= y.n * {NUM} "
+        f"AND y.n * {DEN} >= x.n * {NUM}")).select(F.col("x.class").alias("a"), F.col("y.class").alias("b")).distinct()
+    return links.unionAll(stage(linked(apart, arrays), "links"))
+
+
+def _products(homes: DataFrame, arrays: DataFrame) -> DataFrame:
+    """a, b: links enough to connect each family of homes (class, home). A family falls into blocks of about BLOCK_SETS, and each
+    pair of blocks is one task's: a set goes to as many as there are blocks."""
     members = homes.unionAll(homes.select(F.col("home").alias("class"), "home")).distinct()
     spread = members.groupBy("home").agg(F.count("*").alias("g")).filter("g > 1").select("home", F.ceil(F.col("g") / BLOCK_SETS).alias("blocks"))
-    # Each pair of blocks is one task's: a set goes to as many as there are blocks.
     own = F.pmod(F.xxhash64("class"), F.col("blocks"))
     pairs = F.transform(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1), lambda i: F.struct(
         F.least(i, F.col("own")).alias("i"), F.greatest(i, F.col("own")).alias("j")))
     dealt = members.join(spread, "home").withColumn("own", own).select("class", "home", F.explode(pairs).alias("part"))
     held = dealt.join(arrays.withColumnRenamed("doc_id", "class"), "class")
-    links = stage(held.groupBy("home", "part").applyInArrow(_connect, "a long, b long"), "links")
-    label = busy.join(homes, "class").join(components(links).withColumnRenamed("node", "class"), "class", "left").select(
-        "sign", "class", "n", "home", F.coalesce("component", "class").alias("component"))
-    mixed = label.groupBy("sign").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.min("home").alias("h1"),
-                                      F.max("home").alias("h2")).filter("lo < hi AND h1 < h2")
-    open_ = stage(label.join(mixed, "sign", "left_semi"), "open")
-    apart = open_.alias("x").join(open_.alias("y"), F.expr(
-        f"x.sign = y.sign AND x.home < y.home AND x.component != y.component AND x.n * {DEN} >= y.n * {NUM} "
-        f"AND y.n * {DEN} >= x.n * {NUM}")).select(F.col("x.class").alias("a"), F.col("y.class").alias("b")).distinct()
-    return links.unionAll(stage(linked(apart, arrays), "links"))
+    return stage(held.groupBy("home", "part").applyInArrow(_connect, "a long, b long"), "links")
 
 
 def join_documents(docs: DataFrame) -> DataFrame:

@@ -4,6 +4,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from barsmith.llm import bpe, chat, decontaminate, html_text, kneser_ney, ngram_join, suffix_dedup, topk, toxicity, url_rules
+from barsmith.llm.arrays import tuned
 from barsmith.session import configure, ship
 
 QUERIES, ORACLES = {}, {}
@@ -12,7 +13,7 @@ QUERIES, ORACLES = {}, {}
 def query(name: str, sql: str | None = None):
     def register(build):
         def run(spark, sf_dir):
-            return build(ship(configure(spark)), lambda table: spark.read.parquet(f"{sf_dir}/{table}.parquet"))
+            return build(tuned(ship(configure(spark))), lambda table: spark.read.parquet(f"{sf_dir}/{table}.parquet"))
 
         QUERIES[name] = run
         if sql:

@@ -28,7 +28,7 @@ from barsmith.llm.arrays import delta_planes, from_delta_planes, from_planes, mi
 from barsmith.session import stage
 
 LENGTH, GRAM = 200, 32
-SLICE, FLUSH, SHARD_BYTES, INDEX_BYTES, MAX_SHARDS = 1 << 20, 300_000, 16 << 20, 3 << 20, 4096
+SLICE, FLUSH, SHARD_BYTES, INDEX_BYTES, MAX_SHARDS = 1 << 20, 200_000, 16 << 20, 2 << 20, 4096
 HOT_SEGMENTS, HOT_ANCHORS = 2000, 5000  # an anchor is hot above this many segments and this share of all
 BROADCAST_ROWS = 1_000_000  # of document keys: 12 MB
 DONE = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary, kept_text string"

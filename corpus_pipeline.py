@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barsmith.llm import bpe, decontaminate, ngram_join, suffix_dedup, toxicity
+from barsmith.llm.arrays import tuned
 from barsmith.session import configure, ship, stage
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -25,14 +26,14 @@ def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents predicted toxic go. The classifier learns from `labels` and the documents at hand."""
-    ship(configure(spark))
+    tuned(ship(configure(spark)))
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     return toxicity.with_scores(docs.select(*COLUMNS), labels).filter("score < 0.5").select(*COLUMNS)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of linked documents the one with the least doc_id stays; of rows with one doc_id, one."""
-    ship(configure(spark))
+    tuned(ship(configure(spark)))
     found = ngram_join.join_documents(docs)
     left = without(docs.select(*COLUMNS), found.filter("doc_id != component_id"))
     twice = stage(docs.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1").select("doc_id"), "twice")
@@ -44,7 +45,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Strings of 200 bytes that occur twice go from the texts; a character cut in two goes with them. All rows stay."""
-    ship(configure(spark))
+    tuned(ship(configure(spark)))
     done = suffix_dedup.dedup(docs, carry=("lang", "source"))
     return done.select("doc_id", F.col("kept_text").alias("text"), F.col("_lang").alias("lang"), F.col("_source").alias("source"),
                        F.length("kept_text").cast("long").alias("n_chars"))
@@ -52,14 +53,14 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item go."""
-    ship(configure(spark))
+    tuned(ship(configure(spark)))
     found = decontaminate.contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
     return without(docs.select(*COLUMNS), found.filter("doc_id IS NOT NULL"))
 
 
 def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, digests and the ids as little-endian unsigned 32-bit integers."""
-    ship(configure(spark))
+    tuned(ship(configure(spark)))
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     return bpe.encode_documents(docs, path, public_tokenizers.PATTERN)
 
