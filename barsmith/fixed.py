@@ -85,12 +85,12 @@ UNKNOWN_EXPIRY = "UNKNOWN"
 SECONDS_PER_CALL = 0.35
 
 # ---- Fixed values: file-name and file-body date formats ----
-# The name may be a file's or, with "=", a folder's.
-PRICE_FILE_DATE = ("sec_bhavdata_full[_=](\\d{8})", "ddMMyyyy")
-MCAP_FILE_DATE = ("PR=?(\\d{6})", "ddMMyy")
+# From the file's own name or, with "=", its folder's; no folder of another form counts.
+PRICE_FILE_DATE = ("sec_bhavdata_full_(\\d{8})[^/]*$|/sec_bhavdata_full=(\\d{8})/[^/]*$", "ddMMyyyy")
+MCAP_FILE_DATE = ("PR(\\d{6})[^/]*$|/PR=(\\d{6})/[^/]*$", "ddMMyy")
 PRICE_ROW_DATE = "d-MMM-yyyy"
 MCAP_ROW_DATE = "d MMM yyyy"
-EXPIRY_DATES = ("d/M/yyyy", "yyyy-MM-dd", "d-MMM-yyyy", "d-M-yyyy")
+EXPIRY_DATES = ("d/M/yyyy", "yyyy-MM-dd", "d-MMM-yyyy", "d-M-yyyy", "d MMM yyyy", "d/M/yy")
 INSTRUMENT_DATES = ("yyyy-MM-dd", "yyyy-MM-dd HH:mm:ss")
 
 # ---- Fixed values: exchange holidays that fall on weekdays ----

@@ -57,8 +57,10 @@ def split_rejects(df: DataFrame, *required: str) -> tuple[DataFrame, DataFrame]:
 
 
 def strict_date(c, fmt: str) -> Column:
-    """Trimmed text to DATE; fails the job on other text."""
-    return F.to_date(strip(c), fmt)
+    """Trimmed text to DATE; fails the job on other text, in ANSI mode or not."""
+    text = strip(c)
+    wrong = F.raise_error(F.concat(F.lit(f"not a date like {fmt}: "), text)).cast("date")
+    return F.coalesce(F.try_to_date(text, fmt), F.when(text.isNotNull(), wrong))
 
 
 def _shape(fmt: str) -> str:
@@ -81,6 +83,13 @@ def lenient_date(c, *formats: str) -> Column:
     return F.coalesce(*[F.when(text.rlike(_shape(f)), F.try_to_date(text, f)) for f in formats])
 
 
+def known_date(c, *formats: str) -> Column:
+    """lenient_date that fails the job on text of no format; NULL and empty text are NULL."""
+    text = strip(c)
+    wrong = F.raise_error(F.concat(F.lit("not a known date form: "), text)).cast("date")
+    return F.coalesce(lenient_date(c, *formats), F.when(F.coalesce(text, F.lit("")) != "", wrong))
+
+
 def scrub(c) -> Column:
     """NaN and infinities to NULL (Spark orders NaN above infinity)."""
     c = _col(c)

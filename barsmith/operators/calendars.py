@@ -63,7 +63,7 @@ def with_contiguous_windows(df: DataFrame, *, start, end, window_days: int) -> D
 def contiguous_windows(spark: SparkSession, *, start, end, window_days: int) -> DataFrame:
     start, end = fn.to_date_arg(start), fn.to_date_arg(end)
     if end < start:
-        raise ValueError(f"end {end} is before start {start}")
+        raise ValueError(f"no window fits from {start} to {end}")
     return with_contiguous_windows(spark.range(1), start=start, end=end,
                                    window_days=window_days).drop("id")
 

@@ -16,10 +16,12 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence) -> DataFrame
 
 
 def prefer_source(rows: DataFrame, cell: Sequence[str], flag: str, preferred) -> DataFrame:
-    """Rows of the preferred flag; a cell without any takes the other flag's rows.
+    """Rows of the preferred flag; a cell without any takes the other flag's rows. NULLs form cells like values.
 
     Each cell's best priority is pre-aggregated to one row, so the join back splits hot cells.
     """
     ranked = rows.withColumn("_p", F.when(F.col(flag) == preferred, 0).otherwise(1))
-    best = ranked.groupBy(*cell).agg(F.min("_p").alias("_p"))
-    return ranked.join(best, [*cell, "_p"], "left_semi").drop("_p")
+    # One struct key: structs compare NULL fields as equal.
+    keyed = ranked.withColumn("_cell", F.struct(*[F.col(c) for c in cell]))
+    best = keyed.groupBy("_cell").agg(F.min("_p").alias("_p"))
+    return keyed.join(best, ["_cell", "_p"], "left_semi").drop("_p", "_cell")

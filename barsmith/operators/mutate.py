@@ -35,15 +35,15 @@ def upsert(target: DataFrame, source: DataFrame, key: str = "row_id",
     """Target with matched rows' values replaced (by NULL too) and new rows added.
 
     Matched rows keep every other column of the target. `source` holds each key once.
+    No full outer join: a small source is broadcast to the target, whose rows then stay where they are.
     """
-    t = target.withColumn("_in", F.lit(True)).alias("t")
-    s = source.withColumn("_in", F.lit(True)).alias("s")
-    joined = t.join(s, F.col(f"t.{key}") == F.col(f"s.{key}"), "full_outer")
-    old, new = F.col("t._in").isNotNull(), F.col("s._in").isNotNull()
-    return joined.select(*[
-        (F.when(new, F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")) if c in values
-         else F.when(old, F.col(f"t.{c}")).otherwise(F.col(f"s.{c}"))).alias(c)
+    t, s = target.alias("t"), source.withColumn("_in", F.lit(True)).alias("s")
+    new = F.col("s._in").isNotNull()
+    kept = t.join(s, F.col(f"t.{key}") == F.col(f"s.{key}"), "left").select(*[
+        (F.when(new, F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")) if c in values else F.col(f"t.{c}")).alias(c)
         for c in target.columns])
+    known = target.select(key).join(source.select(key), key, "left_semi")
+    return kept.unionByName(source.join(known, key, "left_anti").select(*target.columns))
 
 
 def delete_where(df: DataFrame, condition: Column) -> DataFrame:

@@ -11,13 +11,13 @@ from barsmith.sources.stored import table_or_empty
 def latest_intraday(spark: SparkSession, settings: Settings, scrip: str | None = None,
                     interval: int | None = None):
     """The instant of the last stored candle, or None."""
-    settings.require("intraday_table")
+    settings.check("intraday")
     stored = table_or_empty(spark, settings.intraday_table, schemas.INTRADAY)
     return coverage.latest_candle(stored, scrip, interval).first()[0]
 
 
 def latest_option_date(spark: SparkSession, settings: Settings, ticker: str = "NIFTY"):
     """The last stored trade date of a ticker, or None."""
-    settings.require("option_table")
+    settings.check("options")
     stored = table_or_empty(spark, settings.option_table, schemas.OPTIONS)
     return coverage.latest_date(stored, ticker).first()[0]

@@ -21,8 +21,8 @@ def _scrip_list(df: DataFrame) -> list[str]:
 
 
 def _fetched(responses: DataFrame, label: str) -> tuple[DataFrame, int]:
-    """Staged daily candles, and how many were rejected for an unreadable timestamp."""
-    good, bad = fn.split_rejects(stage(landed.daily_candles(responses), label), "trade_date")
+    """Staged daily candles, and how many were rejected: no readable timestamp, or no part of the row id."""
+    good, bad = fn.split_rejects(stage(landed.daily_candles(responses), label), "trade_date", "scrip", "exchange", "security_id")
     return good, bad.count()
 
 
@@ -58,18 +58,22 @@ def recent_window(days: int = 4, as_of=None) -> tuple[date, date]:
 
 def run_daily(spark: SparkSession, settings: Settings, responses: DataFrame,
               mapping: DataFrame | None = None, flags_csv: str | None = None) -> dict:
-    """Check the second-last date against the stored bars, then upsert the last date."""
-    settings.require("daily_table")
+    """Check the second-last date against the stored bars, then upsert the last date.
+
+    With a mapping, only its scrips count, and `missing` lists those for which nothing has landed.
+    """
+    settings.check("daily")
     configure(spark)
     tables.ensure_table(spark, settings.daily_table, schemas.DAILY)
     if mapping is not None:
         responses = only(responses, mapping)
     fetched, rejected = _fetched(responses, "fetched")
     failed = _scrip_list(landed.failed_scrips(responses))
+    missing = without(mapping.select("scrip"), responses) if mapping is not None else responses.select("scrip").limit(0)
     summary = coverage.fetch_summary(fetched).first()
     last, check = splits.last_two_dates(fetched).first()
     report = {"rows": summary["rows"], "scrips": summary["scrips"], "last_date": last,
-              "check_date": check, "failed": failed, "rejected": rejected, "fetched": fetched}
+              "check_date": check, "failed": failed, "missing": _scrip_list(missing), "rejected": rejected, "fetched": fetched}
     if last is None:
         return {**report, "flags": splits.empty_flags(spark), "flagged": [], "flags_written": 0, "uploaded": 0}
 
@@ -86,25 +90,34 @@ def run_daily(spark: SparkSession, settings: Settings, responses: DataFrame,
 
 def run_daily_from_hourly(spark: SparkSession, settings: Settings, responses: DataFrame, start_date,
                           opens: str = fixed.MARKET_OPEN, closes: str = fixed.MARKET_CLOSE,
-                          clear_old_temp: bool = True) -> dict:
+                          clear_old_temp: bool = True, interval: int | None = None) -> dict:
     """Roll hourly candles up to temporary daily bars and upsert them.
 
-    Old temporary rows go first; those before `start_date` go again at the end.
+    Old temporary rows go first; those before `start_date` go again at the end. Landed candles of several intervals would count
+    twice, so `interval` picks one; without it they must all have the same. `failed_windows` (scrip, from_date, to_date, error)
+    lists every landed window without candles, `rejected` counts candles without a readable timestamp.
     """
-    settings.require("daily_table")
+    settings.check("daily")
     configure(spark)
     name, start = settings.daily_table, fn.to_date_arg(start_date)
     tables.ensure_table(spark, name, schemas.DAILY)
-    candles = stage(landed.hourly_candles(responses, opens, closes), "hourly")
+    if interval is not None:
+        responses = responses.where(F.col("interval_m") == interval)
+    elif responses.select("interval_m").distinct().count() > 1:
+        raise ValueError("responses of several intervals have landed: name one as interval")
+    read, unread = fn.split_rejects(stage(landed.hourly_rows(responses), "hourly_rows"), "timestamp")
+    candles = stage(landed.open_hours(read, opens, closes), "hourly")
+    windows = stage(landed.failed_windows(responses), "failed_windows")
     bars = rollup.daily_bars(candles).withColumn("row_id", fn.row_id())
     source = stage(bars.select(*schemas.DAILY_COLUMNS), "bars")
-    failed = _scrip_list(without(responses, candles.select("scrip")))
+    failed = _scrip_list(windows.select("scrip").unionByName(without(responses, candles.select("scrip")).select("scrip")))
     if clear_old_temp:
         tables.delete(spark, name, mutate.is_temp())
     uploaded = tables.upsert(spark, name, source)
     if clear_old_temp:
         tables.delete(spark, name, mutate.is_temp() & (F.col("trade_date") < F.lit(start)))
-    return {"fetched": candles.count(), "uploaded": uploaded, "failed": failed, "table": name,
+    return {"fetched": candles.count(), "uploaded": uploaded, "failed": failed, "failed_windows": windows,
+            "rejected": unread.count(), "table": name,
             "check": coverage.rows_per_date(spark.table(name), mutate.is_temp())}
 
 
@@ -114,7 +127,7 @@ def run_lifetime_reload(spark: SparkSession, settings: Settings, responses: Data
 
     A fetch without rows leaves the history as it is. A dry run needs no responses.
     """
-    settings.require("daily_table")
+    settings.check("daily")
     configure(spark)
     name = settings.daily_table
     tables.ensure_table(spark, name, schemas.DAILY)
@@ -129,8 +142,7 @@ def run_lifetime_reload(spark: SparkSession, settings: Settings, responses: Data
     source = _source(fetched)
     uploaded = source.count()
     if uploaded:
-        source.select(*stored.columns).hint("rebalance", tables.PARTITION) \
-            .write.insertInto(name, overwrite=True)
+        tables.replace(source, name, tables.PARTITION)
     elif clear_temp:
         tables.delete(spark, name, mutate.is_temp())
     return {**report, "fetched": fetched.count(), "uploaded": uploaded, "rejected": rejected,
@@ -148,7 +160,7 @@ def run_range_reload(spark: SparkSession, settings: Settings, responses: DataFra
     for a list of scrips. While a flagged scrip has none, nothing is changed and the report lists
     it under `need_lifetime`; `drop_unfetched` deletes its history all the same.
     """
-    settings.require("daily_table")
+    settings.check("daily")
     configure(spark)
     name, start, end = settings.daily_table, fn.to_date_arg(from_date), fn.to_date_arg(to_date)
     tables.ensure_table(spark, name, schemas.DAILY)
@@ -204,6 +216,6 @@ def run_daily_reload(spark: SparkSession, settings: Settings, responses: DataFra
         return run_lifetime_reload(spark, settings, responses, **options)
     if mode == "range":
         if not from_date or not to_date:
-            raise ValueError("mode 'range' needs from_date and to_date")
+            raise ValueError("a range reload takes two dates: from_date, to_date")
         return run_range_reload(spark, settings, responses, from_date, to_date, **options)
-    raise ValueError(f"mode must be 'lifetime' or 'range', not {mode!r}")
+    raise ValueError(f"unknown reload mode {mode!r}; there are 'lifetime' and 'range'")

@@ -36,7 +36,7 @@ def _counts(responses: DataFrame) -> tuple[int, int]:
 
 def run_intraday(spark: SparkSession, settings: Settings, responses: DataFrame) -> dict:
     """Append the candles that are not stored yet."""
-    settings.require("intraday_table")
+    settings.check("intraday")
     configure(spark)
     name = settings.intraday_table
     tables.ensure_table(spark, name, schemas.INTRADAY)
@@ -67,7 +67,7 @@ def run_intraday_reload_for_flagged(spark: SparkSession, settings: Settings, fla
     Old and new rows are exchanged in one write, after the responses have been read; if none
     has rows, nothing is changed.
     """
-    settings.require("intraday_table")
+    settings.check("intraday")
     configure(spark)
     name = settings.intraday_table
     tables.ensure_table(spark, name, schemas.INTRADAY)

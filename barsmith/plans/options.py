@@ -23,23 +23,37 @@ def pending_pairs(spark: SparkSession, settings: Settings, start, end,
     return calendars.pending(pairs, table_or_empty(spark, settings.option_table, schemas.OPTIONS))
 
 
+CELL = [*PAIR, "strike_offset", "option_type"]
+
+
+def stored_cells(spark: SparkSession, settings: Settings, start, end) -> DataFrame:
+    """The cells of [start, end) that have rows; their label names the strike offset."""
+    stored = table_or_empty(spark, settings.option_table, schemas.OPTIONS)
+    inside = (F.col("trade_date") >= F.lit(fn.to_date_arg(start))) & (F.col("trade_date") < F.lit(fn.to_date_arg(end)))
+    return stored.where(inside).select(*PAIR, F.col("strike_offset").alias("strike_label"), "option_type").distinct()
+
+
 def run_options(spark: SparkSession, settings: Settings, responses: DataFrame, start, end,
                 expiries: DataFrame | None = None, codes: Sequence[int] = fixed.EXPIRY_CODES,
                 offsets: Sequence[int] = fixed.OPTION_OFFSETS, tranche_days: int = 5,
                 holidays: DataFrame | None = None) -> dict:
-    """Load the landed responses of all pending pairs in one partitioned write.
+    """Load the landed responses of all cells that have no rows yet, in one partitioned write.
 
-    Pairs count as done by their stored rows, so a failed write leaves them pending.
+    A cell is a (trade date, expiry code, strike offset, option type). Each counts by its own rows, so one that failed, or whose
+    response had not landed, loads in a later run. `cells` holds every requested cell without stored rows and its outcome:
+    ok, empty, failed or missing; a pair is pending while one of its cells is failed or missing.
     """
-    settings.require("option_table")
+    settings.check("options")
     configure(spark)
     name = settings.option_table
     tables.ensure_table(spark, name, schemas.OPTIONS)
-    pairs = stage(pending_pairs(spark, settings, start, end, codes, holidays), "pairs")
-    calls, hours = calendars.request_cost(calendars.option_requests(pairs, offsets)).first()
-    chunks = calendars.tranches(pairs, tranche_days).agg(F.max("tranche")).first()[0]
-    wanted = (responses.join(guarded_broadcast(pairs), PAIR, "left_semi")
-              .where(F.col("strike_offset").isin(list(offsets))))
+    pairs = calendars.expiry_pairs(calendars.trading_days(spark, start, end, holidays), codes)
+    grid = calendars.option_requests(pairs, offsets)
+    open_cells = stage(grid.join(stored_cells(spark, settings, start, end), [*PAIR, "strike_label", "option_type"], "left_anti")
+                       .select(*CELL), "cells")
+    calls, hours = calendars.request_cost(open_cells).first()
+    chunks = calendars.tranches(open_cells, tranche_days).agg(F.max("tranche")).first()[0]
+    wanted = stage(responses.join(open_cells, CELL, "left_semi"), "wanted")
     lookup = None
     if expiries is not None:
         lookup = guarded_broadcast(stage(calendars.expiry_lookup(expiries, codes), "expiries"))
@@ -47,5 +61,11 @@ def run_options(spark: SparkSession, settings: Settings, responses: DataFrame, s
     loaded = rows.count()
     if loaded:
         tables.append(rows, name, cluster=["option_type", "expiry_code", "strike_price"])
-    return {"pending_pairs": pairs.count(), "calls": calls, "hours": hours,
-            "tranches": 0 if chunks is None else chunks + 1, "loaded": loaded, "rejected": rejects.count(), "table": name}
+    best = landed.option_outcomes(wanted).groupBy(*CELL).agg(F.min_by("outcome", "rank").alias("outcome"))
+    cells = stage(open_cells.join(best, CELL, "left").withColumn("outcome", F.coalesce("outcome", F.lit("missing"))), "outcomes")
+    count = {r.outcome: r["count"] for r in cells.groupBy("outcome").count().collect()}
+    waiting = cells.where(F.col("outcome").isin("failed", "missing"))
+    return {"pending_pairs": open_cells.select(*PAIR).distinct().count(), "calls": calls, "hours": hours,
+            "tranches": 0 if chunks is None else chunks + 1, "loaded": loaded, "rejected": rejects.count(), "table": name,
+            "cells": cells, "failed": count.get("failed", 0), "empty": count.get("empty", 0), "missing": count.get("missing", 0),
+            "still_pending": waiting.select(*PAIR).distinct().count()}

@@ -22,12 +22,12 @@ def _append_files(spark: SparkSession, name: str, rows: DataFrame, schema: str,
 
 def _check_range(start, end) -> None:
     if fn.to_date_arg(end) < fn.to_date_arg(start):
-        raise ValueError("end date must be on or after start date")
+        raise ValueError(f"no days from {start} to {end}")
 
 
 def run_price_files(spark: SparkSession, settings: Settings, path: str, start, end) -> dict:
     """Append new (date, symbol, series) rows of the daily price files in [start, end]."""
-    settings.require("price_table")
+    settings.check("prices")
     _check_range(start, end)
     configure(spark)
     rows = landed_files.price_files(spark, path, start, end)
@@ -36,7 +36,7 @@ def run_price_files(spark: SparkSession, settings: Settings, path: str, start, e
 
 def run_market_cap(spark: SparkSession, settings: Settings, path: str, start, end) -> dict:
     """Append new (trade_date, symbol, series) rows of the market-cap archives in [start, end]."""
-    settings.require("mcap_table")
+    settings.check("market_cap")
     _check_range(start, end)
     configure(spark)
     rows = landed_files.market_cap_files(spark, path, start, end)
@@ -46,7 +46,7 @@ def run_market_cap(spark: SparkSession, settings: Settings, path: str, start, en
 def run_instrument_master(spark: SparkSession, settings: Settings, path: str, segments=fixed.SEGMENTS,
                           instruments=fixed.INSTRUMENTS, types=fixed.INSTRUMENT_TYPES) -> dict:
     """Replace the instrument table by the filtered list; counts per exchange before and after."""
-    settings.require("instrument_table")
+    settings.check("instruments")
     configure(spark)
     name = settings.instrument_table
     tables.ensure_table(spark, name, schemas.INSTRUMENTS, partition=None)

@@ -1,10 +1,5 @@
 """Exchange files, instrument master, scrip lists and expiry calendars."""
 
-import io
-import zipfile
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from barsmith import fixed, schemas
@@ -12,8 +7,6 @@ from barsmith.functions import columns as fn
 from barsmith.operators.joins import guarded_broadcast, without
 from barsmith.session import stage
 
-ARCHIVE_CHUNK_ROWS = 50_000
-
 
 def read_text_csv(spark: SparkSession, path: str) -> DataFrame:
     """A CSV with header, every value text. The header's names are trimmed.
@@ -36,9 +29,10 @@ def rename_known(df: DataFrame, names: dict[str, str], extra=()) -> DataFrame:
 
 
 def file_date(rule: tuple[str, str], path: str = "_metadata.file_path") -> Column:
-    """The date a file was requested for, from its name or its folder's."""
+    """The date a file was requested for, from its name or its folder's `name=` form."""
     pattern, fmt = rule
-    return F.try_to_date(F.regexp_extract(F.col(path), pattern, 1), fmt)
+    text = F.concat(F.regexp_extract(F.col(path), pattern, 1), F.regexp_extract(F.col(path), pattern, 2))
+    return F.try_to_date(text, fmt)
 
 
 def drop_stale_files(rows: DataFrame, row_date: str, file: str = "file",
@@ -79,36 +73,64 @@ def price_files(spark: SparkSession, path: str, start, end) -> DataFrame:
     return genuine(price_rows(spark, path, start, end), "date")
 
 
-def _archive_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """The rows of each archive's first mcap* member, as text; a bad archive has none."""
-    wanted = list(fixed.MCAP_COLUMNS)
-    for batch in batches:
-        for path, content in zip(batch["path"], batch["content"]):
-            try:
-                archive = zipfile.ZipFile(io.BytesIO(content))
-            except zipfile.BadZipFile:
-                continue
-            member = next((n for n in archive.namelist() if n.lower().startswith("mcap")), None)
-            if member is None:
-                continue
-            with archive.open(member) as lines:
-                for chunk in pd.read_csv(lines, dtype=str, keep_default_na=False,
-                                         skipinitialspace=True, chunksize=ARCHIVE_CHUNK_ROWS):
-                    chunk.columns = [c.strip() for c in chunk.columns]
-                    missing = [c for c in wanted if c not in chunk.columns]
-                    if missing:
-                        raise ValueError(f"{path} lacks columns: {', '.join(missing)}")
-                    chunk = chunk[wanted].rename(columns=fixed.MCAP_COLUMNS)
-                    yield chunk.where(chunk != "", None).assign(file=path)
+def archive_lines(files: DataFrame) -> DataFrame:
+    """(path, entry, name, line, text) of every line of every entry of the archives in `files` (path, content).
+
+    The worker code needs nothing but the standard library and pandas. What is no archive has no lines.
+    """
+    def unpack(batches):
+        import io
+        import zipfile
+
+        import pandas
+
+        for batch in batches:
+            for path, content in batch[["path", "content"]].itertuples(index=False):
+                if not zipfile.is_zipfile(io.BytesIO(content)):
+                    continue
+                with zipfile.ZipFile(io.BytesIO(content)) as packed:
+                    for number, entry in enumerate(packed.infolist()):
+                        with packed.open(entry) as raw:
+                            lines = [(path, number, entry.filename, i, text.rstrip("\r\n"))
+                                     for i, text in enumerate(io.TextIOWrapper(raw, "utf-8-sig", errors="replace"))]
+                        for at in range(0, len(lines), 50_000):
+                            yield pandas.DataFrame(lines[at:at + 50_000], columns=["path", "entry", "name", "line", "text"])
+
+    return files.mapInPandas(unpack, "path STRING, entry INT, name STRING, line BIGINT, text STRING")
+
+
+def first_entry(lines: DataFrame, prefix: str) -> DataFrame:
+    """The lines of each archive's first entry whose lower-cased name starts with `prefix`."""
+    named = lines.where(F.lower("name").startswith(prefix))
+    first = named.groupBy("path").agg(F.min("entry").alias("entry"))
+    return named.join(first, ["path", "entry"], "left_semi")
+
+
+def csv_by_name(lines: DataFrame, names: dict[str, str]) -> DataFrame:
+    """The known columns of CSV lines, each file mapped by its own first line; a file that lacks one fails the read."""
+    most = 64  # columns a line is cut into; the known ones must be among them
+    cells = F.from_csv("text", ", ".join(f"c{i} STRING" for i in range(most)),
+                       {"ignoreLeadingWhiteSpace": "true", "ignoreTrailingWhiteSpace": "true", "mode": "PERMISSIVE"})
+    split = lines.where("trim(text) != ''").withColumn("cells", F.array(*[cells[f"c{i}"] for i in range(most)]))
+    header = split.where("line = 0").select("path", F.transform("cells", lambda c: fn.strip(c)).alias("header"))
+    found = split.where("line > 0").join(header, "path")
+    at = {raw: F.array_position(F.coalesce(F.filter("header", lambda c: c.isNotNull()), F.array()), raw).cast("int") for raw in names}
+    return found.select("path", *[F.nullif(F.coalesce(F.element_at("cells", F.when(at[raw] > 0, at[raw]).otherwise(
+        F.raise_error(F.concat(F.col("path"), F.lit(f" lacks column {raw}"))).cast("int"))), F.lit("")), F.lit("")).alias(name)
+        for raw, name in names.items()])
 
 
 def market_cap_rows(spark: SparkSession, path: str, start, end) -> DataFrame:
-    """Typed rows of the market-cap archives requested for [start, end], one archive per task row."""
+    """Typed rows of the market-cap archives requested for [start, end]."""
     requested = file_date(fixed.MCAP_FILE_DATE)
-    schema = ", ".join(f"{c} STRING" for c in [*fixed.MCAP_COLUMNS.values(), "file"])
-    rows = (spark.read.format("binaryFile").load(path)
-            .where(requested.between(F.lit(fn.to_date_arg(start)), F.lit(fn.to_date_arg(end))))
-            .select("path", "content").mapInPandas(_archive_rows, schema))
+    files = (spark.read.format("binaryFile").load(path)
+             .where(requested.between(F.lit(fn.to_date_arg(start)), F.lit(fn.to_date_arg(end)))).select("path", "content"))
+    return typed_market_cap(files)
+
+
+def typed_market_cap(files: DataFrame) -> DataFrame:
+    """Typed rows of market-cap archives (path, content), with file and the date asked for."""
+    rows = csv_by_name(first_entry(archive_lines(files), "mcap"), fixed.MCAP_COLUMNS).withColumnRenamed("path", "file")
     return rows.select(
         *[fn.strip(c).alias(c) for c in ("symbol", "series", "security_name", "category")],
         fn.lenient_date("last_trade_date", fixed.MCAP_ROW_DATE).alias("last_trade_date"),
@@ -142,8 +164,8 @@ def with_category_text(df: DataFrame) -> DataFrame:
 
 
 def scrip_list(spark: SparkSession, path: str) -> DataFrame:
-    """A scrip list as it stands: first row names the columns, all values are text."""
-    return spark.read.option("header", True).csv(path).fillna("")
+    """A scrip list as it stands: first row names the columns, all values are text; files of other headers fail the read."""
+    return read_text_csv(spark, path).fillna("")
 
 
 def scrip_mapping(spark: SparkSession, list_path: str, negative_path: str | None = None) -> DataFrame:
@@ -153,7 +175,7 @@ def scrip_mapping(spark: SparkSession, list_path: str, negative_path: str | None
 
 
 def expiry_calendar(spark: SparkSession, path: str) -> DataFrame:
-    """Distinct (trade_date, expiry_date) from an expiry list with day-first dates."""
+    """Distinct (trade_date, expiry_date) from an expiry list with day-first dates; a text that is no date fails the read."""
     raw = read_text_csv(spark, path)
-    return raw.select(fn.lenient_date("Date", *fixed.EXPIRY_DATES).alias("trade_date"),
-                      fn.lenient_date("Expiry", *fixed.EXPIRY_DATES).alias("expiry_date")).distinct()
+    return raw.select(fn.known_date("Date", *fixed.EXPIRY_DATES).alias("trade_date"),
+                      fn.known_date("Expiry", *fixed.EXPIRY_DATES).alias("expiry_date")).distinct()

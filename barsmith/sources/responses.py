@@ -117,19 +117,35 @@ def intraday_candles(responses: DataFrame) -> DataFrame:
     return first_candles(rows.withColumn("timestamp", fn.strict_long("timestamp", "timestamp")))
 
 
+def _hourly(responses: DataFrame) -> DataFrame:
+    """Parsed responses with an integer security id, and whether they succeeded."""
+    typed = with_data(responses.withColumn("security_id", fn.coerce_long("security_id")))
+    return typed.withColumn("good", F.coalesce((F.col("body_status") == "success") & F.col("security_id").isNotNull()
+                                               & (F.col("rows") > 0), F.lit(False)))
+
+
+def hourly_rows(responses: DataFrame) -> DataFrame:
+    """Candles of successful responses, tagged as temporary; an unreadable timestamp is NULL, for the caller to reject."""
+    return _candles(_hourly(responses).where("good"), [
+        "seq", "scrip", F.lit(fixed.TEMP_EXCHANGE).alias("exchange"), "security_id", "interval_m"])
+
+
+def open_hours(rows: DataFrame, opens: str = fixed.MARKET_OPEN, closes: str = fixed.MARKET_CLOSE) -> DataFrame:
+    """Market-hour candles, each once, as windows may overlap."""
+    kept = rollup.market_hours(rows, opens=opens, closes=closes)
+    return keep_first(kept, ["security_id", "timestamp", "interval_m"], ["seq", "pos"]).drop("seq", "pos")
+
+
 def hourly_candles(responses: DataFrame, opens: str = fixed.MARKET_OPEN,
                    closes: str = fixed.MARKET_CLOSE) -> DataFrame:
-    """Market-hour candles of successful responses, tagged as temporary, by field name.
+    """Market-hour candles of successful responses. A response whose security id is no integer gives none."""
+    return open_hours(hourly_rows(responses), opens, closes)
 
-    Windows may overlap, so equal candles count once. A response whose security id is no
-    integer gives no candles; its scrip counts as failed.
-    """
-    good = with_data(responses.withColumn("security_id", fn.coerce_long("security_id"))) \
-        .where("body_status = 'success' AND security_id IS NOT NULL")
-    rows = _candles(good, ["seq", "scrip", F.lit(fixed.TEMP_EXCHANGE).alias("exchange"), "security_id", "interval_m"])
-    open_hours = rollup.market_hours(rows, opens=opens, closes=closes)
-    return keep_first(open_hours, ["security_id", "timestamp", "interval_m"], ["seq", "pos"]) \
-        .drop("seq", "pos")
+
+def failed_windows(responses: DataFrame) -> DataFrame:
+    """(scrip, from_date, to_date, error) of every hourly response that gives no candles."""
+    return _hourly(responses).where("NOT good").select("scrip", "from_date", "to_date", F.coalesce(
+        "error", F.when(F.col("security_id").isNull(), "security id is no integer"), F.lit("not successful")).alias("error"))
 
 
 def option_candles(responses: DataFrame, lookup: DataFrame | None = None,
@@ -139,10 +155,7 @@ def option_candles(responses: DataFrame, lookup: DataFrame | None = None,
     The choice is made among whole responses, before their arrays become rows. `trade_date` is
     the requested date, not the candle's.
     """
-    side = _arrays_type(OPTION_ARRAYS)
-    parsed = _parsed(responses, f"remarks STRING, data STRUCT<ce: {side}, pe: {side}>") \
-        .withColumn("data", F.when(F.col("option_type") == "CE", F.col("j.data.ce")).otherwise(F.col("j.data.pe")))
-    full = _sized(parsed, OPTION_ARRAYS).drop("j", "body")
+    full = _option_parsed(responses).drop("j", "body")
     wanted = with_expiry(full.withColumnRenamed("expiry_flag", "flag_used"), lookup) \
         .withColumnRenamed("expiry_flag", preferred)
     chosen = keep_first(
@@ -154,6 +167,22 @@ def option_candles(responses: DataFrame, lookup: DataFrame | None = None,
         fn.offset_label("strike_offset").alias("strike_offset")]))
 
 
+def _option_parsed(responses: DataFrame) -> DataFrame:
+    side = _arrays_type(OPTION_ARRAYS)
+    parsed = _parsed(responses, f"remarks STRING, data STRUCT<ce: {side}, pe: {side}>") \
+        .withColumn("data", F.when(F.col("option_type") == "CE", F.col("j.data.ce")).otherwise(F.col("j.data.pe")))
+    return _sized(parsed, OPTION_ARRAYS)
+
+
+def option_outcomes(responses: DataFrame) -> DataFrame:
+    """The responses with their outcome - ok, empty or failed - and its rank: rows of either flag serve a cell, and a failure
+    outranks emptiness, as the failed flag may hold rows."""
+    outcome = (F.when(F.col("rows") > 0, "ok").when((F.col("status") != 200) | (F.col("error") == UNEVEN), "failed")
+               .otherwise("empty"))
+    ranks = F.create_map(*[F.lit(x) for x in ("ok", 0, "failed", 1, "empty", 2)])
+    return _option_parsed(responses).drop("j", "body").withColumn("outcome", outcome).withColumn("rank", ranks[F.col("outcome")])
+
+
 def prepare_options(rows: DataFrame) -> DataFrame:
     """Coerce, round the strike, turn NaN and infinities to NULL and order the columns.
 

@@ -1,86 +1,83 @@
 """Streams of landed candles: append new ones, keep daily bars current, flag splits."""
 
+import hashlib
+
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from barsmith import fixed, schemas, tables
 from barsmith.functions import columns as fn
 from barsmith.operators import mutate, rollup, splits
+from barsmith.operators.dedup import keep_first
 from barsmith.operators.joins import only
-from barsmith.session import configure, scratch
+from barsmith.session import configure, scratch, stage
 
 CANDLE_KEY = ["security_id", "timestamp", "interval_m"]
-# An IST day starts at 18:30 UTC of the day before.
-IST_DAY = ("1 day", "1 day", "18 hours 30 minutes")
 
 
-def _start(stream: DataFrame, each_batch, checkpoint: str | None, mode: str) -> StreamingQuery:
+def _start(stream: DataFrame, each_batch, checkpoint: str) -> StreamingQuery:
     configure(stream.sparkSession)
-    return (stream.writeStream.foreachBatch(each_batch).outputMode(mode)
-            .option("checkpointLocation", checkpoint or scratch(stream.sparkSession, "stream"))
+    return (stream.writeStream.foreachBatch(each_batch).outputMode("append").option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())
 
 
-def _event_time(candles: DataFrame, delay: str) -> DataFrame:
-    return candles.withColumn("ts", F.timestamp_seconds("timestamp")).withWatermark("ts", delay)
-
+def _append(batch: DataFrame, table: str) -> list:
+    """Append the batch's candles that are not stored, each once; the dates of all its candles.
 
-def append_candles(candles: DataFrame, table: str, delay: str = "7 days",
-                   checkpoint: str | None = None) -> StreamingQuery:
-    """Append candles not seen in the stream and not stored. A replayed batch adds nothing."""
+    The table is the only state, so a candle may be of any age, and a replayed batch adds nothing.
+    """
+    order = [c for c in ("seq", "pos") if c in batch.columns] or [c for c in (*fixed.PRICES, "volume") if c in batch.columns]
+    dated = batch.withColumn("trade_date", fn.ist_date("timestamp")).persist()
+    try:
+        once = keep_first(dated, CANDLE_KEY, order)
+        tables.append(mutate.append_new(once, batch.sparkSession.table(table), CANDLE_KEY, "trade_date"), table)
+        return tables.partition_values(dated)
+    finally:
+        dated.unpersist()
+
+
+def append_candles(candles: DataFrame, table: str, checkpoint: str | None = None) -> StreamingQuery:
+    """Append candles that are not stored yet, however old. A replayed batch adds nothing."""
     spark = candles.sparkSession
     tables.ensure_table(spark, table, schemas.INTRADAY)
-    once = _event_time(candles, delay).dropDuplicatesWithinWatermark(CANDLE_KEY).drop("ts")
-
-    def write(batch: DataFrame, _: int) -> None:
-        batch = batch.withColumn("trade_date", fn.ist_date("timestamp")).persist()
-        try:
-            fresh = mutate.append_new(batch, batch.sparkSession.table(table), CANDLE_KEY, "trade_date")
-            tables.append(fresh, table)
-        finally:
-            batch.unpersist()
-
-    return _start(once, write, checkpoint, "append")
+    return _start(candles, lambda batch, _: _append(batch, table) and None, checkpoint or scratch(spark, "stream"))
 
 
-def daily_bars(candles: DataFrame, table: str, delay: str = "7 days", order=None,
-               checkpoint: str | None = None) -> StreamingQuery:
-    """Keep one bar per IST date and instrument current; late candles update it until the
-    watermark passes. Bars are upserted by row id, so a replayed batch changes nothing.
+def daily_bars(candles: DataFrame, table: str, candle_table: str, order=None, checkpoint: str | None = None) -> StreamingQuery:
+    """Keep one bar per IST date and instrument current: append new candles to `candle_table`, then recompute the bars of the
+    batch's dates from all stored candles and upsert them by row id. Late, doubled and replayed candles all end in the same bars.
     """
     spark = candles.sparkSession
     tables.ensure_table(spark, table, schemas.DAILY)
-    order = F.col("timestamp") if order is None else order
-    bars = (_event_time(candles, delay)
-            .where(rollup.all_known(rollup.INSTRUMENT)).withColumn("_order", order)
-            .groupBy(F.window("ts", *IST_DAY).alias("day"), *rollup.INSTRUMENT)
-            .agg(*rollup.ohlcv("_order"))
-            .withColumn("trade_date", fn.ist_date(F.unix_seconds("day.start"))).drop("day"))
+    tables.ensure_table(spark, candle_table, schemas.INTRADAY)
 
     def write(batch: DataFrame, _: int) -> None:
-        source = batch.withColumn("row_id", fn.row_id()).select(*schemas.DAILY_COLUMNS).persist()
-        try:
-            tables.upsert(batch.sparkSession, table, source)
-        finally:
-            source.unpersist()
+        dates = _append(batch, candle_table)
+        if dates:
+            stored = tables.at(batch.sparkSession.table(candle_table), dates)
+            bars = rollup.daily_bars(stored.withColumn("security_id", fn.strict_long("security_id", "security_id")), order=order)
+            tables.upsert(batch.sparkSession, table, stage(bars.withColumn("row_id", fn.row_id()).select(*schemas.DAILY_COLUMNS), "bars"))
 
-    return _start(bars, write, checkpoint, "update")
+    return _start(candles, write, checkpoint or scratch(spark, "stream"))
 
 
-def split_flags(fetched: DataFrame, stored_table: str, flag_table: str, check_date, decimals: int = 2,
-                checkpoint: str | None = None) -> StreamingQuery:
+def split_flags(fetched: DataFrame, stored_table: str, flag_table: str, check_date, checkpoint: str,
+                decimals: int = 2) -> StreamingQuery:
     """Compare each micro-batch of re-fetched bars with the stored bars of the check date.
 
-    A batch's flags are keyed by its id, so a replay does not append them twice.
+    A batch's flags are keyed by run - the checkpoint, which is what Spark counts batches by - check date and batch id: a
+    replay replaces them, and no other run or date touches them.
     """
     spark = fetched.sparkSession
     check = fn.to_date_arg(check_date)
-    tables.ensure_table(spark, flag_table, schemas.FLAGS + ", batch_id BIGINT", partition="batch_id")
+    tables.ensure_table(spark, flag_table, schemas.FLAGS + ", batch_key STRING", partition="batch_key")
+    run = hashlib.sha256(f"{checkpoint} {check}".encode()).hexdigest()[:16]
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        stored = batch.sparkSession.table(stored_table).where(F.col("trade_date") == F.lit(check))
-        flags = splits.split_flags(batch, only(stored, batch), check, decimals) \
-            .withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-        tables.overwrite_partitions(batch.sparkSession, flag_table, flags, [batch_id], [batch_id], "batch_id")
+        session, key = batch.sparkSession, f"{run}-{batch_id}"
+        stored = session.table(stored_table).where(F.col("trade_date") == F.lit(check))
+        flags = stage(splits.split_flags(batch, only(stored, batch), check, decimals).withColumn("batch_key", F.lit(key)), "flags")
+        tables.overwrite_partitions(session, flag_table, flags, [key], [] if flags.isEmpty() else [key], "batch_key")
+        spark.catalog.refreshTable(flag_table)
 
-    return _start(fetched, write, checkpoint, "append")
+    return _start(fetched, write, checkpoint)

@@ -39,15 +39,18 @@ def append(df: DataFrame, name: str, partition: str | None = PARTITION, cluster:
     rows.write.insertInto(name)
 
 
-def replace(df: DataFrame, name: str) -> None:
-    """Replace an unpartitioned table in one overwrite."""
-    df.select(*df.sparkSession.table(name).columns).write.insertInto(name, overwrite=True)
+def replace(df: DataFrame, name: str, partition: str | None = None) -> None:
+    """Replace a whole table in one overwrite, whatever the session's overwrite mode."""
+    rows = df.select(*df.sparkSession.table(name).columns)
+    with overwrite_mode(df.sparkSession, "static"):
+        (rows.hint("rebalance", partition) if partition else rows).write.insertInto(name, overwrite=True)
 
 
 @contextmanager
-def _dynamic_overwrite(spark: SparkSession):
+def overwrite_mode(spark: SparkSession, mode: str):
+    """Whether an overwrite replaces the partitions it writes ('dynamic') or the whole table ('static')."""
     before = spark.conf.get(OVERWRITE_MODE)
-    spark.conf.set(OVERWRITE_MODE, "dynamic")
+    spark.conf.set(OVERWRITE_MODE, mode)
     try:
         yield
     finally:
@@ -83,7 +86,7 @@ def overwrite_partitions(spark: SparkSession, name: str, rows: DataFrame, touche
     table itself: Spark replaces the old files when the new ones are complete.
     """
     if kept:
-        with _dynamic_overwrite(spark):
+        with overwrite_mode(spark, "dynamic"):
             _laid_out(rows, name, partition).write.insertInto(name, overwrite=True)
     drop_partitions(spark, name, [v for v in touched if v not in set(kept)], partition)
 
@@ -97,8 +100,10 @@ def drop_partitions(spark: SparkSession, name: str, values: Sequence, partition:
 def upsert(spark: SparkSession, name: str, source: DataFrame, partition: str = PARTITION) -> int:
     """Merge a staged source, unique by row_id, into the table; the number of source rows.
 
-    The partition column is part of the row id, so only the source's partitions are read.
+    The partition column is part of the row id, so only the source's partitions are read. A row without id fails the write, as
+    all such rows would be one.
     """
+    source = source.withColumn("row_id", F.coalesce("row_id", F.raise_error(F.lit("a row to upsert has no row_id")).cast("string")))
     touched = partition_values(source, partition)
     if touched:
         target = at(spark.table(name), touched, partition)

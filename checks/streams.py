@@ -53,19 +53,28 @@ def stream_append_new(spark, sf_dir):
 SELECT scrip, exchange, security_id, trade_date, {OHLCV}, {v.ID} AS row_id FROM bars""")
 def stream_daily_bars(spark, sf_dir):
     name = _new_table(spark, "st2", schemas.DAILY, "trade_date")
-    _finish(streaming.daily_bars(_stream_ticks(spark, sf_dir), name, order=v.order()))
+    # Every candle lands twice, in files of its own.
+    made = v.candles(spark, sf_dir).select(*schemas.INTRADAY_COLUMNS)
+    landed = stage(made.unionAll(made), "st2_landed")
+    source = spark.readStream.schema(landed.schema).parquet(landed.inputFiles()[0].rsplit("/", 1)[0])
+    kept = _new_table(spark, "st2_candles", schemas.INTRADAY, "trade_date")
+    _finish(streaming.daily_bars(source.drop("trade_date"), name, kept))
     return spark.table(name)
 
 
-@query("st3_stream_split_flags", f"""WITH {v.SPLIT}
-SELECT * FROM flags""")
+@query("st3_stream_split_flags", f"""WITH {v.SPLIT},
+first_day AS (SELECT min(trade_date) AS d FROM days),
+early AS ({v.flags_sql('bars', 'stored', '(SELECT d FROM first_day)')})
+SELECT * FROM flags UNION ALL SELECT * FROM early""")
 def stream_split_flags(spark, sf_dir):
+    """Two runs, for two check dates, into one flag table."""
     # The re-fetched and the stored bars as written tables: the stream's input and its other side.
     known = _new_table(spark, "st3_stored", schemas.DAILY, "trade_date")
     tables.append(v.with_id(v.stored(spark, sf_dir)), known)
     fetched = stage(v.bars(spark, sf_dir), "st3_fetched")
-    check = splits.last_two_dates(fetched).first()["check_date"]
-    flags = _new_table(spark, "st3_flags", schemas.FLAGS + ", batch_id BIGINT", "batch_id")
-    source = spark.readStream.schema(fetched.schema).parquet(fetched.inputFiles()[0].rsplit("/", 1)[0])
-    _finish(streaming.split_flags(source, known, flags, check))
-    return spark.table(flags).drop("run_ts", "batch_id")
+    first = fetched.agg(F.min("trade_date")).first()[0]
+    flags = _new_table(spark, "st3_flags", schemas.FLAGS + ", batch_key STRING", "batch_key")
+    for check in (splits.last_two_dates(fetched).first()["check_date"], first):
+        source = spark.readStream.schema(fetched.schema).parquet(fetched.inputFiles()[0].rsplit("/", 1)[0])
+        _finish(streaming.split_flags(source, known, flags, check, scratch(spark, "st3_run")))
+    return spark.table(flags).drop("run_ts", "batch_key")

@@ -112,6 +112,6 @@ def test_to_date_arg():
 
 
 def test_settings_list_all_missing():
-    with pytest.raises(ValueError, match="daily_table, flag_table"):
-        Settings().require("daily_table", "flag_table")
-    Settings(daily_table="d").require("daily_table")
+    with pytest.raises(ValueError, match="no name yet: daily_table"):
+        Settings().check("daily")
+    assert Settings(daily_table="d").check("daily").daily_table == "d"

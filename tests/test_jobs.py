@@ -279,10 +279,17 @@ def test_run_options_resumes(spark, tmp_path, names):
     assert (report["pending_pairs"], report["calls"], report["tranches"], report["loaded"]) == (8, 8 * 42, 2, 4)
     assert rows(spark.table(names.option_table).select("trade_date", "expiry_date", "expiry_flag").distinct()) == [(D[0], D[3], "WEEK")]
     report = barsmith.run_options(spark, names, land("b.json", (D[0], 1, 0), (D[1], 2, 0)), D[0], D[4], expiries)
-    assert (report["pending_pairs"], report["loaded"]) == (7, 2)
-    assert barsmith.latest_option_date(spark, names) == D[1]
+    assert (report["pending_pairs"], report["loaded"]) == (8, 2)
+    # A failed cell stays open; its repaired response loads later, an empty one counts as known.
+    failed = land("c.json", (D[2], 1, 0), (D[2], 1, 1)).withColumn("status", F.expr("IF(strike_offset = 0, 500, 200)"))
+    report = barsmith.run_options(spark, names, failed, D[2], D[3], expiries, offsets=(0, 1))
+    assert (report["loaded"], report["failed"], report["missing"], report["still_pending"]) == (2, 1, 6, 2)
+    report = barsmith.run_options(spark, names, land("d.json", (D[2], 1, 0), (D[2], 1, 1)), D[2], D[3], expiries, offsets=(0, 1))
+    assert (report["loaded"], report["failed"], report["missing"]) == (2, 0, 6)
+    assert spark.table(names.option_table).where("trade_date = DATE'2026-08-05'").count() == 4
+    assert barsmith.latest_option_date(spark, names) == D[2]
     assert barsmith.latest_option_date(spark, names, "BANKNIFTY") is None
-    assert partitions(spark, names.option_table) == [str(D[0]), str(D[1])]
+    assert partitions(spark, names.option_table) == [str(D[0]), str(D[1]), str(D[2])]
 
 
 # ---- files ----

@@ -62,6 +62,9 @@ def archive(folder, stamp, member, *lines, header=MCAP):
 
 
 def test_market_cap_files(spark, tmp_path):
+    (tmp_path / "PR202608").mkdir()  # a folder's date of another form does not count
+    archive(tmp_path / "PR202608", "120826", "mcap.csv", "12 Aug 2026,OUT,EQ,T,Listed,-,1,100,10.5,1050")
+    assert landed_files.market_cap_files(spark, str(tmp_path / "PR202608"), "2026-08-12", "2026-08-12").count() == 1
     archive(tmp_path, "070826", "MCAP07082026.csv", '07 Aug 2026,TCS ,EQ,"Tata, Ltd", Listed,06 Aug 2026,1,100,10.5,1050',
             "07 Aug 2026,NA,EQ,,Listed,-,1,100,-,1050")
     archive(tmp_path, "080826", "pd080826.csv", "x")
@@ -100,10 +103,13 @@ def test_scrip_mapping_keeps_text(spark, tmp_path):
 
 
 def test_expiry_calendar_mixed_dates(spark, tmp_path):
-    dates = ["03/04/2026", "2026-04-03", "13-Mar-2026", "03-04-2026", "junk"]
+    dates = ["03/04/2026", "2026-04-03", "13-Mar-2026", "03-04-2026", "3 Apr 2026", "03/04/26", ""]
     (tmp_path / "e.csv").write_text("Symbol,Date,Expiry\n" + "".join(f"NIFTY,{d},13-Mar-2026\n" for d in dates))
     df = landed_files.expiry_calendar(spark, str(tmp_path / "e.csv"))
     assert rows(df, "trade_date") == [(date(2026, 3, 13),), (date(2026, 4, 3),), (None,)]
+    (tmp_path / "junk.csv").write_text("Symbol,Date,Expiry\nNIFTY,junk,13-Mar-2026\n")
+    with pytest.raises(Exception, match="not a known date form"):
+        landed_files.expiry_calendar(spark, str(tmp_path / "junk.csv")).collect()
 
 
 # ---- responses ----

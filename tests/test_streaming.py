@@ -35,18 +35,28 @@ def test_append_candles_in_batches_and_on_replay(spark, tmp_path, table_name):
         assert rows(spark.table(name), "timestamp", "trade_date") == [(T0 + d, date(2026, 8, 6)) for d in (0, 900, 1800)]
 
 
+def test_append_candles_of_any_age(spark, tmp_path, table_name):
+    name, src = table_name("st1_old"), tmp_path / "in"
+    land(spark, src, ("A", T0, 1.0))
+    finish(streaming.append_candles(stream(spark, src), name, checkpoint=str(tmp_path / "cp")))
+    land(spark, src, ("A", T0 - 30 * 86400, 2.0))      # a backfill, long after a newer candle
+    finish(streaming.append_candles(stream(spark, src), name, checkpoint=str(tmp_path / "cp")))
+    assert rows(spark.table(name), "close") == [(1.0,), (2.0,)]
+
+
 def test_daily_bars_take_late_candles(spark, tmp_path, table_name):
-    name, src = table_name("st2"), tmp_path / "in"
+    name, src, kept = table_name("st2"), tmp_path / "in", table_name("st2_candles")
     checkpoint = str(tmp_path / "cp")
 
     def numbered(df):
         return df.withColumn("security_id", F.col("security_id").cast("bigint"))
 
     land(spark, src, ("A", T0 + 900, 5.0), ("A", T0 + 86400, 9.0))
-    finish(streaming.daily_bars(numbered(stream(spark, src)), name, checkpoint=checkpoint))
-    land(spark, src, ("A", T0, 2.0))                   # late, and earlier than the first open
-    finish(streaming.daily_bars(numbered(stream(spark, src)), name, checkpoint=checkpoint))
-    batch = rollup.daily_bars(numbered(spark.read.schema(DDL).parquet(str(src)))).withColumn("row_id", fn.row_id())
+    finish(streaming.daily_bars(stream(spark, src), name, kept, checkpoint=checkpoint))
+    land(spark, src, ("A", T0, 2.0), ("A", T0 + 900, 5.0))  # late, and earlier than the first open; one landed twice
+    finish(streaming.daily_bars(stream(spark, src), name, kept, checkpoint=checkpoint))
+    once = numbered(spark.read.schema(DDL).parquet(str(src)).distinct())
+    batch = rollup.daily_bars(once).withColumn("row_id", fn.row_id())
     assert rows(spark.table(name), *schemas.DAILY_COLUMNS) == rows(batch, *schemas.DAILY_COLUMNS)
     assert rows(spark.table(name), "open", "close") == [(2.0, 5.0), (9.0, 9.0)]
 
@@ -65,3 +75,6 @@ def test_split_flags_once_per_batch(spark, tmp_path, table_name):
     for _ in range(2):                                 # the second run finds nothing new
         finish(streaming.split_flags(spark.readStream.schema(schema).parquet(str(src)), stored, flags, day, checkpoint=str(tmp_path / "cp")))
         assert rows(spark.table(flags), "scrip", "field", "fetched_value", "stored_value") == [("A", "close", 5.0, 10.0)]
+    finish(streaming.split_flags(spark.readStream.schema(schema).parquet(str(src)), stored, flags, date(2026, 8, 7),
+                                 checkpoint=str(tmp_path / "other")))  # another run leaves the first one's flags
+    assert rows(spark.table(flags), "scrip", "field") == [("A", "close")]
