@@ -1,5 +1,7 @@
 """Texts of an Arrow batch as flat byte arrays, and 64-bit hashes of their words, without per-row Python."""
 
+import contextlib
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -91,6 +93,13 @@ def from_delta_planes(data: bytes, width: int = 8) -> np.ndarray:
     return np.cumsum(from_planes(data, width), dtype=np.uint64)
 
 
+def release() -> None:
+    """Give freed memory back to the system: an idle Python worker would hold it beside the next stage's."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # where the C library has it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def tuned(spark):
     """Arrow batches of at most 1000 rows: texts are long, and a task holds several copies of a batch."""
     if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > 1000:

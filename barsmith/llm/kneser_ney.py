@@ -27,7 +27,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barsmith.llm.arrays import from_planes, mix, planes, text_slices, words
+from barsmith.llm.arrays import from_planes, mix, planes, release, text_slices, words
 from barsmith.session import scratch
 
 ORDER = 2
@@ -139,6 +139,8 @@ def count_batches(batches, order: int, bits: int):
                 held, size = [], 0
     if held:
         yield from flush()
+    del held
+    release()
 
 
 class Store:

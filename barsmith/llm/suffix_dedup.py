@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barsmith.llm.arrays import delta_planes, from_delta_planes, from_planes, mix, planes, span_hashes, text_slices
+from barsmith.llm.arrays import delta_planes, from_delta_planes, from_planes, mix, planes, release, span_hashes, text_slices
 from barsmith.session import stage
 
 LENGTH, GRAM = 200, 32
@@ -129,6 +129,8 @@ def _occurrence_blocks(docs: DataFrame, bits: int) -> DataFrame:
                     held, count = [], 0
         if count:
             yield from blocks(held)
+        del held
+        release()
     return docs.select("k1", "k2", "text").mapInArrow(run, "shard int, block binary")
 
 
@@ -157,6 +159,8 @@ def repeated_occurrences(docs: DataFrame, bits: int) -> DataFrame:
             cols[6][first] = np.minimum(total, 2) | alone[first].astype(np.uint64) << _U(2)
             cols = [c[keep] for c in cols]
         cols = [c.view(np.int64) for c in cols]
+        del parts
+        release()
         return pa.table({n: pa.array(c, t, mask=c == 0 if n == "copies" else None) for n, c, t in zip(_FIELDS, cols, (
             pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int32()))})
     return _occurrence_blocks(docs, bits).groupBy("shard").applyInArrow(merge, OCCURRENCES)
@@ -311,6 +315,7 @@ def expand(texts: DataFrame) -> DataFrame:
 
     def index(key, table):
         found = repeated_places(table.column("text").to_pylist(), table.column("copies").to_numpy().astype(np.int64))
+        release()
         rows = []
         for anchor, seg, parts, places in zip(*(table.column(n).to_pylist() for n in ("anchor", "seg", "parts")), found):
             for p in parts or [{"anchor": anchor, "seg": seg, "at": 0, "size": 1 << 62}] if len(places) else []:
