@@ -34,12 +34,13 @@ def run_price_files(spark: SparkSession, settings: Settings, path: str, start, e
     return _append_files(spark, settings.price_table, rows, schemas.PRICE_FILE, "date")
 
 
-def run_market_cap(spark: SparkSession, settings: Settings, path: str, start, end) -> dict:
-    """Append new (trade_date, symbol, series) rows of the market-cap archives in [start, end]."""
+def run_market_cap(spark: SparkSession, settings: Settings, archives: str | DataFrame, start, end) -> dict:
+    """Append new (trade_date, symbol, series) rows of the market-cap archives in [start, end]; archives: a path, or a frame
+    of (path, content)."""
     settings.check("market_cap")
     _check_range(start, end)
     configure(spark)
-    rows = landed_files.market_cap_files(spark, path, start, end)
+    rows = landed_files.market_cap_files(spark, archives, start, end)
     return _append_files(spark, settings.mcap_table, rows, schemas.MCAP, "trade_date")
 
 

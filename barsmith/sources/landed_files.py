@@ -120,12 +120,13 @@ def csv_by_name(lines: DataFrame, names: dict[str, str]) -> DataFrame:
         for raw, name in names.items()])
 
 
-def market_cap_rows(spark: SparkSession, path: str, start, end) -> DataFrame:
-    """Typed rows of the market-cap archives requested for [start, end]."""
-    requested = file_date(fixed.MCAP_FILE_DATE)
-    files = (spark.read.format("binaryFile").load(path)
-             .where(requested.between(F.lit(fn.to_date_arg(start)), F.lit(fn.to_date_arg(end)))).select("path", "content"))
-    return typed_market_cap(files)
+def market_cap_rows(spark: SparkSession, archives: str | DataFrame, start, end) -> DataFrame:
+    """Typed rows of the market-cap archives requested for [start, end]; archives: a path, or a frame of (path, content)."""
+    listed = isinstance(archives, DataFrame)
+    files = archives if listed else spark.read.format("binaryFile").load(archives)
+    requested = file_date(fixed.MCAP_FILE_DATE, "path" if listed else "_metadata.file_path")
+    asked = requested.between(F.lit(fn.to_date_arg(start)), F.lit(fn.to_date_arg(end)))
+    return typed_market_cap(files.where(asked).select("path", "content"))
 
 
 def typed_market_cap(files: DataFrame) -> DataFrame:
@@ -139,9 +140,9 @@ def typed_market_cap(files: DataFrame) -> DataFrame:
         file_date(fixed.MCAP_FILE_DATE, "file").alias("requested_date"))
 
 
-def market_cap_files(spark: SparkSession, path: str, start, end) -> DataFrame:
+def market_cap_files(spark: SparkSession, archives: str | DataFrame, start, end) -> DataFrame:
     """Market-cap rows requested for [start, end]; stale archives are dropped whole."""
-    return genuine(market_cap_rows(spark, path, start, end), "trade_date")
+    return genuine(market_cap_rows(spark, archives, start, end), "trade_date")
 
 
 def instrument_master(spark: SparkSession, path: str) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from barsmith import fixed
+from barsmith import fixed, schemas
 from barsmith.functions import columns as fn
 from barsmith.operators import coverage
 from barsmith.session import scratch
@@ -194,6 +194,11 @@ SELECT CAST(NULL AS DATE) AS expiry_date, flag AS expiry_flag, code AS expiry_co
        CAST(seq AS BIGINT) AS volume, CAST(NULL AS DOUBLE) AS iv, CAST(seq AS BIGINT) AS oi, trade_date
 FROM chosen, range(0, 2) x(p)""")
 def option_response(spark, sf_dir):
+    return responses.option_candles(option_landed(spark, sf_dir))
+
+
+def option_landed(spark, sf_dir):
+    """Each order as a landed option response of two candles."""
     twice = lambda c: F.array(c, c)
     price, key = F.col("o_totalprice"), F.col("o_orderkey").cast("bigint")
     epoch = F.unix_seconds(F.col("o_orderdate").cast("timestamp"))
@@ -202,14 +207,13 @@ def option_response(spark, sf_dir):
                       twice(key).alias("volume"), twice(F.lit("NaN")).alias("iv"), twice(key).alias("oi"))
     call = price > 250000
     body = F.to_json(F.struct(F.struct(F.when(call, arrays).alias("ce"), F.when(~call, arrays).alias("pe")).alias("data")))
-    landed = v.table(spark, sf_dir, "orders").select(
+    return v.table(spark, sf_dir, "orders").select(
         key.alias("seq"), F.col("o_orderdate").cast("date").alias("trade_date"),
         F.when(F.col("o_orderstatus") == "F", "MONTH").otherwise("WEEK").alias("expiry_flag"),
         F.substring("o_orderpriority", 1, 1).cast("int").alias("expiry_code"), F.lit(0).alias("strike_offset"),
         F.when(call, "CE").otherwise("PE").alias("option_type"), F.lit("NIFTY").alias("security_ticker"),
         F.col("o_custkey").cast("string").alias("security_id"), F.lit(1).alias("interval"),
         F.lit(200).alias("status"), body.alias("body"))
-    return responses.option_candles(landed)
 
 
 # ---- Landed files, written by Spark from the given tables ----
@@ -241,22 +245,36 @@ def expiry_calendar(spark, sf_dir):
     return landed_files.expiry_calendar(spark, _csv(pairs, "expiries"))
 
 
+_GIVEN = ("EXCH_ID", "SEGMENT", "SECURITY_ID", "INSTRUMENT", "INSTRUMENT_TYPE", "ASM_GSM_CATEGORY", "STRIKE_PRICE", "SM_EXPIRY_DATE")
+_NONE = ", ".join(f"CAST(NULL AS {'VARCHAR' if t == 'string' else t}) AS {c}" for c, t in fixed.INSTRUMENT_COLUMNS.items() if c not in _GIVEN)
+
+
 @query("src5_instrument_master", f"""WITH m AS (SELECT {_PART}, p_retailprice AS STRIKE_PRICE FROM part)
-SELECT EXCH_ID, SEGMENT, SECURITY_ID, INSTRUMENT, INSTRUMENT_TYPE, ASM_GSM_CATEGORY, STRIKE_PRICE, DATE '2026-08-27' AS SM_EXPIRY_DATE FROM m""")
+SELECT EXCH_ID, SEGMENT, SECURITY_ID, INSTRUMENT, INSTRUMENT_TYPE, ASM_GSM_CATEGORY, STRIKE_PRICE, DATE '2026-08-27' AS SM_EXPIRY_DATE,
+  {_NONE} FROM m""")
 def instrument_master(spark, sf_dir):
+    return landed_files.instrument_master(spark, instrument_file(spark, sf_dir))
+
+
+def instrument_file(spark, sf_dir) -> str:
     part = _instruments(spark, sf_dir, "p_retailprice AS STRIKE_PRICE", "'2026-08-27' AS SM_EXPIRY_DATE")
     full = part.select(*[F.col(c) if c in part.columns else F.lit(None).cast("string").alias(c) for c in fixed.INSTRUMENT_COLUMNS],
                        F.lit("x").alias("UNUSED"))
-    return landed_files.instrument_master(spark, _csv(full, "instruments")).select(
-        "EXCH_ID", "SEGMENT", "SECURITY_ID", "INSTRUMENT", "INSTRUMENT_TYPE", "ASM_GSM_CATEGORY", "STRIKE_PRICE", "SM_EXPIRY_DATE")
+    return _csv(full, "instruments")
 
 
 @query("src1_price_files", f"""WITH {v.TICKS},
 rows AS (SELECT *, trade_date + CASE WHEN event_type = 'purchase' AND price > 300 THEN 1 ELSE 0 END AS file_day FROM ticks),
 good AS (SELECT file_day FROM rows GROUP BY file_day HAVING bool_and(trade_date = file_day))
-SELECT scrip AS symbol, event_type AS series, trade_date AS date, price AS close_price, CAST(NULL AS DOUBLE) AS deliv_qty
+SELECT scrip AS symbol, event_type AS series, trade_date AS date,
+  {', '.join(f'price AS {c}' for c in schemas.PRICE_NUMBERS if not c.startswith('deliv'))},
+  CAST(NULL AS DOUBLE) AS deliv_qty, CAST(NULL AS DOUBLE) AS deliv_per
 FROM rows WHERE file_day IN (SELECT file_day FROM good) AND file_day BETWEEN DATE '2024-01-02' AND DATE '2024-01-30'""")
 def price_files(spark, sf_dir):
+    return landed_files.price_files(spark, price_folder(spark, sf_dir), "2024-01-02", "2024-01-30")
+
+
+def price_folder(spark, sf_dir) -> str:
     """One price file per day; a late row makes the next day's file a stale one."""
     tick = v.ticks(spark, sf_dir).withColumn("day", fn.ist_date("timestamp"))
     late = F.expr("CASE WHEN event_type = 'purchase' AND close > 300 THEN 1 ELSE 0 END")
@@ -266,5 +284,4 @@ def price_files(spark, sf_dir):
                         F.date_format(F.date_add("day", late), "ddMMyyyy").alias("sec_bhavdata_full"))
     path = scratch(spark, "prices")
     lines.hint("rebalance", "sec_bhavdata_full").write.partitionBy("sec_bhavdata_full").option("header", True).csv(path)
-    return landed_files.price_files(spark, path, "2024-01-02", "2024-01-30") \
-        .select("symbol", "series", "date", "close_price", "deliv_qty")
+    return path

@@ -19,10 +19,11 @@ def _stream_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return v.as_ticks(events)
 
 
-def _new_table(spark: SparkSession, label: str, schema: str, partition: str) -> str:
+def _new_table(spark: SparkSession, label: str, schema: str, partition: str | None) -> str:
     path = scratch(spark, label)
     name = path.rsplit("/", 1)[1].replace("-", "_")
-    spark.sql(f"CREATE TABLE {name} ({schema}) USING parquet PARTITIONED BY ({partition}) LOCATION '{path}'")
+    partitioned = f" PARTITIONED BY ({partition})" if partition else ""
+    spark.sql(f"CREATE TABLE {name} ({schema}) USING parquet{partitioned} LOCATION '{path}'")
     return name
 
 

@@ -4,6 +4,7 @@ import duckdb
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from checks import ORACLES, QUERIES
 from compare import TABLES, rows
 
 SF = "/root/testdata/sf0.001"
@@ -18,13 +19,14 @@ def sql():
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert QUERIES.items() <= queries().items() and ORACLES.items() <= oracle_sql().items()
 
 
-@pytest.mark.parametrize("name", list(queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_equals_sql(spark, sql, name):
-    got = queries()[name](spark, SF)
-    want = sql.sql(oracle_sql()[name])
+    got = QUERIES[name](spark, SF)
+    want = sql.sql(ORACLES[name])
     assert sorted(got.columns) == sorted(want.columns)
     assert rows(got.columns, got.collect()) == rows(want.columns, want.fetchall())
 
