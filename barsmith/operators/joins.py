@@ -4,14 +4,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-# A key list up to this many rows is broadcast; a longer one is shuffled, and AQE splits the
-# hot keys of the other side.
-BROADCAST_ROWS = 100_000
-
-
-def guarded_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """`df` with a broadcast hint if a count proves it small, else `df` as it is."""
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+def guarded_broadcast(df: DataFrame) -> DataFrame:
+    """A list to join with, without a hint and without a job to count it: at run time AQE knows the list's size and broadcasts it
+    below spark.sql.autoBroadcastJoinThreshold; a longer one is shuffled, and AQE splits the hot keys of the other side."""
+    return df
 
 
 def names(spark, values: Sequence[str], column: str = "scrip") -> DataFrame:

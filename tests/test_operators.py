@@ -66,10 +66,15 @@ def test_negative_list_with_null(spark):
     assert rows(joins.subset(listed, "scrip", ["B", "C"])) == [("B",)]
 
 
-def test_broadcast_only_below_the_bound(spark):
-    big = spark.range(10)
-    assert "broadcast" in joins.guarded_broadcast(big, 10)._jdf.queryExecution().toString()
-    assert "broadcast" not in joins.guarded_broadcast(big, 9)._jdf.queryExecution().toString()
+def test_lists_are_joined_without_a_job(spark):
+    big = spark.range(10).withColumnRenamed("id", "scrip")
+    spark.sparkContext.setJobGroup("planning", "a list join")
+    try:
+        kept = joins.only(big, big.where("scrip < 3"))
+        assert not spark.sparkContext.statusTracker().getJobIdsForGroup("planning")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert kept.count() == 3
 
 
 def test_append_new_keeps_batch_duplicates_and_matches_nulls(spark):
