@@ -103,7 +103,7 @@ def _occurrence_blocks(docs: DataFrame, bits: int) -> DataFrame:
         whole = np.zeros(len(anchor), np.int64)
         whole[new] = copies | again[new].astype(np.int64) << 2
         shard = np.where(new, (mix(anchor) >> _U(64 - bits)).astype(np.int64),  # anchors are small: minima
-                         (1 << bits) + (mix(seg ^ start.astype(np.uint64)) & _U(63)).astype(np.int64))
+                         (1 << bits) + (mix(k1.astype(np.uint64) ^ start.astype(np.uint64)) & _U(63)).astype(np.int64))
         by = np.argsort(shard, kind="stable")
         cuts = np.searchsorted(shard[by], np.arange((1 << bits) + 65))
         found = np.flatnonzero(np.diff(cuts))
