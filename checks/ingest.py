@@ -12,15 +12,19 @@ from checks.registry import query
 
 
 @query("p3_numeric_coercion", """SELECT o_orderkey, CAST(o_totalprice AS DOUBLE) AS price, CAST(NULL AS DOUBLE) AS priority,
-       CAST(trunc(o_totalprice) AS BIGINT) AS whole, CAST(NULL AS DOUBLE) AS suffixed FROM orders""")
+       CAST(trunc(o_totalprice) AS BIGINT) AS whole, CAST(NULL AS DOUBLE) AS suffixed,
+       CASE o_orderkey % 8 WHEN 4 THEN 1000::DOUBLE WHEN 5 THEN 'Infinity'::DOUBLE WHEN 6 THEN -0.5::DOUBLE END AS odd FROM orders""")
 def numeric_coercion(spark, sf_dir):
     price = F.col("o_totalprice").cast("string")
     texts = v.table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_orderpriority", F.concat(F.lit(" \t"), price, F.lit(" ")).alias("padded"),
-        F.concat(price, F.lit("d")).alias("suffixed"))
+        F.concat(price, F.lit("d")).alias("suffixed"),
+        F.element_at(F.array(*[F.lit(t) for t in ("NaN", "-", "", "0x1F", "1e3", " inf ", "-.5", "1,000")]),
+                     (F.pmod("o_orderkey", F.lit(8)) + 1).cast("int")).alias("odd"))
     return texts.select("o_orderkey", fn.coerce_double("padded").alias("price"),
                         fn.coerce_double("o_orderpriority").alias("priority"),
-                        fn.coerce_long("padded").alias("whole"), fn.coerce_double("suffixed").alias("suffixed"))
+                        fn.coerce_long("padded").alias("whole"), fn.coerce_double("suffixed").alias("suffixed"),
+                        fn.coerce_double("odd").alias("odd"))
 
 
 @query("p2_strip_text", """SELECT doc_id, regexp_replace(regexp_replace(text, '^\\s+', ''), '\\s+$', '') AS text FROM documents""")

@@ -139,11 +139,13 @@ def subset(spark, sf_dir):
 
 
 @query("w5_flag_fallback", f"""WITH {v.TICKS}, ranked AS (
-  SELECT *, CASE WHEN event_type = 'click' THEN 0 ELSE 1 END AS p FROM ticks)
+  SELECT * REPLACE (CASE WHEN user_key % 5 > 0 THEN scrip END AS scrip), CASE WHEN event_type = 'click' THEN 0 ELSE 1 END AS p
+  FROM (SELECT *, security_id AS user_key FROM ticks))
 SELECT event_id, scrip, trade_date, event_type FROM ranked
 QUALIFY p = min(p) OVER (PARTITION BY scrip, trade_date)""")
 def flag_fallback(spark, sf_dir):
-    rows = v.ticks(spark, sf_dir).select("event_id", "scrip", fn.ist_date("timestamp").alias("trade_date"), "event_type")
+    scrip = F.when(F.pmod("security_id", F.lit(5)) > 0, F.col("scrip")).alias("scrip")  # NULL cells are cells too
+    rows = v.ticks(spark, sf_dir).select("event_id", scrip, fn.ist_date("timestamp").alias("trade_date"), "event_type")
     return dedup.prefer_source(rows, ["scrip", "trade_date"], "event_type", "click")
 
 
