@@ -100,6 +100,17 @@ def release() -> None:
         ctypes.CDLL(None).malloc_trim(0)
 
 
+_held: list = []
+
+
+def claim(owner: str, drop=lambda: None) -> None:
+    """A Python worker serves one operator after the other; what one has cached goes when the next one's task begins."""
+    if _held and _held[0] != owner:
+        _held[1]()
+        release()
+    _held[:] = [owner, drop]
+
+
 def tuned(spark):
     """Arrow batches of at most 1000 rows: texts are long, and a task holds several copies of a batch."""
     if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > 1000:

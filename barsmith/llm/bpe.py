@@ -24,7 +24,9 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MAX_PAIRS, MAX_PIECES, LONG_PIECE, QUEUE = 1_000_000, 600_000, 64, 4096
+from barsmith.llm.arrays import claim
+
+MAX_PAIRS, MAX_PIECES, LONG_PIECE, QUEUE = 500_000, 500_000, 64, 4096
 ENCODED = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, ids binary, n_replaced long"
 
 
@@ -251,6 +253,7 @@ def codec(path: str, pattern: str) -> Codec:
 def encode_documents(docs: DataFrame, path: str, pattern: str, keep_ids: bool = True) -> DataFrame:
     """ENCODED: per row its ids and the digests of ids and decoded bytes; n_replaced counts bytes that are no UTF-8."""
     def run(batches):
+        claim("bpe", codec.cache_clear)
         c = codec(path, pattern)
         gc.disable()  # the tables hold no cycles, and walking them costs a quarter of the time
         for b in batches:

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barsmith.llm.arrays import mix, text_slices
+from barsmith.llm.arrays import claim, mix, text_slices
 
 STEPS, K, TABLES, STRIDE, VOTES = 40, 12, 10, 2, 2
 MAX_RATE, MIN_ITEM, BLOCK_BYTES, SPAN = 0.1, 24, 4 << 20, 32
@@ -162,8 +162,9 @@ def best_match(item: bytes, text: bytes) -> tuple[int, int]:
 
 def search(batches, index: Index):
     """FOUND rows: per document and item the best verified place, in normalised bytes."""
+    claim("decontaminate")
     for b in batches:
-        for lo, hi, raw, offsets in text_slices(b.column(1), 4 << 20):
+        for lo, hi, raw, offsets in text_slices(b.column(1), 2 << 20):
             data, begin = normalise(raw, offsets)
             padded = np.append(data, np.full(STEPS + 1, _SPACE, np.uint8))
             items, places = index.candidates(padded, word_starts(data)[::STRIDE])

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barsmith.llm.arrays import delta_planes, from_delta_planes, from_planes, mix, planes, text_slices, words
+from barsmith.llm.arrays import claim, delta_planes, from_delta_planes, from_planes, mix, planes, release, text_slices, words
 from barsmith.llm.graph import components
 from barsmith.session import stage
 
@@ -77,6 +77,7 @@ def describe_sets(docs: DataFrame, common: float = COMMON) -> DataFrame:
     """SETS: a row per document with its set's size and 128-bit hash; and a row per shingle that a run of documents holds
     often (doc_id null, common the shingle, n in how many): whatever `common` of all rows hold, some run holds as often."""
     def run(batches):
+        claim("ngram_join")
         for b in batches:
             for lo, hi, data, offsets in text_slices(b.column(1), SLICE):
                 h, begin = shingles(data, offsets)
@@ -208,6 +209,8 @@ def signature_blocks(docs: DataFrame, ends: list[int], often: np.ndarray, bits:
         if size:
             yield from blocks(held)
             yield from needs(owed)
+        del held, owed
+        release()
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).filter("doc_id IS NOT NULL").mapInArrow(
         run, "shard int, block binary")
 

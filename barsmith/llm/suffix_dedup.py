@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barsmith.llm.arrays import delta_planes, from_delta_planes, from_planes, mix, planes, release, span_hashes, text_slices
+from barsmith.llm.arrays import claim, delta_planes, from_delta_planes, from_planes, mix, planes, release, span_hashes, text_slices
 from barsmith.session import stage
 
 LENGTH, GRAM = 200, 32
@@ -115,6 +115,7 @@ def _occurrence_blocks(docs: DataFrame, bits: int) -> DataFrame:
         yield pa.RecordBatch.from_arrays([pa.array(found, pa.int32()), pa.array(packed, pa.binary())], names=["shard", "block"])
 
     def run(batches):
+        claim("suffix_dedup")
         held, count = [], 0
         for b in batches:
             for lo, hi, data, offsets in text_slices(b.column(2), SLICE):

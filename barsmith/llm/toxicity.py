@@ -26,12 +26,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barsmith.llm.arrays import LOWER, span_hashes, text_slices, word_spans
+from barsmith.llm.arrays import LOWER, claim, span_hashes, text_slices, word_spans
 from barsmith.session import stage
 
 TRAIN_ROWS, LANDMARKS, NEGATIVES, ROUNDS = 8000, 160, 12_000, 3
 DECAY, SPAN, WORD = 0.6, 5, 24
-MIN_TEXTS, MIN_SHARE, MIN_RATIO, CACHE = 5, 0.01, 6.0, 600_000  # a seed word's toxic texts: number, share of all; against clean ones
+MIN_TEXTS, MIN_SHARE, MIN_RATIO, CACHE = 5, 0.01, 6.0, 400_000  # a seed word's toxic texts: number, share of all; against clean ones
 _EDGE = (2, 3)  # marks of a word's ends
 _ENDS = np.isin(np.arange(256), list(b".!?\n"))
 _TRIM = (string.punctuation + "\x7f").encode()
@@ -127,6 +127,7 @@ def spaced_words(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, first:
 
 def text_facts(batches, machine: Machine, lead: int):
     """The first `lead` columns as they are, then FACTS of the text column that follows them."""
+    claim("toxicity", machine.known.clear)
     names = [*(f"c{i}" for i in range(lead)), "best", "toxic_words", "toxic_sentences", "n_words"]
     for b in batches:
         for lo, hi, raw, offsets in text_slices(b.column(lead)):
