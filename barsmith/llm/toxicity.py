@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barsmith.llm.arrays import LOWER, claim, span_hashes, text_slices, word_spans
+from barsmith.llm.arrays import LOWER, claim, release, span_hashes, text_slices, word_spans
 from barsmith.session import stage
 
 TRAIN_ROWS, LANDMARKS, NEGATIVES, ROUNDS = 8000, 160, 12_000, 3
@@ -268,6 +268,8 @@ def train(docs: DataFrame, labels: DataFrame, fold: int = 5, rows: int = TRAIN_R
     if machine is None:
         return None
     facts = sample.mapInArrow(lambda it: text_facts(it, machine, 1), "toxic int, " + FACTS).toArrow()
+    del table, words
+    release()  # the driver's own memory
     x = features(*(facts.column(n).to_numpy() for n in ("best", "toxic_words", "toxic_sentences", "n_words")))
     return machine, logistic(x, facts.column("toxic").to_numpy().astype(float))
 
