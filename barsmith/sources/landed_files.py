@@ -84,17 +84,21 @@ def archive_lines(files: DataFrame) -> DataFrame:
 
         import pandas
 
+        names, held = ["path", "entry", "name", "line", "text"], []
         for batch in batches:
-            for path, content in batch[["path", "content"]].itertuples(index=False):
+            for path, content in zip(batch["path"], batch["content"]):
                 if not zipfile.is_zipfile(io.BytesIO(content)):
                     continue
                 with zipfile.ZipFile(io.BytesIO(content)) as packed:
                     for number, entry in enumerate(packed.infolist()):
                         with packed.open(entry) as raw:
-                            lines = [(path, number, entry.filename, i, text.rstrip("\r\n"))
-                                     for i, text in enumerate(io.TextIOWrapper(raw, "utf-8-sig", errors="replace"))]
-                        for at in range(0, len(lines), 50_000):
-                            yield pandas.DataFrame(lines[at:at + 50_000], columns=["path", "entry", "name", "line", "text"])
+                            for i, text in enumerate(io.TextIOWrapper(raw, "utf-8-sig", errors="replace")):
+                                held.append((path, number, entry.filename, i, text.rstrip("\r\n")))
+                                if len(held) >= 20_000:
+                                    yield pandas.DataFrame(held, columns=names)
+                                    held = []
+        if held:
+            yield pandas.DataFrame(held, columns=names)
 
     return files.mapInPandas(unpack, "path STRING, entry INT, name STRING, line BIGINT, text STRING")
 
@@ -111,7 +115,9 @@ def csv_by_name(lines: DataFrame, names: dict[str, str]) -> DataFrame:
     most = 64  # columns a line is cut into; the known ones must be among them
     cells = F.from_csv("text", ", ".join(f"c{i} STRING" for i in range(most)),
                        {"ignoreLeadingWhiteSpace": "true", "ignoreTrailingWhiteSpace": "true", "mode": "PERMISSIVE"})
-    split = lines.where("trim(text) != ''").withColumn("cells", F.array(*[cells[f"c{i}"] for i in range(most)]))
+    # Behind a generator, or the optimizer would parse the line for each of its cells.
+    parsed = lines.where("trim(text) != ''").select("path", "line", F.explode(F.array(cells)).alias("s"))
+    split = parsed.select("path", "line", F.array(*[F.col(f"s.c{i}") for i in range(most)]).alias("cells"))
     header = split.where("line = 0").select("path", F.transform("cells", lambda c: fn.strip(c)).alias("header"))
     found = split.where("line > 0").join(header, "path")
     at = {raw: F.array_position(F.coalesce(F.filter("header", lambda c: c.isNotNull()), F.array()), raw).cast("int") for raw in names}
@@ -131,7 +137,8 @@ def market_cap_rows(spark: SparkSession, archives: str | DataFrame, start, end)
 
 def typed_market_cap(files: DataFrame) -> DataFrame:
     """Typed rows of market-cap archives (path, content), with file and the date asked for."""
-    rows = csv_by_name(first_entry(archive_lines(files), "mcap"), fixed.MCAP_COLUMNS).withColumnRenamed("path", "file")
+    lines = stage(archive_lines(files), "archive_lines")  # unpacked once, read for the entry's number, its header and its rows
+    rows = csv_by_name(first_entry(lines, "mcap"), fixed.MCAP_COLUMNS).withColumnRenamed("path", "file")
     return rows.select(
         *[fn.strip(c).alias(c) for c in ("symbol", "series", "security_name", "category")],
         fn.lenient_date("last_trade_date", fixed.MCAP_ROW_DATE).alias("last_trade_date"),
