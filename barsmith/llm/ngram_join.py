@@ -37,7 +37,7 @@ from barsmith.session import stage
 WIDTH, NUM, DEN = 5, 3, 4  # five words; similarity 3/4
 SEEDS, COMMON = 6, 0.002
 BLOCK_SETS, MOVES, DENSE = 512, 1, 500
-SLICE, FLUSH, SHARD_BYTES, MAX_SHARDS = 4 << 20, 2_000_000, 32 << 20, 4096
+SLICE, FLUSH, SHARD_BYTES, MAX_SHARDS = 1 << 20, 700_000, 16 << 20, 4096
 BROADCAST_ROWS = 1_000_000  # of doc_ids: 8 MB
 SETS = "doc_id long, n long, h1 long, h2 long, common long"
 _U = np.uint64
