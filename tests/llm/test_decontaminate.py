@@ -87,3 +87,41 @@ def test_documents(spark):
                    (8, 10, 0), (8, 11, 0), (8, 12, 0)]
     assert d.contaminated(docs, items.filter("item_id > 99")).count() == 0
     assert d.contaminated(docs.filter("doc_id > 99"), items).count() == 0
+
+
+def found_in(rows, index):
+    batch = pa.RecordBatch.from_pydict({"doc_id": pa.array(range(len(rows))), "text": rows})
+    return {(r["doc_id"], r["item_id"]) for b in d.search([batch], index) for r in b.to_pylist()}
+
+
+@pytest.mark.parametrize("n", [9, 20, 60])
+def test_copies_in_text_without_spaces(n):
+    rng = random.Random(n)
+
+    def run(k, letters=[chr(c) for c in (*range(0x4E00, 0x4E80), *range(0x3042, 0x3080), *range(0xE01, 0xE2F))]):
+        return "".join(rng.choice(letters) for _ in range(k))
+    items = [(i, run(n)) for i in range(40)] + [(40 + i, run(3 * n, "abcdefgh")) for i in range(40)]
+    rows = [(run if i < 40 else lambda k: run(k, "abcdefgh"))(rng.randint(1, 50)) + text + run(rng.randint(0, 50)) for i, text in items]
+    assert found_in(rows, d.Index(items)) == {(i, i) for i, _ in items}
+
+
+@pytest.mark.parametrize("rate", [0, .05, .1])
+def test_short_items_are_all_found(rate):
+    rng = random.Random(3)
+    items = [(i, text) for i in range(400) if 24 <= len(text := sentence(rng, rng.randint(4, 16))) <= d.SHORT]
+    items += [(1000 + i, sentence(rng, 20)[:rng.randint(24, 40)]) for i in range(100)]
+    rows, want = [], set()
+    for k, (i, text) in enumerate(items):
+        rows.append(f"{sentence(rng, rng.randint(0, 9))}x{edited(rng, text, int(rate * len(text)))}y {sentence(rng, rng.randint(0, 9))}")
+        if len(norm(text)) >= d.MIN_ITEM and plain_distance(norm(text), norm(rows[-1])) <= int(d.MAX_RATE * len(norm(text))):
+            want.add((k, i))
+    assert len(want) > 200 and want <= found_in(rows, d.Index(items))
+
+
+def test_a_place_is_probed_whatever_stands_before_it():
+    rng = random.Random(4)
+    items = [(i, "".join(rng.choice("abcdefgh") for _ in range(75)) + " " + sentence(rng, 2)) for i in range(30)]
+    rows = [x for i, text in items for x in (sentence(rng, i % 7), text)]
+    found = found_in(rows, d.Index(items))
+    assert found >= {(2 * i + 1, i) for i, _ in items}
+    assert found_in(["a", *rows], d.Index(items)) == {(k + 1, i) for k, i in found}
