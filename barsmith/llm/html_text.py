@@ -2,8 +2,8 @@
 
 A tokenizer feeds a tree builder that supplies the tags authors leave out (a paragraph ends before a block, a list item
 before the next, a cell before the next cell or row), closes what an end tag crosses, and ignores end tags of nothing. Elements that
-a browser does not show - head, script, style, template and the like, `hidden`, display:none, visibility:hidden -
-give no text; all other text is emitted. Rendering keeps the layout: blocks on lines of their own, paragraphs, headings, lists and
+a browser does not show - head, script, style, template and the like, an attribute `hidden`, display:none or visibility:hidden in
+a `style` attribute - give no text; all other text is emitted. Rendering keeps the layout: blocks on lines of their own, paragraphs, headings, lists and
 tables with a blank line around them, list items with markers and indents, preformatted text as it is, and the cells of a
 table padded to columns.
 
@@ -41,12 +41,37 @@ SCOPE = frozenset("table td th caption template".split())
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+(?:>|\Z)|"
                    r"<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)(?:>|\Z)", re.S)
-HIDING = re.compile(r"(?:^|\s)hidden(?:\s|=|/|$)|display\s*:\s*none|visibility\s*:\s*hidden", re.I)
-COLSPAN = re.compile(r"(?:^|\s)colspan\s*=\s*[\"']?(\d{1,4})", re.I)
-START = re.compile(r"(?:^|\s)start\s*=\s*[\"']?(-?\d{1,9})", re.I)
+ATTRIBUTE = re.compile(r"([^\s/>][^\s/>=]*+)(?:\s*+=\s*+(\"[^\"]*+\"|'[^']*+'|[^\s>]*+))?")
+CSS = re.compile(r"/\*.*?(?:\*/|\Z)|\"(?:[^\"\\]|\\.)*+(?:\"|\Z)|'(?:[^'\\]|\\.)*+(?:'|\Z)|\([^)]*+(?:\)|\Z)", re.S)
+COLSPAN = re.compile(r"\s*(\d{1,4})")
+START = re.compile(r"\s*(-?\d{1,9})")
 BLANKS = re.compile(r"[ \t\n\r\f]+")
 
 
+def attributes_of(raw: str) -> dict[str, str]:
+    """Values by lower-case name; of a repeated name the first counts, as in browsers."""
+    found: dict[str, str] = {}
+    for name, value in ATTRIBUTE.findall(raw):
+        if value[:1] in ("'", '"') and value[-1] == value[0] and len(value) > 1:
+            value = value[1:-1]
+        found.setdefault(name.lower(), unescape(value) if "&" in value else value)
+    return found
+
+
+def hides_by(attributes: dict[str, str]) -> bool:
+    """Whether there is an attribute `hidden`, or the style's last word on display or visibility hides."""
+    if "hidden" in attributes:
+        return True
+    said: dict[str, tuple[bool, str]] = {}
+    for declaration in CSS.sub(" ", attributes.get("style", "")).split(";"):
+        name, _, value = declaration.lower().partition(":")
+        value, _, flag = value.partition("!")
+        important, name = flag.strip() == "important", name.strip()
+        if value.strip() and (important or not said.get(name, (False,))[0]):
+            said[name] = important, value.strip()
+    return said.get("display", (0, ""))[1] == "none" or said.get("visibility", (0, ""))[1] == "hidden"
+
+
 class Flow:
     """Lines of a column of text."""
 
@@ -143,7 +168,8 @@ class Renderer:
                 elif name == "hr":
                     flow.block(True)
             return
-        hides = name in UNSEEN or bool(attributes) and HIDING.search(attributes) is not None
+        given = attributes_of(attributes) if attributes else {}
+        hides = name in UNSEEN or hides_by(given)
         self.open.append((name, hides))
         self.names[name] = self.names.get(name, 0) + 1
         self.hidden += hides
@@ -154,7 +180,7 @@ class Renderer:
         if name == "pre":
             self.pre += 1
         elif name in ("ul", "ol", "menu"):
-            begin = START.search(attributes)
+            begin = START.match(given.get("start", ""))
             self.counters.append((int(begin[1]) if begin else 1) if name == "ol" else None)
         elif name == "li":
             number = self.counters[-1] if self.counters else None
@@ -170,7 +196,7 @@ class Renderer:
         elif name == "tr" and self.grids:
             self.grids[-1].rows.append([])
         elif name in ("td", "th") and self.grids:
-            span = COLSPAN.search(attributes)
+            span = COLSPAN.match(given.get("colspan", ""))
             if not self.grids[-1].rows:
                 self.grids[-1].rows.append([])
             self.grids[-1].rows[-1].append(([], max(int(span[1]), 1) if span else 1))

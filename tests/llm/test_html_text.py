@@ -92,3 +92,16 @@ def test_pages(spark):
     got = sorted((r.page_id or 0, r.text, r.n_lines) for r in extract(pages).collect())
     assert got == [(0, "b", 1), (1, "a", 1), (1, "a", 1), (3, "", 0), (4, "", 0)]
     assert extract(pages.filter("page_id > 9")).count() == 0
+
+
+@pytest.mark.parametrize("page, text", [
+    ('<a title="the hidden gem">x</a>', "x"), ('<body class="md:block hidden lg:flex">x', "x"), ("<p data-tip='use display:none'>x", "x"),
+    ('<p title="visibility: hidden">x', "x"), ("<p class=a data-x=hidden aria-hidden=true>x", "x"), ('<p style="--note: a;display:block">x', "x"),
+    ("<p style=\"background:url('display:none;display:none')\">x", "x"), ('<p style="display:none;display:block">x', "x"),
+    ('<p style="/* display:none */">x', "x"), ("<p style='display:none!important;display:block'>no</p>x", "x"),
+    ("<p HIDDEN=''>no</p><p/hidden>no</p><p class='a'hidden>no</p><p STYLE=display:none>no</p>x", "x"),
+    ('<p style="display&#58;none">no</p><p style="color:red;\nDISPLAY : none">no</p>x', "x"), ("<p title='>' hidden>no</p>x", "x"),
+    ('<table><tr><td title="a colspan=2">a<td>b<tr><td>long<td>c</table>', "a     b\nlong  c"), ('<ol title=" start=7"><li>x</ol>', "1. x"),
+])
+def test_only_the_attributes_that_hide_hide(page, text):
+    assert render(page)[0] == text
