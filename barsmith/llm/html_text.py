@@ -3,7 +3,8 @@
 A tokenizer feeds a tree builder that supplies the tags authors leave out (a paragraph ends before a block, a list item
 before the next, a cell before the next cell or row), closes what an end tag crosses, and ignores end tags of nothing. Elements that
 a browser does not show - head, script, style, template and the like, an attribute `hidden`, display:none or visibility:hidden in
-a `style` attribute - give no text; all other text is emitted. Rendering keeps the layout: blocks on lines of their own, paragraphs, headings, lists and
+a `style` attribute - give no text, nor do the parts of drawings and formulas that are not drawn (titles, definitions,
+annotations); all other text is emitted. Within svg and math a tag may close itself, and an HTML block ends the drawing. Rendering keeps the layout: blocks on lines of their own, paragraphs, headings, lists and
 tables with a blank line around them, list items with markers and indents, preformatted text as it is, and the cells of a
 table padded to columns.
 
@@ -24,8 +25,14 @@ RENDERED = "page_id long, text string, n_lines long, n_tables long"
 # Fixed values of the HTML standard.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style xmp iframe noembed noframes textarea title".split())
-UNSEEN = frozenset("head title script style template noscript iframe object video audio canvas svg math datalist select "
+UNSEEN = frozenset("head title script style template noscript iframe object video audio canvas datalist select "
                    "noembed noframes area base link meta param source track".split())
+UNDRAWN = frozenset("title desc metadata defs symbol clippath mask pattern marker filter lineargradient radialgradient style "
+                    "script annotation annotation-xml mphantom".split())  # in svg and math
+APART_IN_MATH = frozenset("mfrac mtr mtable".split())
+HTML_WITHIN = frozenset("foreignobject desc title mi mo mn ms mtext annotation-xml".split())  # of svg and math
+BREAKS_OUT = frozenset("b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu "
+                       "meta nobr ol p pre ruby s small span strong strike sub sup table tt u ul var".split())
 APART = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl table pre blockquote figure hr".split())  # a blank line around
 BLOCK = APART | frozenset("address article aside body center dd details dialog dir div dt fieldset figcaption footer form "
                           "header hgroup html legend li main menu nav search section summary caption option".split())
@@ -37,7 +44,7 @@ IMPLIED = {
     "thead": (("thead", "tbody", "tfoot", "caption"), ("table",)), "tbody": (("thead", "tbody", "tfoot", "caption"), ("table",)),
     "tfoot": (("thead", "tbody", "tfoot", "caption"), ("table",)), "option": (("option",), ("select", "datalist")), "body": (("head",), ()),
 }
-SCOPE = frozenset("table td th caption template".split())
+SCOPE = frozenset("table td th caption template foreignobject".split())
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+(?:>|\Z)|"
                    r"<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)(?:>|\Z)", re.S)
@@ -149,11 +156,51 @@ class Renderer:
     def __init__(self):
         self.open: list[tuple[str, bool]] = []  # name, whether it hides
         self.names: dict[str, int] = {}  # of open elements
+        self.worlds: list[tuple[int, bool]] = []  # depth of svg, math and HTML within them, whether it draws
         self.hidden = self.pre = self.tables = 0
         self.flows, self.grids = [Flow()], []
         self.counters: list[int | None] = []
 
-    def start(self, name: str, attributes: str) -> None:
+    def drawing(self) -> bool:
+        """Whether the innermost element belongs to svg or math."""
+        return bool(self.worlds) and self.worlds[-1][1]
+
+    def draw(self, name: str, raw: str) -> None:
+        """Open an element of svg or math; one that closes itself holds nothing."""
+        if raw.endswith("/") and not any(value.endswith("/") for _, value in ATTRIBUTE.findall(raw)[-1:]):
+            return
+        given = attributes_of(raw) if raw else {}
+        hides = (name in UNDRAWN or hides_by(given) or given.get("display", "").strip().lower() == "none"
+                 or given.get("visibility", "").strip().lower() == "hidden")
+        self.part()
+        if name in ("svg", "math") or name in HTML_WITHIN:
+            self.worlds.append((len(self.open), name not in HTML_WITHIN))
+        self.open.append((name, hides))
+        self.names[name] = self.names.get(name, 0) + 1
+        self.hidden += hides
+        if name == "text" and not self.hidden:
+            self.flows[-1].block(False)
+
+    def part(self) -> None:
+        """Parts of fractions and rows of matrices stand apart."""
+        if self.drawing() and self.open[-1][0] in APART_IN_MATH and not self.hidden:
+            self.flows[-1].text(" ")
+
+    def start(self, name: str, attributes: str) -> bool:
+        """Open an element; whether text up to its end tag is raw."""
+        if self.drawing():
+            if name not in BREAKS_OUT:
+                self.draw(name, attributes)
+                return False
+            while self.drawing():
+                self.close_last()
+        if name in ("svg", "math"):
+            self.draw(name, attributes)
+            return False
+        self.open_html(name, attributes)
+        return name in RAW
+
+    def open_html(self, name: str, attributes: str) -> None:
         if name in ENDS_PARAGRAPH and self.names.get("p"):
             self.close_implied(("p",), SCOPE)
         if name in IMPLIED and any(self.names.get(x) for x in IMPLIED[name][0]):
@@ -204,7 +251,8 @@ class Renderer:
 
     def end(self, name: str) -> None:
         if name == "br":
-            return self.start("br", "")
+            self.start("br", "")
+            return None
         if not self.names.get(name):
             if name == "p":
                 self.start("p", "")
@@ -226,12 +274,19 @@ class Renderer:
     def close_last(self) -> None:
         name, hides = self.open.pop()
         self.names[name] -= 1
+        if self.worlds and self.worlds[-1][0] == len(self.open):
+            self.worlds.pop()
         shown = not self.hidden
         self.hidden -= hides
         if not shown:
             return
         flow = self.flows[-1]
-        if name in ("td", "th") and self.grids and len(self.flows) > 1:
+        if self.drawing():
+            if name == "text":
+                flow.block(False)
+            elif name in APART_IN_MATH:
+                flow.text(" ")
+        elif name in ("td", "th") and self.grids and len(self.flows) > 1:
             flow.block(False)
             self.flows.pop()
             self.grids[-1].rows[-1][-1][0].extend(flow.lines)
@@ -294,8 +349,7 @@ def render(html: str | None) -> tuple[str, int]:
         if m[1] or m[4]:
             page.end(name)
             continue
-        page.start(name, m[3] or m[6] or "")
-        if name in RAW:
+        if page.start(name, m[3] or m[6] or ""):
             close = re.compile(f"</{re.escape(name)}(?=[\\s/>]|\\Z)", re.I).search(html, at)
             stop = close.start() if close else n
             page.text(html[at:stop])

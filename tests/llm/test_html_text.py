@@ -105,3 +105,40 @@ def test_pages(spark):
 ])
 def test_only_the_attributes_that_hide_hide(page, text):
     assert render(page)[0] == text
+
+
+@pytest.mark.parametrize("page, text", [
+    ("<p>a <math><mi>x</mi><mo>=</mo><mfrac><mn>1</mn><mn>2</mn></mfrac></math> b", "a x= 1 2 b"),
+    ("<svg><title>no</title><desc>no</desc><defs><text>no</text></defs><text x=1>One</text><text><tspan>Two</tspan></text></svg>", "One\nTwo"),
+    ("<svg><path d='M0'/><g/><title/><text>A</text></svg>b", "A\nb"), ("<svg><defs/><text>A</text></svg>", "A"), ("<svg/>a", "a"),
+    ("<svg><style>no</style><script>no</script><symbol><text>no</text></symbol></svg>a", "a"),
+    ("<math><semantics><mi>y</mi><annotation encoding='application/x-tex'>no</annotation></semantics></math>", "y"),
+    ("<svg><foreignObject><div>in<style>no</style></div></foreignObject></svg>", "in"), ("<svg><defs><p>out", "out"),
+    ("<svg><g display=none><text>no</text></g><text visibility='hidden'>no</text><text>A</text></svg>", "A"),
+    ("<svg style='display:none'><text>no</text></svg>a", "a"), ("<table><tr><td><svg><text>A</text></svg><td>B</table>", "A  B"),
+    ("<svg>" + "<g>" * 50_000 + "<text>A", "A"), ("<math><mtext>if <b>so</b></mtext></math>", "if so"),
+])
+def test_drawings_and_formulas_are_seen(page, text):
+    assert render(page)[0] == text
+
+
+def test_words_of_drawings_against_an_own_list():
+    unseen = {"script", "style", "template", "title", "desc", "defs", "metadata", "annotation"}
+
+    class Seen(Plain):
+        def handle_starttag(self, tag, attrs):
+            self.unseen += tag in unseen
+
+        def handle_endtag(self, tag):
+            self.unseen -= tag in unseen
+            if not self.unseen:
+                self.words.append(" ")
+    rng = random.Random(6)
+    parts = ["<p>{0}</p>", "<svg><title>{0}</title><text>{1}</text></svg>", "<svg><defs><text>{0}</text></defs><text>{1}</text></svg>",
+             "<p><math><mi>{0}</mi> <annotation>{1}</annotation></math></p>", "<script>{0}</script>", "<template>{0}</template>"]
+    for _ in range(200):
+        page = "".join(rng.choice(parts).format(rng.randrange(99), rng.randrange(99)) for _ in range(5))
+        plain = Seen()
+        plain.feed(page)
+        plain.close()
+        assert sorted(render(page)[0].split()) == sorted("".join(plain.words).split()), page
