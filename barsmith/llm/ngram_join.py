@@ -18,8 +18,11 @@ incidence matrices that emit only links enough to connect it; then all pairs of
 signature and are not yet in one component are compared one by one. So large groups of near copies, and of texts not quite near
 enough, emit no pairs, and no link between components is missed.
 
+Within the join a row goes by its doc_id, if all rows with it have equal sets, and else by its set's hash.
+
 Defined cases: null and empty texts have no shingles and link with nothing; fewer than five words are one shingle; repeated
-rows are equal sets; a null doc_id takes part but never names a component; an empty table gives an empty result; extra
+rows are equal sets; rows without a doc_id or sharing one each link by their own text; a null doc_id takes part but never
+names a component, and is one's component_id only where no linked row has a doc_id; an empty table gives an empty result; extra
 columns are ignored.
 """
 
@@ -39,7 +42,7 @@ SEEDS, COMMON = 6, 0.002
 BLOCK_SETS, MOVES, DENSE = 512, 1, 500
 SLICE, FLUSH, SHARD_BYTES, MAX_SHARDS = 1 << 20, 700_000, 16 << 20, 4096
 BROADCAST_ROWS = 1_000_000  # of doc_ids: 8 MB
-SETS = "doc_id long, n long, h1 long, h2 long, common long"
+SETS = "doc_id long, text_hash long, n long, h1 long, h2 long, common long"
 _U = np.uint64
 
 
@@ -74,7 +77,7 @@ def set_hashes(h: np.ndarray, begin: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 def describe_sets(docs: DataFrame, common: float = COMMON) -> DataFrame:
-    """SETS: a row per document with its set's size and 128-bit hash; and a row per shingle that a run of documents holds
+    """SETS: a row per document with its text's hash and its set's size and 128-bit hash; and a row per shingle that a run of documents holds
     often (doc_id null, common the shingle, n in how many): whatever `common` of all rows hold, some run holds as often."""
     def run(batches):
         claim("ngram_join")
@@ -86,12 +89,30 @@ def describe_sets(docs: DataFrame, common: float = COMMON) -> DataFrame:
                 top = held >= max(3, common * (hi - lo))
                 none = pa.nulls(int(top.sum()), pa.int64())
                 yield pa.RecordBatch.from_arrays([
-                    pa.concat_arrays([b.column(0)[lo:hi].cast(pa.int64()), none]),
+                    *(pa.concat_arrays([b.column(i)[lo:hi].cast(pa.int64()), none]) for i in (0, 2)),
                     pa.array(np.concatenate([np.diff(begin), held[top]]).astype(np.int64)),
                     pa.concat_arrays([pa.array(h1), none]), pa.concat_arrays([pa.array(h2), none]),
                     pa.concat_arrays([pa.nulls(hi - lo, pa.int64()), pa.array(often[top].view(np.int64))])],
-                    names=["doc_id", "n", "h1", "h2", "common"])
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, SETS)
+                    names=["doc_id", "text_hash", "n", "h1", "h2", "common"])
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), text_hash()).mapInArrow(run, SETS)
+
+
+def text_hash():
+    return F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("text_hash")
+
+
+def named(rows: DataFrame, shared: DataFrame) -> DataFrame:
+    """rows with `name`: the doc_id, or null where it is null or in `shared`, so that the set's hash names the row."""
+    n = shared.count()
+    if not n:
+        return rows.withColumn("name", F.col("doc_id"))
+    held = shared.withColumn("held", F.lit(True))
+    return rows.join(F.broadcast(held) if n <= BROADCAST_ROWS else held, "doc_id", "left").withColumn(
+        "name", F.when(F.col("held").isNull(), F.col("doc_id"))).drop("held")
+
+
+def names_of(ids: pa.Array, h1: np.ndarray) -> np.ndarray:
+    return np.where(np.asarray(ids.is_null()), h1, np.asarray(ids.fill_null(0)))
 
 
 def bands(largest: int) -> list[int]:
@@ -160,7 +181,7 @@ class Instance:
 
 
 def signature_blocks(docs: DataFrame, ends: list[int], often: np.ndarray, bits: int) -> DataFrame:
-    """shard, block: sorted signatures and the doc_ids they come from; a run's equal sets send theirs once. Shards from
+    """shard, block: sorted signatures and the names (doc_id) they come from, of texts without one their set's hash; a run's equal sets send theirs once. Shards from
     2**bits on hold what each document needs (Instance.need) by slot."""
     def needs(held):
         slot, doc, need = (np.concatenate(x).astype(np.uint64) for x in zip(*held))
@@ -186,8 +207,8 @@ def signature_blocks(docs: DataFrame, ends: list[int], often: np.ndarray, bits:
         for b in batches:
             for lo, hi, data, offsets in text_slices(b.column(1), SLICE):
                 h, begin = shingles(data, offsets)
-                ids = np.asarray(b.column(0)[lo:hi])
                 h1, _ = set_hashes(h, begin)
+                ids = names_of(b.column(0)[lo:hi], h1)
                 sizes = np.diff(begin)
                 once = np.unique(h1, return_index=True)[1]
                 once = once[sizes[once] > 0]
@@ -211,8 +232,7 @@ def signature_blocks(docs: DataFrame, ends: list[int], often: np.ndarray, bits:
             yield from needs(owed)
         del held, owed
         release()
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).filter("doc_id IS NOT NULL").mapInArrow(
-        run, "shard int, block binary")
+    return docs.select("doc_id", "text").mapInArrow(run, "shard int, block binary")
 
 
 def shared_signatures(blocks: DataFrame, bits: int) -> DataFrame:
@@ -241,18 +261,22 @@ def shared_signatures(blocks: DataFrame, bits: int) -> DataFrame:
 
 
 def shingle_arrays(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """doc_id, shingles array<long> of the documents in `wanted` (doc_id). The wanted ids are broadcast up to
+    """doc_id, shingles array<long> of the names in `wanted` (doc_id). The wanted ids are broadcast up to
     BROADCAST_ROWS of them; beyond, the texts are shuffled to them."""
     def run(batches):
         for b in batches:
             for lo, hi, data, offsets in text_slices(b.column(1), SLICE):
                 h, begin = shingles(data, offsets)
-                yield pa.RecordBatch.from_arrays([b.column(0)[lo:hi], pa.ListArray.from_arrays(
+                names = names_of(b.column(0)[lo:hi], set_hashes(h, begin)[0])
+                yield pa.RecordBatch.from_arrays([pa.array(names), pa.ListArray.from_arrays(
                     pa.array(begin, pa.int32()), pa.array(h.view(np.int64)))], names=["doc_id", "shingles"])
     few = wanted.count() <= BROADCAST_ROWS
-    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return rows.join(F.broadcast(wanted) if few else wanted, "doc_id", "left_semi").mapInArrow(
-        run, "doc_id long, shingles array<long>").dropDuplicates(["doc_id"])
+    schema, rows, wanted = "doc_id long, shingles array<long>", docs.select("doc_id", "text"), F.broadcast(wanted) if few else wanted
+    found = rows.join(wanted, "doc_id", "left_semi").mapInArrow(run, schema)
+    unnamed = rows.filter("doc_id IS NULL")
+    if not unnamed.isEmpty():
+        found = found.unionAll(unnamed.mapInArrow(run, schema).join(wanted, "doc_id", "left_semi"))
+    return found.dropDuplicates(["doc_id"])
 
 
 def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -309,15 +333,15 @@ def _connect(key, table):
 def link_classes(busy: DataFrame, arrays: DataFrame) -> DataFrame:
     """a, b: links enough to connect all classes of `busy` (sign, class, n) that links connect."""
     meets = busy.join(busy.groupBy("sign").agg(F.count("*").alias("size")), "sign").groupBy("class").agg(F.sum("size").alias("meets"))
-    leads = busy.join(meets, "class").groupBy("sign").agg(F.max_by("class", F.struct("meets", -F.col("class"))).alias("lead"))
+    leads = busy.join(meets, "class").groupBy("sign").agg(F.max_by("class", F.struct("meets", F.bitwise_not("class"))).alias("lead"))
     votes = busy.join(leads, "sign").groupBy("class", "lead").agg(F.count("*").alias("votes"))
-    homes = stage(votes.groupBy("class").agg(F.max_by("lead", F.struct("votes", -F.col("lead"))).alias("home")), "homes")
+    homes = stage(votes.groupBy("class").agg(F.max_by("lead", F.struct("votes", F.bitwise_not("lead"))).alias("home")), "homes")
     for _ in range(MOVES):  # then moves to the family that leads most of its signatures
         held = busy.select("sign", "class").join(homes, "class")
         ruling = held.groupBy("sign", "home").agg(F.count("*").alias("k")).groupBy("sign").agg(
-            F.max_by("home", F.struct("k", -F.col("home"))).alias("ruler"), F.max("k").alias("k"))
+            F.max_by("home", F.struct("k", F.bitwise_not("home"))).alias("ruler"), F.max("k").alias("k"))
         counted = held.join(ruling, "sign").groupBy("class", "ruler").agg(F.count("*").alias("votes"), F.max("k").alias("k"))
-        homes = stage(counted.groupBy("class").agg(F.max_by("ruler", F.struct("votes", "k", -F.col("ruler"))).alias("home")), "homes")
+        homes = stage(counted.groupBy("class").agg(F.max_by("ruler", F.struct("votes", "k", F.bitwise_not("ruler"))).alias("home")), "homes")
     links = _products(homes, arrays)
 
     def still_apart(links, homes):
@@ -359,9 +383,9 @@ def _products(homes: DataFrame, arrays: DataFrame) -> DataFrame:
     return stage(held.groupBy("home", "part").applyInArrow(_connect, "a long, b long"), "links")
 
 
-def join_documents(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id per document."""
-    spark = docs.sparkSession
+def row_components(docs: DataFrame) -> DataFrame:
+    """doc_id, text_hash, n, component, component_id per row: component names the linked texts, null where n is 0; component_id is the
+    least doc_id among their rows, null where they have none."""
     described = stage(describe_sets(docs), "sets")
     sets = described.filter("common IS NULL")
     facts = sets.agg(F.count("*"), F.max("n"), F.sum("n")).first()
@@ -372,11 +396,17 @@ def join_documents(docs: DataFrame) -> DataFrame:
     often = np.sort(np.array([r[0] for r in often], np.int64).view(np.uint64))
     bits = min(MAX_SHARDS, max(2, total * 16 // SHARD_BYTES)).bit_length()
     ends = bands(largest)
-    shared = stage(shared_signatures(signature_blocks(docs, ends, often, bits), bits), "signatures")
-
     key = ["n", "h1", "h2"]
-    classes = sets.filter("n > 0").groupBy(*key).agg(F.min("doc_id").alias("class"))
-    members = sets.filter("n > 0 AND doc_id IS NOT NULL").join(classes, key).select("doc_id", "class", "n")
+    same = F.struct(*key)
+    several = stage(sets.filter("n > 0 AND doc_id IS NOT NULL").groupBy("doc_id").agg(
+        F.min(same).alias("lo"), F.max(same).alias("hi")).filter("lo != hi").select("doc_id"), "several")
+    texts = named(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), several).select(
+        F.col("name").alias("doc_id"), "text")
+    sets = named(sets, several).withColumn("name", F.coalesce("name", "h1"))
+    shared = stage(shared_signatures(signature_blocks(texts, ends, often, bits), bits), "signatures")
+
+    classes = sets.filter("n > 0").groupBy(*key).agg(F.min("name").alias("class"), F.min("doc_id").alias("least"))
+    members = sets.filter("n > 0").select(F.col("name").alias("doc_id"), *key).distinct().join(classes, key).select("doc_id", "class", "n")
     known = shared.join(members, "doc_id").select("sign", "class", "n", "need")
     held = stage(known.distinct(), "held")
     owed = held.filter("need IS NOT NULL").groupBy("class", F.col("sign").alias("slot")).agg(F.max("need").alias("need"))
@@ -385,10 +415,23 @@ def join_documents(docs: DataFrame) -> DataFrame:
     shares = held.join(several, "sign", "left_semi")
     enough = shares.groupBy("class", "slot").agg(F.count("*").alias("has")).join(owed, ["class", "slot"]).filter("has >= need")
     busy = stage(shares.join(enough, ["class", "slot"], "left_semi").select("sign", "class", "n"), "busy")
-    arrays = stage(shingle_arrays(docs, busy.select(F.col("class").alias("doc_id")).distinct()), "shingles")
+    arrays = stage(shingle_arrays(texts, busy.select(F.col("class").alias("doc_id")).distinct()), "shingles")
     links = link_classes(busy, arrays)
     found = components(links)
-    named = classes.join(found.withColumnRenamed("node", "class"), "class", "left").select(
-        *key, F.coalesce("component", "class").alias("component_id"))
-    return sets.join(named, key, "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
+    labels = stage(classes.join(found.withColumnRenamed("node", "class"), "class", "left").select(
+        *key, "class", "least", F.coalesce("component", "class").alias("component")), "labels")
+    # A class is its least doc_id, and a component its least class, unless a hash names one.
+    odd = labels.filter("least IS NULL OR least != class").select("component").distinct()
+    tops = stage(labels.join(odd, "component", "left_semi").groupBy("component").agg(F.min("least").alias("top")), "tops")
+    if tops.isEmpty():
+        labels = labels.withColumn("component_id", F.col("component"))
+    else:
+        labels = labels.join(tops.withColumn("odd", F.lit(True)), "component", "left").withColumn(
+            "component_id", F.when(F.col("odd"), F.col("top")).otherwise(F.col("component")))
+    return sets.join(labels.select(*key, "component", "component_id"), key, "left").select(
+        "doc_id", "text_hash", "n", "component", "component_id")
+
+
+def join_documents(docs: DataFrame) -> DataFrame:
+    """doc_id, n_shingles, component_id per document."""
+    return row_components(docs).select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))

@@ -1,7 +1,8 @@
 """Corpus cleaning: toxicity, n-gram Jaccard join, suffix-array dedup, benchmark decontamination, byte-level BPE.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written and read again as the next one's docs. All but the
-last return the columns of `documents`. A row without a doc_id cannot be named by a decision on ids, so it stays unless it is toxic.
+last return the columns of `documents`. Decisions are on rows, named by doc_id and a hash of the text or by the latter alone: rows
+without a doc_id, and rows that share one, are each judged by their own text.
 """
 
 import public_tokenizers
@@ -13,15 +14,17 @@ from barsmith.llm.arrays import tuned
 from barsmith.session import configure, ship, stage
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
-BROADCAST_ROWS = 1_000_000  # of doc_ids: 8 MB
+BROADCAST_ROWS = 1_000_000  # of row keys: 16 MB
 #: SQL does not express these stages; tests compare run() with a brute-force version.
 ORACLE_SQL = None
 
 
-def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
-    """The documents whose doc_id is not in `gone`, which is broadcast up to BROADCAST_ROWS and else shuffled."""
-    gone = stage(gone.select("doc_id").distinct(), "gone")
-    return docs.join(F.broadcast(gone) if gone.count() <= BROADCAST_ROWS else gone, "doc_id", "left_anti")
+def without(docs: DataFrame, gone: DataFrame, key: list[str]) -> DataFrame:
+    """The rows whose key, nulls included, is not in `gone`, which is broadcast up to BROADCAST_ROWS and else shuffled."""
+    gone = stage(gone.select(*key).distinct(), "gone")
+    gone = F.broadcast(gone) if gone.count() <= BROADCAST_ROWS else gone
+    rows = docs.select(*COLUMNS, ngram_join.text_hash())
+    return rows.alias("d").join(gone.alias("g"), [F.col(f"d.{k}").eqNullSafe(F.col(f"g.{k}")) for k in key], "left_anti")
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,15 +35,21 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked documents the one with the least doc_id stays; of rows with one doc_id, one."""
+    """Of each group of linked rows the one with the least doc_id stays, of several the one of least text hash, of rows equal in both
+    one; so do all rows without words, but for repeated ones with a doc_id."""
     tuned(ship(configure(spark)))
-    found = ngram_join.join_documents(docs)
-    left = without(docs.select(*COLUMNS), found.filter("doc_id != component_id"))
-    twice = stage(docs.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1").select("doc_id"), "twice")
+    found = stage(ngram_join.row_components(docs), "components")
+    order = F.struct(F.col("doc_id").isNull().alias("last"), F.coalesce("doc_id", F.lit(0)).alias("id"), F.col("text_hash").alias("hash"))
+    linked = found.filter("n > 0").select("doc_id", "text_hash", "component", order.alias("at"))
+    groups = linked.groupBy("component").agg(F.min("at").alias("first"), F.max("at").alias("end")).filter("first != end")
+    left = without(docs, linked.join(groups, "component").filter("at != first"), ["doc_id", "text_hash"])
+    twice = stage(found.filter("doc_id IS NOT NULL OR n > 0").groupBy("doc_id", "text_hash").count().filter("count > 1"), "twice")
     if twice.isEmpty():
-        return left
-    again = left.join(twice, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return left.join(twice, "doc_id", "left_anti").unionByName(again).select(*COLUMNS)
+        return left.select(*COLUMNS)
+    once = without(left, twice, ["doc_id", "text_hash"])
+    again = left.alias("d").join(twice.alias("g"), [F.col(f"d.{k}").eqNullSafe(F.col(f"g.{k}")) for k in ("doc_id", "text_hash")], "left_semi")
+    again = again.groupBy("doc_id", "text_hash").agg(F.min(F.struct(*COLUMNS[1:])).alias("row")).select("doc_id", "row.*")
+    return once.select(*COLUMNS).unionByName(again).select(*COLUMNS)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -54,8 +63,9 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item go."""
     tuned(ship(configure(spark)))
-    found = decontaminate.contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    return without(docs.select(*COLUMNS), found.filter("doc_id IS NOT NULL"))
+    texts = docs.select(ngram_join.text_hash().alias("doc_id"), "text")
+    found = decontaminate.contaminated(texts, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return without(docs, found.select(F.col("doc_id").alias("text_hash")), ["text_hash"]).select(*COLUMNS)
 
 
 def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

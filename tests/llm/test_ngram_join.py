@@ -102,3 +102,15 @@ def test_components_of_a_path_and_a_star(spark):
     edges = [(i, i + 1) for i in range(0, 60)] + [(100, 100 + i) for i in range(1, 50)]
     got = {r.node: r.component for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {**{i: 0 for i in range(61)}, **{100 + i: 100 for i in range(50)}}
+
+
+def test_rows_link_by_their_own_text(spark):
+    """Rows without a doc_id close a chain; two texts under one doc_id link each on its own."""
+    words = [f"w{i}" for i in range(200)]
+    chain = [" ".join(words[:100]), " ".join(words[10:110]), " ".join(words[20:120])]
+    other = " ".join(f"v{i}" for i in range(60))
+    rows = [(5, chain[0]), (None, chain[1]), (9, chain[2]), (7, other), (7, "x y z"), (8, other + " end"), (3, "x y z"),
+            (None, "alone"), (None, "alone"), (None, "")]
+    docs = spark.createDataFrame([(*r, 0) for r in rows], "doc_id long, text string, n long").repartition(3)
+    got = sorted((r.doc_id or 0, r.n_shingles, r.component_id or 0) for r in ngram_join.join_documents(docs).collect())
+    assert got == sorted([(5, 96, 5), (0, 96, 5), (9, 96, 5), (7, 56, 7), (7, 1, 3), (8, 57, 7), (3, 1, 3), (0, 1, 0), (0, 1, 0), (0, 0, 0)])

@@ -141,3 +141,20 @@ def test_pipeline_on_odd_rows(spark, tmp_path):
     for t in ("labels", "benchmark"):
         spark.read.parquet(f"{SF}/{t}.parquet").limit(0).write.parquet(str(tmp_path / f"{t}.parquet"))
     assert sorted((r.doc_id or 0, r.n_tokens) for r in corpus_pipeline.run(spark, str(tmp_path)).collect()) == [(0, 0), (1, 6), (2, 0)]
+
+
+def test_pipeline_judges_rows_by_their_own_text(spark, tmp_path):
+    item = " ".join(f"secret{i}" for i in range(15))
+    near = " ".join(f"w{i}" for i in range(100))
+    rows = [(1, "a clean text of its own"), (1, f"{item} then eight more words follow up to here"), (None, f"again {item}"), (None, "kept without an id"), (2, near),
+            (None, near + " end"), (3, "one text"), (3, "quite another"), (3, "one text"), (None, "same"), (None, "same"), (4, "")]
+    spark.createDataFrame([(*r, "en", "s", len(r[1])) for r in rows], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(
+        str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    docs = spark.read.parquet(str(tmp_path / "documents.parquet"))
+    left = corpus_pipeline.stage(corpus_pipeline.drop_near_copies(spark, docs, str(tmp_path)), "near")
+    assert left.columns == list(corpus_pipeline.COLUMNS)
+    got = sorted((r.doc_id or 0, r.text) for r in left.collect())
+    assert got == sorted({(i or 0, t) for i, t in rows} - {(0, near + " end")})
+    clean = corpus_pipeline.drop_contaminated(spark, docs, str(tmp_path))
+    assert sorted((r.doc_id or 0, r.text) for r in clean.collect()) == sorted((i or 0, t) for i, t in rows if item not in t)
