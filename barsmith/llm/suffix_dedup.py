@@ -30,7 +30,7 @@ from barsmith.session import stage
 LENGTH, GRAM = 200, 32
 SLICE, FLUSH, SHARD_BYTES, INDEX_BYTES, MAX_SHARDS = 1 << 20, 200_000, 16 << 20, 2 << 20, 4096
 HOT_SEGMENTS, HOT_ANCHORS = 2000, 5000  # an anchor is hot above this many segments and this share of all
-BROADCAST_ROWS = 1_000_000  # of document keys: 12 MB
+BROADCAST_ROWS = 1_000_000  # of document keys: 16 MB
 DONE = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary, kept_text string"
 _U = np.uint64
 _TABLE = mix(np.arange(1, 257, dtype=np.uint64))
@@ -79,14 +79,14 @@ def segments(data: np.ndarray, offsets: np.ndarray, common: np.ndarray | None =
 
 
 def keyed(docs: DataFrame, carry=()) -> DataFrame:
-    """k1, k2: what names a row's text in the joins; rows with equal keys have equal texts for all that matters here."""
+    """k1, k2: what names a row's text in the joins: the doc_id and a 64-bit hash of the text, without a doc_id two such hashes."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(-1 << 63)).alias("k1"), F.hash(text).alias("k2"),
+    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.xxhash64(F.lit(1), text)).alias("k1"), F.xxhash64(text).alias("k2"),
                        F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), *(F.col(c).alias(f"_{c}") for c in carry))
 
 
 _FIELDS = ("anchor", "seg", "k1", "k2", "start", "size", "copies")
-OCCURRENCES = "anchor long, seg long, k1 long, k2 int, start long, size int, copies int"
+OCCURRENCES = "anchor long, seg long, k1 long, k2 long, start long, size int, copies int"
 
 
 def _occurrence_blocks(docs: DataFrame, bits: int) -> DataFrame:
@@ -163,7 +163,7 @@ def repeated_occurrences(docs: DataFrame, bits: int) -> DataFrame:
         del parts
         release()
         return pa.table({n: pa.array(c, t, mask=c == 0 if n == "copies" else None) for n, c, t in zip(_FIELDS, cols, (
-            pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int32()))})
+            pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32()))})
     return _occurrence_blocks(docs, bits).groupBy("shard").applyInArrow(merge, OCCURRENCES)
 
 

@@ -3,6 +3,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from barsmith.llm import suffix_dedup as d
 
@@ -83,3 +84,12 @@ def test_odd_rows(spark):
     got = sorted((r.doc_id or 0, r.n_bytes, r.n_removed) for r in d.dedup(docs).collect())
     assert got == [(0, 208, 207), (1, 212, 212), (1, 212, 212), (2, 0, 0), (2, 6, 0)]
     assert d.dedup(docs.filter("doc_id > 9")).count() == 0
+
+
+def test_texts_of_one_id_keep_their_own_names(spark):
+    """60 texts without an id and as many with one id, in pairs that a 32-bit hash of the text names alike."""
+    frame = spark.range(400_000).selectExpr("concat('t', id, repeat('-', 40)) AS t").selectExpr("t", "hash(t) AS h")
+    twins = frame.groupBy("h").agg(F.collect_list("t").alias("t")).filter("size(t) > 1").limit(30).collect()
+    texts = [t for r in twins for t in r.t[:2]]
+    docs = spark.createDataFrame([(k, t) for k in (None, 7) for t in texts], "doc_id long, text string")
+    assert len(texts) > 10 and d.keyed(docs).select("k1", "k2").distinct().count() == 2 * len(texts)
