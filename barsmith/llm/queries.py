@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from barsmith.llm import bpe, chat, decontaminate, html_text, kneser_ney, ngram_join, suffix_dedup, topk, toxicity, url_rules
+from barsmith.llm import bpe, chat, decontaminate, html_text, kneser_ney, mixing, ngram_join, suffix_dedup, topk, toxicity, url_rules
 from barsmith.llm.arrays import tuned
 from barsmith.session import configure, ship
 
@@ -143,3 +143,39 @@ def op9(spark, table):
 @query("op10_html_text")
 def op10(spark, table):
     return html_text.extract(table("pages"))
+
+
+MIX_SQL = rf"""
+WITH d AS (
+  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '{mixing.WORD}')), 0) AS size,
+    CAST('0x' || substr(md5('{mixing.SEED}:' || coalesce(CAST(doc_id AS VARCHAR), '-') || ':' || coalesce(text, '')), 1, 15) AS BIGINT) AS h
+  FROM documents),
+s AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS n, {list(map(float, mixing.CYCLE))}[1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3] AS w
+  FROM d GROUP BY source),
+r AS (SELECT *, 2.0 * n AS cap, row_number() OVER (ORDER BY 2.0 * n / w, source) AS k FROM s WHERE n > 0),
+-- with the first k sources clamped: words placed, weight free, level of the others
+lv AS (
+  SELECT 0 AS k, 0.0 AS placed, sum(w) AS free FROM r
+  UNION ALL SELECT k, sum(cap) OVER (ORDER BY k), sum(w) OVER () - sum(w) OVER (ORDER BY k) FROM r),
+b AS (SELECT {mixing.SHARE} * sum(n) AS budget FROM s),
+level AS (
+  SELECT placed, free, CASE WHEN free > 0 THEN (budget - placed) / free END AS level FROM lv, b
+  WHERE free = 0 OR NOT EXISTS (SELECT 1 FROM r WHERE r.k > lv.k AND r.cap < r.w * (budget - placed) / free)
+  ORDER BY lv.k LIMIT 1),
+t AS (
+  SELECT source, n, CASE WHEN n = 0 THEN 0.0 WHEN free = 0 OR cap < w * level THEN cap
+    ELSE least(cap, w * (budget - placed) / free) END AS target FROM (SELECT *, 2.0 * n AS cap FROM s), level, b),
+x AS (SELECT *, CASE WHEN n > 0 THEN CAST(floor(target / n) AS BIGINT) ELSE 0 END AS whole, CAST(floor(target) AS BIGINT) AS goal FROM t),
+e AS (
+  SELECT source, h, sum(size) AS here, sum(sum(size)) OVER (PARTITION BY source ORDER BY h) - sum(size) AS before FROM d GROUP BY source, h)
+SELECT doc_id, size, n AS source_size, target, d.source,
+  CAST(whole * size + CASE WHEN here = 0 THEN 0
+    ELSE greatest(0, least(here, goal - whole * n - before)) * size // here END AS BIGINT) AS taken
+FROM d JOIN x ON x.source IS NOT DISTINCT FROM d.source
+JOIN e ON e.source IS NOT DISTINCT FROM d.source AND e.h = d.h"""
+
+
+@query("op12_mix_sources", MIX_SQL)
+def op12(spark, table):
+    return mixing.mix(table("documents"))
