@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from barsmith.llm import bpe, chat, decontaminate, html_text, kneser_ney, mixing, ngram_join, suffix_dedup, topk, toxicity, url_rules
+from barsmith.llm import bpe, chat, decontaminate, html_text, kneser_ney, lexical, mixing, ngram_join, suffix_dedup, topk, toxicity, url_rules
 from barsmith.llm.arrays import tuned
 from barsmith.session import configure, ship
 
@@ -179,3 +179,31 @@ JOIN e ON e.source IS NOT DISTINCT FROM d.source AND e.h = d.h"""
 @query("op12_mix_sources", MIX_SQL)
 def op12(spark, table):
     return mixing.mix(table("documents"))
+
+
+RANK_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id,
+    regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS l
+  FROM documents),
+c AS (SELECT CAST(count(*) AS BIGINT) AS n_docs, CAST(sum(len(l)) AS BIGINT) AS n_terms FROM d WHERE len(l) > 0),
+q AS (
+  SELECT DISTINCT item_id, unnest(
+    regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark WHERE item_id IS NOT NULL),
+f AS (
+  SELECT rid, doc_id, term, CAST(count(*) AS BIGINT) AS tf, any_value(n) AS n
+  FROM (SELECT rid, doc_id, CAST(len(l) AS BIGINT) AS n, unnest(l) AS term FROM d) GROUP BY rid, doc_id, term),
+w AS (
+  SELECT term, CAST(floor(1000 * ln(CAST(2 * n_docs + 2 AS DOUBLE) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w
+  FROM f, c WHERE term IN (SELECT term FROM q) GROUP BY term, n_docs),
+s AS (
+  SELECT item_id, rid, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * n_docs) // n_terms)))) AS BIGINT) AS score
+  FROM q JOIN f USING (term) JOIN w USING (term), c GROUP BY item_id, rid, doc_id)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM s WHERE score > 0) WHERE rank <= 10"""
+
+
+@query("op13_ranked_search", RANK_SQL)
+def op13(spark, table):
+    return lexical.search_documents(table("documents"), table("benchmark"))
