@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from barsmith.llm import bpe, chat, decontaminate, html_text, kneser_ney, lexical, mixing, ngram_join, suffix_dedup, topk, toxicity, url_rules
+from barsmith.llm import bpe, chat, decontaminate, html_text, kneser_ney, lexical, merkle, mixing, ngram_join, suffix_dedup, topk, toxicity, url_rules
 from barsmith.llm.arrays import tuned
 from barsmith.session import configure, ship
 
@@ -207,3 +207,53 @@ SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM (
 @query("op13_ranked_search", RANK_SQL)
 def op13(spark, table):
     return lexical.search_documents(table("documents"), table("benchmark"))
+
+
+MERKLE_SQL = rf"""
+WITH RECURSIVE
+crc AS (
+  SELECT list(list_reduce([n] || range(8), lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY n) AS t
+  FROM (SELECT unnest(range(256)) AS n)),
+f AS (
+  SELECT row_number() OVER () AS rid, *, {" || ".join(f"coalesce(strlen(CAST({c} AS VARCHAR)) || ':' || {c}, '-')" for c in merkle.FIELDS[:-1])} AS head FROM documents),
+d AS (
+  SELECT rid, doc_id, source, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+    sha256(head || coalesce(strlen(text) || ':' || translate(text, '{merkle.UPPER}', '{merkle.LOWER}'), '-')) AS new_leaf,
+    xor(list_reduce([4294967295] || list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT)),
+      lambda c, b: xor(c >> 8, t[1 + (xor(c, b) & 255)])), 4294967295) % 5 = 0 AS hit
+  FROM f, crc),
+p AS (
+  SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf, rid) - 1 AS pos, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS s
+  FROM d),
+-- a level per step; a node list per tree
+up AS (
+  SELECT s, 0 AS level, list(leaf ORDER BY pos) AS nodes FROM p GROUP BY s
+  UNION ALL SELECT s, level + 1, list_transform(range(0, len(nodes), {merkle.FAN}),
+    lambda i: sha256(array_to_string(list_slice(nodes, i + 1, i + {merkle.FAN}), ''))) FROM up WHERE len(nodes) > 1),
+sub AS (SELECT s, nodes[1] AS subroot FROM up WHERE len(nodes) = 1),
+top AS (
+  SELECT 0 AS level, list(subroot ORDER BY s) AS nodes FROM sub
+  UNION ALL SELECT level + 1, list_transform(range(0, len(nodes), {merkle.FAN}),
+    lambda i: sha256(array_to_string(list_slice(nodes, i + 1, i + {merkle.FAN}), ''))) FROM top WHERE len(nodes) > 1),
+way AS (
+  SELECT s, level, 0 AS high, nodes FROM up WHERE len(nodes) > 1
+  UNION ALL SELECT sub.s, level, 1, nodes FROM sub, top WHERE len(nodes) > 1),
+step AS (
+  SELECT rid, row_number() OVER (PARTITION BY rid ORDER BY high, level) AS step,
+    CAST((CASE high WHEN 0 THEN pos ELSE p.s END) // CAST(power({merkle.FAN}, level) AS BIGINT) AS BIGINT) AS place, nodes FROM p JOIN way USING (s)),
+runs AS (
+  SELECT rid, step, array_to_string(list_slice(nodes, place // {merkle.FAN} * {merkle.FAN} + 1, place), '') AS before,
+    array_to_string(list_slice(nodes, place + 2, place // {merkle.FAN} * {merkle.FAN} + {merkle.FAN}), '') AS behind FROM step),
+proof AS (SELECT rid, sha256(string_agg(before || behind, '' ORDER BY step)) AS proof_sha256, max(step) AS n FROM runs GROUP BY rid),
+fold AS (
+  SELECT rid, 0 AS step, CASE WHEN hit THEN new_leaf ELSE leaf END AS node FROM p
+  UNION ALL SELECT rid, runs.step, sha256(before || node || behind) FROM fold JOIN runs USING (rid) WHERE runs.step = fold.step + 1)
+SELECT doc_id, leaf, subroot, root.nodes[1] AS root, coalesce(proof_sha256, sha256('')) AS proof_sha256, fold.node AS folded_root,
+  fold.node = root.nodes[1] AS verified
+FROM p JOIN sub USING (s) JOIN top root ON len(root.nodes) = 1 LEFT JOIN proof USING (rid) JOIN fold ON fold.rid = p.rid AND fold.step = coalesce(n, 0)"""
+
+
+@query("op11_merkle_manifest", MERKLE_SQL)
+def op11(spark, table):
+    docs = table("documents")
+    return merkle.manifest(docs, merkle.tampered(docs))
