@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from barsmith import fixed
 from barsmith.functions import columns as fn
-from barsmith.operators.joins import guarded_broadcast
 from barsmith.operators.mutate import value_range
 
 
@@ -89,7 +88,7 @@ def holiday_table(spark: SparkSession, holidays: Sequence = fixed.HOLIDAYS) -> D
 
 def open_days(df: DataFrame, holidays: DataFrame, column: str = "day") -> DataFrame:
     """Rows whose date is a weekday outside `holidays`."""
-    shut = guarded_broadcast(holidays.select(F.col("holiday").alias(column)).distinct())
+    shut = holidays.select(F.col("holiday").alias(column)).distinct()
     return df.where(F.weekday(column) < 5).join(shut, column, "left_anti")
 
 

@@ -1,14 +1,13 @@
-"""Membership joins, safe for NULL keys and for sides that grow."""
+"""Membership joins, safe for NULL keys and for sides that grow.
+
+Lists carry no hint and are not counted: at run time AQE knows a list's size and broadcasts it below
+spark.sql.autoBroadcastJoinThreshold; a longer one is shuffled, and AQE splits the hot keys of the other side.
+"""
 
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-def guarded_broadcast(df: DataFrame) -> DataFrame:
-    """A list to join with, without a hint and without a job to count it: at run time AQE knows the list's size and broadcasts it
-    below spark.sql.autoBroadcastJoinThreshold; a longer one is shuffled, and AQE splits the hot keys of the other side."""
-    return df
-
 
 def names(spark, values: Sequence[str], column: str = "scrip") -> DataFrame:
     """A caller's list as a one-column DataFrame."""
@@ -17,12 +16,12 @@ def names(spark, values: Sequence[str], column: str = "scrip") -> DataFrame:
 
 def only(df: DataFrame, listed: DataFrame, on: str = "scrip") -> DataFrame:
     """Rows whose `on` is in the list."""
-    return df.join(guarded_broadcast(listed.select(on).distinct()), on, "left_semi")
+    return df.join(listed.select(on).distinct(), on, "left_semi")
 
 
 def without(df: DataFrame, listed: DataFrame, on: str = "scrip") -> DataFrame:
     """Rows whose `on` is not in the list. A NULL in the list removes nothing."""
-    return df.join(guarded_broadcast(listed.select(on).distinct()), on, "left_anti")
+    return df.join(listed.select(on).distinct(), on, "left_anti")
 
 
 def subset(df: DataFrame, column: str, values: Sequence) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from barsmith import fixed
 from barsmith.operators.dedup import keep_first
-from barsmith.operators.joins import guarded_broadcast, not_stored, without
+from barsmith.operators.joins import not_stored, without
 
 BAR_VALUES = (*fixed.PRICES, "volume")
 
@@ -31,14 +31,19 @@ def first_per_row_id(source: DataFrame, order: Sequence) -> DataFrame:
 
 
 def upsert(target: DataFrame, source: DataFrame, key: str = "row_id",
-           values: Sequence[str] = BAR_VALUES) -> DataFrame:
+           values: Sequence[str] = BAR_VALUES, large: bool = False) -> DataFrame:
     """Target with matched rows' values replaced (by NULL too) and new rows added.
 
-    Matched rows keep every other column of the target. `source` holds each key once.
-    No full outer join: a small source is broadcast to the target, whose rows then stay where they are.
+    Matched rows keep every other column of the target. `source` holds each key once. A small source is broadcast to the target, whose
+    rows then stay where they are; a `large` one, of about the target's size, meets it in one full outer join that reads both once.
     """
     t, s = target.alias("t"), source.withColumn("_in", F.lit(True)).alias("s")
     new = F.col("s._in").isNotNull()
+    if large:
+        t = target.withColumn("_old", F.lit(True)).alias("t")
+        pick = [F.when(new if c in values else F.col("t._old").isNull(), F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")).alias(c)
+                for c in target.columns]
+        return t.join(s, F.col(f"t.{key}") == F.col(f"s.{key}"), "full").select(*pick)
     kept = t.join(s, F.col(f"t.{key}") == F.col(f"s.{key}"), "left").select(*[
         (F.when(new, F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")) if c in values else F.col(f"t.{c}")).alias(c)
         for c in target.columns])
@@ -63,7 +68,7 @@ def delete_scrips(df: DataFrame, scrips: DataFrame, condition: Column | None = N
     """Rows of the listed scrips removed; with `condition`, only those for which it is true."""
     if condition is None:
         return without(df, scrips)
-    hit = guarded_broadcast(scrips.select("scrip").distinct().withColumn("_hit", F.lit(True)))
+    hit = scrips.select("scrip").distinct().withColumn("_hit", F.lit(True))
     return delete_where(df.join(hit, "scrip", "left"),
                         F.col("_hit") & condition).select(*df.columns)
 

@@ -46,7 +46,7 @@ def _record_flags(spark: SparkSession, settings: Settings, flags: DataFrame, fla
         tables.write_flags_csv(flags, flags_csv)
     if settings.flag_table:
         tables.ensure_table(spark, settings.flag_table, schemas.FLAGS, partition=None)
-        tables.append(flags, settings.flag_table, partition=None)
+        tables.append(flags, settings.flag_table)
     return flags.count()
 
 
@@ -64,7 +64,7 @@ def run_daily(spark: SparkSession, settings: Settings, responses: DataFrame,
     """
     settings.check("daily")
     configure(spark)
-    tables.ensure_table(spark, settings.daily_table, schemas.DAILY)
+    tables.ensure_table(spark, settings.daily_table, schemas.DAILY, buckets=settings.buckets)
     if mapping is not None:
         responses = only(responses, mapping)
     fetched, rejected = _fetched(responses, "fetched")
@@ -100,7 +100,7 @@ def run_daily_from_hourly(spark: SparkSession, settings: Settings, responses: Da
     settings.check("daily")
     configure(spark)
     name, start = settings.daily_table, fn.to_date_arg(start_date)
-    tables.ensure_table(spark, name, schemas.DAILY)
+    tables.ensure_table(spark, name, schemas.DAILY, buckets=settings.buckets)
     if interval is not None:
         responses = responses.where(F.col("interval_m") == interval)
     elif responses.select("interval_m").distinct().count() > 1:
@@ -112,10 +112,10 @@ def run_daily_from_hourly(spark: SparkSession, settings: Settings, responses: Da
     source = stage(bars.select(*schemas.DAILY_COLUMNS), "bars")
     failed = _scrip_list(windows.select("scrip").unionByName(without(responses, candles.select("scrip")).select("scrip")))
     if clear_old_temp:
-        tables.delete(spark, name, mutate.is_temp())
+        tables.delete_temp(spark, name)
     uploaded = tables.upsert(spark, name, source)
     if clear_old_temp:
-        tables.delete(spark, name, mutate.is_temp() & (F.col("trade_date") < F.lit(start)))
+        tables.delete_temp(spark, name, before=start)
     return {"fetched": candles.count(), "uploaded": uploaded, "failed": failed, "failed_windows": windows,
             "rejected": unread.count(), "table": name,
             "check": coverage.rows_per_date(spark.table(name), mutate.is_temp())}
@@ -130,7 +130,7 @@ def run_lifetime_reload(spark: SparkSession, settings: Settings, responses: Data
     settings.check("daily")
     configure(spark)
     name = settings.daily_table
-    tables.ensure_table(spark, name, schemas.DAILY)
+    tables.ensure_table(spark, name, schemas.DAILY, buckets=settings.buckets)
     stored = spark.table(name)
     report = {"mode": "lifetime", "table": name, "dry_run": dry_run, "flagged": []}
     if dry_run:
@@ -142,9 +142,9 @@ def run_lifetime_reload(spark: SparkSession, settings: Settings, responses: Data
     source = _source(fetched)
     uploaded = source.count()
     if uploaded:
-        tables.replace(source, name, tables.PARTITION)
+        tables.replace(source, name)
     elif clear_temp:
-        tables.delete(spark, name, mutate.is_temp())
+        tables.delete_temp(spark, name)
     return {**report, "fetched": fetched.count(), "uploaded": uploaded, "rejected": rejected,
             "failed": _scrip_list(landed.failed_scrips(responses))}
 
@@ -163,8 +163,8 @@ def run_range_reload(spark: SparkSession, settings: Settings, responses: DataFra
     settings.check("daily")
     configure(spark)
     name, start, end = settings.daily_table, fn.to_date_arg(from_date), fn.to_date_arg(to_date)
-    tables.ensure_table(spark, name, schemas.DAILY)
-    stored = spark.table(name)
+    tables.ensure_table(spark, name, schemas.DAILY, buckets=settings.buckets)
+    stored = tables.read(spark, name)
     fetched, rejected = _fetched(responses, "fetched")
     failed = _scrip_list(landed.failed_scrips(responses))
     report = {"mode": "range", "table": name, "dry_run": dry_run, "fetched": fetched.count(),
@@ -172,7 +172,7 @@ def run_range_reload(spark: SparkSession, settings: Settings, responses: DataFra
               "uploaded_lifetime": 0, "uploaded": 0, "check_date": None}
     if not report["fetched"]:
         if clear_temp and not dry_run:
-            tables.delete(spark, name, mutate.is_temp())
+            tables.delete_temp(spark, name)
         return report
 
     check = splits.oldest_date_in(fetched, start, end).first()[0]
@@ -195,13 +195,17 @@ def run_range_reload(spark: SparkSession, settings: Settings, responses: DataFra
         return report
 
     clean = _source(clean)
-    temp = stored.where(mutate.is_temp() if clear_temp else F.lit(False))
-    touched = set(tables.dates_between(spark, name, start, end))
-    for rows in (temp, only(stored, flagged), clean, again):
-        touched.update(tables.partition_values(rows))
-    touched = sorted(touched)
-    state = mutate.range_reload(tables.at(stored, touched), clean, again, flagged, start, end, clear_temp)
-    tables.overwrite_partitions(spark, name, state, touched, tables.partition_values(state))
+    layout = tables.layout_of(spark, name)
+    touched = tables.units_between(spark, name, start, end, layout) | tables.units_with(spark, name, flagged)
+    touched |= tables.units_in(clean, layout) | tables.units_in(again, layout)
+    if clear_temp and layout.buckets:  # temporary rows are dropped below, unread
+        touched = {u for u in touched if u[-1] != tables.TEMP_BUCKET}
+    elif clear_temp:
+        touched |= tables.units_in(stored.where(mutate.is_temp()), layout)
+    here = tables.at(spark.table(name), layout, touched).select(*schemas.DAILY_COLUMNS)
+    tables.overwrite_units(spark, name, mutate.range_reload(here, clean, again, flagged, start, end, clear_temp), touched)
+    if clear_temp:
+        tables.delete_temp(spark, name)
     report.update(uploaded_range=clean.count(), uploaded_lifetime=again.count())
     report["uploaded"] = report["uploaded_range"] + report["uploaded_lifetime"]
     if callable(lifetime) or lifetime is not None:

@@ -39,7 +39,7 @@ def run_intraday(spark: SparkSession, settings: Settings, responses: DataFrame)
     settings.check("intraday")
     configure(spark)
     name = settings.intraday_table
-    tables.ensure_table(spark, name, schemas.INTRADAY)
+    tables.ensure_table(spark, name, schemas.INTRADAY, buckets=settings.buckets)
     ok, failed = _counts(responses)
     report = {"responses": ok, "failed": failed, "loaded": 0, "table": name}
     candles, report["rejected"] = _clean(responses)
@@ -70,7 +70,7 @@ def run_intraday_reload_for_flagged(spark: SparkSession, settings: Settings, fla
     settings.check("intraday")
     configure(spark)
     name = settings.intraday_table
-    tables.ensure_table(spark, name, schemas.INTRADAY)
+    tables.ensure_table(spark, name, schemas.INTRADAY, buckets=settings.buckets)
     span = flagged_bounds(spark, settings, flagged, interval)
     eligible = span["eligible"]
     report = {"eligible": sorted(r[0] for r in eligible.collect()),
@@ -91,11 +91,9 @@ def run_intraday_reload_for_flagged(spark: SparkSession, settings: Settings, fla
     report["loaded"] = fresh.count()
     if not report["loaded"]:
         return report
-    stored = spark.table(name)
-    same = F.col("interval_m") == interval
-    touched = sorted(set(tables.partition_values(only(stored.where(same), eligible)))
-                     | set(tables.partition_values(fresh)))
-    rows = mutate.delete_scrips(tables.at(stored, touched), eligible, same) \
-        .unionByName(fresh.select(*stored.columns))
-    tables.overwrite_partitions(spark, name, rows, touched, tables.partition_values(rows))
+    same, layout = F.col("interval_m") == interval, tables.layout_of(spark, name)
+    touched = tables.units_with(spark, name, eligible, same) | tables.units_in(fresh, layout)
+    here = tables.at(spark.table(name), layout, touched).select(*schemas.INTRADAY_COLUMNS)
+    rows = mutate.delete_scrips(here, eligible, same).unionByName(fresh.select(*here.columns))
+    tables.overwrite_units(spark, name, rows, touched)
     return report

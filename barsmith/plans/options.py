@@ -7,7 +7,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from barsmith import fixed, schemas, tables
 from barsmith.functions import columns as fn
 from barsmith.operators import calendars
-from barsmith.operators.joins import guarded_broadcast
 from barsmith.session import configure, stage
 from barsmith.settings import Settings
 from barsmith.sources import responses as landed
@@ -56,7 +55,7 @@ def run_options(spark: SparkSession, settings: Settings, responses: DataFrame, s
     wanted = stage(responses.join(open_cells, CELL, "left_semi"), "wanted")
     lookup = None
     if expiries is not None:
-        lookup = guarded_broadcast(stage(calendars.expiry_lookup(expiries, codes), "expiries"))
+        lookup = stage(calendars.expiry_lookup(expiries, codes), "expiries")
     rows, rejects = fn.split_rejects(stage(landed.option_candles(wanted, lookup), "options"), "timestamp")
     loaded = rows.count()
     if loaded:

@@ -4,19 +4,23 @@ from pyspark.sql import DataFrame, SparkSession
 
 from barsmith import fixed, schemas, tables
 from barsmith.functions import columns as fn
-from barsmith.operators import coverage, mutate
+from barsmith.operators import coverage, joins
 from barsmith.session import configure, stage
 from barsmith.settings import Settings
 from barsmith.sources import landed_files
 
 
-def _append_files(spark: SparkSession, name: str, rows: DataFrame, schema: str, date_column: str) -> dict:
-    tables.ensure_table(spark, name, schema, partition=date_column)
-    report = {"fetched_days": tables.partition_values(rows, date_column), "loaded": 0, "table": name}
-    fresh = stage(mutate.append_new(rows, spark.table(name), [date_column, "symbol", "series"], date_column), "fresh")
+def _append_files(spark: SparkSession, settings: Settings, name: str, rows: DataFrame, schema: str, date_column: str) -> dict:
+    tables.ensure_table(spark, name, schema, partition=date_column, by_month=settings.files_by_month)
+    days = tables.column_values(rows, date_column)
+    report = {"fetched_days": days, "loaded": 0, "table": name}
+    if not days:
+        return report
+    stored = tables.dated(spark, name, days[0], days[-1])
+    fresh = stage(joins.not_stored(rows, stored, [date_column, "symbol", "series"]), "fresh")
     report["loaded"] = fresh.count()
     if report["loaded"]:
-        tables.append(fresh, name, partition=date_column)
+        tables.append(fresh, name)
     return report
 
 
@@ -31,7 +35,7 @@ def run_price_files(spark: SparkSession, settings: Settings, path: str, start, e
     _check_range(start, end)
     configure(spark)
     rows = landed_files.price_files(spark, path, start, end)
-    return _append_files(spark, settings.price_table, rows, schemas.PRICE_FILE, "date")
+    return _append_files(spark, settings, settings.price_table, rows, schemas.PRICE_FILE, "date")
 
 
 def run_market_cap(spark: SparkSession, settings: Settings, archives: str | DataFrame, start, end) -> dict:
@@ -41,7 +45,7 @@ def run_market_cap(spark: SparkSession, settings: Settings, archives: str | Data
     _check_range(start, end)
     configure(spark)
     rows = landed_files.market_cap_files(spark, archives, start, end)
-    return _append_files(spark, settings.mcap_table, rows, schemas.MCAP, "trade_date")
+    return _append_files(spark, settings, settings.mcap_table, rows, schemas.MCAP, "trade_date")
 
 
 def run_instrument_master(spark: SparkSession, settings: Settings, path: str, segments=fixed.SEGMENTS,

@@ -1,4 +1,4 @@
-"""What the jobs work on: table names and two knobs, all from the caller."""
+"""What the jobs work on: table names and knobs, all from the caller."""
 
 from dataclasses import dataclass
 
@@ -20,6 +20,8 @@ class Settings:
     option_table: str = ""
     price_decimals: int = 2
     upload_mismatched: bool = True
+    buckets: int = 8                # of scrips, per date of a new daily or intraday table
+    files_by_month: bool = True     # price and market-cap tables hold a few thousand rows a day: a directory per month
 
     def check(self, job: str) -> "Settings":
         """These settings, if they name every table of `job`."""

@@ -4,7 +4,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from barsmith import fixed, schemas
 from barsmith.functions import columns as fn
-from barsmith.operators.joins import guarded_broadcast, without
+from barsmith.operators.joins import without
 from barsmith.session import stage
 
 
@@ -43,7 +43,7 @@ def drop_stale_files(rows: DataFrame, row_date: str, file: str = "file",
     as short as there are stale files.
     """
     stale = rows.where(~F.coalesce(F.col(row_date) == F.col(requested), F.lit(False))).select(file).distinct()
-    return rows.join(guarded_broadcast(stale), file, "left_anti")
+    return rows.join(stale, file, "left_anti")
 
 
 def price_rows(spark: SparkSession, path: str, start, end) -> DataFrame:

@@ -31,7 +31,7 @@ def _append(batch: DataFrame, table: str) -> list:
     try:
         once = keep_first(dated, CANDLE_KEY, order)
         tables.append(mutate.append_new(once, batch.sparkSession.table(table), CANDLE_KEY, "trade_date"), table)
-        return tables.partition_values(dated)
+        return tables.column_values(dated)
     finally:
         dated.unpersist()
 
@@ -54,7 +54,7 @@ def daily_bars(candles: DataFrame, table: str, candle_table: str, order=None, ch
     def write(batch: DataFrame, _: int) -> None:
         dates = _append(batch, candle_table)
         if dates:
-            stored = tables.at(batch.sparkSession.table(candle_table), dates)
+            stored = batch.sparkSession.table(candle_table).where(F.col("trade_date").isin(dates))
             bars = rollup.daily_bars(stored.withColumn("security_id", fn.strict_long("security_id", "security_id")), order=order)
             tables.upsert(batch.sparkSession, table, stage(bars.withColumn("row_id", fn.row_id()).select(*schemas.DAILY_COLUMNS), "bars"))
 
@@ -77,7 +77,7 @@ def split_flags(fetched: DataFrame, stored_table: str, flag_table: str, check_da
         session, key = batch.sparkSession, f"{run}-{batch_id}"
         stored = session.table(stored_table).where(F.col("trade_date") == F.lit(check))
         flags = stage(splits.split_flags(batch, only(stored, batch), check, decimals).withColumn("batch_key", F.lit(key)), "flags")
-        tables.overwrite_partitions(session, flag_table, flags, [key], [] if flags.isEmpty() else [key], "batch_key")
+        tables.overwrite_units(session, flag_table, flags, [(key,)], [] if flags.isEmpty() else [(key,)])
         spark.catalog.refreshTable(flag_table)
 
     return _start(fetched, write, checkpoint)

@@ -43,7 +43,7 @@ def _old_temp(spark, sf_dir) -> DataFrame:
 def _daily(spark, sf_dir, temp: bool) -> Settings:
     """A daily table that holds the stored bars, with or without temporary ones (none on the date that range reloads check)."""
     known = v.stored(spark, sf_dir)
-    name = _new_table(spark, "job_daily", schemas.DAILY, "trade_date")
+    name = _new_table(spark, "job_daily", schemas.DAILY, "trade_date", buckets=4)
     old = _old_temp(spark, sf_dir).where(F.col("trade_date") != F.lit(m.FROM).cast("date"))
     tables.append(v.with_id(known.unionByName(old) if temp else known), name)
     return Settings(daily_table=name)
@@ -69,7 +69,7 @@ SELECT {m.ROW}, {v.ID} AS row_id FROM stored t WHERE NOT EXISTS (SELECT 1 FROM s
 UNION ALL SELECT {m.ROW}, {v.ID} FROM s""")
 def run_daily(spark, sf_dir):
     settings, _ = _run_daily(spark, sf_dir)
-    return spark.table(settings.daily_table)
+    return tables.read(spark, settings.daily_table)
 
 
 @query("snk4_rejects", f"""WITH {v.TICKS}, {v.BARS}
@@ -94,7 +94,7 @@ def run_daily_from_hourly(spark, sf_dir):
     landed = _responses(v.ticks(spark, sf_dir).withColumn("at", v.order()), 60, envelope=True)
     twice = landed.unionByName(landed.withColumn("interval_m", F.lit(15)))  # two intervals landed; one is named
     daily.run_daily_from_hourly(spark, settings, twice, m.FROM, interval=60)
-    return spark.table(settings.daily_table)
+    return tables.read(spark, settings.daily_table)
 
 
 @query("job3_run_lifetime_reload", f"WITH {v.TICKS}, {v.BARS} SELECT {m.ROW}, {v.ID} AS row_id FROM bars")
@@ -103,7 +103,7 @@ def run_lifetime_reload(spark, sf_dir):
     settings = _daily(spark, sf_dir, temp=True)
     with tables.overwrite_mode(spark, "dynamic"):
         daily.run_daily_reload(spark, settings, _bar_responses(spark, sf_dir), "lifetime")
-    return spark.table(settings.daily_table)
+    return tables.read(spark, settings.daily_table)
 
 
 @query("job4_run_range_reload", f"""WITH {m._RELOAD}
@@ -112,7 +112,7 @@ UNION ALL SELECT {m.ROW}, {v.ID} FROM clean UNION ALL SELECT {m.ROW}, {v.ID} FRO
 def run_range_reload(spark, sf_dir):
     settings, landed = _daily(spark, sf_dir, temp=True), _bar_responses(spark, sf_dir)
     daily.run_daily_reload(spark, settings, landed, "range", m.FROM, m.TO, lifetime=landed)
-    return spark.table(settings.daily_table)
+    return tables.read(spark, settings.daily_table)
 
 
 def _candle_responses(spark, sf_dir) -> DataFrame:
@@ -120,7 +120,7 @@ def _candle_responses(spark, sf_dir) -> DataFrame:
 
 
 def _intraday(spark, sf_dir, condition: str) -> Settings:
-    name = _new_table(spark, "job_intraday", schemas.INTRADAY, "trade_date")
+    name = _new_table(spark, "job_intraday", schemas.INTRADAY, "trade_date", buckets=4)
     tables.append(v.candles(spark, sf_dir, condition), name)
     return Settings(intraday_table=name)
 
@@ -135,7 +135,7 @@ def run_intraday(spark, sf_dir):
     settings, landed = _intraday(spark, sf_dir, "event_type = 'click'"), _candle_responses(spark, sf_dir)
     for _ in range(2):  # the second run adds nothing
         intraday.run_intraday(spark, settings, landed)
-    return spark.table(settings.intraday_table)
+    return tables.read(spark, settings.intraday_table)
 
 
 @query("job7_run_flagged_reload", f"""WITH {v.SPLIT}, {v.CANDLES}, {v.candles_sql('old', "event_type <> 'error'")},
@@ -146,7 +146,7 @@ def run_flagged_reload(spark, sf_dir):
     settings, landed = _intraday(spark, sf_dir, "event_type <> 'error'"), _candle_responses(spark, sf_dir)
     intraday.run_intraday_reload_for_flagged(spark, settings, stage(flagged_list(spark, sf_dir), "flagged"),
                                              lambda eligible, windows: landed)
-    return spark.table(settings.intraday_table)
+    return tables.read(spark, settings.intraday_table)
 
 
 OPTION_RANGE = ("1995-01-02", "1995-03-01")
@@ -208,11 +208,11 @@ SELECT scrip AS symbol, event_type AS series, trade_date AS date,
   CAST(NULL AS DOUBLE) AS deliv_qty, CAST(NULL AS DOUBLE) AS deliv_per
 FROM rows WHERE file_day IN (SELECT file_day FROM good) AND file_day BETWEEN DATE '2024-01-02' AND DATE '2024-01-30'""")
 def run_price_files(spark, sf_dir):
-    settings = Settings(price_table=_new_table(spark, "job_prices", schemas.PRICE_FILE, "date"))
+    settings = Settings(price_table=_new_table(spark, "job_prices", schemas.PRICE_FILE, "date", by_month=True))
     path = ingest.price_folder(spark, sf_dir)
     for _ in range(2):  # the second run adds nothing
         reference.run_price_files(spark, settings, path, "2024-01-02", "2024-01-30")
-    return spark.table(settings.price_table)
+    return tables.read(spark, settings.price_table)
 
 
 def archives(spark, sf_dir) -> DataFrame:
@@ -259,9 +259,9 @@ def market_cap(spark, sf_dir):
 
 @query("job10_run_market_cap", _MCAP_SQL)
 def run_market_cap(spark, sf_dir):
-    settings = Settings(mcap_table=_new_table(spark, "job_mcap", schemas.MCAP, "trade_date"))
+    settings = Settings(mcap_table=_new_table(spark, "job_mcap", schemas.MCAP, "trade_date", by_month=True))
     reference.run_market_cap(spark, settings, stage(archives(spark, sf_dir), "archives"), "2010-01-01", "2030-01-01")
-    return spark.table(settings.mcap_table)
+    return tables.read(spark, settings.mcap_table)
 
 
 @query("job11_run_instrument_master", f"""WITH m AS (SELECT {ingest._PART}, p_retailprice AS STRIKE_PRICE FROM part)
@@ -281,5 +281,5 @@ def latest_and_counts(spark, sf_dir):
 
     settings = _intraday(spark, sf_dir, "true")
     latest = latest_intraday(spark, settings)
-    return spark.table(settings.intraday_table).agg(F.unix_seconds(F.lit(latest).cast("timestamp")).alias("latest"),
+    return tables.read(spark, settings.intraday_table).agg(F.unix_seconds(F.lit(latest).cast("timestamp")).alias("latest"),
                                                     F.count("*").alias("candles"))

@@ -32,7 +32,7 @@ SELECT coalesce(t.row_id, s.row_id) AS row_id, coalesce(t.scrip, s.scrip) AS scr
        CASE WHEN s.row_id IS NOT NULL THEN s.volume ELSE t.volume END AS volume
 FROM t FULL JOIN s ON t.row_id = s.row_id""")
 def upsert_bars(spark, sf_dir):
-    return mutate.upsert(v.with_id(v.stored(spark, sf_dir)), v.with_id(v.bars(spark, sf_dir)))
+    return mutate.upsert(v.with_id(v.stored(spark, sf_dir)), v.with_id(v.bars(spark, sf_dir)), large=True)
 
 
 @query("snk4_dedup_first", f"""WITH {v.TICKS}

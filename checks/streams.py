@@ -19,11 +19,10 @@ def _stream_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return v.as_ticks(events)
 
 
-def _new_table(spark: SparkSession, label: str, schema: str, partition: str | None) -> str:
+def _new_table(spark: SparkSession, label: str, schema: str, partition: str | None, **layout) -> str:
     path = scratch(spark, label)
     name = path.rsplit("/", 1)[1].replace("-", "_")
-    partitioned = f" PARTITIONED BY ({partition})" if partition else ""
-    spark.sql(f"CREATE TABLE {name} ({schema}) USING parquet{partitioned} LOCATION '{path}'")
+    tables.ensure_table(spark, name, schema, partition, location=path, **layout)
     return name
 
 

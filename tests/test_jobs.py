@@ -48,7 +48,7 @@ def names(table_name):
 
 
 def store(spark, name, history, exchange="NSE_EQ"):
-    tables.ensure_table(spark, name, schemas.DAILY)
+    tables.ensure_table(spark, name, schemas.DAILY, buckets=4)
     data = [(s, exchange, 100 + ord(s[0]), float(c), float(c), float(c), float(c), 1.0, d) for s, h in history.items() for d, c in h.items()]
     df = spark.createDataFrame(data, "scrip string, exchange string, security_id bigint, open double, high double, low double, close double, volume double, trade_date date")
     tables.append(df.withColumn("row_id", fn.row_id()), name)
@@ -59,7 +59,8 @@ def closes(spark, name):
 
 
 def partitions(spark, name):
-    return sorted(r[0].split("=")[1] for r in spark.sql(f"SHOW PARTITIONS {name}").collect())
+    """The dates that have directories."""
+    return sorted({r[0].split("/")[0].split("=")[1] for r in spark.sql(f"SHOW PARTITIONS {name}").collect()})
 
 
 # ---- tables ----
