@@ -51,6 +51,19 @@ def upsert(target: DataFrame, source: DataFrame, key: str = "row_id",
     return kept.unionByName(source.join(known, key, "left_anti").select(*target.columns))
 
 
+def last_entries(changes: DataFrame, sequence: str) -> DataFrame:
+    """Of each row id's entries the one of the highest sequence number."""
+    columns = [c for c in changes.columns if c != sequence]
+    last = changes.groupBy("row_id").agg(F.max_by(F.struct(*columns), sequence).alias("e"))
+    return last.select(*[f"e.{c}" for c in columns])
+
+
+def resolve(stored: DataFrame, last: DataFrame) -> DataFrame:
+    """Stored rows with one entry per row id applied: a tombstone (`gone`) removes its row, any other entry upserts."""
+    dead, alive = last.where("gone").select("row_id"), last.where("NOT gone")
+    return upsert(stored.join(dead, "row_id", "left_anti").select(*stored.columns), alive.select(*stored.columns))
+
+
 def delete_where(df: DataFrame, condition: Column) -> DataFrame:
     """Rows for which the condition is not true; rows where it is NULL stay."""
     return df.where(~F.coalesce(condition, F.lit(False)))

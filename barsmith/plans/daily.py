@@ -5,7 +5,7 @@ from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from barsmith import fixed, schemas, tables
+from barsmith import changes, fixed, schemas, tables
 from barsmith.functions import columns as fn
 from barsmith.operators import coverage, mutate, rollup, splits
 from barsmith.operators.joins import only, without
@@ -33,7 +33,7 @@ def _source(rows: DataFrame, order=("seq", "pos")) -> DataFrame:
 
 
 def _flag(spark: SparkSession, settings: Settings, fetched: DataFrame, check) -> DataFrame:
-    stored = daily_rows(spark.table(settings.daily_table), fetched.select("scrip"), check, check) \
+    stored = daily_rows(changes.current(spark, settings.daily_table), fetched.select("scrip"), check, check) \
         if check is not None else None
     return stage(splits.split_flags(fetched, stored, check, settings.price_decimals), "flags")
 
@@ -50,6 +50,14 @@ def _record_flags(spark: SparkSession, settings: Settings, flags: DataFrame, fla
     return flags.count()
 
 
+def _upsert(spark: SparkSession, settings: Settings, source: DataFrame) -> int:
+    """Merge a source into the daily table, or record it beside the table; the number of its rows."""
+    name = settings.daily_table
+    if settings.merge_on_read and not changes.has_changes(spark, name):
+        changes.start(spark, name)
+    return (changes if changes.has_changes(spark, name) else tables).upsert(spark, name, source)
+
+
 def recent_window(days: int = 4, as_of=None) -> tuple[date, date]:
     """(from, to): the last `days` calendar days up to `as_of` or today."""
     last = fn.to_date_arg(as_of) or date.today()
@@ -83,7 +91,7 @@ def run_daily(spark: SparkSession, settings: Settings, responses: DataFrame,
     upload = fetched.where(F.col("trade_date") == F.lit(last))
     if not settings.upload_mismatched:
         upload = without(upload, flagged)
-    uploaded = tables.upsert(spark, settings.daily_table, _source(upload))
+    uploaded = _upsert(spark, settings, _source(upload))
     return {**report, "flags": flags, "flagged": _scrip_list(flagged), "flags_written": written,
             "uploaded": uploaded}
 
@@ -108,6 +116,7 @@ def run_daily_from_hourly(spark: SparkSession, settings: Settings, responses: Da
     read, unread = fn.split_rejects(stage(landed.hourly_rows(responses), "hourly_rows"), "timestamp")
     candles = stage(landed.open_hours(read, opens, closes), "hourly")
     windows = stage(landed.failed_windows(responses), "failed_windows")
+    changes.fold_all(spark, name)
     bars = rollup.daily_bars(candles).withColumn("row_id", fn.row_id())
     source = stage(bars.select(*schemas.DAILY_COLUMNS), "bars")
     failed = _scrip_list(windows.select("scrip").unionByName(without(responses, candles.select("scrip")).select("scrip")))
@@ -131,7 +140,7 @@ def run_lifetime_reload(spark: SparkSession, settings: Settings, responses: Data
     configure(spark)
     name = settings.daily_table
     tables.ensure_table(spark, name, schemas.DAILY, buckets=settings.buckets)
-    stored = spark.table(name)
+    stored = changes.current(spark, name)
     report = {"mode": "lifetime", "table": name, "dry_run": dry_run, "flagged": []}
     if dry_run:
         plan = coverage.plan_line(stored, "delete", "all")
@@ -141,6 +150,7 @@ def run_lifetime_reload(spark: SparkSession, settings: Settings, responses: Data
     fetched, rejected = _fetched(responses, "lifetime")
     source = _source(fetched)
     uploaded = source.count()
+    changes.fold_all(spark, name)
     if uploaded:
         tables.replace(source, name)
     elif clear_temp:
@@ -164,7 +174,9 @@ def run_range_reload(spark: SparkSession, settings: Settings, responses: DataFra
     configure(spark)
     name, start, end = settings.daily_table, fn.to_date_arg(from_date), fn.to_date_arg(to_date)
     tables.ensure_table(spark, name, schemas.DAILY, buckets=settings.buckets)
-    stored = tables.read(spark, name)
+    if not dry_run:
+        changes.fold_all(spark, name)
+    stored = changes.current(spark, name)
     fetched, rejected = _fetched(responses, "fetched")
     failed = _scrip_list(landed.failed_scrips(responses))
     report = {"mode": "range", "table": name, "dry_run": dry_run, "fetched": fetched.count(),

@@ -20,6 +20,7 @@ class Settings:
     option_table: str = ""
     price_decimals: int = 2
     upload_mismatched: bool = True
+    merge_on_read: bool = False     # the daily job records its upserts beside the daily table; `changes.compact` folds them in
     buckets: int = 8                # of scrips, per date of a new daily or intraday table
     files_by_month: bool = True     # price and market-cap tables hold a few thousand rows a day: a directory per month
 

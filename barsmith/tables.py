@@ -147,7 +147,7 @@ def units_of(spark: SparkSession, name: str, layout: Layout | None = None) -> se
     def value(column: str, text: str):
         if text == NO_PARTITION:
             return None
-        return {"date": date.fromisoformat, "int": int}.get(kind[column], str)(unquote(text))
+        return {"date": date.fromisoformat, "int": int, "bigint": int}.get(kind[column], str)(unquote(text))
 
     found = (dict(part.split("=", 1) for part in r[0].split("/")) for r in spark.sql(f"SHOW PARTITIONS {name}").collect())
     return {tuple(value(c, spec[c]) for c in layout.units) for spec in found}
@@ -200,8 +200,11 @@ def overwrite_units(spark: SparkSession, name: str, rows: DataFrame, touched: It
 
 
 def drop_units(spark: SparkSession, name: str, units: Iterable[tuple], layout: Layout | None = None) -> None:
-    """Drop whole units through the catalog; no file is read."""
-    layout = layout or layout_of(spark, name)
+    """Drop whole units through the catalog; no file is read.
+
+    The catalog keeps the files of a table with a location of its own; they go too, or a later append to the unit would bring them back.
+    """
+    layout, units = layout or layout_of(spark, name), list(units)
 
     def literal(column: str, v) -> str:
         return f"{column} = NULL" if v is None else f"{column} = '{v}'"
@@ -209,6 +212,17 @@ def drop_units(spark: SparkSession, name: str, units: Iterable[tuple], layout: L
     specs = [f"PARTITION ({', '.join(map(literal, layout.units, u))})" for u in sorted(units, key=repr)]
     for i in range(0, len(specs), DROP_AT_ONCE):
         spark.sql(f"ALTER TABLE {name} DROP IF EXISTS {', '.join(specs[i:i + DROP_AT_ONCE])}")
+    if units and spark.catalog.getTable(name).tableType == "EXTERNAL":
+        _remove_folders(spark, name, ["/".join(f"{c}={NO_PARTITION if v is None else v}" for c, v in zip(layout.units, u)) for u in units])
+
+
+def _remove_folders(spark: SparkSession, name: str, folders: Iterable[str]) -> None:
+    """Remove folders of a table, in whatever file system it lies."""
+    about = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Location'").first()
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    files = path(about["data_type"]).getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    for folder in folders:
+        files.delete(path(f"{about['data_type']}/{folder}"), True)
 
 
 # ---- mutations

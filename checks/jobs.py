@@ -3,11 +3,11 @@ the table it leaves, or its report."""
 
 from pyspark.sql import DataFrame, functions as F
 
-from barsmith import fixed, schemas, tables
+from barsmith import changes, fixed, schemas, tables
 from barsmith.functions import columns as fn
 from barsmith.operators import calendars, rollup
 from barsmith.plans import daily, intraday, options, reference
-from barsmith.session import stage
+from barsmith.session import scratch, stage
 from barsmith.settings import Settings
 from barsmith.sources import landed_files
 from checks import ingest, mutations as m, views as v
@@ -49,6 +49,23 @@ def _daily(spark, sf_dir, temp: bool) -> Settings:
     return Settings(daily_table=name)
 
 
+@query("snk3_change_files", f"""WITH {v.TICKS}, {v.BARS}, {v.STORED},
+folded AS (SELECT {m.ROW} FROM stored t WHERE NOT EXISTS (SELECT 1 FROM bars s WHERE s.scrip = t.scrip AND s.trade_date = t.trade_date)
+           UNION ALL SELECT {m.ROW} FROM bars)
+SELECT {m.ROW}, {v.ID} AS row_id FROM folded WHERE NOT {m.IN_RANGE}
+UNION ALL SELECT {m.ROW}, {v.ID} FROM bars WHERE trade_date BETWEEN DATE '2024-01-15' AND DATE '{m.TO}'""")
+def change_files(spark, sf_dir):
+    """Merge on read: all bars recorded and folded in, then a range of tombstones and half of it recorded again; the view's rows."""
+    name = _daily(spark, sf_dir, temp=False).daily_table
+    changes.start(spark, name, location=scratch(spark, "changes"))
+    fetched = stage(v.with_id(v.bars(spark, sf_dir)).select(*schemas.DAILY_COLUMNS), "fetched")
+    changes.upsert(spark, name, fetched)
+    changes.compact(spark, name)
+    changes.delete_range(spark, name, m.FROM, m.TO)
+    changes.upsert(spark, name, stage(fetched.where(f"trade_date BETWEEN DATE '2024-01-15' AND DATE '{m.TO}'"), "again"))
+    return changes.current(spark, name)
+
+
 _JOB1 = f"""{v.SPLIT}, s AS (SELECT * FROM bars WHERE trade_date = (SELECT d FROM last_day))"""
 
 

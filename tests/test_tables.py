@@ -112,6 +112,14 @@ def test_null_dates_are_deleted_like_others(spark, tmp_path, table_name):
     assert state(spark, name) == [] and tables.units_of(spark, name) == set()
 
 
+def test_dropped_units_do_not_come_back(spark, tmp_path, table_name):
+    name = new(spark, tmp_path / "t", table_name("back"), [("A", "NSE", D[0], 1.0), ("B", "NSE", D[1], 2.0), ("B", "NSE", None, 3.0)], buckets=1)
+    tables.delete_range(spark, name, D[0], D[0])
+    tables.delete(spark, name, F.col("trade_date").isNull())
+    tables.append(daily(spark, [("A", "NSE", D[0], 5.0), ("B", "NSE", None, 6.0)]), name)
+    assert state(spark, name) == expected([("A", "NSE", D[0], 5.0), ("B", "NSE", D[1], 2.0), ("B", "NSE", None, 6.0)])
+
+
 def test_months_prune_and_cut(spark, tmp_path, table_name):
     name, folder = table_name("months"), tmp_path / "t"
     days = [date(2026, 1, 1) + timedelta(days=i) for i in range(120)]
