@@ -12,24 +12,29 @@ depend on the number of landmarks.
 A text's score is a logistic function of its best sentence, its share of toxic words and its number of toxic sentences. All words
 of a text are scored; words of over WORD bytes in overlapping windows.
 
-Training reads at most TRAIN_ROWS labelled rows, those with the least hash of doc_id; scoring has no bound.
+Training reads at most TRAIN_ROWS labelled rows, those with the least hash of doc_id, and of them as many as hold TRAIN_BYTES of text;
+scoring has no bound. The machine is fitted in one task from the sample's word counts; the driver gets its weights.
 
-Defined cases: null and empty texts have no words and score as a text without any toxic one, below 0.5; without labelled rows of both
+Defined cases: null and empty texts have no words and score as a text without any toxic one; where few toxic texts are labelled,
+so that no word is common among them (MIN_TEXTS, MIN_SHARE, MIN_RATIO), words of two toxic texts start the machine, or else of one,
+if they are likelier in toxic texts at all; where there are no such words either, all texts score the sample's toxic share; without labelled rows of both
 kinds all scores are 0; labels other than 0 and 1 are left out; repeated rows are texts of their own; a null doc_id counts as the
 text '' in the fold; extra columns are ignored.
 """
 
 import string
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from barsmith.llm.arrays import LOWER, claim, release, span_hashes, text_slices, word_spans
 from barsmith.session import stage
 
-TRAIN_ROWS, LANDMARKS, NEGATIVES, ROUNDS = 8000, 160, 12_000, 3
+TRAIN_ROWS, TRAIN_BYTES, LANDMARKS, NEGATIVES, ROUNDS = 8000, 64 << 20, 160, 12_000, 3
 DECAY, SPAN, WORD = 0.6, 5, 24
 MIN_TEXTS, MIN_SHARE, MIN_RATIO, CACHE = 5, 0.01, 6.0, 400_000  # a seed word's toxic texts: number, share of all; against clean ones
 _EDGE = (2, 3)  # marks of a word's ends
@@ -180,8 +185,11 @@ def linear_svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float =
 def train_machine(words: list[bytes], toxic: np.ndarray, clean: np.ndarray, n_toxic: int, n_clean: int) -> Machine | None:
     """words with the numbers of toxic and clean texts that hold them in a sentence."""
     ratio = (toxic / max(n_toxic, 1)) / ((clean + 0.5) / (n_clean + 1))
-    seeds = np.flatnonzero((toxic >= max(MIN_TEXTS, MIN_SHARE * n_toxic)) & (ratio >= MIN_RATIO))
-    if not len(seeds):
+    for texts, least in ((max(MIN_TEXTS, MIN_SHARE * n_toxic), MIN_RATIO), (2, MIN_RATIO), (1, 1.0)):
+        seeds = np.flatnonzero((toxic >= texts) & (ratio >= least))
+        if len(seeds):
+            break
+    else:
         return None
     seeds = seeds[np.argsort(-(toxic[seeds] * np.log(ratio[seeds])), kind="stable")]
     order = np.argsort([hash_of(w) for w in words], kind="stable")
@@ -219,6 +227,9 @@ def train_machine(words: list[bytes], toxic: np.ndarray, clean: np.ndarray, n_to
     return machine
 
 
+NOTHING = Machine(np.zeros(1, np.int64), np.zeros(1), -1.0)  # finds no word toxic
+
+
 def hash_of(word: bytes) -> int:
     data = np.frombuffer(word, np.uint8)
     return int(span_hashes(data, np.array([0]), np.array([len(data)]))[0]) if len(data) else 0
@@ -246,6 +257,23 @@ def vocabulary(sample: DataFrame) -> DataFrame:
         F.octet_length("word").between(2, WORD)).groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
 
 
+def fit(n_toxic: int, n_clean: int, batches):
+    """The machine as one row (no row if there is none), from all rows of `vocabulary` in one task."""
+    tables = [pa.Table.from_batches([b]) for b in batches]
+    if not tables:
+        return
+    table = pa.concat_tables(tables)
+    words = table.column("word").to_pylist()
+    order = np.argsort([hash_of(w) for w in words], kind="stable")
+    machine = train_machine([words[i] for i in order], table.column("toxic").to_numpy()[order], table.column("clean").to_numpy()[order],
+                            n_toxic, n_clean)
+    del tables, table, words
+    release()
+    if machine is not None:
+        yield pa.RecordBatch.from_arrays([pa.array([machine.codes.tobytes()], pa.binary()), pa.array([machine.weights.tobytes()], pa.binary()),
+                                          pa.array([float(machine.bias)])], names=["codes", "weights", "bias"])
+
+
 def fold_of(fold: int):
     return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % fold
 
@@ -256,20 +284,17 @@ def train(docs: DataFrame, labels: DataFrame, fold: int = 5, rows: int = TRAIN_R
     picked = marked.filter(fold_of(fold) != 0).groupBy("doc_id").agg(F.max("toxic").alias("toxic")).orderBy(
         F.xxhash64("doc_id"), "doc_id").limit(rows)
     texts = docs.select("doc_id", F.col("text").cast("string").alias("text"))
-    sample = stage(texts.join(F.broadcast(picked), "doc_id").select("toxic", "text"), "labelled")
+    sample = stage(texts.join(F.broadcast(picked), "doc_id").select("doc_id", "toxic", "text"), "labelled")
+    upto = Window.orderBy(F.xxhash64("doc_id"), "doc_id").rowsBetween(Window.unboundedPreceding, -1)  # at most TRAIN_ROWS sizes
+    sizes = sample.groupBy("doc_id").agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0))).alias("bytes"))
+    within = sizes.withColumn("before", F.coalesce(F.sum("bytes").over(upto), F.lit(0))).where(F.col("before") < TRAIN_BYTES)
+    sample = sample.join(F.broadcast(within.select("doc_id")), "doc_id", "left_semi").select("toxic", "text")
     counts = {r.toxic: r.n for r in sample.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     if not counts.get(0) or not counts.get(1):
         return None
-    table = vocabulary(sample).toArrow()
-    order = np.argsort([hash_of(w) for w in table.column("word").to_pylist()], kind="stable")
-    words = [table.column("word")[i].as_py() for i in order]
-    machine = train_machine(words, table.column("toxic").to_numpy()[order], table.column("clean").to_numpy()[order],
-                            counts[1], counts[0])
-    if machine is None:
-        return None
+    fitted = vocabulary(sample).repartition(1).mapInArrow(partial(fit, counts[1], counts[0]), "codes binary, weights binary, bias double").first()
+    machine = NOTHING if fitted is None else Machine(np.frombuffer(fitted.codes, np.int64), np.frombuffer(fitted.weights), fitted.bias)
     facts = sample.mapInArrow(lambda it: text_facts(it, machine, 1), "toxic int, " + FACTS).toArrow()
-    del table, words
-    release()  # the driver's own memory
     x = features(*(facts.column(n).to_numpy() for n in ("best", "toxic_words", "toxic_sentences", "n_words")))
     return machine, logistic(x, facts.column("toxic").to_numpy().astype(float))
 

@@ -111,7 +111,7 @@ def test_pipeline_stages_take_effect(spark, sql):
         seen.append(name)
         if name == "toxicity":
             bad = {r.doc_id for r in QUERIES["op2_toxicity"](spark, SF).filter("predicted = 1").collect()}
-            assert set(kept) == set(before) - bad
+            assert bad and set(kept) == set(before) - bad
         elif name == "ngram_join":
             assert set(kept) == {i for i, (_, top) in brute_force(list(before.items())).items() if top == i}
         elif name == "suffix_dedup":

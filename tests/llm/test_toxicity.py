@@ -86,6 +86,36 @@ def test_held_out_labels_do_not_matter(trained, spark):
     assert a == b
 
 
+def test_few_labels_still_rank(spark):
+    """A dozen toxic texts, each with insults of its own that hardly repeat: no word is common among them."""
+    texts, labels = corpus()
+    bad, good = ([x for x, y in zip(texts, labels) if y == k] for k in (1, 0))
+    few = bad[:12] + good[:60]
+    docs = spark.createDataFrame(list(enumerate(few)), "doc_id long, text string")
+    marks = spark.createDataFrame([(i, 1, int(i < 12)) for i in range(72)], "doc_id long, quality int, toxic int")
+    got = {r.doc_id: r.score for r in t.score_documents(docs, marks).collect()}
+    assert len(set(got.values())) > 1
+    assert np.mean([got[i] for i in range(12)]) > np.mean([got[i] for i in range(12, 72)]) + .1
+    wordless = spark.createDataFrame([(i, "!!" if i < 6 else "a quiet text") for i in range(40)], "doc_id long, text string")
+    flat = t.score_documents(wordless, spark.createDataFrame([(i, 1, int(i < 6)) for i in range(40)], "doc_id long, quality int, toxic int"))
+    assert all(0 < r.score < .5 for r in flat.collect())
+
+
+def test_repeated_rows_and_clashing_columns(trained, spark):
+    docs, marks, _ = trained
+    once = {r.doc_id: r.score for r in t.score_documents(docs, marks).collect()}
+    again = t.score_documents(docs.unionAll(docs.filter("doc_id % 5 = 0")).withColumn("score", t.F.lit("x")).withColumn("toxic", t.F.lit(1)), marks)
+    assert len(set(once)) == docs.count() and again.count() == docs.count() + docs.filter("doc_id % 5 = 0").count()
+
+
+def test_training_text_is_bounded(trained, spark, monkeypatch):
+    docs, marks, labels = trained
+    monkeypatch.setattr(t, "TRAIN_BYTES", 4000)
+    monkeypatch.setattr(t, "MIN_TEXTS", 1)
+    got = t.score_documents(docs, marks).collect()
+    assert len(got) == len(labels) and len({r.score for r in got}) > 1
+
+
 def test_nothing_to_learn(trained):
     docs, marks, _ = trained
     got = t.score_documents(docs, marks.filter("toxic = 0")).agg({"score": "max", "doc_id": "count"}).first()
