@@ -22,15 +22,18 @@ sought; items of equal text are each reported; repeated documents are reported p
 empty tables give an empty result; extra columns are ignored.
 """
 
+from functools import partial
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barsmith.llm.arrays import claim, mix, text_slices
+from barsmith.llm.arrays import claim, mix, release, text_slices
+from barsmith.session import scratch
 
 STEPS, K, TABLES, VOTES = 40, 12, 10, 2
-MAX_RATE, MIN_ITEM, BLOCK_BYTES = 0.1, 24, 4 << 20
+MAX_RATE, MIN_ITEM, BLOCK_BYTES = 0.1, 24, 2 << 20
 RUN, SHORT, PIECE = 24, 80, 7
 FOUND = "doc_id long, item_id long, distance int, start long, stop long"
 _SPACE = 32
@@ -282,10 +285,15 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     items = benchmark.select(F.col("item_id").cast("long"), F.col("text").cast("string"))
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = size // BLOCK_BYTES + 1
-    rows, found = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), None
-    for block in range(n):
+    rows, path = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), scratch(spark, "found")
+    for block in range(n):  # one block's index at a time: built, sent, searched and given up
         part = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == block).collect()
         sent = spark.sparkContext.broadcast(Index([(r.item_id, r.text) for r in part]))
-        hits = rows.mapInArrow(lambda batches, sent=sent: search(batches, sent.value), FOUND)
-        found = hits if found is None else found.unionAll(hits)
-    return found
+        rows.mapInArrow(partial(_search_block, sent), FOUND).write.parquet(f"{path}/block={block}")
+        sent.destroy()
+        release()
+    return spark.read.schema(FOUND + ", block int").parquet(path).drop("block")
+
+
+def _search_block(sent, batches):
+    return search(batches, sent.value)

@@ -125,3 +125,19 @@ def test_a_place_is_probed_whatever_stands_before_it():
     found = found_in(rows, d.Index(items))
     assert found >= {(2 * i + 1, i) for i, _ in items}
     assert found_in(["a", *rows], d.Index(items)) == {(k + 1, i) for k, i in found}
+
+
+def test_blocks_one_at_a_time(spark, monkeypatch):
+    """Many small blocks find what one block finds."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    items = spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet")
+    whole = sorted(map(repr, d.contaminated(docs, items).collect()))
+    sent, send = [], type(spark.sparkContext).broadcast
+    monkeypatch.setattr(d, "BLOCK_BYTES", 700)
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast", lambda self, x: sent.append(send(self, x)) or sent[-1])
+    assert whole and sorted(map(repr, d.contaminated(docs, items).collect())) == whole
+    assert len(sent) > 3
+    for s in sent:  # each has been given up
+        with pytest.raises(Exception):
+            s.destroy()
+            s.unpersist()
