@@ -5,7 +5,7 @@ from pyspark.sql import SparkSession
 from barsmith import schemas
 from barsmith.operators import coverage
 from barsmith.settings import Settings
-from barsmith.sources.stored import table_or_empty
+from barsmith.sources.stored import chunks_or_empty, table_or_empty
 
 
 def latest_intraday(spark: SparkSession, settings: Settings, scrip: str | None = None,
@@ -19,5 +19,5 @@ def latest_intraday(spark: SparkSession, settings: Settings, scrip: str | None =
 def latest_option_date(spark: SparkSession, settings: Settings, ticker: str = "NIFTY"):
     """The last stored trade date of a ticker, or None."""
     settings.check("options")
-    stored = table_or_empty(spark, settings.option_table, schemas.OPTIONS)
+    stored = chunks_or_empty(spark, settings.option_table, schemas.OPTIONS)
     return coverage.latest_date(stored, ticker).first()[0]

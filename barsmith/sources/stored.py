@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from barsmith import fixed
+from barsmith import commits, fixed
 from barsmith.functions import columns as fn
 from barsmith.operators.joins import only
 
@@ -14,6 +14,11 @@ def table_or_empty(spark: SparkSession, name: str, schema: str) -> DataFrame:
     return spark.createDataFrame([], schema)
 
 
+def chunks_or_empty(spark: SparkSession, name: str, schema: str) -> DataFrame:
+    """The rows of the table's listed chunks, or a typed empty frame if it does not exist."""
+    return commits.read(spark, name) if spark.catalog.tableExists(name) else spark.createDataFrame([], schema)
+
+
 def daily_rows(daily: DataFrame, scrips: DataFrame, start, end) -> DataFrame:
     """Stored bars of the listed scrips in [start, end]; an empty list gives no rows.
 

@@ -18,7 +18,7 @@ from barsmith.functions import columns as fn
 from barsmith.operators import mutate
 from barsmith.operators.joins import only
 
-PARTITION, MONTH, BUCKET = "trade_date", "month", "bucket"
+PARTITION, MONTH, BUCKET, LOAD = "trade_date", "month", "bucket", "load"
 TEMP_BUCKET = -1
 NO_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
@@ -40,7 +40,7 @@ class Layout:
     @property
     def added(self) -> list[str]:
         """Partition columns that are no stored values."""
-        return [c for c in self.units if c in (MONTH, BUCKET)]
+        return [c for c in self.units if c in (MONTH, BUCKET, LOAD)]
 
     def place(self, df: DataFrame) -> DataFrame:
         """The rows with their unit columns."""
@@ -58,11 +58,11 @@ class Layout:
 
 
 def ensure_table(spark: SparkSession, name: str, schema: str, partition: str | None = PARTITION, buckets: int = 0,
-                 by_month: bool = False, location: str | None = None) -> None:
-    """Create the table if it is not there. An existing one keeps its own layout."""
+                 by_month: bool = False, by_load: bool = False, location: str | None = None) -> None:
+    """Create the table if it is not there. An existing one keeps its own layout. `by_load` adds the load that wrote a row (`commits`)."""
     units = [MONTH if by_month else partition] if partition else []
-    added = [f"{MONTH} STRING"] * by_month + [f"{BUCKET} INT"] * bool(buckets)
-    units += [BUCKET] * bool(buckets)
+    added = [f"{MONTH} STRING"] * by_month + [f"{BUCKET} INT"] * bool(buckets) + [f"{LOAD} STRING"] * by_load
+    units += [BUCKET] * bool(buckets) + [LOAD] * by_load
     partitioned = f" PARTITIONED BY ({', '.join(units)})" if units else ""
     at = f" LOCATION '{location}'" if location else ""
     kept = f" TBLPROPERTIES ('barsmith.dated' = '{partition or ''}', 'barsmith.buckets' = '{buckets}')"

@@ -3,7 +3,7 @@ the table it leaves, or its report."""
 
 from pyspark.sql import DataFrame, functions as F
 
-from barsmith import changes, fixed, schemas, tables
+from barsmith import changes, commits, fixed, schemas, tables
 from barsmith.functions import columns as fn
 from barsmith.operators import calendars, rollup
 from barsmith.plans import daily, intraday, options, reference
@@ -166,7 +166,8 @@ def run_flagged_reload(spark, sf_dir):
     return tables.read(spark, settings.intraday_table)
 
 
-OPTION_RANGE = ("1995-01-02", "1995-03-01")
+OPTION_RANGE = ("1992-01-01", "1999-01-01")  # all order dates
+TRANCHE_DAYS = 250
 _CELLS = f"""r AS (
   SELECT o_orderkey AS seq, CAST(o_orderdate AS DATE) AS trade_date, CASE o_orderstatus WHEN 'F' THEN 'MONTH' ELSE 'WEEK' END AS flag,
          CAST(substr(o_orderpriority, 1, 1) AS INTEGER) AS code, o_totalprice AS price, epoch_us(o_orderdate) // 1000000 AS epoch,
@@ -184,8 +185,8 @@ def _option_responses(spark, sf_dir) -> DataFrame:
 
 
 def _run_options(spark, sf_dir):
-    settings = Settings(option_table=_new_table(spark, "job_options", schemas.OPTIONS, "trade_date"))
-    return settings, options.run_options(spark, settings, _option_responses(spark, sf_dir), *OPTION_RANGE)
+    settings = Settings(option_table=_new_table(spark, "job_options", schemas.OPTIONS, "trade_date", by_load=True))
+    return settings, options.run_options(spark, settings, _option_responses(spark, sf_dir), *OPTION_RANGE, tranche_days=TRANCHE_DAYS)
 
 
 @query("job8_run_options", f"""WITH {_CELLS},
@@ -194,7 +195,7 @@ SELECT trade_date, flag AS expiry_flag, code AS expiry_code, sid AS security_id,
        price AS "close", CAST(seq AS BIGINT) AS oi FROM chosen, range(0, 2) x(p)""")
 def run_options(spark, sf_dir):
     settings, _ = _run_options(spark, sf_dir)
-    return spark.table(settings.option_table).select(
+    return commits.read(spark, settings.option_table).select(
         "trade_date", "expiry_flag", "expiry_code", "security_id", "option_type", "timestamp", "close", "oi")
 
 
@@ -213,8 +214,8 @@ SELECT trade_date, code AS expiry_code, side AS option_type, 2 * count(DISTINCT
 def repaired_cells(spark, sf_dir):
     """A second run whose failed responses have been repaired fills exactly the cells that had no rows."""
     settings, _ = _run_options(spark, sf_dir)
-    options.run_options(spark, settings, _option_responses(spark, sf_dir).withColumn("status", F.lit(200)), *OPTION_RANGE)
-    return spark.table(settings.option_table).groupBy("trade_date", "expiry_code", "option_type").agg(F.count("*").alias("rows"))
+    options.run_options(spark, settings, _option_responses(spark, sf_dir).withColumn("status", F.lit(200)), *OPTION_RANGE, tranche_days=TRANCHE_DAYS)
+    return commits.read(spark, settings.option_table).groupBy("trade_date", "expiry_code", "option_type").agg(F.count("*").alias("rows"))
 
 
 @query("job9_run_price_files", f"""WITH {v.TICKS},
@@ -300,3 +301,18 @@ def latest_and_counts(spark, sf_dir):
     latest = latest_intraday(spark, settings)
     return tables.read(spark, settings.intraday_table).agg(F.unix_seconds(F.lit(latest).cast("timestamp")).alias("latest"),
                                                     F.count("*").alias("candles"))
+
+
+@query("snk9_chunks", f"""WITH {_CELLS},
+good_cells AS (SELECT * FROM good QUALIFY row_number() OVER (PARTITION BY trade_date, code, side, sid ORDER BY flag <> 'WEEK', seq) = 1)
+SELECT trade_date, code AS expiry_code, CAST(2 * count(*) AS BIGINT) AS rows, 1 AS loads FROM good_cells GROUP BY ALL""")
+def listed_chunks(spark, sf_dir):
+    """The manifest of a run in which one tranche cannot be written whole and one chunk not at all, then loads."""
+    settings = Settings(option_table=_new_table(spark, "job_chunks", schemas.OPTIONS, "trade_date", by_load=True))
+    landed, first = _option_responses(spark, sf_dir), "1995-01-02"
+    spoilt = landed.withColumn("security_id", F.when((F.col("trade_date") == first) & (F.col("expiry_code") == 1), F.raise_error(
+        F.lit("spoilt")).cast("string")).otherwise(F.col("security_id")))
+    for responses in (spoilt, landed):
+        options.run_options(spark, settings, responses, *OPTION_RANGE, tranche_days=TRANCHE_DAYS)
+    return spark.table(commits.manifest(settings.option_table)).groupBy("trade_date", "expiry_code").agg(
+        F.sum("rows").alias("rows"), F.count("*").cast("int").alias("loads"))
