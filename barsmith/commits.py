@@ -6,7 +6,7 @@ chunk whose write failed stays open while the others of its load are in.
 """
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
@@ -74,21 +74,21 @@ class Load:
             *self.keys, F.lit(load).alias(LOAD), F.coalesce("rows", F.lit(0)).cast("bigint").alias("rows"), F.current_timestamp().alias("committed"))
         tables.append(listed.coalesce(1), manifest(self.name))
 
-    def write_each(self, rows: DataFrame, chunks: DataFrame, required: str) -> list[dict]:
-        """As `write`; if that fails, chunk by chunk. The chunks that failed, with the error."""
+    def write_each(self, rows_of: Callable[[DataFrame], DataFrame], chunks: DataFrame, required: str) -> list[dict]:
+        """Write the chunks' rows, `rows_of(chunks)`, as `write` does; if that fails, halve the chunks and go on, down to single ones.
+
+        Returns the chunks that failed, with the error: one bad chunk of n costs some 2 log2(n) writes.
+        """
         try:
-            self.write(rows, chunks, required)
+            self.write(rows_of(chunks), chunks, required)
             return []
-        except Exception as whole:
-            one_by_one = [r.asDict() for r in chunks.collect()]  # a tranche's chunks
-            if len(one_by_one) == 1:
-                return [one_by_one[0] | {"error": _reason(whole)}]
-        failed = []
-        for chunk in one_by_one:
-            same = F.lit(True)
-            for c, v in chunk.items():
-                same = same & F.col(c).eqNullSafe(F.lit(v))
-            failed += self.write_each(rows.where(same), chunks.where(same), required)
+        except Exception as error:
+            held = sorted((tuple(r) for r in chunks.select(*self.keys).collect()), key=repr)  # a tranche's chunks
+            if len(held) == 1:
+                return [dict(zip(self.keys, held[0])) | {"error": _reason(error)}]
+        failed, schema = [], chunks.select(*self.keys).schema
+        for part in (held[:len(held) // 2], held[len(held) // 2:]):
+            failed += self.write_each(rows_of, self.spark.createDataFrame(part, schema), required)
         return failed
 
 

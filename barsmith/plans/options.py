@@ -66,9 +66,9 @@ def run_options(spark: SparkSession, settings: Settings, responses: DataFrame, s
     bounds = full.groupBy("tranche").agg(F.min("trade_date").alias("low"), F.max("trade_date").alias("high")).orderBy("tranche").collect()
     load, failed_chunks = commits.Load(spark, name, PAIR, cluster=["option_type", "expiry_code", "strike_price"]), []
     for t in bounds:
-        within = F.col("trade_date").between(F.lit(t.low), F.lit(t.high))
-        rows = landed.option_candles(wanted.where(within), lookup)
-        failed_chunks += load.write_each(rows, full.where(F.col("tranche") == t.tranche).select(*PAIR), "timestamp")
+        within = wanted.where(F.col("trade_date").between(F.lit(t.low), F.lit(t.high)))
+        failed_chunks += load.write_each(lambda some, within=within: landed.option_candles(within.join(some, PAIR, "left_semi"), lookup),
+                                         full.where(F.col("tranche") == t.tranche).select(*PAIR), "timestamp")
     if failed_chunks:
         lost = spark.createDataFrame([(c["trade_date"], c["expiry_code"]) for c in failed_chunks], "trade_date DATE, expiry_code INT")
         cells = cells.join(lost.withColumn("_lost", F.lit(True)), PAIR, "left").withColumn(

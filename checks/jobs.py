@@ -307,11 +307,14 @@ def latest_and_counts(spark, sf_dir):
 good_cells AS (SELECT * FROM good QUALIFY row_number() OVER (PARTITION BY trade_date, code, side, sid ORDER BY flag <> 'WEEK', seq) = 1)
 SELECT trade_date, code AS expiry_code, CAST(2 * count(*) AS BIGINT) AS rows, 1 AS loads FROM good_cells GROUP BY ALL""")
 def listed_chunks(spark, sf_dir):
-    """The manifest of a run in which one tranche cannot be written whole and one chunk not at all, then loads."""
+    """The manifest of a run in which one tranche cannot be written whole and one chunk not at all (a strike no DECIMAL holds), and of
+    the next run, which loads that chunk."""
     settings = Settings(option_table=_new_table(spark, "job_chunks", schemas.OPTIONS, "trade_date", by_load=True))
-    landed, first = _option_responses(spark, sf_dir), "1995-01-02"
-    spoilt = landed.withColumn("security_id", F.when((F.col("trade_date") == first) & (F.col("expiry_code") == 1), F.raise_error(
-        F.lit("spoilt")).cast("string")).otherwise(F.col("security_id")))
+    landed = _option_responses(spark, sf_dir)
+    usable = landed.where("expiry_code IN (1, 2) AND weekday(trade_date) < 5 AND status = 200")
+    bad = usable.agg(F.min(F.struct("trade_date", "expiry_code")).alias("bad")).first()["bad"]
+    spoilt = landed.withColumn("body", F.when((F.col("trade_date") == bad[0]) & (F.col("expiry_code") == bad[1]), F.regexp_replace(
+        "body", r'"strike":\[[^]]*\]', '"strike":[1e40,1e40]')).otherwise(F.col("body")))
     for responses in (spoilt, landed):
         options.run_options(spark, settings, responses, *OPTION_RANGE, tranche_days=TRANCHE_DAYS)
     return spark.table(commits.manifest(settings.option_table)).groupBy("trade_date", "expiry_code").agg(
