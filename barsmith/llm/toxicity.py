@@ -22,6 +22,7 @@ kinds all scores are 0; labels other than 0 and 1 are left out; repeated rows ar
 text '' in the fold; extra columns are ignored.
 """
 
+import multiprocessing
 import string
 from functools import partial
 
@@ -257,17 +258,28 @@ def vocabulary(sample: DataFrame) -> DataFrame:
         F.octet_length("word").between(2, WORD)).groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
 
 
-def fit(n_toxic: int, n_clean: int, batches):
-    """The machine as one row (no row if there is none), from all rows of `vocabulary` in one task."""
-    tables = [pa.Table.from_batches([b]) for b in batches]
-    if not tables:
-        return
-    table = pa.concat_tables(tables)
+def _fitted(table: pa.Table, n_toxic: int, n_clean: int, answer) -> None:
     words = table.column("word").to_pylist()
     order = np.argsort([hash_of(w) for w in words], kind="stable")
-    machine = train_machine([words[i] for i in order], table.column("toxic").to_numpy()[order], table.column("clean").to_numpy()[order],
-                            n_toxic, n_clean)
-    del tables, table, words
+    answer.send(train_machine([words[i] for i in order], table.column("toxic").to_numpy()[order], table.column("clean").to_numpy()[order],
+                              n_toxic, n_clean))
+
+
+def fit(n_toxic: int, n_clean: int, batches):
+    """The machine as one row (no row if there is none), from all rows of `vocabulary` in one task.
+
+    It is fitted in a child process: the worker serves other tasks later, and would keep the memory that the words' objects took.
+    """
+    batches = list(batches)
+    if not batches:
+        return
+    receive, answer = multiprocessing.Pipe(duplex=False)
+    child = multiprocessing.get_context("fork").Process(target=_fitted, args=(pa.Table.from_batches(batches), n_toxic, n_clean, answer))
+    child.start()
+    answer.close()  # the child's end; a child that dies ends the wait below, and fails the task
+    machine = receive.recv()
+    child.join()
+    del batches
     release()
     if machine is not None:
         yield pa.RecordBatch.from_arrays([pa.array([machine.codes.tobytes()], pa.binary()), pa.array([machine.weights.tobytes()], pa.binary()),
