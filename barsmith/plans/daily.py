@@ -98,12 +98,13 @@ def run_daily(spark: SparkSession, settings: Settings, responses: DataFrame,
 
 def run_daily_from_hourly(spark: SparkSession, settings: Settings, responses: DataFrame, start_date,
                           opens: str = fixed.MARKET_OPEN, closes: str = fixed.MARKET_CLOSE,
-                          clear_old_temp: bool = True, interval: int | None = None) -> dict:
+                          clear_old_temp: bool = True, interval: int | None = None, requests: DataFrame | None = None) -> dict:
     """Roll hourly candles up to temporary daily bars and upsert them.
 
     Old temporary rows go first; those before `start_date` go again at the end. Landed candles of several intervals would count
     twice, so `interval` picks one; without it they must all have the same. `failed_windows` (scrip, from_date, to_date, error)
-    lists every landed window without candles, `rejected` counts candles without a readable timestamp.
+    lists every landed window without candles, and with `requests` (scrip, from_date, to_date) every one that never landed; `rejected`
+    counts candles without a readable timestamp.
     """
     settings.check("daily")
     configure(spark)
@@ -115,7 +116,7 @@ def run_daily_from_hourly(spark: SparkSession, settings: Settings, responses: Da
         raise ValueError("responses of several intervals have landed: name one as interval")
     read, unread = fn.split_rejects(stage(landed.hourly_rows(responses), "hourly_rows"), "timestamp")
     candles = stage(landed.open_hours(read, opens, closes), "hourly")
-    windows = stage(landed.failed_windows(responses), "failed_windows")
+    windows = stage(landed.failed_windows(responses, requests), "failed_windows")
     changes.fold_all(spark, name)
     bars = rollup.daily_bars(candles).withColumn("row_id", fn.row_id())
     source = stage(bars.select(*schemas.DAILY_COLUMNS), "bars")

@@ -34,14 +34,20 @@ def _counts(responses: DataFrame) -> tuple[int, int]:
     return ok, other
 
 
-def run_intraday(spark: SparkSession, settings: Settings, responses: DataFrame) -> dict:
-    """Append the candles that are not stored yet."""
+def run_intraday(spark: SparkSession, settings: Settings, responses: DataFrame, requests: DataFrame | None = None) -> dict:
+    """Append the candles that are not stored yet.
+
+    `windows` holds the outcome of every landed window, or of every one of `requests` (`window_requests`): ok, none, failed or missing;
+    `unfinished` counts those that failed or never landed.
+    """
     settings.check("intraday")
     configure(spark)
     name = settings.intraday_table
     tables.ensure_table(spark, name, schemas.INTRADAY, buckets=settings.buckets)
     ok, failed = _counts(responses)
-    report = {"responses": ok, "failed": failed, "loaded": 0, "table": name}
+    windows = stage(landed.window_outcomes(responses, requests), "windows")
+    report = {"responses": ok, "failed": failed, "loaded": 0, "table": name, "windows": windows,
+              "unfinished": windows.where(F.col("outcome").isin("failed", "missing")).count()}
     candles, report["rejected"] = _clean(responses)
     fresh = stage(mutate.append_new(candles, spark.table(name), CANDLE_KEY, "trade_date"), "fresh")
     report["loaded"] = fresh.count()

@@ -8,6 +8,11 @@ from barsmith.operators.joins import without
 from barsmith.session import stage
 
 
+MOST_COLUMNS = 64  # that a line is cut into; the known ones must be among them
+CELLS = ", ".join(f"c{i} STRING" for i in range(MOST_COLUMNS))
+CSV_OPTIONS = {"ignoreLeadingWhiteSpace": "true", "ignoreTrailingWhiteSpace": "true", "mode": "PERMISSIVE"}
+
+
 def read_text_csv(spark: SparkSession, path: str) -> DataFrame:
     """A CSV with header, every value text. The header's names are trimmed.
 
@@ -46,18 +51,37 @@ def drop_stale_files(rows: DataFrame, row_date: str, file: str = "file",
     return rows.join(stale, file, "left_anti")
 
 
+def headers(spark: SparkSession, path: str, asked: Column) -> DataFrame:
+    """(path, header): the cells of the first line of every file for which `asked` is true."""
+    lines = spark.read.text(path).where(asked & (F.col("_metadata.file_block_start") == 0)).select(
+        F.col("_metadata.file_path").alias("path"), "value", F.monotonically_increasing_id().alias("at"))
+    first = lines.groupBy("path").agg(F.min_by("value", "at").alias("value"))  # a file's lines are numbered in their order
+    cells = F.from_csv("value", CELLS, CSV_OPTIONS)
+    parsed = first.select("path", F.explode(F.array(cells)).alias("s"))
+    return parsed.select("path", F.array(*[fn.strip(F.col(f"s.c{i}")) for i in range(MOST_COLUMNS)]).alias("header"))
+
+
+def csv_files_by_name(spark: SparkSession, path: str, names: dict[str, str], asked: Column) -> DataFrame:
+    """The known columns of the CSV files for which `asked` is true, each file mapped by its own header; `path` names the file.
+
+    `asked` is on the files' metadata: it is applied to the listing, before any file is opened. A folder without files gives no rows; a
+    file that lacks a column fails the read.
+    """
+    rows = spark.read.schema(CELLS).options(**CSV_OPTIONS).csv(path).where(asked).select(
+        F.col("_metadata.file_path").alias("path"), F.array(*[f"c{i}" for i in range(MOST_COLUMNS)]).alias("cells"))
+    found = rows.join(headers(spark, path, asked), "path")
+    return named_cells(found.where(F.transform("cells", lambda c: fn.strip(c)) != F.col("header")), names)
+
+
 def price_rows(spark: SparkSession, path: str, start, end) -> DataFrame:
     """Typed rows of the daily price files requested for [start, end], with file and date asked for."""
-    # Filters on the file's name are applied to the file listing, before any file is opened.
     requested = file_date(fixed.PRICE_FILE_DATE)
-    raw = read_text_csv(spark, path).where(
-        requested.between(F.lit(fn.to_date_arg(start)), F.lit(fn.to_date_arg(end))))
-    named = rename_known(raw, fixed.PRICE_COLUMNS, [F.col("_metadata.file_path").alias("file"),
-                                                    requested.alias("requested_date")])
+    named = csv_files_by_name(spark, path, fixed.PRICE_COLUMNS, requested.between(F.lit(fn.to_date_arg(start)), F.lit(fn.to_date_arg(end))))
     return named.select(
         fn.strip("symbol").alias("symbol"), fn.strip("series").alias("series"),
         *[fn.coerce_double(c).alias(c) for c in schemas.PRICE_NUMBERS],
-        fn.strict_date("date", fixed.PRICE_ROW_DATE).alias("date"), "file", "requested_date")
+        fn.strict_date("date", fixed.PRICE_ROW_DATE).alias("date"), F.col("path").alias("file"),
+        file_date(fixed.PRICE_FILE_DATE, "path").alias("requested_date"))
 
 
 def genuine(rows: DataFrame, row_date: str) -> DataFrame:
@@ -112,14 +136,16 @@ def first_entry(lines: DataFrame, prefix: str) -> DataFrame:
 
 def csv_by_name(lines: DataFrame, names: dict[str, str]) -> DataFrame:
     """The known columns of CSV lines, each file mapped by its own first line; a file that lacks one fails the read."""
-    most = 64  # columns a line is cut into; the known ones must be among them
-    cells = F.from_csv("text", ", ".join(f"c{i} STRING" for i in range(most)),
-                       {"ignoreLeadingWhiteSpace": "true", "ignoreTrailingWhiteSpace": "true", "mode": "PERMISSIVE"})
+    cells = F.from_csv("text", CELLS, CSV_OPTIONS)
     # Behind a generator, or the optimizer would parse the line for each of its cells.
     parsed = lines.where("trim(text) != ''").select("path", "line", F.explode(F.array(cells)).alias("s"))
-    split = parsed.select("path", "line", F.array(*[F.col(f"s.c{i}") for i in range(most)]).alias("cells"))
+    split = parsed.select("path", "line", F.array(*[F.col(f"s.c{i}") for i in range(MOST_COLUMNS)]).alias("cells"))
     header = split.where("line = 0").select("path", F.transform("cells", lambda c: fn.strip(c)).alias("header"))
-    found = split.where("line > 0").join(header, "path")
+    return named_cells(split.where("line > 0").join(header, "path"), names)
+
+
+def named_cells(found: DataFrame, names: dict[str, str]) -> DataFrame:
+    """path and the known columns of rows (path, cells, header): each cell by its name's place in the header."""
     at = {raw: F.array_position(F.coalesce(F.filter("header", lambda c: c.isNotNull()), F.array()), raw).cast("int") for raw in names}
     return found.select("path", *[F.nullif(F.coalesce(F.element_at("cells", F.when(at[raw] > 0, at[raw]).otherwise(
         F.raise_error(F.concat(F.col("path"), F.lit(f" lacks column {raw}"))).cast("int"))), F.lit("")), F.lit("")).alias(name)

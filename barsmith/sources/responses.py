@@ -9,10 +9,12 @@ from barsmith.functions import columns as fn
 from barsmith.operators import rollup
 from barsmith.operators.calendars import with_expiry
 from barsmith.operators.dedup import keep_first
+from barsmith.operators.joins import not_stored
 
 CANDLE_ARRAYS = ("timestamp", "open", "high", "low", "close", "volume")
 NO_ROWS = "no rows"
 UNEVEN = "arrays differ in length"
+NEVER_LANDED = "never landed"
 OPTION_ARRAYS = ("timestamp", "strike", "spot", "open", "high", "low", "close", "volume", "iv", "oi")
 
 
@@ -63,11 +65,35 @@ def outcomes(responses: DataFrame) -> DataFrame:
     seen = with_data(responses)
     return seen.select(
         "seq", "scrip",
-        F.when(F.col("status") != 200, "failed").when(F.col("rows") > 0, "ok")
-        .when(F.col("error") == UNEVEN, "failed").otherwise("none").alias("outcome"),
+        _outcome().alias("outcome"),
         "rows", "error")
 
 
+WINDOW = ["scrip", "from_date", "to_date", "interval_m"]
+
+
+def window_outcomes(responses: DataFrame, requests: DataFrame | None = None) -> DataFrame:
+    """scrip, from_date, to_date, interval_m, outcome and error of every landed window, or of every requested one.
+
+    The best response of a window counts: ok before none before failed. A requested window for which nothing landed is `missing`.
+    """
+    ranks = F.create_map(*[F.lit(x) for x in ("ok", 0, "none", 1, "failed", 2)])
+    seen = with_data(responses).withColumn("outcome", _outcome()).withColumn("rank", ranks[F.col("outcome")])
+    best = seen.groupBy(*WINDOW).agg(F.min_by("outcome", "rank").alias("outcome"), F.min_by("error", "rank").alias("error"))
+    if requests is None:
+        return best
+    # One struct key: structs compare NULL fields as equal.
+    asked = requests.select(F.struct(*WINDOW).alias("key")).distinct()
+    found = asked.join(best.select(F.struct(*WINDOW).alias("key"), "outcome", "error"), "key", "left")
+    return found.select("key.*", F.coalesce("outcome", F.lit("missing")).alias("outcome"),
+                        F.when(F.col("outcome").isNull(), NEVER_LANDED).otherwise(F.col("error")).alias("error"))
+
+
+def _outcome():
+    return (F.when(F.col("status") != 200, "failed").when(F.col("rows") > 0, "ok")
+            .when(F.col("error") == UNEVEN, "failed").otherwise("none"))
+
+
 def failed_scrips(responses: DataFrame) -> DataFrame:
     return outcomes(responses).where("outcome = 'failed'").select("scrip").distinct()
 
@@ -142,10 +168,14 @@ def hourly_candles(responses: DataFrame, opens: str = fixed.MARKET_OPEN,
     return open_hours(hourly_rows(responses), opens, closes)
 
 
-def failed_windows(responses: DataFrame) -> DataFrame:
-    """(scrip, from_date, to_date, error) of every hourly response that gives no candles."""
-    return _hourly(responses).where("NOT good").select("scrip", "from_date", "to_date", F.coalesce(
+def failed_windows(responses: DataFrame, requests: DataFrame | None = None) -> DataFrame:
+    """(scrip, from_date, to_date, error) of every hourly response that gives no candles, and of every requested window without any."""
+    bad = _hourly(responses).where("NOT good").select("scrip", "from_date", "to_date", F.coalesce(
         "error", F.when(F.col("security_id").isNull(), "security id is no integer"), F.lit("not successful")).alias("error"))
+    if requests is None:
+        return bad
+    keys = ["scrip", "from_date", "to_date"]
+    return bad.unionByName(not_stored(requests.select(*keys).distinct(), responses, keys).withColumn("error", F.lit(NEVER_LANDED)))
 
 
 def option_candles(responses: DataFrame, lookup: DataFrame | None = None,

@@ -5,7 +5,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from barsmith import changes, commits, fixed, schemas, tables
 from barsmith.functions import columns as fn
-from barsmith.operators import calendars, rollup
+from barsmith.operators import calendars, coverage, rollup
 from barsmith.plans import daily, intraday, options, reference
 from barsmith.session import scratch, stage
 from barsmith.settings import Settings
@@ -16,16 +16,21 @@ from checks.registry import query
 from checks.streams import _new_table
 
 
+WEEK = 7 * 86400
+
+
 def _responses(rows: DataFrame, interval: int, envelope: bool = False) -> DataFrame:
-    """One landed response per instrument; rows: scrip, security_id, timestamp, prices, volume and `at`, the landing order."""
+    """One landed response per instrument and week, as windows are fetched; rows: scrip, security_id, timestamp, prices, volume and `at`,
+    the landing order."""
     cells = ("timestamp", *fixed.PRICES, "volume")
-    held = rows.groupBy("scrip", "security_id").agg(F.sort_array(F.collect_list(F.struct("at", *cells))).alias("c"))
+    week = F.floor(F.col("timestamp") / WEEK).cast("int").alias("week")
+    held = rows.groupBy("scrip", "security_id", week).agg(F.sort_array(F.collect_list(F.struct("at", *cells))).alias("c"))
     arrays = F.struct(*[F.col(f"c.{n}").alias(n) for n in cells])
     body = F.to_json(F.struct(F.lit("success").alias("status"), arrays.alias("data")) if envelope else arrays)
     return stage(held.select(
         F.col("security_id").cast("bigint").alias("seq"), "scrip", F.col("security_id").cast("string").alias("security_id"),
-        F.lit("NSE_EQ").alias("exc_seg"), F.lit("EQUITY").alias("instrument_type"), F.lit("2024-01-01").cast("date").alias("from_date"),
-        F.lit("2024-02-01").cast("date").alias("to_date"), F.lit(interval).alias("interval_m"), F.lit(200).alias("status"),
+        F.lit("NSE_EQ").alias("exc_seg"), F.lit("EQUITY").alias("instrument_type"), F.date_from_unix_date(F.col("week") * 7).alias("from_date"),
+        F.date_from_unix_date(F.col("week") * 7 + 7).alias("to_date"), F.lit(interval).alias("interval_m"), F.lit(200).alias("status"),
         body.alias("body")), "responses")
 
 
@@ -166,14 +171,87 @@ def run_flagged_reload(spark, sf_dir):
     return tables.read(spark, settings.intraday_table)
 
 
-OPTION_RANGE = ("1992-01-01", "1999-01-01")  # all order dates
-TRANCHE_DAYS = 250
-_CELLS = f"""r AS (
+@query("job6_windows", f"""WITH {v.TICKS}, {v.CANDLES}
+SELECT scrip, DATE '1970-01-01' + CAST(7 * ("timestamp" // {WEEK}) AS INTEGER) AS from_date,
+  CASE CAST(security_id AS BIGINT) % 10 WHEN 3 THEN 'failed' WHEN 4 THEN 'missing' ELSE 'ok' END AS outcome FROM candles GROUP BY ALL""")
+def window_report(spark, sf_dir):
+    """What became of every requested window: some failed, some never landed."""
+    settings, every = _intraday(spark, sf_dir, "false"), _candle_responses(spark, sf_dir)
+    digit = F.pmod("seq", F.lit(10))
+    landed = every.where(digit != 4).withColumn("status", F.when(digit == 3, 500).otherwise(200))
+    return intraday.run_intraday(spark, settings, landed, every)["windows"].select("scrip", "from_date", "outcome")
+
+
+def _flagged_run(spark, sf_dir) -> tuple[Settings, str, dict]:
+    settings = _daily(spark, sf_dir, temp=False)
+    settings = Settings(daily_table=settings.daily_table, flag_table=settings.daily_table + "_flags")
+    path = scratch(spark, "flags_csv")
+    return settings, path, daily.run_daily(spark, settings, _bar_responses(spark, sf_dir), flags_csv=path)
+
+
+@query("snk5_flag_rows", f"WITH {v.SPLIT} SELECT * FROM flags")
+def flag_rows(spark, sf_dir):
+    """The flag table that the daily job writes."""
+    settings, _, _ = _flagged_run(spark, sf_dir)
+    return spark.table(settings.flag_table).drop("run_ts")
+
+
+@query("snk6_flags_csv", f"""WITH {v.SPLIT}
+SELECT scrip, security_id, CAST(check_date AS VARCHAR) AS check_date, reason, field, fetched_value, stored_value FROM flags""")
+def flags_csv(spark, sf_dir):
+    """The CSV that the daily job writes, read back."""
+    _, path, _ = _flagged_run(spark, sf_dir)
+    read = spark.read.option("header", True).csv(path).drop("run_ts")
+    return read.withColumns({c: F.col(c).cast("double") for c in ("fetched_value", "stored_value")})
+
+
+@query("c4_empty_flags", f"""WITH {v.TICKS}, {v.BARS}
+SELECT count(*) AS uploaded, 0 AS flags, 0 AS flags_written FROM bars WHERE trade_date = (SELECT max(trade_date) FROM bars)""")
+def empty_flags(spark, sf_dir):
+    """A fetch of one date has no date to check: typed flags without rows, all of it uploaded."""
+    settings = _daily(spark, sf_dir, temp=False)
+    bars = v.bars(spark, sf_dir)
+    last = bars.agg(F.max("trade_date")).first()[0]
+    at = F.unix_date("trade_date").cast("bigint") * 86400 + (9 * 60 + 15) * 60 - fixed.IST_OFFSET_SECONDS
+    landed = _responses(bars.where(F.col("trade_date") == F.lit(last)).withColumn("timestamp", at).withColumn("at", at), 1440)
+    r = daily.run_daily(spark, settings, landed)
+    if r["flags"].schema != spark.createDataFrame([], schemas.FLAGS).schema:
+        raise AssertionError(r["flags"].schema)
+    return spark.createDataFrame([(r["uploaded"], r["flags"].count(), r["flags_written"])], "uploaded long, flags int, flags_written int")
+
+
+@query("job5_run_dry", f"""WITH {m._RELOAD},
+known AS (SELECT * FROM old WHERE exchange <> 'TEMP' OR trade_date <> DATE '{m.FROM}')
+SELECT 'delete' AS action, 'temp' AS scope, count(*) AS rows, count(DISTINCT scrip) AS scrips FROM known WHERE exchange = 'TEMP'
+UNION ALL SELECT 'delete', 'range', count(*), count(DISTINCT scrip) FROM known WHERE {m.IN_RANGE} AND exchange <> 'TEMP'
+UNION ALL SELECT 'delete', 'flagged lifetime', count(*), count(DISTINCT scrip) FROM known WHERE scrip IN (SELECT scrip FROM flagged)
+UNION ALL SELECT 'upsert', 'clean range', count(*), count(DISTINCT scrip) FROM clean
+UNION ALL SELECT 'refetch', 'flagged lifetime', count(*), count(DISTINCT scrip) FROM flagged
+UNION ALL SELECT 'lost', 'range', count(*), count(DISTINCT scrip) FROM known WHERE {m.IN_RANGE} AND exchange <> 'TEMP'
+  AND scrip NOT IN (SELECT scrip FROM clean) AND scrip NOT IN (SELECT scrip FROM flagged)
+UNION ALL SELECT 'table', 'after', count(*), count(DISTINCT scrip) FROM known""")
+def run_dry(spark, sf_dir):
+    """The plan of a range reload that only looks, and what the table holds after it."""
+    settings = _daily(spark, sf_dir, temp=True)
+    report = daily.run_daily_reload(spark, settings, _bar_responses(spark, sf_dir), "range", m.FROM, m.TO, dry_run=True)
+    return report["plan"].unionByName(coverage.plan_line(tables.read(spark, settings.daily_table), "table", "after"))
+
+
+@query("job12_latest_option", """SELECT CAST(max(o_orderdate) AS DATE) AS latest FROM orders
+WHERE isodow(o_orderdate) < 6 AND substr(o_orderpriority, 1, 1) IN ('1', '2') AND o_orderstatus <> 'P'""")
+def latest_option(spark, sf_dir):
+    from barsmith.plans.coverage import latest_option_date
+
+    settings, _ = _run_options(spark, sf_dir)
+    return spark.createDataFrame([(latest_option_date(spark, settings),)], "latest date")
+
+
+TRANCHE_DAYS = 500
+_CELLS = """r AS (
   SELECT o_orderkey AS seq, CAST(o_orderdate AS DATE) AS trade_date, CASE o_orderstatus WHEN 'F' THEN 'MONTH' ELSE 'WEEK' END AS flag,
          CAST(substr(o_orderpriority, 1, 1) AS INTEGER) AS code, o_totalprice AS price, epoch_us(o_orderdate) // 1000000 AS epoch,
          CASE WHEN o_totalprice > 250000 THEN 'CE' ELSE 'PE' END AS side, CAST(o_custkey AS VARCHAR) AS sid, o_orderstatus AS st
-  FROM orders WHERE CAST(o_orderdate AS DATE) >= DATE '{OPTION_RANGE[0]}' AND CAST(o_orderdate AS DATE) < DATE '{OPTION_RANGE[1]}'
-    AND isodow(o_orderdate) < 6 AND substr(o_orderpriority, 1, 1) IN ('1', '2')),
+  FROM orders WHERE isodow(o_orderdate) < 6 AND substr(o_orderpriority, 1, 1) IN ('1', '2')),
 good AS (SELECT * FROM r WHERE st <> 'P')"""
 
 
@@ -184,9 +262,20 @@ def _option_responses(spark, sf_dir) -> DataFrame:
     return landed.join(status, "seq").withColumn("status", F.when(F.col("o_orderstatus") == "P", 500).otherwise(200)).drop("o_orderstatus")
 
 
+def _order_range(spark, sf_dir) -> tuple:
+    """All order dates: the first, and the day after the last."""
+    day = F.col("o_orderdate").cast("date")
+    return tuple(v.table(spark, sf_dir, "orders").agg(F.min(day), F.date_add(F.max(day), 1)).first())
+
+
+def _option_table(spark) -> Settings:
+    """Some two thousand trade dates of few rows each: a directory per month and load."""
+    return Settings(option_table=_new_table(spark, "job_options", schemas.OPTIONS, "trade_date", by_month=True, by_load=True))
+
+
 def _run_options(spark, sf_dir):
-    settings = Settings(option_table=_new_table(spark, "job_options", schemas.OPTIONS, "trade_date", by_load=True))
-    return settings, options.run_options(spark, settings, _option_responses(spark, sf_dir), *OPTION_RANGE, tranche_days=TRANCHE_DAYS)
+    settings = _option_table(spark)
+    return settings, options.run_options(spark, settings, _option_responses(spark, sf_dir), *_order_range(spark, sf_dir), tranche_days=TRANCHE_DAYS)
 
 
 @query("job8_run_options", f"""WITH {_CELLS},
@@ -214,7 +303,7 @@ SELECT trade_date, code AS expiry_code, side AS option_type, 2 * count(DISTINCT
 def repaired_cells(spark, sf_dir):
     """A second run whose failed responses have been repaired fills exactly the cells that had no rows."""
     settings, _ = _run_options(spark, sf_dir)
-    options.run_options(spark, settings, _option_responses(spark, sf_dir).withColumn("status", F.lit(200)), *OPTION_RANGE, tranche_days=TRANCHE_DAYS)
+    options.run_options(spark, settings, _option_responses(spark, sf_dir).withColumn("status", F.lit(200)), *_order_range(spark, sf_dir), tranche_days=TRANCHE_DAYS)
     return commits.read(spark, settings.option_table).groupBy("trade_date", "expiry_code", "option_type").agg(F.count("*").alias("rows"))
 
 
@@ -309,13 +398,13 @@ SELECT trade_date, code AS expiry_code, CAST(2 * count(*) AS BIGINT) AS rows, 1
 def listed_chunks(spark, sf_dir):
     """The manifest of a run in which one tranche cannot be written whole and one chunk not at all (a strike no DECIMAL holds), and of
     the next run, which loads that chunk."""
-    settings = Settings(option_table=_new_table(spark, "job_chunks", schemas.OPTIONS, "trade_date", by_load=True))
+    settings = _option_table(spark)
     landed = _option_responses(spark, sf_dir)
     usable = landed.where("expiry_code IN (1, 2) AND weekday(trade_date) < 5 AND status = 200")
     bad = usable.agg(F.min(F.struct("trade_date", "expiry_code")).alias("bad")).first()["bad"]
     spoilt = landed.withColumn("body", F.when((F.col("trade_date") == bad[0]) & (F.col("expiry_code") == bad[1]), F.regexp_replace(
         "body", r'"strike":\[[^]]*\]', '"strike":[1e40,1e40]')).otherwise(F.col("body")))
     for responses in (spoilt, landed):
-        options.run_options(spark, settings, responses, *OPTION_RANGE, tranche_days=TRANCHE_DAYS)
+        options.run_options(spark, settings, responses, *_order_range(spark, sf_dir), tranche_days=TRANCHE_DAYS)
     return spark.table(commits.manifest(settings.option_table)).groupBy("trade_date", "expiry_code").agg(
         F.sum("rows").alias("rows"), F.count("*").cast("int").alias("loads"))

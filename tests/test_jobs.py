@@ -260,6 +260,23 @@ def test_run_intraday_and_reload(spark, tmp_path, names):
     assert barsmith.run_intraday_reload_for_flagged(spark, names, joins.names(spark, ["Z"]), None)["eligible"] == []
 
 
+def test_requested_windows_that_never_landed(spark, tmp_path, names):
+    window = {"from_date": D[0], "to_date": D[4]}
+
+    def dated(df):
+        return df.withColumns({k: F.lit(v) for k, v in window.items()})
+
+    asked = dated(joins.names(spark, ["A", "E", "F", "M"])).withColumn("interval_m", F.lit(15))
+    got = dated(fetch(spark, tmp_path, {"A": {epoch(D[0]): 1}, "E": {}, "F": {}, "U": {epoch(D[0]): 1}}, interval=15, status={"F": 500}))
+    report = barsmith.run_intraday(spark, names, got, asked)
+    assert rows(report["windows"], "scrip", "outcome", "error") == [
+        ("A", "ok", None), ("E", "none", "no rows"), ("F", "failed", "HTTP 500"), ("M", "missing", "never landed")]
+    assert report["unfinished"] == 2 and rows(report["windows"].select("from_date", "to_date").distinct()) == [(D[0], D[4])]
+    hourly = dated(fetch(spark, tmp_path, {"A": {epoch(D[1], 10): 1}, "F": {}}, "h.json", interval=60, status={"F": 500}, wrap=lambda b: {"status": "success", "data": b}))
+    report = barsmith.run_daily_from_hourly(spark, names, hourly, D[0], requests=asked.drop("interval_m"))
+    assert rows(report["failed_windows"], "scrip", "error") == [("E", "never landed"), ("F", "HTTP 500"), ("M", "never landed")]
+
+
 def test_window_requests(spark):
     grid = barsmith.window_requests(joins.names(spark, ["A", "B"]), start="2024-01-01", n=3)
     assert grid.count() == 6

@@ -38,18 +38,27 @@ def test_price_files(spark, tmp_path):
     assert none.count() == 0 and none.columns == [c.split()[0] for c in schemas.PRICE_FILE.split(", ")]
 
 
-def test_price_file_with_another_header_fails(spark, tmp_path):
+def test_price_files_are_read_by_their_own_headers(spark, tmp_path):
     price_file(tmp_path, "07082026", price_line("TCS", "07-Aug-2026"))
     swapped = HEADER.replace("OPEN_PRICE", "X").replace("HIGH_PRICE", "OPEN_PRICE").replace("X", "HIGH_PRICE")
     price_file(tmp_path, "08082026", price_line("TCS", "08-Aug-2026"), header=swapped)
-    with pytest.raises(Exception):
-        landed_files.price_files(spark, str(tmp_path), "2026-08-07", "2026-08-08").collect()
+    price_file(tmp_path, "09082026")                                                                               # a header only
+    price_file(tmp_path, "10082026", "9," + price_line("TCS", "10-Aug-2026"), header="EXTRA, " + HEADER)
+    got = landed_files.price_files(spark, str(tmp_path), "2026-08-07", "2026-08-10")
+    assert rows(got, "date", "symbol", "open_price", "high_price", "close_price") == [
+        (date(2026, 8, 7), "TCS", 2.0, 3.0, 2.5), (date(2026, 8, 8), "TCS", 3.0, 2.0, 2.5), (date(2026, 8, 10), "TCS", 2.0, 3.0, 2.5)]
 
 
 def test_missing_column_is_named(spark, tmp_path):
-    (tmp_path / "a.csv").write_text("SYMBOL,SERIES\nA,EQ\n")
-    with pytest.raises(ValueError, match="DATE1"):
+    price_file(tmp_path, "07082026", "A,EQ", header="SYMBOL,SERIES")
+    with pytest.raises(Exception, match="07082026.csv lacks column DATE1"):
         landed_files.price_files(spark, str(tmp_path), "2026-08-07", "2026-08-08")
+    assert landed_files.price_files(spark, str(tmp_path), "2026-08-08", "2026-08-09").count() == 0  # not asked for, not opened
+
+
+def test_no_price_files_give_a_typed_empty_frame(spark, tmp_path):
+    none = landed_files.price_files(spark, str(tmp_path), "2026-08-07", "2026-08-08")
+    assert none.count() == 0 and none.schema.simpleString() == spark.createDataFrame([], schemas.PRICE_FILE).schema.simpleString()
 
 
 MCAP = "Trade Date,Symbol,Series,Security Name,Category,Last Trade Date,Face Value(Rs.),Issue Size,Close Price/Paid up value(Rs.),Market Cap(Rs.)"
@@ -221,8 +230,10 @@ def test_stored_read(spark):
 def test_price_file_filter_prunes_the_listing(spark, tmp_path):
     for d in range(1, 10):
         price_file(tmp_path, f"0{d}082026", price_line("TCS", f"0{d}-Aug-2026"))
-    df = landed_files.read_text_csv(spark, str(tmp_path)).where(
-        landed_files.file_date(fixed.PRICE_FILE_DATE).between(F.lit("2026-08-03").cast("date"), F.lit("2026-08-04").cast("date")))
+    asked = landed_files.file_date(fixed.PRICE_FILE_DATE).between(F.lit("2026-08-03").cast("date"), F.lit("2026-08-04").cast("date"))
+    heads = landed_files.headers(spark, str(tmp_path), asked)
+    assert heads.count() == 2
+    df = spark.read.schema(landed_files.CELLS).csv(str(tmp_path)).where(asked)
     df.collect()
     scan = df._jdf.queryExecution().executedPlan().collectLeaves().head()
     assert scan.metrics().apply("numFiles").value() == 2
