@@ -33,6 +33,29 @@ def _grouped(df: DataFrame, keys: Sequence[str], order: Column) -> DataFrame:
     return df.where(all_known(keys)).withColumn("_order", order).groupBy(*keys).agg(*ohlcv("_order"))
 
 
+#: A bar that can take more candles: the order of its first known open and last known close beside them.
+STATE_VALUES = ("open_at", "open", "high", "low", "close_at", "close", "volume")
+_ORDER = "DECIMAL(38, 0)"
+
+
+def bar_states(candles: DataFrame, epoch: str = "timestamp", order: Column | None = None,
+               instrument: Sequence[str] = INSTRUMENT) -> DataFrame:
+    """One mergeable bar per IST date and instrument, by the rules of `daily_bars`."""
+    keys = ["trade_date", *instrument]
+    order = (F.col(epoch) if order is None else order).cast(_ORDER)
+    dated = candles.withColumn("trade_date", fn.ist_date(epoch)).where(all_known(keys)).withColumn("_order", order)
+    known = dated.withColumns({"open_at": F.expr("CASE WHEN open IS NOT NULL THEN _order END"),
+                               "close_at": F.expr("CASE WHEN close IS NOT NULL THEN _order END")})
+    return merge_states(known, keys)
+
+
+def merge_states(states: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """States of the same keys as one: the earliest open, the latest close, the extremes, the sum. In any order and grouping."""
+    return states.groupBy(*keys).agg(
+        F.min("open_at").alias("open_at"), F.min_by("open", "open_at").alias("open"), F.max("high").alias("high"), F.min("low").alias("low"),
+        F.max("close_at").alias("close_at"), F.max_by("close", "close_at").alias("close"), F.expr("coalesce(sum(volume), 0D) AS volume"))
+
+
 def market_hours(candles: DataFrame, epoch: str = "timestamp", **clock) -> DataFrame:
     return candles.where(fn.in_market_hours(epoch, **clock))
 

@@ -72,7 +72,7 @@ def run_daily(spark: SparkSession, settings: Settings, responses: DataFrame,
     """
     settings.check("daily")
     configure(spark)
-    tables.ensure_table(spark, settings.daily_table, schemas.DAILY, buckets=settings.buckets)
+    tables.ensure_table(spark, settings.daily_table, schemas.DAILY, buckets=settings.buckets, cluster=["scrip"])
     if mapping is not None:
         responses = only(responses, mapping)
     fetched, rejected = _fetched(responses, "fetched")
@@ -109,7 +109,7 @@ def run_daily_from_hourly(spark: SparkSession, settings: Settings, responses: Da
     settings.check("daily")
     configure(spark)
     name, start = settings.daily_table, fn.to_date_arg(start_date)
-    tables.ensure_table(spark, name, schemas.DAILY, buckets=settings.buckets)
+    tables.ensure_table(spark, name, schemas.DAILY, buckets=settings.buckets, cluster=["scrip"])
     if interval is not None:
         responses = responses.where(F.col("interval_m") == interval)
     elif responses.select("interval_m").distinct().count() > 1:
@@ -140,7 +140,7 @@ def run_lifetime_reload(spark: SparkSession, settings: Settings, responses: Data
     settings.check("daily")
     configure(spark)
     name = settings.daily_table
-    tables.ensure_table(spark, name, schemas.DAILY, buckets=settings.buckets)
+    tables.ensure_table(spark, name, schemas.DAILY, buckets=settings.buckets, cluster=["scrip"])
     stored = changes.current(spark, name)
     report = {"mode": "lifetime", "table": name, "dry_run": dry_run, "flagged": []}
     if dry_run:
@@ -174,7 +174,7 @@ def run_range_reload(spark: SparkSession, settings: Settings, responses: DataFra
     settings.check("daily")
     configure(spark)
     name, start, end = settings.daily_table, fn.to_date_arg(from_date), fn.to_date_arg(to_date)
-    tables.ensure_table(spark, name, schemas.DAILY, buckets=settings.buckets)
+    tables.ensure_table(spark, name, schemas.DAILY, buckets=settings.buckets, cluster=["scrip"])
     if not dry_run:
         changes.fold_all(spark, name)
     stored = changes.current(spark, name)

@@ -43,7 +43,7 @@ def run_intraday(spark: SparkSession, settings: Settings, responses: DataFrame,
     settings.check("intraday")
     configure(spark)
     name = settings.intraday_table
-    tables.ensure_table(spark, name, schemas.INTRADAY, buckets=settings.buckets)
+    tables.ensure_table(spark, name, schemas.INTRADAY, buckets=settings.buckets, cluster=["scrip", "timestamp"])
     ok, failed = _counts(responses)
     windows = stage(landed.window_outcomes(responses, requests), "windows")
     report = {"responses": ok, "failed": failed, "loaded": 0, "table": name, "windows": windows,
@@ -76,7 +76,7 @@ def run_intraday_reload_for_flagged(spark: SparkSession, settings: Settings, fla
     settings.check("intraday")
     configure(spark)
     name = settings.intraday_table
-    tables.ensure_table(spark, name, schemas.INTRADAY, buckets=settings.buckets)
+    tables.ensure_table(spark, name, schemas.INTRADAY, buckets=settings.buckets, cluster=["scrip", "timestamp"])
     span = flagged_bounds(spark, settings, flagged, interval)
     eligible = span["eligible"]
     report = {"eligible": sorted(r[0] for r in eligible.collect()),

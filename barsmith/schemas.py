@@ -6,6 +6,11 @@ DAILY = (
     "scrip STRING, exchange STRING, security_id BIGINT, open DOUBLE, high DOUBLE, low DOUBLE, "
     "close DOUBLE, volume DOUBLE, row_id STRING, trade_date DATE"
 )
+# A bar that can take more candles; `batch` names the last micro-batch merged into it.
+BAR_STATE = (
+    "scrip STRING, exchange STRING, security_id BIGINT, open_at DECIMAL(38, 0), open DOUBLE, high DOUBLE, low DOUBLE, "
+    "close_at DECIMAL(38, 0), close DOUBLE, volume DOUBLE, row_id STRING, batch STRING, trade_date DATE"
+)
 FLAGS = (
     "run_ts TIMESTAMP, scrip STRING, security_id STRING, check_date DATE, reason STRING, "
     "field STRING, fetched_value DOUBLE, stored_value DOUBLE"

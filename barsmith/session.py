@@ -53,6 +53,12 @@ def shared_dir(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+def written(spark: SparkSession, path: str) -> bool:
+    """Whether a Spark write to this path has been completed."""
+    mark = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    return mark.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(mark)
+
+
 def scratch(spark: SparkSession, label: str) -> str:
     """A new path below the shared folder."""
     return f"{shared_dir(spark)}/barsmith/{label}-{uuid.uuid4().hex}"

@@ -32,6 +32,7 @@ class Layout:
     units: tuple[str, ...] = ()
     dated: str | None = None
     buckets: int = 0
+    cluster: tuple[str, ...] = ()  # what rows are sorted by inside a unit, so that files' minima and maxima prune
 
     @property
     def by_month(self) -> bool:
@@ -58,14 +59,14 @@ class Layout:
 
 
 def ensure_table(spark: SparkSession, name: str, schema: str, partition: str | None = PARTITION, buckets: int = 0,
-                 by_month: bool = False, by_load: bool = False, location: str | None = None) -> None:
+                 by_month: bool = False, by_load: bool = False, cluster: Sequence[str] = (), location: str | None = None) -> None:
     """Create the table if it is not there. An existing one keeps its own layout. `by_load` adds the load that wrote a row (`commits`)."""
     units = [MONTH if by_month else partition] if partition else []
     added = [f"{MONTH} STRING"] * by_month + [f"{BUCKET} INT"] * bool(buckets) + [f"{LOAD} STRING"] * by_load
     units += [BUCKET] * bool(buckets) + [LOAD] * by_load
     partitioned = f" PARTITIONED BY ({', '.join(units)})" if units else ""
     at = f" LOCATION '{location}'" if location else ""
-    kept = f" TBLPROPERTIES ('barsmith.dated' = '{partition or ''}', 'barsmith.buckets' = '{buckets}')"
+    kept = f" TBLPROPERTIES ('barsmith.dated' = '{partition or ''}', 'barsmith.buckets' = '{buckets}', 'barsmith.cluster' = '{' '.join(cluster)}')"
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({', '.join([schema, *added])}) USING parquet{partitioned}{at}{kept}")
 
 
@@ -73,7 +74,8 @@ def layout_of(spark: SparkSession, name: str) -> Layout:
     """A table's layout, from the catalog; one made elsewhere is taken by its partition columns."""
     kept = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}
     units = tuple(c.name for c in spark.catalog.listColumns(name) if c.isPartition)
-    return Layout(units, kept.get("barsmith.dated") or (units[0] if units else None), int(kept.get("barsmith.buckets", 0)))
+    return Layout(units, kept.get("barsmith.dated") or (units[0] if units else None), int(kept.get("barsmith.buckets", 0)),
+                  tuple(kept.get("barsmith.cluster", "").split()))
 
 
 def read(spark: SparkSession, name: str) -> DataFrame:
@@ -101,6 +103,7 @@ def _laid_out(df: DataFrame, name: str, layout: Layout, cluster: Sequence[str] =
     if not layout.units:
         return df
     df = df.hint("rebalance", *layout.units)
+    cluster = cluster or layout.cluster
     order = [*layout.units, *([layout.dated] if layout.by_month else []), *cluster]
     return df.sortWithinPartitions(*order) if cluster or layout.by_month else df
 
@@ -227,7 +230,7 @@ def _remove_folders(spark: SparkSession, name: str, folders: Iterable[str]) -> N
 
 # ---- mutations
 
-def upsert(spark: SparkSession, name: str, source: DataFrame) -> int:
+def upsert(spark: SparkSession, name: str, source: DataFrame, values: Sequence[str] = mutate.BAR_VALUES) -> int:
     """Merge a staged source, unique by row_id, into the table; the number of source rows.
 
     Date, scrip and exchange are part of the row id, so only the source's units are read. A row without id fails the write, as
@@ -239,7 +242,7 @@ def upsert(spark: SparkSession, name: str, source: DataFrame) -> int:
     touched = units_in(source, layout)
     if touched:
         target = at(spark.table(name), layout, touched)
-        overwrite_units(spark, name, mutate.upsert(target, source.select(*target.columns)), touched, touched)
+        overwrite_units(spark, name, mutate.upsert(target, source.select(*target.columns), values=values), touched, touched)
     return source.count()
 
 
@@ -287,6 +290,12 @@ def in_buckets(df: DataFrame, layout: Layout, scrips: DataFrame) -> DataFrame:
     return df.where(F.col(BUCKET).isin([TEMP_BUCKET, *sorted(r.b for r in found)]))
 
 
+def rows_of(spark: SparkSession, name: str, scrips: DataFrame) -> DataFrame:
+    """The listed scrips' rows; only their buckets are read, and of sorted files the row groups that can hold them."""
+    layout = layout_of(spark, name)
+    return only(in_buckets(spark.table(name), layout, scrips), scrips).drop(*layout.added)
+
+
 def units_with(spark: SparkSession, name: str, scrips: DataFrame, condition: Column | None = None) -> set[tuple]:
     """The units that hold rows of the listed scrips; only the scrips' buckets are read."""
     layout, table = layout_of(spark, name), spark.table(name)

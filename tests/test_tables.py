@@ -52,7 +52,7 @@ def bucket_of(spark, scrip, n):
 def test_layout_is_kept_with_the_table(spark, tmp_path, table_name):
     name = new(spark, tmp_path / "t", table_name("lay"), HISTORY, buckets=4)
     layout = tables.layout_of(spark, name)
-    assert layout == tables.Layout(("trade_date", "bucket"), "trade_date", 4)
+    assert layout == tables.Layout(("trade_date", "bucket"), "trade_date", 4, ())
     tables.ensure_table(spark, name, schemas.DAILY, buckets=9)  # an existing table keeps its own
     assert tables.layout_of(spark, name) == layout and tables.read(spark, name).columns == schemas.DAILY_COLUMNS
     assert tables.units_of(spark, name) == tables.units_in(tables.read(spark, name), layout)
@@ -138,6 +138,19 @@ def test_months_prune_and_cut(spark, tmp_path, table_name):
     assert ("A", "NSE", days[-1], 1.0) in state(spark, name) and len(state(spark, name)) == len(kept)
 
 
+def test_a_scrip_is_read_from_its_bucket_and_files_are_sorted(spark, tmp_path, table_name):
+    name, folder = table_name("sorted"), tmp_path / "t"
+    new(spark, folder, name, HISTORY[::-1], buckets=4, cluster=["scrip"])
+    assert tables.layout_of(spark, name).cluster == ("scrip",)
+    held = [[r.scrip for r in spark.read.parquet(f).collect()] for f in files(folder)]
+    assert held and all(h == sorted(h) for h in held) and max(map(len, held)) > 2
+    got = tables.rows_of(spark, name, joins.names(spark, ["A"]))
+    assert rows(got, "scrip", "trade_date") == [("A", d) for d in D]
+    tables.append(daily(spark, [("B", "TEMP", D[0], 1.0)]), name)
+    read = {f.split("bucket=")[1].split("/")[0] for f in tables.in_buckets(spark.table(name), tables.layout_of(spark, name), joins.names(spark, ["A"])).inputFiles()}
+    assert read == {"-1", str(bucket_of(spark, "A", 4))}
+
+
 def test_units_as_literals(spark):
     layout = tables.Layout(("trade_date", "bucket"), "trade_date", 4)
     data = [(d, b) for d in (*D, None) for b in (-1, 0, 1, 2)]
