@@ -37,20 +37,26 @@ hits AS (
   FROM split JOIN curated ON (host = rh OR ends_with(host, '.' || rh)) AND starts_with(path, rp) GROUP BY rid),
 judged AS (
   SELECT s.*, rule, rv, string_split(host, '.') AS l FROM split s LEFT JOIN hits USING (rid)),
+raw AS (
+  SELECT rid, page_id, host, path, rule, rv, CASE WHEN host = '' THEN [] ELSE list_distinct(list_filter(list_concat(
+    ['scheme=' || regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*)://', 1), 'tld=' || l[-1],
+     'last=' || regexp_replace(regexp_extract(path, '([^/]*/?)$', 1), '[0-9]+', '0', 'g'),
+     'query=' || regexp_replace(regexp_extract(rest, '^[^?#]*\?([^#]*)', 1), '=[^&]*', '', 'g'),
+     'frag=' || regexp_extract(rest, '(?s)#(.+)$', 1)],
+    list_transform(l[1:len(l) - 1], lambda x: 'label=' || x),
+    list_transform(string_split(regexp_extract(path, '(?s)^(.*)/', 1), '/'), lambda x: 'seg=' || x)),
+    lambda t: t NOT IN ('scheme=', 'tld=', 'last=', 'query=', 'frag=', 'label=', 'seg='))) END AS t FROM judged),
+need AS (SELECT ceil({url_rules.MIN_SUPPORT} * count(*)) AS c, count(*) AS n FROM raw WHERE rv IS NOT NULL),
+cover AS (SELECT token, list(rid ORDER BY rid) AS seen FROM (SELECT rid, unnest(t) AS token FROM raw WHERE rv IS NOT NULL) GROUP BY token),
+class AS (SELECT token, min(token) OVER (PARTITION BY seen) AS item FROM cover, need WHERE len(seen) >= need.c),
+classed AS (
+  SELECT rid, list_sort(list(DISTINCT item)) AS t FROM (SELECT rid, unnest(t) AS token FROM raw) JOIN class USING (token) GROUP BY rid),
 tok AS (
-  SELECT rid, page_id, host, path, rule, rv, CASE WHEN host = '' THEN [] ELSE list_filter([
-    'scheme=' || regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*)://', 1), 'tld=' || l[-1],
-    CASE WHEN len(l) >= 2 THEN 'domain=' || l[-2] END, CASE WHEN len(l) >= 3 THEN 'sub=' || l[-3] END,
-    'seg=' || regexp_extract(path, '^/([^/]+)/', 1),
-    'last=' || regexp_replace(regexp_extract(path, '([^/]*/?)$', 1), '[0-9]+', '0', 'g'),
-    'query=' || regexp_replace(regexp_extract(rest, '^[^?#]*\?([^#]*)', 1), '=[^&]*', '', 'g'),
-    'frag=' || regexp_extract(rest, '#(.+)$', 1)], lambda t: t IS NOT NULL AND NOT ends_with(t, '=')
-      OR regexp_matches(coalesce(t, ''), '=.+=$')) END AS t FROM judged),
-bits AS (SELECT unnest(range(1, 256)) AS m),
+  SELECT raw.* EXCLUDE (t), coalesce(classed.t, []) AS t FROM raw LEFT JOIN classed USING (rid)),
+bits AS (SELECT unnest(range(1, 1 << (SELECT max(len(t)) FROM tok))) AS m),
 sets AS (
   SELECT list_sort(list_filter(t, lambda x, i: (m >> (i - 1)) & 1 = 1)) AS a, rv, m
   FROM tok, bits WHERE rv IS NOT NULL AND m < (1 << len(t))),
-need AS (SELECT ceil({url_rules.MIN_SUPPORT} * count(*)) AS c, count(*) AS n FROM tok WHERE rv IS NOT NULL),
 ante AS (SELECT a, count(*) AS n FROM sets GROUP BY a),
 both_ AS (SELECT a, rv, count(*) AS n FROM sets GROUP BY a, rv),
 rules AS (

@@ -52,6 +52,26 @@ def test_odd_urls(spark, sql):
     assert url_rules.filter_urls(pages.filter("page_id < 0")).count() == 0
 
 
+def test_rules_on_any_label_and_segment(spark):
+    from barsmith.llm import url_rules
+    curated = (("bad.org", "/", "block"), ("good.org", "/", "allow"))
+    urls = [f"http://a{i}.b.c.bad.org/x{i}/casino/win/y/z.html" for i in range(20)] + [f"http://a{i}.b.d.good.org/x{i}/news/y/z.html" for i in range(20)]
+    new = ["http://q.r.s.t.info/u/v/w/casino/k", "http://q.r.s.t.info/u/news/w/v/k", "http://c.q.info/", "http://d.q.info/", "http://q.info/" + "casinos/" * 9]
+    pages = spark.createDataFrame(list(enumerate(urls + new)), "page_id long, url string")
+    judged = url_rules.judged_pages(pages, curated)
+    sets = url_rules.token_sets(judged)
+    kinds = {r.tokens: r.items for r in sets.filter("array_contains(tokens, 'label=q')").selectExpr("array_join(tokens, ' ') tokens", "items").collect()}
+    assert all("label=t" in t for t in kinds if "label=s" in t) and len(kinds) == 5
+    # Tokens of the very same pages are one item, so a long shared path does not multiply the itemsets.
+    assert {i for r in sets.collect() for i in r["items"] if i.endswith(("bad", "casino", "win"))} == {"label=bad"}
+    rules = {tuple(r.antecedent): (r.verdict, r.confidence) for r in url_rules.mine_rules(judged, sets).collect()}
+    assert rules[("label=bad",)] == ("block", 1.0) and rules[("label=d",)] == ("allow", 1.0) and ("last=z.html",) not in rules
+    got = {r.page_id: r.verdict for r in url_rules.filter_urls(pages, curated).collect()}
+    assert [got[40 + i] for i in range(5)] == ["block", "allow", "block", "allow", "allow"]
+    again = {r.page_id: r.verdict for r in url_rules.filter_urls(pages.unionByName(pages.limit(0)), curated, min_support=1.0).collect()}
+    assert set(again[40 + i] for i in range(5)) == {"allow"}
+
+
 def test_chats_by_hand(spark):
     from barsmith.llm.chat import format_chats
     turns = [(1, 0, "user", "a"), (1, 1, "assistant", "b"), (2, 0, "user", "a"), (3, 0, "user", "a"), (3, 1, "assistant", "b"),
