@@ -2,11 +2,12 @@
 
 A tokenizer feeds a tree builder that supplies the tags authors leave out (a paragraph ends before a block, a list item
 before the next, a cell before the next cell or row), closes what an end tag crosses, and ignores end tags of nothing. Elements that
-a browser does not show - head, script, style, template and the like, an attribute `hidden`, display:none or visibility:hidden in
-a `style` attribute - give no text, nor do the parts of drawings and formulas that are not drawn (titles, definitions,
-annotations); all other text is emitted. Within svg and math a tag may close itself, and an HTML block ends the drawing. Rendering keeps the layout: blocks on lines of their own, paragraphs, headings, lists and
-tables with a blank line around them, list items with markers and indents, preformatted text as it is, and the cells of a
-table padded to columns.
+a browser does not show - head, script, style, template and the like, a closed dialog, an attribute `hidden` or display:none in a
+`style` attribute - give no text, nor do the parts of drawings and formulas that are not drawn (titles, definitions, annotations).
+visibility:hidden is inherited, and an element within may be visible again. All other text is emitted, that of closed `details` too, and
+so is what form controls show: the chosen option of a `select` (all options of a list box), values of buttons and text fields. Within svg and math a tag may close itself, and an HTML block ends the drawing. Rendering keeps the layout: blocks on lines of their own, paragraphs, headings, lists and
+tables with a blank line around them, list items with markers (`start`, `value` and `reversed` count) and indents, preformatted text as
+it is, and the cells of a table padded to columns, spans over columns and rows included.
 
 Defined cases: null and empty pages give the empty string; a page that ends within a tag or comment ends there; any nesting depth
 is taken, as nothing recurses; repeated rows are pages of their own; an empty table gives an empty result; extra columns are
@@ -14,6 +15,7 @@ ignored.
 """
 
 import re
+from heapq import heappop, heappush
 from html import unescape
 
 import pyarrow as pa
@@ -25,7 +27,7 @@ RENDERED = "page_id long, text string, n_lines long, n_tables long"
 # Fixed values of the HTML standard.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style xmp iframe noembed noframes textarea title".split())
-UNSEEN = frozenset("head title script style template noscript iframe object video audio canvas datalist select "
+UNSEEN = frozenset("head title script style template noscript iframe object video audio canvas datalist "
                    "noembed noframes area base link meta param source track".split())
 UNDRAWN = frozenset("title desc metadata defs symbol clippath mask pattern marker filter lineargradient radialgradient style "
                     "script annotation annotation-xml mphantom".split())  # in svg and math
@@ -50,7 +52,9 @@ TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+(?:
                    r"<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)(?:>|\Z)", re.S)
 ATTRIBUTE = re.compile(r"([^\s/>][^\s/>=]*+)(?:\s*+=\s*+(\"[^\"]*+\"|'[^']*+'|[^\s>]*+))?")
 CSS = re.compile(r"/\*.*?(?:\*/|\Z)|\"(?:[^\"\\]|\\.)*+(?:\"|\Z)|'(?:[^'\\]|\\.)*+(?:'|\Z)|\([^)]*+(?:\)|\Z)", re.S)
-COLSPAN = re.compile(r"\s*(\d{1,4})")
+SPAN = re.compile(r"\s*(\d{1,9})")
+MOST_COLUMNS, MOST_ROWS = 1000, 65534  # that one cell spans, in browsers
+VALUE_SHOWN = frozenset("submit button reset text search email url tel number date time month week datetime-local".split())  # types of input
 START = re.compile(r"\s*(-?\d{1,9})")
 BLANKS = re.compile(r"[ \t\n\r\f]+")
 
@@ -65,10 +69,8 @@ def attributes_of(raw: str) -> dict[str, str]:
     return found
 
 
-def hides_by(attributes: dict[str, str]) -> bool:
-    """Whether there is an attribute `hidden`, or the style's last word on display or visibility hides."""
-    if "hidden" in attributes:
-        return True
+def styled(attributes: dict[str, str]) -> tuple[bool, bool | None]:
+    """Whether an attribute `hidden` or the style's last word on display hides; what its last word on visibility says, if any."""
     said: dict[str, tuple[bool, str]] = {}
     for declaration in CSS.sub(" ", attributes.get("style", "")).split(";"):
         name, _, value = declaration.lower().partition(":")
@@ -76,7 +78,8 @@ def hides_by(attributes: dict[str, str]) -> bool:
         important, name = flag.strip() == "important", name.strip()
         if value.strip() and (important or not said.get(name, (False,))[0]):
             said[name] = important, value.strip()
-    return said.get("display", (0, ""))[1] == "none" or said.get("visibility", (0, ""))[1] == "hidden"
+    seen = {"visible": True, "hidden": False, "collapse": False}.get(said.get("visibility", (0, ""))[1])
+    return "hidden" in attributes or said.get("display", (0, ""))[1] == "none", seen
 
 
 class Flow:
@@ -125,41 +128,90 @@ class Flow:
 
 
 class Table:
-    """Rows of (cell lines, columns it spans)."""
+    """Rows of (cell lines, columns and rows it spans; 0 rows: to the end of its group), and where groups of rows begin."""
 
     def __init__(self):
-        self.rows: list[list[tuple[list[str], int]]] = []
+        self.rows: list[list[tuple[list[str], int, int]]] = []
+        self.groups: list[int] = []
+
+    def placed(self) -> list[list[tuple[int, int, int, list[str]]]]:
+        """Per row, by column: (first column, columns, rows, lines) of its cells; columns that a cell above still covers are taken."""
+        taken: dict[int, int] = {}  # column: the row that is free again
+        ends = [g for g in sorted({*self.groups, len(self.rows)}) if g]
+        out, group = [], 0
+        for r, row in enumerate(self.rows):
+            while ends[group] <= r:
+                group += 1
+            at, cells = 0, []
+            for lines, columns, rows in row:
+                while taken.get(at, 0) > r:
+                    at += 1
+                rows = min(rows or MOST_ROWS, ends[group] - r)
+                if rows > 1:
+                    taken.update(dict.fromkeys(range(at, at + columns), r + rows))
+                cells.append((at, columns, rows, lines))
+                at += columns
+            out.append(cells)
+        return out
 
     def lines(self) -> list[str]:
-        width: dict[int, int] = {}
-        for row in self.rows:
-            at = 0
-            for cell, span in row:
-                if span == 1 and cell:
-                    width[at] = max(width.get(at, 0), max(map(len, cell)))
-                at += span
-        out = []
-        for row in self.rows:
-            for i in range(max((len(c) for c, _ in row), default=0)):
-                line, at = "", 0
-                for cell, span in row:
-                    room = sum(width.get(at + k, 0) for k in range(min(span, len(width)))) + 2 * (min(span, max(len(width), 1)) - 1)
-                    line += (cell[i] if i < len(cell) else "").ljust(room) + "  "
-                    at += span
+        rows = self.placed()
+        left = self.edges([cell for row in rows for cell in row])
+        out, below = [], []  # below: cells with lines left over for the next rows
+        for row in rows:
+            cells = sorted([*below, *([at, n, lines] for at, _, n, lines in row if lines)], key=lambda c: c[0])
+            height = max((len(lines) for _, n, lines in cells if n == 1), default=0)
+            for i in range(height):
+                line = ""
+                for at, _, lines in cells:
+                    if i < len(lines):
+                        line = line.ljust(left[at]) + lines[i]
                 out.append(line.rstrip())
+            below = [[at, n - 1, lines[height:]] for at, n, lines in cells if len(lines) > height]
         return out
 
+    @staticmethod
+    def edges(cells: list[tuple[int, int, int, list[str]]]) -> dict[int, int]:
+        """Where each column that holds a cell's left edge begins: two places beyond the text of all cells that end before it."""
+        starts, ended, edge, left = {}, [], 0, {}
+        for at, columns, _, lines in cells:
+            starts.setdefault(at, []).append((columns, max(map(len, lines), default=0)))
+        for at in sorted(starts):
+            while ended and ended[0][0] <= at:
+                edge = max(edge, heappop(ended)[1])
+            left[at] = edge
+            for columns, width in starts[at]:
+                heappush(ended, (at + columns, edge + width + 2))
+        return left
+
+
+class Select:
+    """What a drop-down list shows: the last option marked `selected`, else the first that is not disabled."""
+
+    def __init__(self, listbox: bool):
+        self.listbox, self.off, self.shown, self.rank = listbox, False, "", 0
+
+    def offer(self, text: str, given: dict[str, str]) -> None:
+        rank = 2 if "selected" in given else 0 if self.off or "disabled" in given else 1
+        if rank == 2 or rank > self.rank:
+            self.shown, self.rank = text, rank
+
 
 class Renderer:
     """Builds the open elements of a page and renders as they open and close."""
 
-    def __init__(self):
-        self.open: list[tuple[str, bool]] = []  # name, whether it hides
+    def __init__(self, items: list[int] | None = None):
+        self.open: list[tuple[str, bool, bool]] = []  # name, whether it hides, whether text around it is visible
+        self.visible = True
+        self.items, self.counted, self.numbered = items, [], []  # of each numbered list: items known before, found now; those open
+        self.backwards = False
+        self.selects: list[Select] = []
+        self.options: list[dict[str, str]] = []
         self.names: dict[str, int] = {}  # of open elements
         self.worlds: list[tuple[int, bool]] = []  # depth of svg, math and HTML within them, whether it draws
         self.hidden = self.pre = self.tables = 0
         self.flows, self.grids = [Flow()], []
-        self.counters: list[int | None] = []
+        self.counters: list[list[int] | None] = []  # next number and step of open lists
 
     def drawing(self) -> bool:
         """Whether the innermost element belongs to svg or math."""
@@ -170,17 +222,23 @@ class Renderer:
         if raw.endswith("/") and not any(value.endswith("/") for _, value in ATTRIBUTE.findall(raw)[-1:]):
             return
         given = attributes_of(raw) if raw else {}
-        hides = (name in UNDRAWN or hides_by(given) or given.get("display", "").strip().lower() == "none"
-                 or given.get("visibility", "").strip().lower() == "hidden")
+        hides, seen = styled(given)
+        hides = hides or name in UNDRAWN or given.get("display", "").strip().lower() == "none"
+        if seen is None:
+            seen = {"visible": True, "hidden": False, "collapse": False}.get(given.get("visibility", "").strip().lower())
         self.part()
         if name in ("svg", "math") or name in HTML_WITHIN:
             self.worlds.append((len(self.open), name not in HTML_WITHIN))
-        self.open.append((name, hides))
-        self.names[name] = self.names.get(name, 0) + 1
-        self.hidden += hides
+        self.push(name, hides, seen)
         if name == "text" and not self.hidden:
             self.flows[-1].block(False)
 
+    def push(self, name: str, hides: bool, seen: bool | None) -> None:
+        self.open.append((name, hides, self.visible))
+        self.names[name] = self.names.get(name, 0) + 1
+        self.hidden += hides
+        self.visible = self.visible if seen is None else seen
+
     def part(self) -> None:
         """Parts of fractions and rows of matrices stand apart."""
         if self.drawing() and self.open[-1][0] in APART_IN_MATH and not self.hidden:
@@ -214,41 +272,79 @@ class Renderer:
                     flow.end_line(keep=bool(not flow.now and flow.lines and self.pre))
                 elif name == "hr":
                     flow.block(True)
+                elif name == "input":
+                    self.show_value(attributes_of(attributes))
             return
         given = attributes_of(attributes) if attributes else {}
-        hides = name in UNSEEN or hides_by(given)
-        self.open.append((name, hides))
-        self.names[name] = self.names.get(name, 0) + 1
-        self.hidden += hides
+        hides, seen = styled(given)
+        self.push(name, hides or name in UNSEEN or (name == "dialog" and "open" not in given), seen)
         if self.hidden:
             return
+        if name == "select":
+            size = SPAN.match(given.get("size", ""))
+            self.selects.append(Select("multiple" in given or bool(size and int(size[1]) > 1)))
+        elif name == "optgroup" and self.selects:
+            self.selects[-1].off = "disabled" in given
+            if self.selects[-1].listbox and given.get("label"):
+                flow.block(False)
+                self.write(given["label"])
+                flow.block(False)
+        elif name == "option" and self.selects and not self.selects[-1].listbox:
+            self.flows.append(Flow())
+            self.options.append(given)
+            return
         if name in BLOCK:
             flow.block(name in APART and not (name in ("ul", "ol") and self.names.get("li")))
         if name == "pre":
             self.pre += 1
         elif name in ("ul", "ol", "menu"):
-            begin = START.match(given.get("start", ""))
-            self.counters.append((int(begin[1]) if begin else 1) if name == "ol" else None)
+            self.counters.append(self.numbers(given) if name == "ol" else None)
         elif name == "li":
-            number = self.counters[-1] if self.counters else None
-            flow.marker = "- " if number is None else f"{number}. "
-            if number is not None:
-                self.counters[-1] += 1
-            flow.indent.append(" " * len(flow.marker))
+            count = self.counters[-1] if self.counters else None
+            marker = "- "
+            if count is not None:
+                own = START.match(given.get("value", ""))
+                marker = f"{int(own[1]) if own else count[0]}. "
+                count[0] = (int(own[1]) if own else count[0]) + count[1]
+                self.counted[self.numbered[-1]] += 1
+            flow.marker = marker if self.visible else ""
+            flow.indent.append(" " * len(marker))
         elif name == "dd" or name == "blockquote":
             flow.indent.append("  ")
         elif name == "table":
             self.grids.append(Table())
-            self.tables += 1
+            self.tables += self.visible
+        elif name in ("thead", "tbody", "tfoot") and self.grids:
+            self.grids[-1].groups.append(len(self.grids[-1].rows))
         elif name == "tr" and self.grids:
             self.grids[-1].rows.append([])
         elif name in ("td", "th") and self.grids:
-            span = COLSPAN.match(given.get("colspan", ""))
+            columns, rows = SPAN.match(given.get("colspan", "")), SPAN.match(given.get("rowspan", ""))
             if not self.grids[-1].rows:
                 self.grids[-1].rows.append([])
-            self.grids[-1].rows[-1].append(([], max(int(span[1]), 1) if span else 1))
+            self.grids[-1].rows[-1].append(([], min(max(int(columns[1]), 1), MOST_COLUMNS) if columns else 1,
+                                            min(int(rows[1]), MOST_ROWS) if rows else 1))
             self.flows.append(Flow())
 
+    def numbers(self, given: dict[str, str]) -> list[int]:
+        """First number and step of a list; a reversed one begins at the number of its items, known from a rendering before."""
+        self.numbered.append(len(self.counted))
+        self.counted.append(0)
+        begin, back = START.match(given.get("start", "")), "reversed" in given
+        self.backwards = self.backwards or (back and not begin)
+        first = int(begin[1]) if begin else self.items[self.numbered[-1]] if back and self.items else 1
+        return [first, -1 if back else 1]
+
+    def show_value(self, given: dict[str, str]) -> None:
+        """A button's label, or what stands in a text field."""
+        hides, seen = styled(given)
+        if not hides and (self.visible if seen is None else seen) and given.get("type", "text").strip().lower() in VALUE_SHOWN:
+            self.flows[-1].text(given.get("value", ""))
+
+    def write(self, text: str) -> None:
+        if self.visible:
+            self.flows[-1].text(text)
+
     def end(self, name: str) -> None:
         if name == "br":
             self.start("br", "")
@@ -272,7 +368,8 @@ class Renderer:
                 return
 
     def close_last(self) -> None:
-        name, hides = self.open.pop()
+        name, hides, around = self.open.pop()
+        visible, self.visible = self.visible, around
         self.names[name] -= 1
         if self.worlds and self.worlds[-1][0] == len(self.open):
             self.worlds.pop()
@@ -286,6 +383,19 @@ class Renderer:
                 flow.block(False)
             elif name in APART_IN_MATH:
                 flow.text(" ")
+        elif name == "option" and self.options and not self.selects[-1].listbox:
+            flow.block(False)
+            self.flows.pop()
+            given = self.options.pop()
+            self.selects[-1].offer(given.get("label") or " ".join(x.strip() for x in flow.lines if x), given)
+        elif name == "optgroup" and self.selects:
+            self.selects[-1].off = False
+        elif name == "select" and self.selects:
+            chosen = self.selects.pop()
+            if chosen.listbox:
+                flow.block(False)
+            elif visible:
+                flow.text(chosen.shown)
         elif name in ("td", "th") and self.grids and len(self.flows) > 1:
             flow.block(False)
             self.flows.pop()
@@ -304,13 +414,16 @@ class Renderer:
             if name in ("li", "dd", "blockquote") and flow.indent:
                 flow.indent.pop()
             elif name in ("ul", "ol", "menu") and self.counters:
-                self.counters.pop()
+                if self.counters.pop() is not None:
+                    self.numbered.pop()
             elif name == "pre":
                 self.pre -= 1
 
     def text(self, raw: str) -> None:
-        if self.hidden or not raw:
+        if self.hidden or not self.visible or not raw:
             return
+        if self.selects and not self.selects[-1].listbox and not self.options:
+            return  # straight in a drop-down list
         text = unescape(raw) if "&" in raw else raw
         flow = self.flows[-1]
         if self.grids and len(self.flows) <= len(self.grids) and not self.names.get("caption"):
@@ -331,8 +444,15 @@ class Renderer:
 
 
 def render(html: str | None) -> tuple[str, int]:
-    """(text, number of tables shown)."""
-    page, at, n = Renderer(), 0, len(html or "")
+    """(text, number of tables shown). A page with a reversed list of no stated start is gone through twice, first to count items."""
+    page = rendered(html, None)
+    if page.backwards:
+        page = rendered(html, page.counted)
+    return page.finish(), page.tables
+
+
+def rendered(html: str | None, items: list[int] | None) -> Renderer:
+    page, at, n = Renderer(items), 0, len(html or "")
     while at < n:
         m = TOKEN.search(html, at)
         if not m:
@@ -354,7 +474,7 @@ def render(html: str | None) -> tuple[str, int]:
             stop = close.start() if close else n
             page.text(html[at:stop])
             at = stop
-    return page.finish(), page.tables
+    return page
 
 
 def extract(pages: DataFrame) -> DataFrame:
