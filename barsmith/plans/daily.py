@@ -1,11 +1,12 @@
 """Daily ingest with split check, rollup of hourly candles, and daily reloads."""
 
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from barsmith import changes, fixed, schemas, tables
+from barsmith import changes, fixed, schemas, snapshots, tables
 from barsmith.functions import columns as fn
 from barsmith.operators import coverage, mutate, rollup, splits
 from barsmith.operators.joins import only, without
@@ -20,6 +21,13 @@ def _scrip_list(df: DataFrame) -> list[str]:
     return sorted(r[0] for r in df.select("scrip").distinct().collect())
 
 
+def _opened(spark: SparkSession, settings: Settings) -> Settings:
+    """The settings with the table that holds the daily rows, made if need be: of a view over snapshots the current one."""
+    make = snapshots.ensure if settings.snapshots else tables.ensure_table
+    make(spark, settings.daily_table, schemas.DAILY, buckets=settings.buckets, cluster=["scrip"])
+    return replace(settings, daily_table=snapshots.stored(spark, settings.daily_table))
+
+
 def _fetched(responses: DataFrame, label: str) -> tuple[DataFrame, int]:
     """Staged daily candles, and how many were rejected: no readable timestamp, or no part of the row id."""
     good, bad = fn.split_rejects(stage(landed.daily_candles(responses), label), "trade_date", "scrip", "exchange", "security_id")
@@ -72,7 +80,7 @@ def run_daily(spark: SparkSession, settings: Settings, responses: DataFrame,
     """
     settings.check("daily")
     configure(spark)
-    tables.ensure_table(spark, settings.daily_table, schemas.DAILY, buckets=settings.buckets, cluster=["scrip"])
+    settings = _opened(spark, settings)
     if mapping is not None:
         responses = only(responses, mapping)
     fetched, rejected = _fetched(responses, "fetched")
@@ -108,8 +116,7 @@ def run_daily_from_hourly(spark: SparkSession, settings: Settings, responses: Da
     """
     settings.check("daily")
     configure(spark)
-    name, start = settings.daily_table, fn.to_date_arg(start_date)
-    tables.ensure_table(spark, name, schemas.DAILY, buckets=settings.buckets, cluster=["scrip"])
+    table, name, start = settings.daily_table, _opened(spark, settings).daily_table, fn.to_date_arg(start_date)
     if interval is not None:
         responses = responses.where(F.col("interval_m") == interval)
     elif responses.select("interval_m").distinct().count() > 1:
@@ -127,22 +134,21 @@ def run_daily_from_hourly(spark: SparkSession, settings: Settings, responses: Da
     if clear_old_temp:
         tables.delete_temp(spark, name, before=start)
     return {"fetched": candles.count(), "uploaded": uploaded, "failed": failed, "failed_windows": windows,
-            "rejected": unread.count(), "table": name,
+            "rejected": unread.count(), "table": table,
             "check": coverage.rows_per_date(spark.table(name), mutate.is_temp())}
 
 
 def run_lifetime_reload(spark: SparkSession, settings: Settings, responses: DataFrame | None,
                         clear_temp: bool = True, dry_run: bool = False) -> dict:
-    """Replace the whole daily table by re-fetched history, in one write.
+    """Replace the whole daily table by re-fetched history, in one write, or by a new snapshot of a table that has them.
 
     A fetch without rows leaves the history as it is. A dry run needs no responses.
     """
     settings.check("daily")
     configure(spark)
-    name = settings.daily_table
-    tables.ensure_table(spark, name, schemas.DAILY, buckets=settings.buckets, cluster=["scrip"])
+    table, name = settings.daily_table, _opened(spark, settings).daily_table
     stored = changes.current(spark, name)
-    report = {"mode": "lifetime", "table": name, "dry_run": dry_run, "flagged": []}
+    report = {"mode": "lifetime", "table": table, "dry_run": dry_run, "flagged": []}
     if dry_run:
         plan = coverage.plan_line(stored, "delete", "all")
         if clear_temp:
@@ -153,7 +159,7 @@ def run_lifetime_reload(spark: SparkSession, settings: Settings, responses: Data
     uploaded = source.count()
     changes.fold_all(spark, name)
     if uploaded:
-        tables.replace(source, name)
+        snapshots.replace(source, table)
     elif clear_temp:
         tables.delete_temp(spark, name)
     return {**report, "fetched": fetched.count(), "uploaded": uploaded, "rejected": rejected,
@@ -173,14 +179,14 @@ def run_range_reload(spark: SparkSession, settings: Settings, responses: DataFra
     """
     settings.check("daily")
     configure(spark)
+    table, settings = settings.daily_table, _opened(spark, settings)
     name, start, end = settings.daily_table, fn.to_date_arg(from_date), fn.to_date_arg(to_date)
-    tables.ensure_table(spark, name, schemas.DAILY, buckets=settings.buckets, cluster=["scrip"])
     if not dry_run:
         changes.fold_all(spark, name)
     stored = changes.current(spark, name)
     fetched, rejected = _fetched(responses, "fetched")
     failed = _scrip_list(landed.failed_scrips(responses))
-    report = {"mode": "range", "table": name, "dry_run": dry_run, "fetched": fetched.count(),
+    report = {"mode": "range", "table": table, "dry_run": dry_run, "fetched": fetched.count(),
               "rejected": rejected, "failed": failed, "flagged": [], "need_lifetime": [], "uploaded_range": 0,
               "uploaded_lifetime": 0, "uploaded": 0, "check_date": None}
     if not report["fetched"]:

@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from barsmith import fixed, schemas, tables
+from barsmith import fixed, schemas, snapshots, tables
 from barsmith.functions import columns as fn
 from barsmith.operators import coverage, joins
 from barsmith.session import configure, stage
@@ -54,10 +54,10 @@ def run_instrument_master(spark: SparkSession, settings: Settings, path: str, se
     settings.check("instruments")
     configure(spark)
     name = settings.instrument_table
-    tables.ensure_table(spark, name, schemas.INSTRUMENTS, partition=None)
+    (snapshots.ensure if settings.snapshots else tables.ensure_table)(spark, name, schemas.INSTRUMENTS, partition=None)
     kept = landed_files.traded(segments, instruments, types)
     master = landed_files.instrument_master(spark, path)
     filtered = stage(landed_files.with_category_text(master.where(kept)), "instruments")
-    tables.replace(filtered, name)
+    snapshots.replace(filtered, name)
     return {"loaded": filtered.count(), "table": name,
             "counts": coverage.value_counts(master, "EXCH_ID", kept)}

@@ -3,7 +3,7 @@ the table it leaves, or its report."""
 
 from pyspark.sql import DataFrame, functions as F
 
-from barsmith import changes, commits, fixed, schemas, tables
+from barsmith import changes, commits, fixed, schemas, snapshots, tables
 from barsmith.functions import columns as fn
 from barsmith.operators import calendars, coverage, rollup
 from barsmith.plans import daily, intraday, options, reference
@@ -128,6 +128,34 @@ def run_lifetime_reload(spark, sf_dir):
     return tables.read(spark, settings.daily_table)
 
 
+@query("snk2_snapshot_swap", f"""WITH {v.TICKS}, {v.BARS}, {v.STORED},
+last AS (SELECT max(trade_date) AS d FROM bars)
+SELECT 'reader before' AS seen, {m.ROW}, {v.ID} AS row_id FROM stored
+UNION ALL SELECT 'after', {m.ROW}, {v.ID} FROM bars
+UNION ALL SELECT 'pointed back', {m.ROW}, {v.ID} FROM stored WHERE trade_date < (SELECT d FROM last)""")
+def snapshot_swap(spark, sf_dir):
+    """A lifetime reload of a table with snapshots: a reader opened before it ends on the old rows, a later one sees the new ones, and
+    pointed back the view shows the stored rows again (those before the last date: the copy is one of its own)."""
+    settings, again = [Settings(daily_table=scratch(spark, "t").rsplit("/", 1)[1].replace("-", "_"), snapshots=True, buckets=4) for _ in "ab"]
+    known = v.with_id(v.stored(spark, sf_dir)).select(*schemas.DAILY_COLUMNS)
+    landed = _bar_responses(spark, sf_dir)
+    for s in (settings, again):
+        snapshots.ensure(spark, s.daily_table, schemas.DAILY, buckets=4, cluster=["scrip"])
+        tables.append(known, snapshots.stored(spark, s.daily_table))
+    before = spark.table(settings.daily_table)
+    for s in (settings, again):
+        daily.run_daily_reload(spark, s, landed, "lifetime")
+    snapshots.point(spark, again.daily_table, 1)
+    last = v.bars(spark, sf_dir).agg(F.max("trade_date")).first()[0]
+    seen = {"reader before": before, "after": spark.table(settings.daily_table),
+            "pointed back": spark.table(again.daily_table).where(F.col("trade_date") < F.lit(last))}
+    found = None
+    for label, rows in seen.items():
+        rows = rows.select(F.lit(label).alias("seen"), *schemas.DAILY_COLUMNS)
+        found = rows if found is None else found.unionByName(rows)
+    return found
+
+
 @query("job4_run_range_reload", f"""WITH {m._RELOAD}
 SELECT {m.ROW}, {v.ID} AS row_id FROM old WHERE NOT {m.IN_RANGE} AND exchange <> 'TEMP' AND scrip NOT IN (SELECT scrip FROM flagged)
 UNION ALL SELECT {m.ROW}, {v.ID} FROM clean UNION ALL SELECT {m.ROW}, {v.ID} FROM again""")
