@@ -1,6 +1,6 @@
 """Interpolated modified Kneser-Ney n-gram model: counted in Spark, stored as sorted hash arrays, memory-mapped to score.
 
-Words are 40-bit hashes. A task counts the n-grams of a few million tokens with numpy and sends one packed, sorted block per
+Words are 64-bit hashes where they are counted alone (known words, vocabulary, base score), and 40-bit ones within n-grams. A task counts the n-grams of a few million tokens with numpy and sends one packed, sorted block per
 shard (shards are ranges of the context's hash), so a frequent n-gram costs one entry per task. A shard's task merges its
 blocks, writes the order's sorted arrays to the shared folder - n-gram hash and count; context hash, total and the numbers
 of followers seen once, twice and more - and passes on, per distinct n-gram, one count for the n-gram without its first
@@ -32,6 +32,7 @@ from barsmith.session import scratch
 
 ORDER = 2
 START, END, ID_BITS = 0, 1, 40
+COUNT_BYTES = 5
 FLUSH_TOKENS = 1_000_000
 SHARD_BYTES, MAX_SHARDS = 16 << 20, 4096
 BLOCKS = "level int, shard int, block binary"
@@ -40,18 +41,29 @@ RAW, STATS = 0, -1
 _STEP = np.uint64(0xD1342543DE82EF95)
 
 
+def word_bytes(level: int) -> int:
+    """Bytes of a word's hash: all eight where words alone are counted, five within n-grams."""
+    return 8 if level == RAW else ID_BITS // 8
+
+
 def sequences(data: np.ndarray, offsets: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray]:
     """Word ids of the rows, each padded by order-1 starts and closed by an end; and where each row's words begin."""
+    seq, begin, _ = with_words(data, offsets, order)
+    return seq, begin
+
+
+def with_words(data: np.ndarray, offsets: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """`sequences`, and the 64-bit hashes of all words and ends, without the starts."""
     hashed, first = words(data, offsets)
-    ids = hashed >> np.uint64(64 - ID_BITS)
-    ids[ids <= END] += np.uint64(2)
     pad = order - 1
     rows = np.arange(len(first) - 1)
     begin = first[:-1] + rows * (pad + 1) + pad
-    out = np.full(len(ids) + len(rows) * (pad + 1), START, np.uint64)
-    out[np.arange(len(ids)) + np.repeat(rows, np.diff(first)) * (pad + 1) + pad] = ids
-    out[begin + np.diff(first)] = END
-    return out, begin
+    whole = np.full(len(hashed) + len(rows) * (pad + 1), START, np.uint64)
+    whole[np.arange(len(hashed)) + np.repeat(rows, np.diff(first)) * (pad + 1) + pad] = np.maximum(hashed, np.uint64(END + 1))
+    seq = np.maximum(whole >> np.uint64(64 - ID_BITS), np.uint64(END + 1))
+    seq[whole == START] = START
+    seq[begin + np.diff(first)] = whole[begin + np.diff(first)] = END
+    return seq, begin, whole[whole != START]
 
 
 def grams(seq: np.ndarray, begin: np.ndarray, order: int) -> tuple[list[np.ndarray], np.ndarray]:
@@ -76,10 +88,10 @@ def gram_keys(context: np.ndarray, word: np.ndarray, bits: int) -> np.ndarray:
     return low if bits == 0 else (context >> np.uint64(64 - bits) << np.uint64(64 - bits)) | low
 
 
-def shard_of(columns: list[np.ndarray], bits: int) -> np.ndarray:
+def shard_of(columns: list[np.ndarray], bits: int, level: int) -> np.ndarray:
     """The top bits of the context's hash, or of a single word's id, so that sorted keys are sorted by shard too."""
     if len(columns) == 1:
-        return (columns[0] >> np.uint64(ID_BITS - bits)).astype(np.int64)
+        return (columns[0] >> np.uint64(8 * word_bytes(level) - bits)).astype(np.int64)
     return top_bits(context_hash(columns[:-1]), bits)
 
 
@@ -102,44 +114,46 @@ def summed(columns: list[np.ndarray], counts: np.ndarray) -> tuple[list[np.ndarr
 def blocks(level: int, columns: list[np.ndarray], counts: np.ndarray, bits: int):
     """One packed block per shard: the words' byte planes, then the counts'."""
     columns, counts = summed(columns, counts)
-    shard = shard_of(columns, bits)
+    shard = shard_of(columns, bits, level)
     order = np.argsort(shard, kind="stable")
     cuts = np.searchsorted(shard[order], np.arange((1 << bits) + 1))
     found = np.flatnonzero(np.diff(cuts))
     packed = []
     for s in found:
         at = order[cuts[s]:cuts[s + 1]]
-        packed.append(b"".join([*(planes(c[at], 5) for c in columns), planes(counts[at], 5)]))
+        packed.append(b"".join([*(planes(c[at], word_bytes(level)) for c in columns), planes(counts[at], COUNT_BYTES)]))
     yield pa.RecordBatch.from_arrays([pa.array([level] * len(found), pa.int32()), pa.array(found, pa.int32()),
                                       pa.array(packed, pa.binary())], names=["level", "shard", "block"])
 
 
 def unpack(block: bytes, level: int) -> tuple[list[np.ndarray], np.ndarray]:
-    n = len(block) // (5 * (level + 1))
-    parts = [from_planes(block[i * 5 * n:(i + 1) * 5 * n], 5) for i in range(level + 1)]
-    return parts[:-1], parts[-1]
+    wide = word_bytes(level)
+    n = len(block) // (wide * max(level, 1) + COUNT_BYTES)
+    cuts = [i * wide * n for i in range(max(level, 1) + 1)]
+    return [from_planes(block[lo:hi], wide) for lo, hi in zip(cuts, cuts[1:])], from_planes(block[cuts[-1]:], COUNT_BYTES)
 
 
 def count_batches(batches, order: int, bits: int):
-    held, size = [], 0
+    held, alone, size = [], [], 0
 
     def flush():
         columns = [np.concatenate([h[i] for h in held]) for i in range(order)]
         ones = np.ones(len(columns[0]), np.uint64)
         yield from blocks(order, columns, ones, bits)
-        yield from blocks(RAW, columns[-1:], ones, bits)
+        yield from blocks(RAW, [np.concatenate(alone)], ones, bits)
 
     for b in batches:
         for _, _, data, offsets in text_slices(b.column(0)):
-            seq, begin = sequences(data, offsets, order)
+            seq, begin, single = with_words(data, offsets, order)
             held.append(grams(seq, begin, order)[0])
+            alone.append(single)
             size += len(held[-1][0])
             if size >= FLUSH_TOKENS:
                 yield from flush()
-                held, size = [], 0
+                held, alone, size = [], [], 0
     if held:
         yield from flush()
-    del held
+    del held, alone
     release()
 
 
@@ -173,7 +187,7 @@ def reduce_shard(key, table: pa.Table, order: int, bits: int, uri: str) -> pa.Ta
     if level == STATS:
         return table
     width = max(level, 1)
-    parts = [unpack(b.as_py(), width) for b in table.column("block")]
+    parts = [unpack(b.as_py(), level) for b in table.column("block")]
     columns, counts = summed([np.concatenate([p[0][i] for p in parts]) for i in range(width)],
                              np.concatenate([p[1] for p in parts]))
     store, out = Store(uri), []
@@ -264,7 +278,7 @@ class Model:
 
     def word_counts(self, level: int, ids: np.ndarray) -> np.ndarray:
         distinct, back = np.unique(ids, return_inverse=True)
-        return self.counts(level, distinct, shard_of([distinct], self.meta["bits"]))[back]
+        return self.counts(level, distinct, shard_of([distinct], self.meta["bits"], level))[back]
 
     def probabilities(self, columns: list[np.ndarray]) -> np.ndarray:
         """p(last column | the columns before it), interpolated over all orders."""
@@ -296,9 +310,9 @@ def score_batches(batches, meta: dict):
     try:
         for b in batches:
             for lo, hi, data, offsets in text_slices(b.column(2), 2 << 20):
-                seq, begin = sequences(data, offsets, meta["order"])
+                seq, begin, single = with_words(data, offsets, meta["order"])
                 columns, n = grams(seq, begin, meta["order"])
-                c = model.word_counts(RAW, columns[-1])
+                c = model.word_counts(RAW, single)
                 row = np.append(0, np.cumsum(n))[:-1]
                 sums = lambda x, row=row: np.add.reduceat(x, row)  # noqa: E731  every row has a token
                 yield pa.RecordBatch.from_arrays([

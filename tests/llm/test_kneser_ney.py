@@ -88,9 +88,53 @@ def test_probabilities_of_a_context_sum_to_one(spark):
         assert model.probabilities([np.full(len(every), context, np.uint64), every]).sum() == pytest.approx(1)
 
 
+def test_words_alone_are_told_apart_by_64_bits(monkeypatch):
+    """Two words whose hashes agree in their first 40 bits, a third that hashes to the mark of starts, and an end."""
+    hashes = np.array([(7 << 24) + 1, (7 << 24) + 2, 0, 5], np.uint64)
+    monkeypatch.setattr(kneser_ney, "words", lambda data, offsets: (hashes.copy(), np.array([0, 3, 4])))
+    batch = pa.RecordBatch.from_arrays([pa.array(["a b c", "d"])], names=["text"])
+    seq, begin, single = kneser_ney.with_words(None, None, 3)
+    assert seq.tolist() == [0, 0, 7, 7, 2, 1, 0, 0, 2, 1] and begin.tolist() == [2, 8]
+    assert single.tolist() == [(7 << 24) + 1, (7 << 24) + 2, 2, 1, 5, 1]
+    assert len(single) == len(kneser_ney.grams(seq, begin, 3)[0][0])
+    found = {}
+    for b in kneser_ney.count_batches([batch], 2, 1):
+        for level, block in zip(b.column(0).to_pylist(), b.column(2).to_pylist()):
+            columns, counts = kneser_ney.unpack(block, level)
+            found.setdefault(level, Counter()).update({tuple(int(c[i]) for c in columns): int(n) for i, n in enumerate(counts)})
+    assert found[kneser_ney.RAW] == {((7 << 24) + 1,): 1, ((7 << 24) + 2,): 1, (2,): 1, (1,): 2, (5,): 1}
+    assert found[2][(7, 7)] == 1 and sum(found[2].values()) == 6
+
+
 def test_nothing_to_learn_from(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert kneser_ney.score_documents(docs).count() == 0
     alone = spark.createDataFrame([(None, "a b")], "doc_id long, text string")  # crc32('') is 0: held out
     r = kneser_ney.score_documents(alone).first()
     assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens, r.score) == (True, 3, 0, 0, 0.0)
+
+
+def compare(scored, texts):
+    raw, p = brute_force([t for i, t in texts.items() if zlib.crc32(str(i).encode()) % 10], kneser_ney.ORDER)
+    n, v, seen = sum(raw.values()), len(raw), {}
+    assert {r.doc_id for r in scored} == texts.keys() and len(scored) == len(texts)
+    for r in scored:
+        ws = tokens(texts[r.doc_id])
+        pairs = list(zip(["<s>", *ws], ws))
+        seen.update({pair: math.log10(p(pair)) for pair in pairs if pair not in seen})
+        assert (r.n_tokens, r.n_known, r.train_tokens) == (len(ws), sum(raw[w] > 0 for w in ws), n)
+        assert r.base_score == pytest.approx(sum(math.log10((raw[w] + .1) / (n + .1 * (v + 1))) for w in ws))
+        assert r.score == pytest.approx(sum(seen[pair] for pair in pairs))
+
+
+def test_the_query_matches_a_textbook_model(spark):
+    from barsmith.llm.queries import QUERIES
+    sf = "/root/testdata/sf0.001"
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    compare(QUERIES["op4_kneser_ney"](spark, sf).collect(), texts)
+
+
+def test_a_very_long_text(spark):
+    texts = {1: " ".join(f"w{i * i % 7919}" for i in range(400_000)), 2: "w1 w4 w9", 3: "x" * 2_000_000, 5: ""}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    compare(kneser_ney.score_documents(docs).collect(), texts)
