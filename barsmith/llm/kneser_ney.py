@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from barsmith.llm.arrays import from_planes, mix, planes, release, text_slices, words
 from barsmith.session import scratch
 
-ORDER = 3
+ORDER = 2
 START, END, ID_BITS = 0, 1, 40
 COUNT_BYTES = 5
 FLUSH_TOKENS = 1_000_000
