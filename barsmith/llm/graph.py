@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barsmith.session import stage
+from barsmith.session import stage_freed
 
 
 def _star(edges: DataFrame, small: bool) -> DataFrame:
@@ -23,10 +23,10 @@ def _star(edges: DataFrame, small: bool) -> DataFrame:
 
 def components(edges: DataFrame, rounds: int = 50) -> DataFrame:
     """node, component (its least node) of every node of `edges` (a, b); written, so that later reads survive losses."""
-    edges = stage(edges.filter("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
+    edges = stage_freed(edges.filter("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
     digest = None
     for _ in range(rounds):
-        edges = stage(_star(_star(edges, small=False), small=True), "edges")
+        edges = stage_freed(_star(_star(edges, small=False), small=True), "edges")
         now = edges.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b")), F.bit_xor(F.xxhash64("b", "a"))).first()
         if now == digest:
             break

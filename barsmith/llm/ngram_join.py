@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from barsmith.llm.arrays import claim, delta_planes, from_delta_planes, from_planes, mix, planes, release, text_slices, words
 from barsmith.llm.graph import components
-from barsmith.session import stage
+from barsmith.session import stage_freed
 
 WIDTH, NUM, DEN = 5, 3, 4  # five words; similarity 3/4
 SEEDS, COMMON = 6, 0.002
@@ -236,8 +236,9 @@ def signature_blocks(docs: DataFrame, ends: list[int], often: np.ndarray, bits:
 
 
 def shared_signatures(blocks: DataFrame, bits: int) -> DataFrame:
-    """sign, doc_id: the signatures that two or more documents share. Where need is not null, sign is a slot of which the
-    document shares that many with any linked one."""
+    """sign, doc_id: the signatures that two or more documents share, by their number among the shard's (the low bits are still the slot):
+    numbers shrink in the shuffles to come, hashes do not. Where need is not null, sign is a slot of which the document shares that
+    many with any linked one."""
     def merge(key, table):
         if key[0].as_py() >= 1 << bits:
             blocks_ = [b.as_py() for b in table.column("block")]
@@ -255,7 +256,8 @@ def shared_signatures(blocks: DataFrame, bits: int) -> DataFrame:
         new = np.ones(len(sign) + 1, bool)
         new[1:-1] = sign[1:] != sign[:-1]
         several = ~(new[1:] & new[:-1])
-        return pa.table({"sign": sign[several].view(np.int64), "doc_id": doc[several].view(np.int64),
+        number = np.cumsum(new[:-1][several]) | key[0].as_py() << 40
+        return pa.table({"sign": number << 4 | (sign[several] & _U(15)).view(np.int64), "doc_id": doc[several].view(np.int64),
                          "need": pa.nulls(int(several.sum()), pa.int64())})
     return blocks.groupBy("shard").applyInArrow(merge, "sign long, doc_id long, need long")
 
@@ -335,13 +337,13 @@ def link_classes(busy: DataFrame, arrays: DataFrame) -> DataFrame:
     meets = busy.join(busy.groupBy("sign").agg(F.count("*").alias("size")), "sign").groupBy("class").agg(F.sum("size").alias("meets"))
     leads = busy.join(meets, "class").groupBy("sign").agg(F.max_by("class", F.struct("meets", F.bitwise_not("class"))).alias("lead"))
     votes = busy.join(leads, "sign").groupBy("class", "lead").agg(F.count("*").alias("votes"))
-    homes = stage(votes.groupBy("class").agg(F.max_by("lead", F.struct("votes", F.bitwise_not("lead"))).alias("home")), "homes")
+    homes = stage_freed(votes.groupBy("class").agg(F.max_by("lead", F.struct("votes", F.bitwise_not("lead"))).alias("home")), "homes")
     for _ in range(MOVES):  # then moves to the family that leads most of its signatures
         held = busy.select("sign", "class").join(homes, "class")
         ruling = held.groupBy("sign", "home").agg(F.count("*").alias("k")).groupBy("sign").agg(
             F.max_by("home", F.struct("k", F.bitwise_not("home"))).alias("ruler"), F.max("k").alias("k"))
         counted = held.join(ruling, "sign").groupBy("class", "ruler").agg(F.count("*").alias("votes"), F.max("k").alias("k"))
-        homes = stage(counted.groupBy("class").agg(F.max_by("ruler", F.struct("votes", "k", F.bitwise_not("ruler"))).alias("home")), "homes")
+        homes = stage_freed(counted.groupBy("class").agg(F.max_by("ruler", F.struct("votes", "k", F.bitwise_not("ruler"))).alias("home")), "homes")
     links = _products(homes, arrays)
 
     def still_apart(links, homes):
@@ -350,7 +352,7 @@ def link_classes(busy: DataFrame, arrays: DataFrame) -> DataFrame:
             "sign", "class", "n", "home", F.coalesce("component", "class").alias("component"))
         mixed = label.groupBy("sign").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.min("home").alias("h1"),
                                           F.max("home").alias("h2")).filter("lo < hi AND h1 < h2")
-        return stage(label.join(mixed, "sign", "left_semi"), "open")
+        return stage_freed(label.join(mixed, "sign", "left_semi"), "open")
 
     # Families that share very many signatures are compared as one.
     open_ = still_apart(links, homes)
@@ -361,13 +363,13 @@ def link_classes(busy: DataFrame, arrays: DataFrame) -> DataFrame:
     merged = open_.select("class", "home").distinct().join(
         groups.select(F.col("node").alias("home"), F.col("component").alias("group")), "home").select("class", F.col("group").alias("home"))
     links = links.unionAll(_products(merged, arrays))
-    homes = stage(homes.join(groups.select(F.col("node").alias("home"), F.col("component").alias("group")), "home", "left").select(
+    homes = stage_freed(homes.join(groups.select(F.col("node").alias("home"), F.col("component").alias("group")), "home", "left").select(
         "class", F.coalesce("group", "home").alias("home")), "homes")
     open_ = still_apart(links, homes)
     apart = open_.alias("x").join(open_.alias("y"), F.expr(
         f"x.sign = y.sign AND x.home < y.home AND x.component != y.component AND x.n * {DEN} >= y.n * {NUM} "
         f"AND y.n * {DEN} >= x.n * {NUM}")).select(F.col("x.class").alias("a"), F.col("y.class").alias("b")).distinct()
-    return links.unionAll(stage(linked(apart, arrays), "links"))
+    return links.unionAll(stage_freed(linked(apart, arrays), "links"))
 
 
 def _products(homes: DataFrame, arrays: DataFrame) -> DataFrame:
@@ -380,13 +382,13 @@ def _products(homes: DataFrame, arrays: DataFrame) -> DataFrame:
         F.least(i, F.col("own")).alias("i"), F.greatest(i, F.col("own")).alias("j")))
     dealt = members.join(spread, "home").withColumn("own", own).select("class", "home", F.explode(pairs).alias("part"))
     held = dealt.join(arrays.withColumnRenamed("doc_id", "class"), "class")
-    return stage(held.groupBy("home", "part").applyInArrow(_connect, "a long, b long"), "links")
+    return stage_freed(held.groupBy("home", "part").applyInArrow(_connect, "a long, b long"), "links")
 
 
 def row_components(docs: DataFrame) -> DataFrame:
     """doc_id, text_hash, n, component, component_id per row: component names the linked texts, null where n is 0; component_id is the
     least doc_id among their rows, null where they have none."""
-    described = stage(describe_sets(docs), "sets")
+    described = stage_freed(describe_sets(docs), "sets")
     sets = described.filter("common IS NULL")
     facts = sets.agg(F.count("*"), F.max("n"), F.sum("n")).first()
     rows, largest, total = facts[0], facts[1] or 0, facts[2] or 0
@@ -398,31 +400,31 @@ def row_components(docs: DataFrame) -> DataFrame:
     ends = bands(largest)
     key = ["n", "h1", "h2"]
     same = F.struct(*key)
-    several = stage(sets.filter("n > 0 AND doc_id IS NOT NULL").groupBy("doc_id").agg(
+    several = stage_freed(sets.filter("n > 0 AND doc_id IS NOT NULL").groupBy("doc_id").agg(
         F.min(same).alias("lo"), F.max(same).alias("hi")).filter("lo != hi").select("doc_id"), "several")
     texts = named(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), several).select(
         F.col("name").alias("doc_id"), "text")
     sets = named(sets, several).withColumn("name", F.coalesce("name", "h1"))
-    shared = stage(shared_signatures(signature_blocks(texts, ends, often, bits), bits), "signatures")
+    shared = stage_freed(shared_signatures(signature_blocks(texts, ends, often, bits), bits), "signatures")
 
     classes = sets.filter("n > 0").groupBy(*key).agg(F.min("name").alias("class"), F.min("doc_id").alias("least"))
     members = sets.filter("n > 0").select(F.col("name").alias("doc_id"), *key).distinct().join(classes, key).select("doc_id", "class", "n")
     known = shared.join(members, "doc_id").select("sign", "class", "n", "need")
-    held = stage(known.distinct(), "held")
+    held = stage_freed(known.distinct(), "held")
     owed = held.filter("need IS NOT NULL").groupBy("class", F.col("sign").alias("slot")).agg(F.max("need").alias("need"))
     held = held.filter("need IS NULL").select("sign", "class", "n", F.col("sign").bitwiseAND(15).alias("slot"))
     several = held.groupBy("sign").agg(F.min("class").alias("lead"), F.max("class").alias("last")).filter("lead < last")
     shares = held.join(several, "sign", "left_semi")
     enough = shares.groupBy("class", "slot").agg(F.count("*").alias("has")).join(owed, ["class", "slot"]).filter("has >= need")
-    busy = stage(shares.join(enough, ["class", "slot"], "left_semi").select("sign", "class", "n"), "busy")
-    arrays = stage(shingle_arrays(texts, busy.select(F.col("class").alias("doc_id")).distinct()), "shingles")
+    busy = stage_freed(shares.join(enough, ["class", "slot"], "left_semi").select("sign", "class", "n"), "busy")
+    arrays = stage_freed(shingle_arrays(texts, busy.select(F.col("class").alias("doc_id")).distinct()), "shingles")
     links = link_classes(busy, arrays)
     found = components(links)
-    labels = stage(classes.join(found.withColumnRenamed("node", "class"), "class", "left").select(
+    labels = stage_freed(classes.join(found.withColumnRenamed("node", "class"), "class", "left").select(
         *key, "class", "least", F.coalesce("component", "class").alias("component")), "labels")
     # A class is its least doc_id, and a component its least class, unless a hash names one.
     odd = labels.filter("least IS NULL OR least != class").select("component").distinct()
-    tops = stage(labels.join(odd, "component", "left_semi").groupBy("component").agg(F.min("least").alias("top")), "tops")
+    tops = stage_freed(labels.join(odd, "component", "left_semi").groupBy("component").agg(F.min("least").alias("top")), "tops")
     if tops.isEmpty():
         labels = labels.withColumn("component_id", F.col("component"))
     else:

@@ -73,3 +73,14 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     path = scratch(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def stage_freed(df: DataFrame, label: str) -> DataFrame:
+    """As `stage`; the shuffle files that the write needed go as soon as it is done, not when the driver happens to collect its garbage."""
+    conf, key = df.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = conf.get(key, None)
+    conf.set(key, "true")
+    try:
+        return stage(df, label)
+    finally:
+        conf.unset(key) if before is None else conf.set(key, before)

@@ -5,7 +5,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from barsmith.llm import ngram_join
+from barsmith.llm import graph, ngram_join
 from barsmith.llm.graph import components
 
 
@@ -114,3 +114,41 @@ def test_rows_link_by_their_own_text(spark):
     docs = spark.createDataFrame([(*r, 0) for r in rows], "doc_id long, text string, n long").repartition(3)
     got = sorted((r.doc_id or 0, r.n_shingles, r.component_id or 0) for r in ngram_join.join_documents(docs).collect())
     assert got == sorted([(5, 96, 5), (0, 96, 5), (9, 96, 5), (7, 56, 7), (7, 1, 3), (8, 57, 7), (3, 1, 3), (0, 1, 0), (0, 1, 0), (0, 0, 0)])
+
+
+def shuffle_bytes(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return sum(files.apply(i).length() for i in range(files.size()) if files.apply(i).getName().startswith("shuffle_"))
+
+
+def test_shuffles_go_when_their_result_is_written(spark):
+    """Beside the input, disk holds one step's shuffle, not those of all steps until the driver collects its garbage."""
+    docs = spark.createDataFrame(corpus(4, 60), "doc_id long, text string").coalesce(1)
+    blocks = ngram_join.signature_blocks(docs, ngram_join.bands(300), np.array([], np.uint64), 1)
+    before = shuffle_bytes(spark)
+    shared = ngram_join.stage_freed(ngram_join.shared_signatures(blocks, 1), "signatures")
+    assert shuffle_bytes(spark) <= before
+    assert shared.groupBy("sign").count().count() == shared.select("sign").distinct().count() > 0
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+    assert not hasattr(ngram_join, "stage") and not hasattr(graph, "stage")  # all steps do so
+
+
+def test_shared_signatures_are_numbered(spark):
+    """The numbers name the same groups of documents as the hashes, and keep the slot."""
+    docs = spark.createDataFrame([r for r in corpus(5) if r[1]], "doc_id long, text string").coalesce(1)
+    blocks = ngram_join.signature_blocks(docs, ngram_join.bands(300), np.array([], np.uint64), 2)
+    want = {}
+    for r in blocks.collect():
+        if r.shard < 4:
+            half = len(r.block) // 2
+            for sign, doc in zip(ngram_join.from_delta_planes(bytes(r.block[:half])), ngram_join.from_planes(bytes(r.block[half:]))):
+                want.setdefault((r.shard, int(sign)), []).append(int(doc))
+    got = {}
+    for r in ngram_join.shared_signatures(blocks, 2).filter("need IS NULL").collect():
+        got.setdefault(r.sign, []).append(r.doc_id)
+    assert Counter((sign & 15, *sorted(d)) for sign, d in got.items()) == Counter(
+        (sign & 15, *sorted(d)) for (_, sign), d in want.items() if len(d) > 1)
+    assert got and {s >> 44 for s in got} <= set(range(4))
+    for shard in range(4):
+        numbers = sorted(s >> 4 & (1 << 36) - 1 for s in got if s >> 44 == shard)
+        assert numbers == [*range(1, len(numbers) + 1)]
